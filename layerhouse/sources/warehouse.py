@@ -11,12 +11,16 @@ from functools import cached_property
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from layerhouse.plans.discount import CUSTOM_DISCOUNT, FIXED_DISCOUNT
+from layerhouse.plans.macro import ADD_TO_CART, FAVOURITE, PAID
+from layerhouse.plans.security import ALARMS
 from layerhouse.session import configure
 
 # Run dates of the reports over each group of facts.
 ORDER_DAY = dt.date(1996, 6, 30)
 EVENT_DAY = dt.date(2024, 1, 30)
 LAST_DAY = dt.date(2001, 12, 31)
+UNPAID = "未支付"
 
 
 def money(name: str, kind: str = "decimal(16,2)") -> Column:
@@ -596,3 +600,199 @@ class Warehouse:
             F.lit("1998-03-04T05:06:07Z").alias("create_time"),
             F.when(F.col("c_acctbal") < -900, "1").otherwise("0").alias("is_deleted"),
         )
+
+    # ------------------------------------------------------------ product marts
+    @cached_property
+    def product_behaviour(self) -> DataFrame:
+        """One row per product and day: traffic, clicks, interaction, new users, sales."""
+        kind, value = F.col("event_type"), F.col("value")
+
+        def count(*kinds: str) -> Column:
+            return F.count(F.when(kind.isin(*kinds), 1))
+
+        daily = self.events.groupBy(F.col("k").alias("product_key"), F.to_date("ts").alias("stat_date")).agg(
+            count("view", "click", "signup").alias("traffic_cnt"), count("click").alias("click_cnt"),
+            count("error").alias("content_interact_cnt"), count("signup").alias("new_user_cnt"),
+            F.countDistinct("user_id").alias("visitor_cnt"), count("purchase").alias("sales_cnt"),
+            F.coalesce(F.sum(F.when(kind == "purchase", value)), F.lit(0)).cast("decimal(16,2)").alias("sales_amount"),
+            F.max(value).alias("top"),
+        )
+        parts = self.raw("part").select(
+            F.col("p_partkey").alias("product_key"), F.concat_ws("_", "p_type", "p_name").alias("product_name")
+        )
+        return daily.join(parts, "product_key", "left").select(
+            F.col("product_key").cast("string").alias("product_id"), "product_name", "traffic_cnt",
+            "click_cnt", F.when(F.col("sales_cnt") > 0, 0.25).otherwise(0.05).alias("conversion_rate"),
+            "content_interact_cnt", "new_user_cnt",
+            F.when(F.col("top") > 40, 0.9).otherwise(0.5).alias("service_rating"),
+            "sales_amount", "sales_cnt", "visitor_cnt", "stat_date",
+        )
+
+    @cached_property
+    def discount_activity(self) -> DataFrame:
+        size = F.col("p_size")
+        return self.raw("part").select(size).distinct().select(
+            numbered_text("act_", size).alias("activity_id"), numbered_text("Activity ", size).alias("activity_name"),
+            F.when(size < 20, "product").otherwise("shop").alias("activity_level"),
+            F.when(size <= 25, FIXED_DISCOUNT).otherwise(CUSTOM_DISCOUNT).alias("discount_type"),
+            (size * 2).alias("max_discount_amount"), F.lit("2024-01-01").alias("start_time"),
+            F.lit("2024-12-31").alias("end_time"), F.lit("on").alias("status"),
+            F.lit("2023-12-01").alias("create_time"), F.lit("2023-12-02").alias("update_time"),
+            F.when(size <= 45, 1).otherwise(0).alias("is_valid"),
+        )
+
+    @cached_property
+    def discount_product(self) -> DataFrame:
+        return self.raw("part").select(
+            numbered_text("rel_", F.col("p_partkey")).alias("rel_id"),
+            numbered_text("act_", F.col("p_size")).alias("activity_id"),
+            F.col("p_partkey").cast("string").alias("product_id"), numbered_text("sku_", F.col("p_partkey")).alias("sku_id"),
+            (F.col("p_size") + 5).alias("fixed_discount"), (F.col("p_size") * 3).alias("max_buy_count"),
+            F.lit("2024-01-01 08:00:00").alias("add_time"),
+            F.when(F.col("p_type") == "PROMO", 1).otherwise(0).alias("is_delete"),
+        )
+
+    @cached_property
+    def discount_send(self) -> DataFrame:
+        return self.events.where(F.col("event_type") == "click").select(
+            numbered_text("s", F.col("event_id")).alias("send_id"), numbered_text("act_", F.col("k")).alias("activity_id"),
+            F.col("k").cast("string").alias("product_id"), numbered_text("sku_", F.col("k")).alias("sku_id"),
+            numbered_text("c", F.col("user_id")).alias("customer_id"),
+            numbered_text("serv_", F.col("user_id") % 10).alias("service_id"),
+            F.floor("value").cast("int").alias("send_discount_amount"),
+            (F.col("k") % 24 + 1).cast("int").alias("validity_period"), F.col("ts").alias("send_time"),
+            F.lit("sent").alias("remark"),
+        )
+
+    @cached_property
+    def discount_verify(self) -> DataFrame:
+        """Redemptions, as landed: amounts and times are text.  Each refers to the event before."""
+        return self.events.where(F.col("event_type") == "purchase").select(
+            numbered_text("v", F.col("event_id")).alias("verify_id"),
+            numbered_text("s", F.col("event_id") - 1).alias("send_id"),
+            numbered_text("o", F.col("event_id")).alias("order_id"),
+            F.col("value").cast("string").alias("pay_amount"),
+            F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss").alias("verify_time"),
+            (F.col("k") % 5 + 1).cast("int").alias("buy_count"),
+        )
+
+    @cached_property
+    def product(self) -> DataFrame:
+        return self.raw("part").select(
+            F.col("p_partkey").cast("string").alias("product_id"), F.col("p_name").alias("product_name"),
+            F.col("p_type").alias("category_id"), F.lower("p_type").alias("category_name"),
+            money("p_retailprice", "decimal(10,2)").alias("product_price"),
+            F.lit("2024-01-01").alias("update_date"),
+        )
+
+    @cached_property
+    def visit_log(self) -> DataFrame:
+        return self.events.where(F.col("event_type").isin("view", "click")).select(
+            F.col("event_id").cast("string").alias("log_id"), numbered_text("u", F.col("user_id")).alias("user_id"),
+            F.col("k").cast("string").alias("product_id"), F.col("ts").alias("visit_time"),
+            F.when(F.col("user_id") % 2 == 0, "app").otherwise("web").alias("terminal"),
+            F.floor("value").cast("int").alias("stay_time"),
+            F.when(F.col("event_type") == "click", 1).otherwise(0).alias("is_click"),
+        )
+
+    @cached_property
+    def product_add(self) -> DataFrame:
+        favourite = F.col("event_type") == "signup"
+        return self.events.where(F.col("event_type").isin("signup", "error")).select(
+            F.col("event_id").cast("string").alias("record_id"), numbered_text("u", F.col("user_id")).alias("user_id"),
+            F.col("k").cast("string").alias("product_id"),
+            F.when(favourite, FAVOURITE).otherwise(ADD_TO_CART).alias("op_type"), F.col("ts").alias("op_time"),
+            F.when(~favourite, (F.col("k") % 3 + 1).cast("int")).alias("add_cart_count"),
+            F.when(F.col("user_id") % 2 == 0, "app").otherwise("web").alias("terminal"),
+        )
+
+    @cached_property
+    def product_order(self) -> DataFrame:
+        paid = F.col("value") >= 10
+        count = (F.col("k") % 4 + 1).cast("int")
+        stamp = F.date_format("ts", "yyyy-MM-dd HH:mm:ss")
+        return self.events.where(F.col("event_type") == "purchase").select(
+            F.col("event_id").cast("string").alias("order_id"), numbered_text("u", F.col("user_id")).alias("user_id"),
+            F.col("k").cast("string").alias("product_id"), F.col("value").cast("string").alias("product_price"),
+            count.alias("buy_count"), (F.col("value") * count).cast("string").alias("buy_amount"),
+            F.when(paid, PAID).otherwise(UNPAID).alias("pay_status"), F.when(paid, stamp).alias("pay_time"),
+            F.when(paid, (F.col("value") * count).cast("string")).alias("pay_amount"),
+            F.when(F.col("user_id") % 2 == 0, "app").otherwise("web").alias("terminal"),
+            stamp.alias("create_time"), F.date_format("ts", "yyyy-MM-dd").alias("order_date"),
+        )
+
+    @cached_property
+    def goods_base(self) -> DataFrame:
+        return self.raw("part").select(
+            F.col("p_partkey").cast("string").alias("goods_id"), F.col("p_name").alias("goods_name"),
+            F.col("p_size").cast("string").alias("category_id"), F.col("p_type").alias("category_name"),
+            F.col("p_brand").alias("shop_id"), F.when(F.col("p_size") > 25, 1).otherwise(0).alias("is_price_strength"),
+        )
+
+    @cached_property
+    def goods_sales(self) -> DataFrame:
+        return self.raw("lineitem").select(
+            F.col("l_partkey").cast("string").alias("goods_id"), numbered_text("sku_", F.col("l_partkey")).alias("sku_id"),
+            F.col("l_extendedprice").alias("pay_amount"), F.col("l_quantity").cast("int").alias("sales_num"),
+            F.col("l_linenumber").alias("pay_buyer_num"), F.date_format("l_shipdate", "yyyy-MM-dd").alias("pay_date"),
+        )
+
+    @cached_property
+    def goods_traffic(self) -> DataFrame:
+        return self.raw("lineitem").select(
+            F.col("l_partkey").cast("string").alias("goods_id"), F.col("l_returnflag").alias("traffic_source"),
+            (F.col("l_quantity") * F.col("l_linenumber") + 10).cast("int").alias("visitor_num"),
+            F.date_format("l_shipdate", "yyyy-MM-dd").alias("visit_date"),
+        )
+
+    @cached_property
+    def price_strength(self) -> DataFrame:
+        """Star of a part on a day: the highest line number it was sold under, at most 5."""
+        star = F.least(F.max("l_linenumber"), F.lit(5))
+        daily = self.raw("lineitem").groupBy("l_partkey", "l_shipdate").agg(star.alias("star"))
+        return daily.select(
+            F.col("l_partkey").cast("string").alias("goods_id"), F.col("star").alias("price_strength_star"),
+            F.when(F.col("star") <= 2, 1).otherwise(0).alias("is_low_star"),
+            F.date_format("l_shipdate", "yyyy-MM-dd").alias("record_date"),
+        )
+
+    # ------------------------------------------------------------ change log and telemetry
+    @cached_property
+    def change_log(self) -> DataFrame:
+        """Change envelopes of a user-profile table, one JSON text per change, from the events.
+
+        A user's first change creates, an error event deletes, anything else updates.
+        """
+        row = F.struct(
+            F.col("user_id").alias("id"), F.col("event_type").alias("state"), F.col("value").alias("balance")
+        )
+        deleted = F.col("event_type") == "error"
+        envelope = F.struct(
+            F.when(deleted, row).alias("before"), F.when(~deleted, row).alias("after"),
+            F.when(deleted, "d").when(F.col("event_type") == "signup", "c").otherwise("u").alias("op"),
+            F.unix_millis("ts").alias("ts_ms"), F.col("event_id").alias("seq"),
+        )
+        return self.events.select(F.to_json(envelope).alias("value"))
+
+    @cached_property
+    def telemetry(self) -> DataFrame:
+        """Vehicle position reports as JSON text; alarms raised from the event's kind and value."""
+        alarm = F.struct(*[
+            F.when(F.col("k") == i, 1).otherwise(0).alias(name) for i, name in enumerate(ALARMS)
+        ])
+        message = F.struct(
+            F.date_format("ts", "yyyyMMddHHmmss").alias("dateTime"), (F.col("k") * 2).alias("altitude"),
+            F.col("event_id").alias("vec3"), alarm.alias("alarm"), F.lit(4610).alias("msgId"),
+            F.lit(0).alias("encrypy"), F.col("k").alias("vec2"), F.col("k").alias("vec1"),
+            (F.col("k") / 100 + 114).cast("decimal(9,6)").alias("lon"),
+            F.struct(
+                F.when(F.col("event_type") == "click", 1).otherwise(0).alias("acc"),
+                F.when(F.col("event_type") == "view", 1).otherwise(0).alias("door"),
+            ).alias("state"),
+            (F.col("k") / 100 + 22).cast("decimal(9,6)").alias("lat"), (F.col("k") * 3).alias("direction"),
+        )
+        report = F.struct(
+            message.alias("UPEXGMSGREALLOCATION"), F.lit(4610).alias("DATATYPE"),
+            numbered_text("V", F.col("user_id")).alias("VEHICLENO"), F.lit(2).alias("VEHICLECOLOR"),
+        )
+        return self.events.select("event_id", F.to_json(report).alias("payload"))
