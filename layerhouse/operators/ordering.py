@@ -9,11 +9,14 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from layerhouse.session import durable
 
 
-def _same(left: DataFrame, right: DataFrame, names: Sequence[str]) -> Column:
+def _meet(left: DataFrame, right: DataFrame, names: Sequence[str]) -> DataFrame:
+    """Inner join in which null keys match; the right side's keys are dropped."""
+    renamed = {name: f"__r_{name}" for name in names}
+    right = right.withColumnsRenamed(renamed)
     condition = F.lit(True)
-    for name in names:
-        condition = condition & left[name].eqNullSafe(right[name])
-    return condition
+    for name, other in renamed.items():
+        condition = condition & F.col(name).eqNullSafe(F.col(other))
+    return left.join(right, condition).drop(*renamed.values())
 
 
 def number_rows(
@@ -44,9 +47,9 @@ def number_rows(
         Window.unboundedPreceding, -1
     )
     runs = runs.withColumn("__before", F.coalesce(F.sum("__n").over(earlier), F.lit(0))).drop("__n")
-    joined = placed.join(runs, _same(placed, runs, ["__task", *keys]))
+    joined = _meet(placed, runs, ["__task", *keys])
     number = F.col("__before") + F.col("__at") - F.col("__first") + 1
-    return joined.select(*[placed[c] for c in df.columns], number.alias(into))
+    return joined.select(*df.columns, number.alias(into))
 
 
 def number_by_each(
@@ -71,8 +74,7 @@ def number_by_each(
     folded = numbered.groupBy(*keys, *unique).agg(*[
         F.max(F.when(F.col("__rank") == name, F.col("__rn"))).alias(name) for name in ranks
     ])
-    joined = df.join(folded, _same(df, folded, [*keys, *unique]))
-    return joined.select(*[df[c] for c in df.columns], *ranks)
+    return _meet(df, folded, [*keys, *unique]).select(*df.columns, *ranks)
 
 
 def topk_with_ties(
@@ -84,15 +86,13 @@ def topk_with_ties(
     task, so neither a big key nor a long tie passes through one task.
     """
     values = df.groupBy(*keys, by).agg(F.count("*").alias("__n"))
-    # coalesced keys: null-keyed rows form their own group, as in a window
     falling = Window.partitionBy(*keys).orderBy(F.col(by).desc_nulls_last())
     top = values.withColumn("__place", F.row_number().over(falling)).where(F.col("__place") <= k)
     above = F.sum("__n").over(falling.rowsBetween(Window.unboundedPreceding, -1))
     ranked = top.withColumn(into, (F.coalesce(above, F.lit(0)) + 1).cast("int")).where(
         F.col(into) <= k
     ).drop("__n", "__place")
-    joined = df.join(ranked, _same(df, ranked, [*keys, by]))
-    return joined.select(*[df[c] for c in df.columns], into)
+    return _meet(df, ranked, [*keys, by]).select(*df.columns, into)
 
 
 def first_per(
@@ -133,9 +133,8 @@ def in_sequence(
     blocks = blocks.withColumn("__before", F.coalesce(before, F.lit(0))).withColumn(
         "__after", F.lead("__head").over(outer)
     )
-    joined = local.join(blocks, _same(local, blocks, [*keys, "__block"]))
-    return joined.select(
-        *[local[c] for c in df.columns],
+    return _meet(local, blocks, [*keys, "__block"]).select(
+        *df.columns,
         (F.col("__before") + F.col("__rn")).alias(number),
         F.when(F.col("__rn") < F.col("__n"), F.col("__next"))
         .otherwise(F.col("__after")).alias(following),

@@ -1,7 +1,8 @@
 """Logistics reports for spans 1 (the run day), 7 and 30.
 
-Each returns the new rows of its run date; ``sources.tables.merge_history`` adds them to the
-history table so that a re-run replaces them.
+The inputs are span tables: rolling summaries built for ``SPANS``, or a stored 7/30-day table with
+the run day added by ``with_today``.  Each report returns the new rows of its run date;
+``sources.tables.merge_history`` adds them to the history so that a re-run replaces them.
 """
 
 from __future__ import annotations
@@ -12,21 +13,21 @@ from pyspark.sql import DataFrame, functions as F
 
 from layerhouse.functions.ratios import mean_of
 from layerhouse.operators.joins import align_facts, net
-from layerhouse.plans.tms_dws import CITY, ORG, PROVINCE, TRIPS, TRUCK, place_by_level
+from layerhouse.plans.tms_dws import CITY, ORDERS, ORG, PROVINCE, TRIPS, TRUCK
 
-
-def _today(daily: DataFrame, as_of: dt.date) -> DataFrame:
-    return daily.where(F.col("dt") == F.lit(as_of)).withColumn("recent_days", F.lit(1)).drop("dt")
+SPANS = (1, 7, 30)
+TRIP_SUMS = {m: m for m in TRIPS}
 
 
-def _spans(daily: DataFrame, rolling: DataFrame, as_of: dt.date, columns: list[str]) -> DataFrame:
-    """Run-day rows and rolling rows as one frame."""
-    picked = ["recent_days", *columns]
-    return _today(daily, as_of).select(*picked).unionByName(rolling.select(*picked))
+def with_today(daily: DataFrame, rolling: DataFrame, as_of: dt.date) -> DataFrame:
+    """A span table from a stored daily and a stored rolling table."""
+    today = daily.where(F.col("dt") == F.lit(as_of)).withColumn("recent_days", F.lit(1))
+    common = [c for c in rolling.columns if c in today.columns and c != "dt"]
+    return today.select(*common).unionByName(rolling.select(*common))
 
 
-def _sums(rows: DataFrame, keys: list[str], measures: dict[str, str]) -> DataFrame:
-    return rows.groupBy("recent_days", *keys).agg(
+def _sums(spans: DataFrame, keys: list[str], measures: dict[str, str]) -> DataFrame:
+    return spans.groupBy("recent_days", *keys).agg(
         *[F.sum(source).alias(name) for name, source in measures.items()]
     )
 
@@ -43,23 +44,29 @@ def _with_means(rows: DataFrame) -> DataFrame:
     })
 
 
-ORDERS = {"order_count": "order_count", "order_amount": "order_amount"}
-TRIP_SUMS = {m: m for m in TRIPS}
+def _received(spans: DataFrame, keys: list[str]) -> DataFrame:
+    return _sums(spans, keys, {
+        "receive_order_count": "order_count", "receive_order_amount": "order_amount"
+    })
 
 
-def trans_order_stats(
-    receive_1d: DataFrame, receive_nd: DataFrame, dispatch_1d: DataFrame, dispatch_nd: DataFrame,
-    as_of: dt.date,
-) -> DataFrame:
-    received = _sums(_spans(receive_1d, receive_nd, as_of, [*ORDERS]), [], {
-        "receive_order_count": "order_count", "receive_order_amount": "order_amount"})
-    sent = _sums(_spans(dispatch_1d, dispatch_nd, as_of, [*ORDERS]), [], {
-        "dispatch_order_count": "order_count", "dispatch_order_amount": "order_amount"})
-    return _stamped(align_facts(["recent_days"], received, sent), as_of)
+def _delivered(spans: DataFrame, keys: list[str]) -> DataFrame:
+    return _sums(spans, keys, {"deliver_suc_count": "order_count"})
+
+
+def _sorted(spans: DataFrame, keys: list[str]) -> DataFrame:
+    return _sums(spans, keys, {"sort_count": "sort_count"})
+
+
+def trans_order_stats(receive: DataFrame, dispatch: DataFrame, as_of: dt.date) -> DataFrame:
+    sent = _sums(dispatch, [], {
+        "dispatch_order_count": "order_count", "dispatch_order_amount": "order_amount"
+    })
+    return _stamped(align_facts(["recent_days"], _received(receive, []), sent), as_of)
 
 
-def trans_stats(trips_1d: DataFrame, shift_nd: DataFrame, as_of: dt.date) -> DataFrame:
-    return _stamped(_sums(_spans(trips_1d, shift_nd, as_of, TRIPS), [], TRIP_SUMS), as_of)
+def trans_stats(trips: DataFrame, as_of: dt.date) -> DataFrame:
+    return _stamped(_sums(trips, [], TRIP_SUMS), as_of)
 
 
 def trans_order_stats_td(dispatch_td: DataFrame, finish_td: DataFrame, as_of: dt.date) -> DataFrame:
@@ -71,13 +78,12 @@ def trans_order_stats_td(dispatch_td: DataFrame, finish_td: DataFrame, as_of: dt
     ), as_of)
 
 
-def order_stats(order_1d: DataFrame, order_nd: DataFrame, as_of: dt.date) -> DataFrame:
-    return _stamped(_sums(_spans(order_1d, order_nd, as_of, [*ORDERS]), [], ORDERS), as_of)
+def order_stats(orders: DataFrame, as_of: dt.date) -> DataFrame:
+    return _stamped(_sums(orders, [], ORDERS), as_of)
 
 
-def order_cargo_stats(order_1d: DataFrame, order_nd: DataFrame, as_of: dt.date) -> DataFrame:
-    cargo = ["cargo_type", "cargo_type_name"]
-    return _stamped(_sums(_spans(order_1d, order_nd, as_of, [*cargo, *ORDERS]), cargo, ORDERS), as_of)
+def order_cargo_stats(orders: DataFrame, as_of: dt.date) -> DataFrame:
+    return _stamped(_sums(orders, ["cargo_type", "cargo_type_name"], ORDERS), as_of)
 
 
 def _orders_and_trips(orders: DataFrame, trips: DataFrame, keys: list[str], as_of: dt.date) -> DataFrame:
@@ -87,44 +93,30 @@ def _orders_and_trips(orders: DataFrame, trips: DataFrame, keys: list[str], as_o
     return _stamped(_with_means(both), as_of)
 
 
-def city_stats(
-    order_1d: DataFrame, order_nd: DataFrame, trips_1d: DataFrame, shift_nd: DataFrame,
-    organs: DataFrame, regions: DataFrame, as_of: dt.date,
-) -> DataFrame:
+def city_stats(orders: DataFrame, trips: DataFrame, as_of: dt.date) -> DataFrame:
     """Orders and trips per city; a city with only one of them is kept."""
-    orders = _spans(order_1d, order_nd, as_of, [*CITY, *ORDERS])
-    today = place_by_level(
-        _today(trips_1d, as_of).groupBy("recent_days", "org_id").agg(*[F.sum(m).alias(m) for m in TRIPS]),
-        organs, regions,
-    )
-    trips = today.select("recent_days", *CITY, *TRIPS).unionByName(
-        shift_nd.select("recent_days", *CITY, *TRIPS)
-    )
     return _orders_and_trips(orders, trips, CITY, as_of)
 
 
-def org_stats(
-    order_1d: DataFrame, order_nd: DataFrame, trips_1d: DataFrame, shift_nd: DataFrame, as_of: dt.date
-) -> DataFrame:
-    orders = _spans(order_1d, order_nd, as_of, [*ORG, *ORDERS])
-    trips = _spans(trips_1d, shift_nd, as_of, [*ORG, *TRIPS])
+def org_stats(orders: DataFrame, trips: DataFrame, as_of: dt.date) -> DataFrame:
     return _orders_and_trips(orders, trips, ORG, as_of)
 
 
-def shift_stats(shift_nd: DataFrame, as_of: dt.date) -> DataFrame:
-    return _stamped(
-        shift_nd.select("recent_days", "shift_id", *TRIPS, "trans_finish_order_count"), as_of
-    )
+def shift_stats(trips: DataFrame, as_of: dt.date) -> DataFrame:
+    return _stamped(trips.where(F.col("recent_days") > 1).select(
+        "recent_days", "shift_id", *TRIPS, "trans_finish_order_count"
+    ), as_of)
 
 
-def line_stats(shift_nd: DataFrame, as_of: dt.date) -> DataFrame:
+def line_stats(trips: DataFrame, as_of: dt.date) -> DataFrame:
     measures = {**TRIP_SUMS, "trans_finish_order_count": "trans_finish_order_count"}
-    return _stamped(_sums(shift_nd, ["line_id", "line_name"], measures), as_of)
+    rolling = trips.where(F.col("recent_days") > 1)
+    return _stamped(_sums(rolling, ["line_id", "line_name"], measures), as_of)
 
 
-def driver_stats(shift_nd: DataFrame, as_of: dt.date) -> DataFrame:
+def driver_stats(trips: DataFrame, as_of: dt.date) -> DataFrame:
     """Trips per driver; distance and time of a two-driver trip are split in half."""
-    crews = shift_nd.groupBy(
+    crews = trips.where(F.col("recent_days") > 1).groupBy(
         "recent_days", "driver1_emp_id", "driver1_name", "driver2_emp_id", "driver2_name"
     ).agg(*[F.sum(m).alias(m) for m in TRIPS])
     share = F.when(F.col("driver2_emp_id").isNull(), 1.0).otherwise(0.5)
@@ -144,34 +136,26 @@ def driver_stats(shift_nd: DataFrame, as_of: dt.date) -> DataFrame:
     return _stamped(_with_means(_sums(rows, ["driver_emp_id", "driver_name"], TRIP_SUMS)), as_of)
 
 
-def truck_stats(shift_nd: DataFrame, as_of: dt.date) -> DataFrame:
-    return _stamped(_with_means(_sums(shift_nd, TRUCK, TRIP_SUMS)), as_of)
+def truck_stats(trips: DataFrame, as_of: dt.date) -> DataFrame:
+    rolling = trips.where(F.col("recent_days") > 1)
+    return _stamped(_with_means(_sums(rolling, TRUCK, TRIP_SUMS)), as_of)
 
 
-def express_stats(
-    deliver_1d: DataFrame, deliver_nd: DataFrame, sort_1d: DataFrame, sort_nd: DataFrame, as_of: dt.date
-) -> DataFrame:
-    delivered = _sums(_spans(deliver_1d, deliver_nd, as_of, ["order_count"]), [], {
-        "deliver_suc_count": "order_count"})
-    sorts = _sums(_spans(sort_1d, sort_nd, as_of, ["sort_count"]), [], {"sort_count": "sort_count"})
-    return _stamped(align_facts(["recent_days"], delivered, sorts), as_of)
+def express_stats(deliver: DataFrame, sort: DataFrame, as_of: dt.date) -> DataFrame:
+    return _stamped(align_facts(["recent_days"], _delivered(deliver, []), _sorted(sort, [])), as_of)
 
 
 PLACES = {"province": PROVINCE, "city": CITY, "org": ORG}
 
 
 def express_place_stats(
-    place: str, receive_1d: DataFrame, receive_nd: DataFrame, deliver_1d: DataFrame,
-    deliver_nd: DataFrame, sort_1d: DataFrame, sort_nd: DataFrame, as_of: dt.date,
+    place: str, receive: DataFrame, deliver: DataFrame, sort: DataFrame, as_of: dt.date
 ) -> DataFrame:
     """Received, delivered and sorted per province, city or organisation.
 
     A place found in any one of the three facts gives one row, whichever fact it is.
     """
     keys = PLACES[place]
-    received = _sums(_spans(receive_1d, receive_nd, as_of, [*keys, *ORDERS]), keys, {
-        "receive_order_count": "order_count", "receive_order_amount": "order_amount"})
-    delivered = _sums(_spans(deliver_1d, deliver_nd, as_of, [*keys, "order_count"]), keys, {
-        "deliver_suc_count": "order_count"})
-    sorts = _sums(_spans(sort_1d, sort_nd, as_of, [*keys, "sort_count"]), keys, {"sort_count": "sort_count"})
-    return _stamped(align_facts(["recent_days", *keys], received, delivered, sorts), as_of)
+    return _stamped(align_facts(
+        ["recent_days", *keys], _received(receive, keys), _delivered(deliver, keys), _sorted(sort, keys)
+    ), as_of)

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, functions as F
 from layerhouse.operators.joins import lookup, walk_up
 from layerhouse.operators.spans import span_totals
 
+ROLLING = (7, 30)
 CITY = ["city_id", "city_name"]
 PROVINCE = ["province_id", "province_name"]
 ORG = ["org_id", "org_name"]
@@ -39,8 +40,8 @@ def org_cargo_order_1d(detail: DataFrame, organs: DataFrame, regions: DataFrame)
     return lookup(rows, regions, {"city_id": "id"}, {"city_name": "name"})
 
 
-def org_cargo_order_nd(daily: DataFrame, as_of: dt.date) -> DataFrame:
-    return span_totals(daily, [*ORG, *CITY, "cargo_type", "cargo_type_name"], ORDERS, as_of)
+def org_cargo_order_nd(daily: DataFrame, as_of: dt.date, spans=ROLLING) -> DataFrame:
+    return span_totals(daily, [*ORG, *CITY, "cargo_type", "cargo_type_name"], ORDERS, as_of, spans)
 
 
 def _place_of_org(rows: DataFrame, regions: DataFrame, district: str) -> DataFrame:
@@ -58,16 +59,16 @@ def org_receive_1d(detail: DataFrame, organs: DataFrame, regions: DataFrame) ->
     return rows.groupBy(*ORG, *CITY, *PROVINCE, "dt").agg(*[F.sum(m).alias(m) for m in ORDERS])
 
 
-def org_receive_nd(daily: DataFrame, as_of: dt.date) -> DataFrame:
-    return span_totals(daily, [*ORG, *CITY, *PROVINCE], ORDERS, as_of)
+def org_receive_nd(daily: DataFrame, as_of: dt.date, spans=ROLLING) -> DataFrame:
+    return span_totals(daily, [*ORG, *CITY, *PROVINCE], ORDERS, as_of, spans)
 
 
 def dispatch_1d(detail: DataFrame) -> DataFrame:
     return _once_per_order(detail, ["dt"])
 
 
-def dispatch_nd(daily: DataFrame, as_of: dt.date) -> DataFrame:
-    return span_totals(daily, [], ORDERS, as_of)
+def dispatch_nd(daily: DataFrame, as_of: dt.date, spans=ROLLING) -> DataFrame:
+    return span_totals(daily, [], ORDERS, as_of, spans)
 
 
 def dispatch_td(daily: DataFrame, as_of: dt.date) -> DataFrame:
@@ -89,8 +90,8 @@ def org_deliver_1d(detail: DataFrame, organs: DataFrame, regions: DataFrame) ->
     return rows.groupBy(*ORG, *CITY, *PROVINCE, "dt").agg(F.sum("order_count").alias("order_count"))
 
 
-def org_deliver_nd(daily: DataFrame, as_of: dt.date) -> DataFrame:
-    return span_totals(daily, [*ORG, *CITY, *PROVINCE], {"order_count": "order_count"}, as_of)
+def org_deliver_nd(daily: DataFrame, as_of: dt.date, spans=ROLLING) -> DataFrame:
+    return span_totals(daily, [*ORG, *CITY, *PROVINCE], {"order_count": "order_count"}, as_of, spans)
 
 
 def place_by_level(rows: DataFrame, organs: DataFrame, regions: DataFrame) -> DataFrame:
@@ -113,8 +114,8 @@ def org_sort_1d(sorts: DataFrame, organs: DataFrame, regions: DataFrame) -> Data
     return place_by_level(rows, organs, regions)
 
 
-def org_sort_nd(daily: DataFrame, as_of: dt.date) -> DataFrame:
-    return span_totals(daily, [*ORG, *CITY, *PROVINCE], {"sort_count": "sort_count"}, as_of)
+def org_sort_nd(daily: DataFrame, as_of: dt.date, spans=ROLLING) -> DataFrame:
+    return span_totals(daily, [*ORG, *CITY, *PROVINCE], {"sort_count": "sort_count"}, as_of, spans)
 
 
 def org_truck_trips_1d(trips: DataFrame, trucks: DataFrame) -> DataFrame:
@@ -133,7 +134,7 @@ SHIFT_MEASURES = [*TRIPS, "trans_finish_order_count", "trans_finish_delay_count"
 
 def shift_trips_nd(
     trips: DataFrame, organs: DataFrame, regions: DataFrame, shifts: DataFrame, trucks: DataFrame,
-    as_of: dt.date,
+    as_of: dt.date, spans=ROLLING,
 ) -> DataFrame:
     """Trips per shift, line, crew, truck and span, with orders carried and late arrivals."""
     crew = ["driver1_emp_id", "driver1_name", "driver2_emp_id", "driver2_name"]
@@ -148,7 +149,7 @@ def shift_trips_nd(
         {"trans_finish_count": "one", "trans_finish_distance": "actual_distance",
          "trans_finish_dur_sec": "finish_dur_sec", "trans_finish_order_count": "order_num",
          "trans_finish_delay_count": "late"},
-        as_of,
+        as_of, spans,
     )
     rows = place_by_level(rows, organs, regions).drop(*PROVINCE)
     rows = lookup(rows, shifts, {"shift_id": "id"}, ["line_name"])
