@@ -439,7 +439,7 @@ class Warehouse:
             .otherwise("73003").alias("payment_type"),
             urgency.alias("cargo_num"), money("o_totalprice").alias("amount"),
             (F.unix_millis(stamp) + 172800000).cast("string").alias("estimate_arrive_time"),
-            (F.col("o_totalprice") / 100).cast("decimal(16,2)").alias("distance"),
+            (money("o_totalprice") * F.lit(0.01).cast("decimal(4,2)")).cast("decimal(18,4)").alias("distance"),
             iso(stamp + F.expr("interval 30 hours")).alias("update_time"),
             F.lit("0").alias("is_deleted"),
         )
