@@ -19,7 +19,7 @@ from layerhouse.plans import (
     tms_dim, tms_dwd, tms_dws,
 )
 from layerhouse.plans.tms_ads import SPANS
-from layerhouse.session import shared_dir
+from layerhouse.session import durable, shared_dir
 from layerhouse.sources.warehouse import EVENT_DAY, LAST_DAY, ORDER_DAY, Warehouse
 from layerhouse.streaming import cdc
 
@@ -580,8 +580,8 @@ def _current_profiles(w: Layers) -> DataFrame:
 
 
 def _sealed(w: Layers) -> DataFrame:
-    key = security.column_key(w.spark)
-    return security.encrypt(w.telemetry, "payload", key)
+    """The encrypted table, stored: each row is sealed once, under one random IV."""
+    return durable(security.encrypt(w.telemetry, "payload", security.column_key(w.spark)))
 
 
 def _opened(w: Layers) -> DataFrame:

@@ -7,6 +7,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from layerhouse.functions.parsing import fields_of, parse_json
+
 KEY_SETTING = "spark.layerhouse.columnKey"
 
 # The alarm flags of a position report.
@@ -59,24 +61,23 @@ def decrypt(df: DataFrame, column: str, key: bytes, into: str | None = None) ->
 
 def split_rejects(df: DataFrame, column: str, key: bytes) -> tuple[DataFrame, DataFrame]:
     """Rows that authenticate, decrypted, and the others as they came."""
-    opened = decrypt(df, column, key, into="__text")
+    opened = F.try_aes_decrypt(F.unhex(column), _key(key), F.lit("GCM")).cast("string")
+    rows = fields_of(df, F.struct(opened.alias("__text")), *df.columns)
     bad = F.col(column).isNotNull() & F.col("__text").isNull()
-    good = opened.where(~bad).withColumn(column, F.col("__text")).drop("__text")
-    return good, opened.where(bad).drop("__text")
+    good = rows.where(~bad).withColumn(column, F.col("__text")).drop("__text")
+    return good, rows.where(bad).drop("__text")
 
 
 def telemetry(df: DataFrame, column: str = "payload") -> DataFrame:
     """Flatten position reports: vehicle, time, place and the alarms that are raised."""
-    report = df.withColumn("r", F.from_json(column, REPORT)).withColumn(
-        "m", F.col("r.UPEXGMSGREALLOCATION")
-    )
+    others = [c for c in df.columns if c != column]
+    report = parse_json(df, column, REPORT, *others).withColumnRenamed("UPEXGMSGREALLOCATION", "m")
     raised = F.filter(
         F.array(*[F.when(F.col(f"m.alarm.{a}") == 1, F.lit(a)) for a in ALARMS]),
         lambda name: name.isNotNull(),
     )
     return report.select(
-        *[c for c in df.columns if c != column],
-        F.col("r.VEHICLENO").alias("vehicle_no"),
+        *others, F.col("VEHICLENO").alias("vehicle_no"),
         F.try_to_timestamp("m.dateTime", F.lit("yyyyMMddHHmmss")).alias("report_time"),
         "m.lon", "m.lat", "m.altitude", "m.direction", F.col("m.state.acc").alias("acc"),
         F.col("m.state.door").alias("door"), raised.alias("alarms"),

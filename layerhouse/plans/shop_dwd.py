@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
+from layerhouse.functions.parsing import parse_json
 from layerhouse.functions.times import OPEN_END, from_epoch_ms
 from layerhouse.operators.joins import lookup
 from layerhouse.operators.ordering import first_per
@@ -118,9 +119,7 @@ def trade_flow(orders: DataFrame, payment: DataFrame, status_log: DataFrame) ->
 
 
 def parsed_log(log: DataFrame) -> DataFrame:
-    """Each log text is parsed once; columns a plan does not use are pruned from the parse."""
-    entry = F.from_json("log", LOG)
-    return log.select(entry.alias("e")).select("e.common", "e.page", "e.ts")
+    return parse_json(log, "log", LOG)
 
 
 def _visitor(*names: str) -> list:
