@@ -7,6 +7,7 @@ results compare across engines.
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Callable
 from dataclasses import dataclass
 from functools import cached_property
@@ -20,7 +21,7 @@ from layerhouse.plans import (
 )
 from layerhouse.plans.tms_ads import SPANS
 from layerhouse.session import durable, shared_dir
-from layerhouse.sources.warehouse import EVENT_DAY, LAST_DAY, ORDER_DAY, Warehouse
+from layerhouse.sources.warehouse import Warehouse
 from layerhouse.streaming import cdc
 
 
@@ -113,7 +114,7 @@ class Layers(Warehouse):
         """Daily load at the run day: rows placed before it are open, the rest are new."""
         placed = self.tms_order
         return tms_dwd.milestone_from_open(
-            placed.where(F.col("dt") < F.lit(ORDER_DAY)), placed.where(F.col("dt") >= F.lit(ORDER_DAY)),
+            placed.where(F.col("dt") < F.lit(self.order_day)), placed.where(F.col("dt") >= F.lit(self.order_day)),
             self.tms_order_info, self.tms_dic, step,
         )
 
@@ -134,7 +135,7 @@ class Layers(Warehouse):
         return tms_dws.org_cargo_order_1d(self.tms_order, self.base_organ, self.region_info)
 
     def cargo_nd(self, spans=tms_dws.ROLLING) -> DataFrame:
-        return tms_dws.org_cargo_order_nd(self.cargo_1d, ORDER_DAY, spans)
+        return tms_dws.org_cargo_order_nd(self.cargo_1d, self.order_day, spans)
 
     @cached_property
     def receive_1d(self) -> DataFrame:
@@ -143,22 +144,22 @@ class Layers(Warehouse):
         )
 
     def receive_nd(self, spans=tms_dws.ROLLING) -> DataFrame:
-        return tms_dws.org_receive_nd(self.receive_1d, ORDER_DAY, spans)
+        return tms_dws.org_receive_nd(self.receive_1d, self.order_day, spans)
 
     @cached_property
     def dispatch_1d(self) -> DataFrame:
         return tms_dws.dispatch_1d(self.tms_milestone(tms_dwd.DISPATCHED))
 
     def dispatch_nd(self, spans=tms_dws.ROLLING) -> DataFrame:
-        return tms_dws.dispatch_nd(self.dispatch_1d, ORDER_DAY, spans)
+        return tms_dws.dispatch_nd(self.dispatch_1d, self.order_day, spans)
 
     @cached_property
     def dispatch_td(self) -> DataFrame:
-        return tms_dws.dispatch_td(self.dispatch_1d, LAST_DAY)
+        return tms_dws.dispatch_td(self.dispatch_1d, self.last_day)
 
     @cached_property
     def finish_td(self) -> DataFrame:
-        return tms_dws.bound_finish_td(self.tms_milestone(tms_dwd.BOUND_FINISHED), LAST_DAY)
+        return tms_dws.bound_finish_td(self.tms_milestone(tms_dwd.BOUND_FINISHED), self.last_day)
 
     @cached_property
     def deliver_1d(self) -> DataFrame:
@@ -167,7 +168,7 @@ class Layers(Warehouse):
         )
 
     def deliver_nd(self, spans=tms_dws.ROLLING) -> DataFrame:
-        return tms_dws.org_deliver_nd(self.deliver_1d, ORDER_DAY, spans)
+        return tms_dws.org_deliver_nd(self.deliver_1d, self.order_day, spans)
 
     @cached_property
     def sort_1d(self) -> DataFrame:
@@ -175,7 +176,7 @@ class Layers(Warehouse):
         return tms_dws.org_sort_1d(scans, self.base_organ, self.region_info)
 
     def sort_nd(self, spans=tms_dws.ROLLING) -> DataFrame:
-        return tms_dws.org_sort_nd(self.sort_1d, ORDER_DAY, spans)
+        return tms_dws.org_sort_nd(self.sort_1d, self.order_day, spans)
 
     @cached_property
     def trips_1d(self) -> DataFrame:
@@ -184,7 +185,7 @@ class Layers(Warehouse):
     def shift_nd(self, spans=tms_dws.ROLLING) -> DataFrame:
         return tms_dws.shift_trips_nd(
             self.trips, self.base_organ, self.region_info, self.line_info_shifts, self.trucks,
-            ORDER_DAY, spans,
+            self.order_day, spans,
         )
 
     # product marts
@@ -246,6 +247,10 @@ class Query:
     def columns(self) -> list[tuple[str, str]]:
         return [tuple(part.split(":")) for part in self.contract.split()]
 
+    def frame(self, layers: Layers) -> DataFrame:
+        """The result with its own types: dates, decimals, arrays."""
+        return self.build(layers).select(*[name for name, _ in self.columns])
+
     def run(self, spark: SparkSession, folder: str) -> DataFrame:
         df = self.build(Layers(spark, folder))
         return df.select(*[_plain(df, name, kind) for name, kind in self.columns])
@@ -309,7 +314,7 @@ _add("e7_dim_sku", f"id:l price:d sku_name:s sku_desc:s weight:d is_sale:b spu_i
          w.sku_info, w.spu_info, w.base_category3, w.base_category2, w.base_category1,
          w.base_trademark, w.sku_attr_value, w.sku_sale_attr_value))
 _add("e8_dim_user_zip", "id:l name:s phone_num:s email:s user_level:s birthday:s gender:s create_time:s start_date:s end_date:s",
-     lambda w: shop_dim.user_zip(w.user_info, EVENT_DAY))
+     lambda w: shop_dim.user_zip(w.user_info, w.event_day))
 _add("e9_dwd_favor_add", "id:l user_id:l sku_id:l dt:s create_time:s",
      lambda w: shop_dwd.favor_add(w.favor_info))
 _add("e10_dwd_coupon_used", "id:s coupon_id:i user_id:l order_id:l dt:s",
@@ -335,7 +340,7 @@ _add("e18_dwd_user_register", "user_id:l dt:s create_time:s channel:s province_i
      lambda w: shop_dwd.user_register(w.user_info, w.z_log))
 _add("e19_dws_province_order_1d", f"{_PROVINCE} dt:s {_amounts('1d')}", lambda w: w.province_1d)
 _add("e20_dws_province_order_nd", f"{_PROVINCE} {_amounts('7d')} {_amounts('30d')}",
-     lambda w: shop_dws.province_order_nd(w.province_1d, ORDER_DAY))
+     lambda w: shop_dws.province_order_nd(w.province_1d, w.order_day))
 _add("e21_dws_sku_favor_1d", f"sku_id:l sku_name:s {_CATEGORY} {_BRAND} favor_add_count_1d:l dt:s",
      lambda w: w.favor_1d)
 _add("e22_dws_user_coupon_used_1d", "user_id:l coupon_id:i coupon_name:s coupon_type_code:s coupon_type_name:s benefit_rule:s used_count_1d:l dt:s",
@@ -343,57 +348,57 @@ _add("e22_dws_user_coupon_used_1d", "user_id:l coupon_id:i coupon_name:s coupon_
 _add("e23_dws_user_cart_1d", "user_id:l cart_add_count_1d:l cart_add_num_1d:l dt:s", lambda w: w.cart_1d)
 _add("e24_dws_user_order_1d", f"user_id:l dt:s {_amounts('1d', 'order_count order_num')}", lambda w: w.order_1d)
 _add("e25_dws_user_order_td", "user_id:l order_date_first:s order_date_last:s order_count_td:l order_num_td:l original_amount_td:d activity_reduce_amount_td:d coupon_reduce_amount_td:d total_amount_td:d",
-     lambda w: shop_dws.user_order_td(w.order_1d, LAST_DAY))
+     lambda w: shop_dws.user_order_td(w.order_1d, w.last_day))
 _add("e26_dws_user_payment_1d", "user_id:l payment_count_1d:l payment_num_1d:l payment_amount_1d:d dt:s",
      lambda w: w.payment_1d)
 _add("e27_dws_user_sku_order_1d", f"user_id:l sku_id:l sku_name:s {_CATEGORY} {_BRAND} dt:s {_amounts('1d', 'order_count order_num')}",
      lambda w: w.user_sku_1d)
 _add("e28_dws_user_sku_order_nd", f"user_id:l sku_id:l sku_name:s {_CATEGORY} {_BRAND} {_amounts('7d', 'order_count order_num')} {_amounts('30d', 'order_count order_num')}",
-     lambda w: shop_dws.user_sku_order_nd(w.user_sku_1d, ORDER_DAY))
+     lambda w: shop_dws.user_sku_order_nd(w.user_sku_1d, w.order_day))
 _add("e29_dws_visitor_page_1d", "mid_id:s brand:s model:s operate_system:s page_id:s dt:s during_time_1d:l view_count_1d:l",
      lambda w: shop_dws.visitor_page_1d(w.page_view))
 _add("e30_dws_session_page_1d", "session_id:s mid_id:s brand:s model:s operate_system:s version_code:s channel:s dt:s during_time_1d:l page_count_1d:l",
      lambda w: shop_dws.session_page_1d(w.page_view))
 _add("e31_dws_user_login_td", "user_id:l login_date_last:s login_date_first:s login_count_td:l",
-     lambda w: w.login_td(EVENT_DAY))
+     lambda w: w.login_td(w.event_day))
 _add("e32_ads_coupon_stats", "dt:s coupon_id:i coupon_name:s used_count:l used_user_count:l",
-     lambda w: shop_ads.coupon_stats(w.coupon_1d, ORDER_DAY))
+     lambda w: shop_ads.coupon_stats(w.coupon_1d, w.order_day))
 _add("e33_ads_new_order_user", "dt:s recent_days:i new_order_user_count:l",
-     lambda w: shop_ads.new_order_user_stats(shop_dws.user_order_td(w.order_1d, ORDER_DAY), ORDER_DAY))
+     lambda w: shop_ads.new_order_user_stats(shop_dws.user_order_td(w.order_1d, w.order_day), w.order_day))
 _add("e34_ads_order_by_province", f"dt:s recent_days:i {_PROVINCE} order_count:l order_total_amount:d",
-     lambda w: shop_ads.order_by_province(w.province_1d, ORDER_DAY))
+     lambda w: shop_ads.order_by_province(w.province_1d, w.order_day))
 for _letter, _method in zip("abcd", ("lead", "islands", "bitmap", "one_gap")):
     _add(f"e35{_letter}_ads_order_streak_{_method}", "dt:s recent_days:i order_continuously_user_count:l",
-         lambda w, m=_method: shop_ads.order_streaks(w.purchase_1d, EVENT_DAY, m))
+         lambda w, m=_method: shop_ads.order_streaks(w.purchase_1d, w.event_day, m))
 _add("e36_ads_order_by_category", f"dt:s recent_days:i {_CATEGORY} order_count:l order_user_count:l",
-     lambda w: shop_ads.order_stats_by_category(w.user_sku_1d, ORDER_DAY))
+     lambda w: shop_ads.order_stats_by_category(w.user_sku_1d, w.order_day))
 _add("e37_ads_order_by_brand", f"dt:s recent_days:i {_BRAND} order_count:l order_user_count:l",
-     lambda w: shop_ads.order_stats_by_brand(w.user_sku_1d, ORDER_DAY))
+     lambda w: shop_ads.order_stats_by_brand(w.user_sku_1d, w.order_day))
 _add("e38_ads_order_to_pay_interval", "dt:s order_to_pay_interval_avg:l",
-     lambda w: shop_ads.order_to_pay_interval(w.trade_flow, LAST_DAY))
+     lambda w: shop_ads.order_to_pay_interval(w.trade_flow, w.last_day))
 _add("e39_ads_page_path", "dt:s source:s target:s path_count:l",
-     lambda w: shop_ads.page_path(w.page_view, EVENT_DAY))
+     lambda w: shop_ads.page_path(w.page_view, w.event_day))
 _add("e40_ads_repeat_purchase_by_brand", f"dt:s recent_days:i {_BRAND} order_repeat_rate:r",
-     lambda w: shop_ads.repeat_purchase_by_brand(w.user_sku_1d, ORDER_DAY))
+     lambda w: shop_ads.repeat_purchase_by_brand(w.user_sku_1d, w.order_day))
 _add("e41_ads_cart_top3_by_category", f"dt:s {_CATEGORY} sku_id:l sku_name:s cart_num:l rk:i",
-     lambda w: shop_ads.cart_top3_by_category(shop_dwd.cart_full(w.cart_info), w.sku, EVENT_DAY))
+     lambda w: shop_ads.cart_top3_by_category(shop_dwd.cart_full(w.cart_info), w.sku, w.event_day))
 _add("e42_ads_favor_top3_by_brand", f"dt:s {_BRAND} sku_id:l sku_name:s favor_add_count_1d:l rk:i",
-     lambda w: shop_ads.favor_top3_by_brand(w.favor_1d, EVENT_DAY))
+     lambda w: shop_ads.favor_top3_by_brand(w.favor_1d, w.event_day))
 _add("e43_ads_traffic_by_channel", "dt:s recent_days:i channel:s uv_count:l avg_duration_sec:l avg_page_count:l sv_count:l bounce_rate:r",
-     lambda w: shop_ads.traffic_by_channel(shop_dws.session_page_1d(w.page_view), EVENT_DAY))
+     lambda w: shop_ads.traffic_by_channel(shop_dws.session_page_1d(w.page_view), w.event_day))
 _add("e44_ads_user_action", "dt:s home_count:l good_detail_count:l cart_count:l order_count:l payment_count:l",
      lambda w: shop_ads.user_action(
          shop_dws.visitor_page_1d(w.page_view), w.cart_1d, w.purchase_1d,
          shop_dws.user_cart_1d(w.events.where(F.col("event_type") == "purchase").select(
              "user_id", F.to_date("ts").alias("dt"), F.lit(1).alias("sku_num"))),
-         EVENT_DAY))
+         w.event_day))
 _add("e45_ads_user_change", "dt:s user_churn_count:l user_back_count:l",
      lambda w: shop_ads.user_change(
-         w.login_td(EVENT_DAY), w.login_td(EVENT_DAY.replace(day=EVENT_DAY.day - 1)), EVENT_DAY))
+         w.login_td(w.event_day), w.login_td(w.event_day - dt.timedelta(days=1)), w.event_day))
 _add("e46_ads_user_retention", "dt:s create_date:s retention_day:i retention_count:l new_user_count:l retention_rate:r",
-     lambda w: shop_ads.user_retention(w.login_td(EVENT_DAY), EVENT_DAY))
+     lambda w: shop_ads.user_retention(w.login_td(w.event_day), w.event_day))
 _add("e47_ads_user_stats", "dt:s recent_days:i new_user_count:l active_user_count:l",
-     lambda w: shop_ads.user_stats(w.login_td(EVENT_DAY), EVENT_DAY))
+     lambda w: shop_ads.user_stats(w.login_td(w.event_day), w.event_day))
 
 # ---------------------------------------------------------------- logistics
 
@@ -467,32 +472,32 @@ _add("l35_dws_org_truck_trips_1d", f"{_ORG} {_TM} {_TRIP} dt:s", lambda w: w.tri
 _add("l36_dws_shift_trips_nd", f"shift_id:l {_CITY} {_ORG} line_id:l line_name:s driver1_emp_id:l driver1_name:s driver2_emp_id:l driver2_name:s truck_id:l {_TM} recent_days:i {_TRIP} trans_finish_order_count:l trans_finish_delay_count:l",
      lambda w: w.shift_nd())
 _add("l37_ads_trans_order_stats", f"{_STAMP} receive_order_count:l receive_order_amount:d dispatch_order_count:l dispatch_order_amount:d",
-     lambda w: tms_ads.trans_order_stats(w.receive_nd(SPANS), w.dispatch_nd(SPANS), ORDER_DAY))
+     lambda w: tms_ads.trans_order_stats(w.receive_nd(SPANS), w.dispatch_nd(SPANS), w.order_day))
 _add("l38_ads_trans_stats", f"{_STAMP} {_TRIP}",
-     lambda w: tms_ads.trans_stats(tms_ads.with_today(w.trips_1d, w.shift_nd(), ORDER_DAY), ORDER_DAY))
+     lambda w: tms_ads.trans_stats(tms_ads.with_today(w.trips_1d, w.shift_nd(), w.order_day), w.order_day))
 _add("l39_ads_trans_order_stats_td", "dt:s bounding_order_count:l bounding_order_amount:d",
-     lambda w: tms_ads.trans_order_stats_td(w.dispatch_td, w.finish_td, LAST_DAY))
-_add("l40_ads_order_stats", f"{_STAMP} {_ORD}", lambda w: tms_ads.order_stats(w.cargo_nd(SPANS), ORDER_DAY))
+     lambda w: tms_ads.trans_order_stats_td(w.dispatch_td, w.finish_td, w.last_day))
+_add("l40_ads_order_stats", f"{_STAMP} {_ORD}", lambda w: tms_ads.order_stats(w.cargo_nd(SPANS), w.order_day))
 _add("l41_ads_order_cargo_stats", f"{_STAMP} {_CT} {_ORD}",
-     lambda w: tms_ads.order_cargo_stats(w.cargo_nd(SPANS), ORDER_DAY))
+     lambda w: tms_ads.order_cargo_stats(w.cargo_nd(SPANS), w.order_day))
 _add("l42_ads_city_stats", f"{_STAMP} {_CITY} {_ORD} {_TRIP} {_MEAN}",
-     lambda w: tms_ads.city_stats(w.cargo_nd(SPANS), w.shift_nd(SPANS), ORDER_DAY))
+     lambda w: tms_ads.city_stats(w.cargo_nd(SPANS), w.shift_nd(SPANS), w.order_day))
 _add("l43_ads_org_stats", f"{_STAMP} {_ORG} {_ORD} {_TRIP} {_MEAN}",
-     lambda w: tms_ads.org_stats(w.cargo_nd(SPANS), w.shift_nd(SPANS), ORDER_DAY))
+     lambda w: tms_ads.org_stats(w.cargo_nd(SPANS), w.shift_nd(SPANS), w.order_day))
 _add("l44_ads_shift_stats", f"{_STAMP} shift_id:l {_TRIP} trans_finish_order_count:l",
-     lambda w: tms_ads.shift_stats(w.shift_nd(), ORDER_DAY))
+     lambda w: tms_ads.shift_stats(w.shift_nd(), w.order_day))
 _add("l45_ads_line_stats", f"{_STAMP} line_id:l line_name:s {_TRIP} trans_finish_order_count:l",
-     lambda w: tms_ads.line_stats(w.shift_nd(), ORDER_DAY))
+     lambda w: tms_ads.line_stats(w.shift_nd(), w.order_day))
 _add("l46_ads_driver_stats", f"{_STAMP} driver_emp_id:l driver_name:s trans_finish_count:l trans_finish_distance:d trans_finish_dur_sec:d {_MEAN}",
-     lambda w: tms_ads.driver_stats(w.shift_nd(), ORDER_DAY))
-_add("l47_ads_truck_stats", f"{_STAMP} {_TM} {_TRIP} {_MEAN}", lambda w: tms_ads.truck_stats(w.shift_nd(), ORDER_DAY))
+     lambda w: tms_ads.driver_stats(w.shift_nd(), w.order_day))
+_add("l47_ads_truck_stats", f"{_STAMP} {_TM} {_TRIP} {_MEAN}", lambda w: tms_ads.truck_stats(w.shift_nd(), w.order_day))
 _add("l48_ads_express_stats", f"{_STAMP} deliver_suc_count:l sort_count:l",
-     lambda w: tms_ads.express_stats(w.deliver_nd(SPANS), w.sort_nd(SPANS), ORDER_DAY))
+     lambda w: tms_ads.express_stats(w.deliver_nd(SPANS), w.sort_nd(SPANS), w.order_day))
 for _n, _place, _cols in ((49, "province", _PROV), (50, "city", _CITY), (51, "org", _ORG)):
     _add(f"l{_n}_ads_express_{_place}_stats",
          f"{_STAMP} {_cols} receive_order_count:l receive_order_amount:d deliver_suc_count:l sort_count:l",
          lambda w, p=_place: tms_ads.express_place_stats(
-             p, w.receive_nd(SPANS), w.deliver_nd(SPANS), w.sort_nd(SPANS), ORDER_DAY))
+             p, w.receive_nd(SPANS), w.deliver_nd(SPANS), w.sort_nd(SPANS), w.order_day))
 
 # ---------------------------------------------------------------- product marts
 
@@ -525,10 +530,10 @@ _add("dt7_dws_activity_effect", "activity_id:s activity_name:s status:s discount
 _add("dt8_dws_agent_performance", "service_id:s dt:s total_send_count:l total_send_amount:l total_verify_count:l total_verify_amount:d conversion_rate:r",
      lambda w: w.agent_1d)
 _add("dt9_ads_tool_overview", "time_type:s start_date:s end_date:s total_send_count:l total_send_amount:l total_pay_count:l total_pay_amount:d pay_customer_num:l avg_pay_per_customer:r",
-     lambda w: discount.tool_overview(w.activity_1d, w.verified, EVENT_DAY))
+     lambda w: discount.tool_overview(w.activity_1d, w.verified, w.event_day))
 _AGENT = "service_id:s time_type:s start_date:s end_date:s send_count:l send_amount:l pay_count:l pay_amount:d conversion_rate:r"
-_add("dt10_ads_agent_detail", _AGENT, lambda w: discount.agent_windows(w.agent_1d, EVENT_DAY))
-_add("dt10_ads_agent_detail_rows", _AGENT, lambda w: discount.agent_windows(w.agent_1d, EVENT_DAY, "rows"))
+_add("dt10_ads_agent_detail", _AGENT, lambda w: discount.agent_windows(w.agent_1d, w.event_day))
+_add("dt10_ads_agent_detail_rows", _AGENT, lambda w: discount.agent_windows(w.agent_1d, w.event_day, "rows"))
 
 _add("mm1_ods_visit_log", "log_id:s user_id:s product_id:s visit_time:s terminal:s stay_time:i is_click:i",
      lambda w: w.visit_log)
@@ -548,12 +553,12 @@ _R1 = "visit_to_collect_rate:r visit_to_add_to_cart_rate:r"
 _R2 = "order_conversion_rate:r payment_conversion_rate:r avg_order_value:r avg_visitor_value:r"
 _add("mm6_dws_product_daily", f"product_id:s category_id:s dt:s {_VISIT} {_ADD} {_TRADE} buyer_count:l", lambda w: w.macro_1d)
 _add("mm7_ads_macro_monitor", f"{_PRODUCT} {_VISIT} {_ADD} {_TRADE} {_R1} {_R2}",
-     lambda w: macro.macro_monitor(w.macro_1d, w.products, EVENT_DAY))
-_add("mm8_ads_visit_stats", f"{_PRODUCT} {_VISIT}", lambda w: macro.visit_stats(w.macro_1d, w.products, EVENT_DAY))
+     lambda w: macro.macro_monitor(w.macro_1d, w.products, w.event_day))
+_add("mm8_ads_visit_stats", f"{_PRODUCT} {_VISIT}", lambda w: macro.visit_stats(w.macro_1d, w.products, w.event_day))
 _add("mm9_ads_interaction_stats", f"{_PRODUCT} {_ADD} {_R1}",
-     lambda w: macro.interaction_stats(w.macro_1d, w.products, EVENT_DAY))
+     lambda w: macro.interaction_stats(w.macro_1d, w.products, w.event_day))
 _add("mm10_ads_transaction_stats", f"{_PRODUCT} {_TRADE} {_R2}",
-     lambda w: macro.transaction_stats(w.macro_1d, w.products, EVENT_DAY))
+     lambda w: macro.transaction_stats(w.macro_1d, w.products, w.event_day))
 
 _add("rk1_ods_price_strength", "goods_id:s price_strength_star:i is_low_star:i record_date:s", lambda w: w.price_strength)
 _add("rk2_dwd_sales_clean", "goods_id:s sku_id:s total_sales:d total_sales_num:i pay_buyer_num:i pay_date:s",

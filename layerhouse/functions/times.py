@@ -35,7 +35,7 @@ def from_epoch_ms(value: Column, zone: str | None = None) -> Column:
 def from_iso(value: Column) -> Column:
     """Timestamp from ISO text, ignoring the zone tail: date and wall-clock time as written."""
     wall = F.concat(F.substring(value, 1, 10), F.lit(" "), F.substring(value, 12, 8))
-    return F.try_to_timestamp(wall, F.lit("yyyy-MM-dd HH:mm:ss"))
+    return wall.try_cast("timestamp")
 
 
 def as_text(value: Column) -> Column:

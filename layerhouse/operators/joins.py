@@ -31,6 +31,22 @@ def lookup(
     return joined.drop(*keys.values())
 
 
+def with_all(one: DataFrame, many: DataFrame, on: Mapping[str, str]) -> DataFrame:
+    """Left join of unique rows to any number of others, when one key may own most of the others.
+
+    Skew on the right of a left join cannot be split at run time; on either side of an inner join
+    it can.  So matches are joined inner, and rows without a match are added by an anti join
+    against the distinct keys.  ``on`` maps column of ``one`` -> column of ``many``.
+    """
+    renamed = {source: f"__{i}" for i, source in enumerate(on.values())}
+    others = many.withColumnsRenamed(renamed)
+    keys = [F.col(key) == F.col(renamed[source]) for key, source in on.items()]
+    matched = one.join(others, keys, "inner").drop(*renamed.values())
+    known = others.select(*renamed.values()).distinct()
+    lonely = one.join(known, keys, "left_anti")
+    return matched.unionByName(lonely, allowMissingColumns=True)
+
+
 def walk_up(
     df: DataFrame,
     regions: DataFrame,

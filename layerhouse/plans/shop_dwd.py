@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from layerhouse.functions.parsing import parse_json
 from layerhouse.functions.times import OPEN_END, from_epoch_ms
-from layerhouse.operators.joins import lookup
+from layerhouse.operators.joins import lookup, with_all
 from layerhouse.operators.ordering import first_per
 
 LOCAL_ZONE = "GMT+8"
@@ -171,4 +171,4 @@ def user_register(users: DataFrame, log: DataFrame) -> DataFrame:
     people = users.select(
         F.col("id").alias("user_id"), F.to_date("create_time").alias("dt"), "create_time"
     )
-    return people.join(pages, people.user_id == pages.log_user, "left").drop("log_user")
+    return with_all(people, pages, {"user_id": "log_user"})

@@ -1,7 +1,7 @@
 """The raw (ODS) tables the plans read, as views over the star-schema test tables.
 
-A deployment replaces this class by one whose attributes return ``read_partition(...)`` frames
-with the same columns; the plans do not change.
+A deployment binds these attributes to its own tables (``layerhouse.jobs.Stored``); the plans do
+not change.
 """
 
 from __future__ import annotations
@@ -42,10 +42,27 @@ def iso(stamp: Column) -> Column:
     return F.date_format(stamp, "yyyy-MM-dd'T'HH:mm:ss'Z'")
 
 
+def all_cores(scan: DataFrame) -> DataFrame:
+    """Hand the rows of a scan with fewer splits than cores to all of them.
+
+    For work that costs far more per row than moving the row (JSON, encryption): a small file is
+    one split and would keep it on one core.  A scan at scale has more splits than cores and is
+    returned as it is, without a shuffle.
+    """
+    cores = scan.sparkSession.sparkContext.defaultParallelism
+    return scan if scan.rdd.getNumPartitions() >= cores else scan.repartition(cores)
+
+
 class Warehouse:
-    def __init__(self, spark: SparkSession, folder: str):
+    """Raw tables, plus the run dates of reports over orders, events and everything to date."""
+
+    def __init__(
+        self, spark: SparkSession, folder: str, order_day: dt.date = ORDER_DAY,
+        event_day: dt.date = EVENT_DAY, last_day: dt.date = LAST_DAY,
+    ):
         self.spark = configure(spark)
         self.folder = folder
+        self.order_day, self.event_day, self.last_day = order_day, event_day, last_day
 
     def raw(self, name: str) -> DataFrame:
         return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
@@ -313,7 +330,15 @@ class Warehouse:
     # ------------------------------------------------------------ events
     @cached_property
     def events(self) -> DataFrame:
-        return self.raw("events").select(
+        return self._typed(self.raw("events"))
+
+    @cached_property
+    def spread_events(self) -> DataFrame:
+        return self._typed(all_cores(self.raw("events")))
+
+    @staticmethod
+    def _typed(events: DataFrame) -> DataFrame:
+        return events.select(
             "event_id", F.col("ts").cast("timestamp").alias("ts"), "user_id", "event_type",
             money("value").alias("value"),
             F.get_json_object("props", "$.k").cast("bigint").alias("k"),
@@ -360,7 +385,7 @@ class Warehouse:
             (F.col("value") * 100).cast("bigint").alias("during_time"),
         ))
         line = F.struct(common.alias("common"), page.alias("page"), F.unix_millis("ts").alias("ts"))
-        return self.events.select(F.to_json(line).alias("log"))
+        return self.spread_events.select(F.to_json(line).alias("log"))
 
     @cached_property
     def user_info(self) -> DataFrame:
@@ -772,7 +797,7 @@ class Warehouse:
             F.when(deleted, "d").when(F.col("event_type") == "signup", "c").otherwise("u").alias("op"),
             F.unix_millis("ts").alias("ts_ms"), F.col("event_id").alias("seq"),
         )
-        return self.events.select(F.to_json(envelope).alias("value"))
+        return self.spread_events.select(F.to_json(envelope).alias("value"))
 
     @cached_property
     def telemetry(self) -> DataFrame:
@@ -795,4 +820,4 @@ class Warehouse:
             message.alias("UPEXGMSGREALLOCATION"), F.lit(4610).alias("DATATYPE"),
             numbered_text("V", F.col("user_id")).alias("VEHICLENO"), F.lit(2).alias("VEHICLECOLOR"),
         )
-        return self.events.select("event_id", F.to_json(report).alias("payload"))
+        return self.spread_events.select("event_id", F.to_json(report).alias("payload"))
