@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Iterable, Mapping, Sequence
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, Observation, SparkSession, functions as F, types as T
 
@@ -140,13 +141,24 @@ def append(df: DataFrame, table: str) -> int:
 
 def overwrite_partitions(df: DataFrame, table: str) -> int:
     """Replace the partitions ``df`` has rows for, leaving the others; returns the rows written."""
-    target = df.sparkSession.table(table).schema
-    return _counted(
-        align_to(df, target),
-        lambda out: out.write.option("partitionOverwriteMode", "dynamic").insertInto(
-            table, overwrite=True
-        ),
-    )
+    spark = df.sparkSession
+    with _dynamic_overwrite(spark):
+        return _counted(
+            align_to(df, spark.table(table).schema),
+            lambda out: out.write.insertInto(table, overwrite=True),
+        )
+
+
+@contextmanager
+def _dynamic_overwrite(spark: SparkSession):
+    """``insertInto`` takes the overwrite mode from the session only, not from a write option."""
+    name = "spark.sql.sources.partitionOverwriteMode"
+    before = spark.conf.get(name)
+    spark.conf.set(name, "dynamic")
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
 
 
 def overwrite_path(
