@@ -1,7 +1,6 @@
 """Every registered query: its name, its column contract, and how it is built from raw tables.
 
-A contract lists ``column:type`` pairs (i int, l bigint, d double, r double rounded to 4 digits,
-s text, b boolean).  Dates and times leave as text, decimals as doubles, arrays as joined text, so
+A contract lists ``column:type`` pairs (i int, l bigint, d double, s text, b boolean).  Dates and times leave as text, decimals as doubles, arrays as joined text, so
 results compare across engines.
 """
 
@@ -232,10 +231,7 @@ class Layers(Warehouse):
 
 # ---------------------------------------------------------------- contracts
 
-TYPES = {
-    "i": ("int", "INTEGER"), "l": ("bigint", "BIGINT"), "d": ("double", "DOUBLE"),
-    "r": ("double", "DOUBLE"), "s": ("string", "VARCHAR"), "b": ("boolean", "BOOLEAN"),
-}
+TYPES = {"i": "int", "l": "bigint", "d": "double", "s": "string", "b": "boolean"}
 
 
 @dataclass(frozen=True)
@@ -267,10 +263,7 @@ def _plain(df: DataFrame, name: str, kind: str) -> Column:
         if isinstance(inner, T.StructType):
             value = F.transform(value, lambda s: F.concat_ws(":", *[s[f] for f in inner.names]))
         value = F.array_join(value, ",")
-    value = value.cast(TYPES[kind][0])
-    if kind == "r":
-        value = F.round(value, 4)
-    return value.alias(name)
+    return value.cast(TYPES[kind]).alias(name)
 
 
 QUERIES: dict[str, Query] = {}
@@ -378,13 +371,13 @@ _add("e38_ads_order_to_pay_interval", "dt:s order_to_pay_interval_avg:l",
      lambda w: shop_ads.order_to_pay_interval(w.trade_flow, w.last_day))
 _add("e39_ads_page_path", "dt:s source:s target:s path_count:l",
      lambda w: shop_ads.page_path(w.page_view, w.event_day))
-_add("e40_ads_repeat_purchase_by_brand", f"dt:s recent_days:i {_BRAND} order_repeat_rate:r",
+_add("e40_ads_repeat_purchase_by_brand", f"dt:s recent_days:i {_BRAND} order_repeat_rate:d",
      lambda w: shop_ads.repeat_purchase_by_brand(w.user_sku_1d, w.order_day))
 _add("e41_ads_cart_top3_by_category", f"dt:s {_CATEGORY} sku_id:l sku_name:s cart_num:l rk:i",
      lambda w: shop_ads.cart_top3_by_category(shop_dwd.cart_full(w.cart_info), w.sku, w.event_day))
 _add("e42_ads_favor_top3_by_brand", f"dt:s {_BRAND} sku_id:l sku_name:s favor_add_count_1d:l rk:i",
      lambda w: shop_ads.favor_top3_by_brand(w.favor_1d, w.event_day))
-_add("e43_ads_traffic_by_channel", "dt:s recent_days:i channel:s uv_count:l avg_duration_sec:l avg_page_count:l sv_count:l bounce_rate:r",
+_add("e43_ads_traffic_by_channel", "dt:s recent_days:i channel:s uv_count:l avg_duration_sec:l avg_page_count:l sv_count:l bounce_rate:d",
      lambda w: shop_ads.traffic_by_channel(shop_dws.session_page_1d(w.page_view), w.event_day))
 _add("e44_ads_user_action", "dt:s home_count:l good_detail_count:l cart_count:l order_count:l payment_count:l",
      lambda w: shop_ads.user_action(
@@ -395,7 +388,7 @@ _add("e44_ads_user_action", "dt:s home_count:l good_detail_count:l cart_count:l
 _add("e45_ads_user_change", "dt:s user_churn_count:l user_back_count:l",
      lambda w: shop_ads.user_change(
          w.login_td(w.event_day), w.login_td(w.event_day - dt.timedelta(days=1)), w.event_day))
-_add("e46_ads_user_retention", "dt:s create_date:s retention_day:i retention_count:l new_user_count:l retention_rate:r",
+_add("e46_ads_user_retention", "dt:s create_date:s retention_day:i retention_count:l new_user_count:l retention_rate:d",
      lambda w: shop_ads.user_retention(w.login_td(w.event_day), w.event_day))
 _add("e47_ads_user_stats", "dt:s recent_days:i new_user_count:l active_user_count:l",
      lambda w: shop_ads.user_stats(w.login_td(w.event_day), w.event_day))
@@ -452,7 +445,7 @@ _ORG, _CITY, _PROV = "org_id:l org_name:s", "city_id:l city_name:s", "province_i
 _CT = "cargo_type:s cargo_type_name:s"
 _ORD = "order_count:l order_amount:d"
 _TRIP = "trans_finish_count:l trans_finish_distance:d trans_finish_dur_sec:l"
-_MEAN = "avg_trans_finish_distance:r avg_trans_finish_dur_sec:r"
+_MEAN = "avg_trans_finish_distance:d avg_trans_finish_dur_sec:d"
 _TM = "truck_model_type:s truck_model_type_name:s"
 _STAMP = "dt:s recent_days:i"
 
@@ -504,13 +497,13 @@ for _n, _place, _cols in ((49, "province", _PROV), (50, "city", _CITY), (51, "or
 _BEHAVIOUR = "product_id:s product_name:s traffic_cnt:l click_cnt:l"
 _add("pd1_ods_product_behaviour", f"{_BEHAVIOUR} conversion_rate:d content_interact_cnt:l new_user_cnt:l service_rating:d sales_amount:d sales_cnt:l visitor_cnt:l stat_date:s",
      lambda w: w.product_behaviour)
-_add("pd2_dwd_product_behaviour", f"{_BEHAVIOUR} category:s click_rate:r conversion_rate:d content_interact_cnt:l new_user_cnt:l visitor_cnt:l service_rating:d sales_amount:d sales_cnt:l avg_price:r stat_date:s",
+_add("pd2_dwd_product_behaviour", f"{_BEHAVIOUR} category:s click_rate:d conversion_rate:d content_interact_cnt:l new_user_cnt:l visitor_cnt:l service_rating:d sales_amount:d sales_cnt:l avg_price:d stat_date:s",
      lambda w: diagnosis.cleaned(w.product_behaviour))
-_add("pd3_dwd_product_narrow", f"{_BEHAVIOUR} category:s click_rate:r stat_date:s",
+_add("pd3_dwd_product_narrow", f"{_BEHAVIOUR} category:s click_rate:d stat_date:s",
      lambda w: diagnosis.cleaned_narrow(w.product_behaviour))
-_add("pd4_dws_product_daily", f"{_BEHAVIOUR} click_rate:r conversion_rate:d content_interact_cnt:l content_interact_rate:r new_user_cnt:l visitor_cnt:l new_user_rate:r service_rating:d sales_amount:d sales_cnt:l avg_price:r stat_date:s",
+_add("pd4_dws_product_daily", f"{_BEHAVIOUR} click_rate:d conversion_rate:d content_interact_cnt:l content_interact_rate:d new_user_cnt:l visitor_cnt:l new_user_rate:d service_rating:d sales_amount:d sales_cnt:l avg_price:d stat_date:s",
      lambda w: w.rates)
-_SCORE = "product_id:s product_name:s total_score:r score_level:s traffic_rank:i conversion_rank:i content_rank:i new_user_rank:i service_rank:i competitiveness_index:r stat_date:s"
+_SCORE = "product_id:s product_name:s total_score:d score_level:s traffic_rank:i conversion_rank:i content_rank:i new_user_rank:i service_rank:i competitiveness_index:d stat_date:s"
 _add("pd5_ads_product_diagnosis", _SCORE, lambda w: diagnosis.scored(w.rates, diagnosis.DIAGNOSIS))
 _add("pd6_ads_product_value", _SCORE, lambda w: diagnosis.scored(w.rates, diagnosis.VALUE))
 
@@ -527,11 +520,11 @@ _add("dt6_dwd_discount_verify", "verify_id:s send_id:s order_id:s pay_amount:d v
      lambda w: w.verified)
 _add("dt7_dws_activity_effect", "activity_id:s activity_name:s status:s discount_type:s dt:s daily_send_count:l daily_send_amount:l daily_verify_count:l daily_verify_amount:d daily_buy_count:l daily_pay_customer_count:l",
      lambda w: w.activity_1d)
-_add("dt8_dws_agent_performance", "service_id:s dt:s total_send_count:l total_send_amount:l total_verify_count:l total_verify_amount:d conversion_rate:r",
+_add("dt8_dws_agent_performance", "service_id:s dt:s total_send_count:l total_send_amount:l total_verify_count:l total_verify_amount:d conversion_rate:d",
      lambda w: w.agent_1d)
-_add("dt9_ads_tool_overview", "time_type:s start_date:s end_date:s total_send_count:l total_send_amount:l total_pay_count:l total_pay_amount:d pay_customer_num:l avg_pay_per_customer:r",
+_add("dt9_ads_tool_overview", "time_type:s start_date:s end_date:s total_send_count:l total_send_amount:l total_pay_count:l total_pay_amount:d pay_customer_num:l avg_pay_per_customer:d",
      lambda w: discount.tool_overview(w.activity_1d, w.verified, w.event_day))
-_AGENT = "service_id:s time_type:s start_date:s end_date:s send_count:l send_amount:l pay_count:l pay_amount:d conversion_rate:r"
+_AGENT = "service_id:s time_type:s start_date:s end_date:s send_count:l send_amount:l pay_count:l pay_amount:d conversion_rate:d"
 _add("dt10_ads_agent_detail", _AGENT, lambda w: discount.agent_windows(w.agent_1d, w.event_day))
 _add("dt10_ads_agent_detail_rows", _AGENT, lambda w: discount.agent_windows(w.agent_1d, w.event_day, "rows"))
 
@@ -545,12 +538,12 @@ _add("mm4_dwd_favourite_cart", "record_id:s user_id:s product_id:s category_id:s
      lambda w: macro.add_detail(w.product_add, w.products))
 _add("mm5_dwd_trade", "order_id:s user_id:s product_id:s category_id:s product_price:d buy_count:i buy_amount:d pay_status:s pay_time:s pay_amount:d terminal:s dt:s",
      lambda w: macro.trade_detail(macro.cleaned_orders(w.product_order), w.products))
-_VISIT = "visitor_count:l view_count:l avg_stay_time:r bounce_rate:r"
+_VISIT = "visitor_count:l view_count:l avg_stay_time:d bounce_rate:d"
 _ADD = "favorite_user_count:l add_to_cart_quantity:l add_to_cart_user_count:l"
 _TRADE = "order_user_count:l order_quantity:l order_amount:d pay_user_count:l pay_quantity:l pay_amount:d"
 _PRODUCT = "statistical_time:s product_id:s product_name:s category_id:s category_name:s"
-_R1 = "visit_to_collect_rate:r visit_to_add_to_cart_rate:r"
-_R2 = "order_conversion_rate:r payment_conversion_rate:r avg_order_value:r avg_visitor_value:r"
+_R1 = "visit_to_collect_rate:d visit_to_add_to_cart_rate:d"
+_R2 = "order_conversion_rate:d payment_conversion_rate:d avg_order_value:d avg_visitor_value:d"
 _add("mm6_dws_product_daily", f"product_id:s category_id:s dt:s {_VISIT} {_ADD} {_TRADE} buyer_count:l", lambda w: w.macro_1d)
 _add("mm7_ads_macro_monitor", f"{_PRODUCT} {_VISIT} {_ADD} {_TRADE} {_R1} {_R2}",
      lambda w: macro.macro_monitor(w.macro_1d, w.products, w.event_day))
@@ -563,7 +556,7 @@ _add("mm10_ads_transaction_stats", f"{_PRODUCT} {_TRADE} {_R2}",
 _add("rk1_ods_price_strength", "goods_id:s price_strength_star:i is_low_star:i record_date:s", lambda w: w.price_strength)
 _add("rk2_dwd_sales_clean", "goods_id:s sku_id:s total_sales:d total_sales_num:i pay_buyer_num:i pay_date:s",
      lambda w: goods.sales_clean(w.goods_sales))
-_add("rk3_dwd_traffic_clean", "goods_id:s traffic_source:s visitor_num:i pay_conver_rate:r visit_date:s",
+_add("rk3_dwd_traffic_clean", "goods_id:s traffic_source:s visitor_num:i pay_conver_rate:d visit_date:s",
      lambda w: goods.traffic_clean(w.goods_traffic, w.goods_sales))
 _add("rk4_dws_sales_sum", "goods_id:s category_name:s total_sales:d total_sales_num:l stat_date:s", lambda w: w.goods_1d)
 _add("rk5_dws_price_strength_sum", "category_name:s excellent_num:l poor_num:l stat_date:s",

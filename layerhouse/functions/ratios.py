@@ -6,10 +6,16 @@ from pyspark.sql import Column, functions as F
 
 
 def safe_ratio(top: Column, bottom: Column, digits: int | None = None) -> Column:
-    """``top / bottom`` as double, 0 where the denominator is 0; null stays null."""
-    quotient = F.try_divide(top.cast("double"), bottom.cast("double"))
-    if digits is not None:
-        quotient = F.round(quotient, digits)
+    """``top / bottom`` as double, 0 where the denominator is 0; null stays null.
+
+    With ``digits`` the quotient is taken in decimals and rounded half up: 8716.47 / 14 is 622.605,
+    which a double quotient puts just below the tie.
+    """
+    if digits is None:
+        quotient = F.try_divide(top.cast("double"), bottom.cast("double"))
+    else:
+        exact = F.try_divide(top.cast("decimal(22,4)"), bottom.cast("decimal(22,4)"))
+        quotient = F.round(exact, digits).cast("double")
     return F.when(bottom == 0, F.lit(0.0)).otherwise(quotient)
 
 

@@ -7,6 +7,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Window, functions as F
 
+from layerhouse.functions.ratios import safe_ratio
 from layerhouse.functions.times import within
 
 
@@ -86,7 +87,7 @@ def retention(
         .withColumn("retention_day", F.datediff(F.lit(as_of), F.col("create_date")))
         .withColumn(
             "retention_rate",
-            F.round(F.col("retention_count") * 100 / F.col("new_user_count"), 2).cast("decimal(16,2)"),
+            safe_ratio(F.col("retention_count") * 100, F.col("new_user_count"), 2).cast("decimal(16,2)"),
         )
     )
 

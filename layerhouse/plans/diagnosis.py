@@ -4,6 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 from dataclasses import dataclass
+from decimal import Decimal
+from functools import reduce
+from operator import add
 
 from pyspark.sql import DataFrame, functions as F
 
@@ -20,8 +23,8 @@ class Scoring:
     """Weight of each rate, and the factors bringing conversion and service to percent."""
 
     weights: Mapping[str, float]
-    service_scale: float
-    conversion_scale: float = 100
+    service_scale: int
+    conversion_scale: int = 100
 
 
 # The weights of the two published scores.
@@ -69,15 +72,18 @@ def daily_rates(raw: DataFrame) -> DataFrame:
 def scored(daily: DataFrame, scoring: Scoring) -> DataFrame:
     """Score, grade, five ranks within the day, and the competitiveness index."""
     scale = {"conversion_rate": scoring.conversion_scale, "service_rating": scoring.service_scale}
-    total = F.lit(0.0)
-    for name, weight in scoring.weights.items():
-        total = total + F.col(name) * weight * scale.get(name, 1.0)
+    # decimals, so that a score on the edge of a grade does not depend on the order of additions
+    parts = [
+        F.col(name).cast("decimal(14,4)") * F.lit(Decimal(str(weight * scale.get(name, 1))).quantize(Decimal("0.01")))
+        for name, weight in scoring.weights.items()
+    ]
+    total = reduce(add, parts)
     grade = F.lit(LOWEST)
     for low in sorted(GRADES):
         grade = F.when(F.col("total_score") >= low, GRADES[low]).otherwise(grade)
     rows = daily.withColumn("total_score", F.round(total, 2)).withColumns({
         "score_level": grade,
-        "competitiveness_index": F.round(F.col("total_score") * 0.8 + 20, 2),
+        "competitiveness_index": F.round(F.col("total_score") * F.lit(Decimal("0.8")) + 20, 2),
     })
     ranked = number_by_each(rows, ["stat_date"], ["product_id"], {
         "traffic_rank": "click_rate", "conversion_rank": "conversion_rate",

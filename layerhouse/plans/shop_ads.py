@@ -122,7 +122,7 @@ def repeat_purchase_by_brand(sku_daily: DataFrame, as_of: dt.date, days: int = 3
     n = F.col(f"n_{days}d")
     again, once = F.count(F.when(n >= 2, 1)), F.count(F.when(n >= 1, 1))
     return per_user.groupBy(*BRAND).agg(
-        safe_ratio(again, once).cast("decimal(16,2)").alias("order_repeat_rate")
+        safe_ratio(again, once, 2).cast("decimal(16,2)").alias("order_repeat_rate")
     ).select(F.lit(as_of).alias("dt"), F.lit(days).alias("recent_days"), *BRAND, "order_repeat_rate")
 
 
@@ -157,7 +157,7 @@ def traffic_by_channel(sessions: DataFrame, as_of: dt.date) -> DataFrame:
         (mean_of(F.col("time"), F.col("sv")) / 1000).cast("bigint").alias("avg_duration_sec"),
         mean_of(F.col("pages"), F.col("sv")).cast("bigint").alias("avg_page_count"),
         F.col("sv").alias("sv_count"),
-        safe_ratio(F.col("bounced"), F.col("sv")).cast("decimal(16,2)").alias("bounce_rate"),
+        safe_ratio(F.col("bounced"), F.col("sv"), 2).cast("decimal(16,2)").alias("bounce_rate"),
     )
 
 

@@ -13,7 +13,7 @@ from oracle.raw import RAW
 
 _CASTS = {
     "i": "CAST({c} AS INTEGER)", "l": "CAST({c} AS BIGINT)", "d": "CAST({c} AS DOUBLE)",
-    "r": "ROUND(CAST({c} AS DOUBLE), 4)", "s": "CAST({c} AS VARCHAR)", "b": "CAST({c} AS BOOLEAN)",
+    "s": "CAST({c} AS VARCHAR)", "b": "CAST({c} AS BOOLEAN)",
 }
 
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from oracle.raw import CUT, MEAN_PRICE, stamp
+from oracle.raw import CUT, MEAN_PRICE, half_up, stamp
 
 DAY = "DATE '1996-06-30'"
 EVENT_DAY = "DATE '2024-01-30'"
@@ -166,7 +166,7 @@ SELECT {EVENT_DAY} AS dt, 'step-' || rn || ':' || page_id AS source, coalesce('s
 FROM (SELECT page_id, lead(page_id) OVER w AS nxt, row_number() OVER w AS rn FROM pages_seen WHERE dt = {EVENT_DAY}
  WINDOW w AS (PARTITION BY session_id ORDER BY epoch_ms(ts), event_id)) GROUP BY ALL""")
 add("e40_ads_repeat_purchase_by_brand", f"""
-SELECT {DAY} AS dt, 30 AS recent_days, tm_id, tm_name, round(count(*) FILTER (n >= 2)::DOUBLE / count(*), 2) AS order_repeat_rate FROM
+SELECT {DAY} AS dt, 30 AS recent_days, tm_id, tm_name, {half_up('count(*) FILTER (n >= 2)', 'count(*)', 2)} AS order_repeat_rate FROM
  (SELECT tm_id, tm_name, user_id, sum(order_count_1d) AS n FROM user_sku_days d LEFT JOIN sku s ON d.sku_id = s.id WHERE {LAST30} GROUP BY ALL) GROUP BY tm_id, tm_name""")
 add("e41_ads_cart_top3_by_category", f"""
 SELECT {EVENT_DAY} AS dt, * FROM (SELECT {CATS}, c.sku_id, sku_name, cart_num,
@@ -177,7 +177,7 @@ SELECT * FROM (SELECT dt, tm_id, tm_name, sku_id, sku_name, favor_add_count_1d,
  FROM ({FAVOR}) WHERE dt = {EVENT_DAY}) WHERE rk <= 3""")
 add("e43_ads_traffic_by_channel", f"""
 SELECT {EVENT_DAY} AS dt, recent_days, channel, count(DISTINCT mid_id) AS uv_count, trunc(avg(during_time_1d) / 1000) AS avg_duration_sec,
- trunc(avg(page_count_1d)) AS avg_page_count, count(*) AS sv_count, round(count(*) FILTER (page_count_1d = 1)::DOUBLE / count(*), 2) AS bounce_rate
+ trunc(avg(page_count_1d)) AS avg_page_count, count(*) AS sv_count, {half_up('count(*) FILTER (page_count_1d = 1)', 'count(*)', 2)} AS bounce_rate
 FROM ({SESSION}) JOIN span ON dt BETWEEN {EVENT_DAY} - (recent_days - 1) AND {EVENT_DAY} GROUP BY recent_days, channel""")
 add("e44_ads_user_action", f"""
 SELECT {EVENT_DAY} AS dt, (SELECT count(*) FROM ({VISITOR}) WHERE dt = {EVENT_DAY} AND page_id = 'home') AS home_count,
@@ -192,7 +192,7 @@ SELECT {EVENT_DAY} AS dt, (SELECT count(*) FROM login_td_today WHERE login_date_
 add("e46_ads_user_retention", f"""
 SELECT {EVENT_DAY} AS dt, login_date_first AS create_date, {EVENT_DAY} - login_date_first AS retention_day,
  count(*) FILTER (login_date_last = {EVENT_DAY}) AS retention_count, count(*) AS new_user_count,
- round(count(*) FILTER (login_date_last = {EVENT_DAY}) * 100.0::DOUBLE / count(*), 2) AS retention_rate
+ {half_up(f'count(*) FILTER (login_date_last = {EVENT_DAY}) * 100', 'count(*)', 2)} AS retention_rate
 FROM login_td_today WHERE login_date_first BETWEEN {EVENT_DAY} - 7 AND {EVENT_DAY} - 1 GROUP BY login_date_first""")
 add("e47_ads_user_stats", f"""
 SELECT {EVENT_DAY} AS dt, recent_days, count(*) FILTER (login_date_first > {EVENT_DAY} - recent_days) AS new_user_count, count(*) AS active_user_count
@@ -325,7 +325,7 @@ SELECT {DAY} AS dt, k.*, receive_order_count, receive_order_amount, deliver_suc_
 
 # ---------------------------------------------------------------- product marts
 add("pd1_ods_product_behaviour", "SELECT * FROM behaviour")
-CLEAN = f"""SELECT *, CASE WHEN traffic_cnt = 0 THEN 0 ELSE round(click_cnt::DOUBLE / traffic_cnt, 4) END AS click_rate,
+CLEAN = f"""SELECT *, {half_up('click_cnt', 'traffic_cnt', 4)} AS click_rate,
  {MEAN_PRICE} AS avg_price FROM behaviour"""
 add("pd2_dwd_product_behaviour", CLEAN)
 add("pd3_dwd_product_narrow", CLEAN)
@@ -340,13 +340,13 @@ def score(total: str) -> str:
     )
     return f"""
 SELECT *, CASE WHEN total_score >= 85 THEN 'A级' WHEN total_score >= 70 THEN 'B级' WHEN total_score >= 50 THEN 'C级' ELSE 'D级' END AS score_level,
- round(total_score * 0.8::DOUBLE + 20, 2) AS competitiveness_index, {ranks} FROM (SELECT *, round({total}, 2) AS total_score FROM rates)"""
+ round(total_score * 0.8 + 20, 2) AS competitiveness_index, {ranks} FROM (SELECT *, round({total}, 2) AS total_score FROM rates)"""
 
 
 def weighted(w: tuple, service: int) -> str:
     names = ("click_rate", "conversion_rate", "content_interact_rate", "new_user_rate", "service_rating")
     scale = (1, 100, 1, 1, service)
-    return " + ".join(f"{n} * {x}::DOUBLE * {s}" for n, x, s in zip(names, w, scale))
+    return " + ".join(f"CAST({n} AS DECIMAL(14,4)) * {x} * {s}" for n, x, s in zip(names, w, scale))
 
 
 add("pd5_ads_product_diagnosis", score(weighted((0.35, 0.30, 0.1, 0.1, 0.15), 100)))
@@ -362,9 +362,9 @@ SELECT 'rel_' || p_partkey AS rel_id, 'act_' || p_size AS activity_id, p_partkey
 add("dt5_dwd_discount_send", "SELECT s.*, a.discount_type FROM sends s LEFT JOIN activity a ON s.activity_id = a.activity_id")
 add("dt6_dwd_discount_verify", "SELECT * FROM verified")
 add("dt7_dws_activity_effect", "SELECT * FROM activity_days")
-add("dt8_dws_agent_performance", """
+add("dt8_dws_agent_performance", f"""
 SELECT service_id, dt, send_count AS total_send_count, send_amount AS total_send_amount, pay_count AS total_verify_count, pay_amount AS total_verify_amount,
- CASE WHEN send_count = 0 THEN 0 ELSE round(pay_count::DOUBLE / send_count, 4) END AS conversion_rate FROM agent_days""")
+ {half_up('pay_count', 'send_count', 4)} AS conversion_rate FROM agent_days""")
 RECENT = f"dt BETWEEN {EVENT_DAY} - 30 AND {EVENT_DAY}"
 
 
@@ -385,10 +385,10 @@ WITH f AS ({frames('activity_days', 'activity_id', ['daily_send_count', 'daily_s
   sum(daily_verify_count) AS total_pay_count, sum(daily_verify_amount) AS total_pay_amount FROM f GROUP BY ALL),
  c AS (SELECT t.time_type, t.end_date, count(DISTINCT v.customer_id) AS n FROM t LEFT JOIN verified v
   ON v.dt BETWEEN t.end_date - (t.days - 1) AND t.end_date AND v.{RECENT} GROUP BY ALL)
-SELECT t.*, c.n AS pay_customer_num, CASE WHEN c.n = 0 THEN 0 ELSE round(CAST(total_pay_amount AS DOUBLE) / c.n, 2) END AS avg_pay_per_customer
+SELECT t.*, c.n AS pay_customer_num, {half_up('total_pay_amount * 100', 'c.n * 100', 2)} AS avg_pay_per_customer
 FROM t JOIN c ON t.time_type = c.time_type AND t.end_date = c.end_date""")
 for name, how in (("dt10_ads_agent_detail", "range"), ("dt10_ads_agent_detail_rows", "rows")):
-    add(name, f"""SELECT *, CASE WHEN send_count = 0 THEN 0 ELSE round(pay_count::DOUBLE / send_count, 4) END AS conversion_rate
+    add(name, f"""SELECT *, {half_up('pay_count', 'send_count', 4)} AS conversion_rate
 FROM ({frames('agent_days', 'service_id', ['send_count', 'send_amount', 'pay_count', 'pay_amount'], how)})""")
 add("mm1_ods_visit_log", "SELECT *, visit_id AS log_id FROM visits")
 add("mm2_ods_product_order", "SELECT *, dt AS order_date FROM trades")

@@ -11,6 +11,12 @@ def stamp(value: str) -> str:
     return f"strftime({value}, '%Y-%m-%d %H:%M:%S')"
 
 
+def half_up(top: str, bottom: str, digits: int) -> str:
+    """``top / bottom`` rounded half up, in whole numbers: a double quotient may miss a tie."""
+    return (f"CASE WHEN ({bottom}) = 0 THEN 0 ELSE ((CAST({top} AS BIGINT) * {2 * 10 ** digits} + ({bottom})) // (2 * ({bottom}))) "
+            f"/ {10 ** digits}.0 END")
+
+
 RAW["base_dic"] = """SELECT * FROM (VALUES ('11','1101','card'), ('11','1102','wallet'),
  ('31','3101','amount off'), ('31','3102','nth item'), ('31','3103','discount'),
  ('32','3201','amount off'), ('32','3202','nth item'), ('32','3203','cash'),
@@ -189,9 +195,7 @@ for _days in ("cargo", "receive", "dispatch", "deliver", "sort"):
     )
 
 # ---------------------------------------------------------------- product marts
-# Cents per unit rounded half up in whole numbers: a double quotient would round ties either way.
-MEAN_PRICE = """CASE WHEN sales_cnt = 0 THEN 0
- ELSE ((CAST(sales_amount * 100 AS BIGINT) * 2 + sales_cnt) // (2 * sales_cnt)) / 100.0 END"""
+MEAN_PRICE = half_up("sales_amount * 100", "sales_cnt * 100", 2)
 RAW["behaviour"] = """SELECT CAST(k AS VARCHAR) AS product_id, p_type || '_' || p_name AS product_name, p_type AS category,
  count(*) FILTER (event_type IN ('view', 'click', 'signup')) AS traffic_cnt, count(*) FILTER (event_type = 'click') AS click_cnt,
  CASE WHEN count(*) FILTER (event_type = 'purchase') > 0 THEN 0.25::DOUBLE ELSE 0.05::DOUBLE END AS conversion_rate,
@@ -200,9 +204,9 @@ RAW["behaviour"] = """SELECT CAST(k AS VARCHAR) AS product_id, p_type || '_' ||
  coalesce(sum(value) FILTER (event_type = 'purchase'), 0) AS sales_amount, count(*) FILTER (event_type = 'purchase') AS sales_cnt,
  count(DISTINCT user_id) AS visitor_cnt, dt AS stat_date FROM ev LEFT JOIN part ON k = p_partkey GROUP BY k, dt, p_type, p_name"""
 RAW["rates"] = f"""SELECT * EXCLUDE (category),
- CASE WHEN traffic_cnt = 0 THEN 0 ELSE round(click_cnt * 100.0::DOUBLE / traffic_cnt, 2) END AS click_rate,
- CASE WHEN traffic_cnt = 0 THEN 0 ELSE round(content_interact_cnt * 100.0::DOUBLE / traffic_cnt, 2) END AS content_interact_rate,
- CASE WHEN visitor_cnt = 0 THEN 0 ELSE round(new_user_cnt * 100.0::DOUBLE / visitor_cnt, 2) END AS new_user_rate,
+ {half_up("click_cnt * 100", "traffic_cnt", 2)} AS click_rate,
+ {half_up("content_interact_cnt * 100", "traffic_cnt", 2)} AS content_interact_rate,
+ {half_up("new_user_cnt * 100", "visitor_cnt", 2)} AS new_user_rate,
  {MEAN_PRICE} AS avg_price FROM behaviour"""
 RAW["activity"] = """SELECT DISTINCT 'act_' || p_size AS activity_id, 'Activity ' || p_size AS activity_name,
  CASE WHEN p_size < 20 THEN 'product' ELSE 'shop' END AS activity_level,

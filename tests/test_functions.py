@@ -65,6 +65,11 @@ def test_ratio_guards(spark):
     assert [r[0] for r in df.select(ratios.mean_of(F.col("a"), F.col("b"))).collect()][1] is None
 
 
+def test_rounding_is_exact_on_ties(spark):
+    df = spark.sql("SELECT cast(8716.47 AS decimal(16,2)) AS a, 14 AS b UNION ALL SELECT 29, 200")
+    assert [r[0] for r in df.select(ratios.safe_ratio(F.col("a"), F.col("b"), 2)).collect()] == [622.61, 0.15]
+
+
 def test_clamp_count(spark):
     df = spark.createDataFrame([("7",), ("-1",), ("x",), (None,), ("9223372036854775808",)], "a string")
     assert [r[0] for r in df.select(ratios.clamp_count(F.col("a"))).collect()] == [7, 0, 0, 0, 0]

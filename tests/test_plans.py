@@ -220,4 +220,4 @@ def test_grades_and_text_counts(spark):
         {"product_name": F.lit("n"), "stat_date": F.lit(D)})
     scored = {r.product_id: r for r in diagnosis.scored(rates, diagnosis.DIAGNOSIS).collect()}
     assert [scored[str(i)].score_level for i in range(4)] == ["A级", "B级", "C级", "D级"]
-    assert [scored[str(i)].traffic_rank for i in range(4)] == [1, 2, 3, 4] and scored["0"].competitiveness_index == 104.0
+    assert [scored[str(i)].traffic_rank for i in range(4)] == [1, 2, 3, 4] and scored["0"].competitiveness_index == 104
