@@ -26,14 +26,38 @@ def _once_per_order(detail: DataFrame, keys: list[str]) -> DataFrame:
     )
 
 
-def _org_of_district(rows: DataFrame, organs: DataFrame, district: str) -> DataFrame:
-    return lookup(rows, organs, {district: "region_id"}, {"org_id": "id", "org_name": "org_name"})
+def places(organs: DataFrame, regions: DataFrame) -> DataFrame:
+    """Organisations with the city and province they belong to.
+
+    A level-1 organisation sits in its city, any other in a district below one.  The dimensions are
+    joined to each other here, so that a fact needs a single look-up.
+    """
+    rows = walk_up(
+        organs.select("id", "org_name", "org_level", "region_id"), regions, "region_id", ["own", "up", "top"]
+    )
+    first = F.col("org_level") == 1
+    return rows.select("id", "org_name", "org_level", "region_id", *[
+        F.when(first, F.col(f"{near}_{part}")).otherwise(F.col(f"{far}_{part}")).alias(f"{place}_{part}")
+        for place, near, far in (("city", "own", "up"), ("province", "up", "top"))
+        for part in ("id", "name")
+    ])
+
+
+def district_places(organs: DataFrame, regions: DataFrame) -> DataFrame:
+    """District -> its organisation, city and province, walking up from the district."""
+    rows = walk_up(
+        organs.select(F.col("id").alias("org_id"), "org_name", "region_id"), regions, "region_id",
+        ["district", "city", "province"],
+    )
+    return rows.select("region_id", *ORG, *CITY, *PROVINCE)
 
 
 def org_cargo_order_1d(detail: DataFrame, organs: DataFrame, regions: DataFrame) -> DataFrame:
     cargo = ["cargo_type", "cargo_type_name"]
     by_district = _once_per_order(detail, [*cargo, "sender_district_id", "sender_city_id", "dt"])
-    rows = _org_of_district(by_district, organs, "sender_district_id")
+    rows = lookup(
+        by_district, organs, {"sender_district_id": "region_id"}, {"org_id": "id", "org_name": "org_name"}
+    )
     rows = rows.groupBy(*ORG, F.col("sender_city_id").alias("city_id"), *cargo, "dt").agg(
         *[F.sum(m).alias(m) for m in ORDERS]
     )
@@ -44,18 +68,12 @@ def org_cargo_order_nd(daily: DataFrame, as_of: dt.date, spans=ROLLING) -> DataF
     return span_totals(daily, [*ORG, *CITY, "cargo_type", "cargo_type_name"], ORDERS, as_of, spans)
 
 
-def _place_of_org(rows: DataFrame, regions: DataFrame, district: str) -> DataFrame:
-    placed = walk_up(rows, regions, district, ["district", "city", "province"])
-    return placed.drop("district_id", "district_name")
-
-
 def org_receive_1d(detail: DataFrame, organs: DataFrame, regions: DataFrame) -> DataFrame:
     by_district = _once_per_order(detail, ["sender_district_id", "dt"])
     rows = lookup(
-        by_district, organs, {"sender_district_id": "region_id"},
-        {"org_id": "id", "org_name": "org_name", "org_region": "region_id"},
+        by_district, district_places(organs, regions), {"sender_district_id": "region_id"},
+        [*ORG, *CITY, *PROVINCE],
     )
-    rows = _place_of_org(rows, regions, "org_region")
     return rows.groupBy(*ORG, *CITY, *PROVINCE, "dt").agg(*[F.sum(m).alias(m) for m in ORDERS])
 
 
@@ -83,10 +101,9 @@ def org_deliver_1d(detail: DataFrame, organs: DataFrame, regions: DataFrame) ->
     orders = detail.select("order_id", "receiver_district_id", "dt").dropDuplicates()
     counted = orders.groupBy("receiver_district_id", "dt").agg(F.count("order_id").alias("order_count"))
     rows = lookup(
-        counted, organs, {"receiver_district_id": "region_id"},
-        {"org_id": "id", "org_name": "org_name", "org_region": "region_id"},
+        counted, district_places(organs, regions), {"receiver_district_id": "region_id"},
+        [*ORG, *CITY, *PROVINCE],
     )
-    rows = _place_of_org(rows, regions, "org_region")
     return rows.groupBy(*ORG, *CITY, *PROVINCE, "dt").agg(F.sum("order_count").alias("order_count"))
 
 
@@ -94,24 +111,11 @@ def org_deliver_nd(daily: DataFrame, as_of: dt.date, spans=ROLLING) -> DataFrame
     return span_totals(daily, [*ORG, *CITY, *PROVINCE], {"order_count": "order_count"}, as_of, spans)
 
 
-def place_by_level(rows: DataFrame, organs: DataFrame, regions: DataFrame) -> DataFrame:
-    """City and province of ``org_id``: a level-1 organisation sits in its city, others below it."""
-    rows = lookup(rows, organs, {"org_id": "id"}, ["org_level", "region_id"])
-    rows = walk_up(rows, regions, "region_id", ["own", "up", "top"])
-    first = F.col("org_level") == 1
-    picks = {
-        f"{place}_{part}": F.when(first, F.col(f"{near}_{part}")).otherwise(F.col(f"{far}_{part}"))
-        for place, near, far in (("city", "own", "up"), ("province", "up", "top"))
-        for part in ("id", "name")
-    }
-    steps = [f"{s}_{part}" for s in ("own", "up", "top") for part in ("id", "name")]
-    return rows.withColumns(picks).drop("org_level", "region_id", *steps)
-
-
 def org_sort_1d(sorts: DataFrame, organs: DataFrame, regions: DataFrame) -> DataFrame:
     counted = sorts.groupBy("org_id", "dt").agg(F.count("*").alias("sort_count"))
-    rows = lookup(counted, organs, {"org_id": "id"}, ["org_name"])
-    return place_by_level(rows, organs, regions)
+    return lookup(
+        counted, places(organs, regions), {"org_id": "id"}, ["org_name", *CITY, *PROVINCE]
+    )
 
 
 def org_sort_nd(daily: DataFrame, as_of: dt.date, spans=ROLLING) -> DataFrame:
@@ -151,6 +155,6 @@ def shift_trips_nd(
          "trans_finish_delay_count": "late"},
         as_of, spans,
     )
-    rows = place_by_level(rows, organs, regions).drop(*PROVINCE)
+    rows = lookup(rows, places(organs, regions), {"org_id": "id"}, CITY)
     rows = lookup(rows, shifts, {"shift_id": "id"}, ["line_name"])
     return lookup(rows, trucks, {"truck_id": "id"}, TRUCK)
