@@ -19,7 +19,7 @@ from layerhouse.plans import (
     tms_dim, tms_dwd, tms_dws,
 )
 from layerhouse.plans.tms_ads import SPANS
-from layerhouse.session import durable, shared_dir
+from layerhouse.session import shared_dir, written
 from layerhouse.sources.warehouse import Warehouse
 from layerhouse.streaming import cdc
 
@@ -522,8 +522,10 @@ _add("dt7_dws_activity_effect", "activity_id:s activity_name:s status:s discount
      lambda w: w.activity_1d)
 _add("dt8_dws_agent_performance", "service_id:s dt:s total_send_count:l total_send_amount:l total_verify_count:l total_verify_amount:d conversion_rate:d",
      lambda w: w.agent_1d)
-_add("dt9_ads_tool_overview", "time_type:s start_date:s end_date:s total_send_count:l total_send_amount:l total_pay_count:l total_pay_amount:d pay_customer_num:l avg_pay_per_customer:d",
-     lambda w: discount.tool_overview(w.activity_1d, w.verified, w.event_day))
+_TOOL = "time_type:s start_date:s end_date:s total_send_count:l total_send_amount:l total_pay_count:l total_pay_amount:d pay_customer_num:l avg_pay_per_customer:d"
+_add("dt9_ads_tool_overview", _TOOL, lambda w: discount.tool_overview(w.activity_1d, w.verified, w.event_day))
+_add("dt9_ads_tool_overview_rows", _TOOL,
+     lambda w: discount.tool_overview(w.activity_1d, w.verified, w.event_day, "rows"))
 _AGENT = "service_id:s time_type:s start_date:s end_date:s send_count:l send_amount:l pay_count:l pay_amount:d conversion_rate:d"
 _add("dt10_ads_agent_detail", _AGENT, lambda w: discount.agent_windows(w.agent_1d, w.event_day))
 _add("dt10_ads_agent_detail_rows", _AGENT, lambda w: discount.agent_windows(w.agent_1d, w.event_day, "rows"))
@@ -579,7 +581,7 @@ def _current_profiles(w: Layers) -> DataFrame:
 
 def _sealed(w: Layers) -> DataFrame:
     """The encrypted table, stored: each row is sealed once, under one random IV."""
-    return durable(security.encrypt(w.telemetry, "payload", security.column_key(w.spark)))
+    return written(security.encrypt(w.telemetry, "payload", security.column_key(w.spark)))
 
 
 def _opened(w: Layers) -> DataFrame:

@@ -6,7 +6,7 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from layerhouse.session import durable
+from layerhouse.session import written
 
 
 def _meet(left: DataFrame, right: DataFrame, names: Sequence[str]) -> DataFrame:
@@ -28,17 +28,16 @@ def number_rows(
 ) -> DataFrame:
     """``row_number()`` over ``keys`` without sending a key, or the whole table, to one task.
 
-    Rows are range-partitioned by key and order, so a hot key spreads over many tasks; the laid
-    out rows are made durable, and each row's number is its place in its task plus the rows of
-    its key in earlier tasks.  ``order`` should end in a unique column.
+    Rows are range-partitioned by key and order, so a hot key spreads over many tasks, and written
+    out with their task and their place in it.  A row's number is its place plus the rows of its
+    key in earlier tasks.  ``order`` should end in a unique column.  Without ``tasks`` their number
+    follows the data (AQE merges small neighbours).
     """
-    spark = df.sparkSession
-    tasks = tasks or int(spark.conf.get("spark.sql.shuffle.partitions"))
     layout = [*[F.col(k) for k in keys], *order]
-    laid = durable(df.repartitionByRange(tasks, *layout).sortWithinPartitions(*layout))
-    placed = laid.select(
+    ranged = df.repartitionByRange(tasks, *layout) if tasks else df.repartitionByRange(*layout)
+    placed = written(ranged.sortWithinPartitions(*layout).select(
         "*", F.spark_partition_id().alias("__task"), F.monotonically_increasing_id().alias("__at")
-    )
+    ))
     runs = placed.groupBy("__task", *keys).agg(
         F.min("__at").alias("__first"), F.count("*").alias("__n")
     )

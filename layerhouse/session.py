@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -49,6 +50,13 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 def durable(df: DataFrame) -> DataFrame:
-    """Materialise once on reliable storage, so later passes see identical rows and partitions."""
+    """Materialise once on reliable storage, so later passes see identical rows."""
     shared_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def written(df: DataFrame) -> DataFrame:
+    """As ``durable``, but as columnar files: later passes read only the columns they use."""
+    path = f"{shared_dir(df.sparkSession)}/written-{uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -379,8 +379,9 @@ def frames(source: str, key: str, measures: list[str], how: str = "range") -> st
     return " UNION ALL ".join(parts)
 
 
-add("dt9_ads_tool_overview", f"""
-WITH f AS ({frames('activity_days', 'activity_id', ['daily_send_count', 'daily_send_amount', 'daily_verify_count', 'daily_verify_amount'])}),
+for name, how in (("dt9_ads_tool_overview", "range"), ("dt9_ads_tool_overview_rows", "rows")):
+    add(name, f"""
+WITH f AS ({frames('activity_days', 'activity_id', ['daily_send_count', 'daily_send_amount', 'daily_verify_count', 'daily_verify_amount'], how)}),
  t AS (SELECT time_type, start_date, end_date, days, sum(daily_send_count) AS total_send_count, sum(daily_send_amount) AS total_send_amount,
   sum(daily_verify_count) AS total_pay_count, sum(daily_verify_amount) AS total_pay_amount FROM f GROUP BY ALL),
  c AS (SELECT t.time_type, t.end_date, count(DISTINCT v.customer_id) AS n FROM t LEFT JOIN verified v
