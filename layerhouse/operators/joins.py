@@ -13,13 +13,15 @@ def lookup(
     on: Mapping[str, str],
     take: Mapping[str, str] | Sequence[str],
     how: str = "left",
+    hot: bool = False,
 ) -> DataFrame:
     """Add dimension columns to a fact.
 
     ``on`` maps fact column -> dimension key (cast to the fact's type, so the fact side stays
     untouched); ``take`` maps new column -> dimension column.  The dimension must be unique on
     its key.  Whether it is broadcast is left to Spark's size check; a large dimension joins by
-    shuffle, where AQE splits hot or null keys.
+    shuffle, where AQE splits hot or null keys.  Set ``hot`` where the dimension is itself an
+    aggregate on the key (see ``splittable``).
     """
     take = dict(take) if isinstance(take, Mapping) else {name: name for name in take}
     keys = {key: f"__{i}" for i, key in enumerate(on)}
@@ -27,8 +29,20 @@ def lookup(
         *[F.col(on[key]).cast(fact.schema[key].dataType).alias(keys[key]) for key in on],
         *[F.col(source).alias(name) for name, source in take.items()],
     )
-    joined = fact.join(picked, [fact[key] == picked[keys[key]] for key in on], how)
-    return joined.drop(*keys.values())
+    met = [fact[key] == picked[keys[key]] for key in on]
+    if hot:
+        met.append(splittable([fact[key] for key in on], [picked[keys[key]] for key in on]))
+    return fact.join(picked, met, how).drop(*keys.values())
+
+
+def splittable(left: Sequence[Column], right: Sequence[Column]) -> Column:
+    """A condition implied by equal keys that lets AQE split a hot one.
+
+    A side already partitioned by the join key, as an aggregate on it is, joins without a shuffle
+    of its own, and run-time skew handling works only on two fresh shuffles.  No existing
+    partitioning covers this extra key, so both sides are shuffled for the join.
+    """
+    return F.xxhash64(*left) == F.xxhash64(*right)
 
 
 def with_all(one: DataFrame, many: DataFrame, on: Mapping[str, str]) -> DataFrame:
@@ -41,7 +55,8 @@ def with_all(one: DataFrame, many: DataFrame, on: Mapping[str, str]) -> DataFram
     renamed = {source: f"__{i}" for i, source in enumerate(on.values())}
     others = many.withColumnsRenamed(renamed)
     keys = [F.col(key) == F.col(renamed[source]) for key, source in on.items()]
-    matched = one.join(others, keys, "inner").drop(*renamed.values())
+    hot = splittable([F.col(key) for key in on], [F.col(name) for name in renamed.values()])
+    matched = one.join(others, [*keys, hot], "inner").drop(*renamed.values())
     known = others.select(*renamed.values()).distinct()
     lonely = one.join(known, keys, "left_anti")
     return matched.unionByName(lonely, allowMissingColumns=True)

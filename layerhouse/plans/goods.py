@@ -30,7 +30,9 @@ def traffic_clean(traffic: DataFrame, sales: DataFrame) -> DataFrame:
         F.sum("pay_buyer_num").alias("pay_buyer_num")
     )
     rows = traffic.where(F.col("visitor_num") >= 0).withColumn("visit_date", F.to_date("visit_date"))
-    rows = lookup(rows, buyers, {"goods_id": "goods_id", "visit_date": "pay_date"}, ["pay_buyer_num"])
+    rows = lookup(
+        rows, buyers, {"goods_id": "goods_id", "visit_date": "pay_date"}, ["pay_buyer_num"], hot=True
+    )
     return rows.select(
         "goods_id", "traffic_source", "visitor_num",
         safe_ratio(F.col("pay_buyer_num"), F.col("visitor_num")).alias("pay_conver_rate"), "visit_date",

@@ -28,7 +28,7 @@ def visit_detail(visits: DataFrame, product: DataFrame) -> DataFrame:
         F.col("log_id").alias("visit_id"), "user_id", "product_id", "visit_time", "terminal",
         "stay_time", "is_click", F.to_date("visit_time").alias("dt"),
     )
-    return lookup(rows, product, {"product_id": "product_id"}, ["category_id"])
+    return lookup(rows, product, {"product_id": "product_id"}, ["category_id"], hot=True)
 
 
 def add_detail(adds: DataFrame, product: DataFrame) -> DataFrame:
@@ -36,7 +36,7 @@ def add_detail(adds: DataFrame, product: DataFrame) -> DataFrame:
         "record_id", "user_id", "product_id", "op_type", "op_time", "add_cart_count", "terminal",
         F.to_date("op_time").alias("dt"),
     )
-    return lookup(rows, product, {"product_id": "product_id"}, ["category_id"])
+    return lookup(rows, product, {"product_id": "product_id"}, ["category_id"], hot=True)
 
 
 def cleaned_orders(raw: DataFrame) -> DataFrame:
@@ -53,7 +53,7 @@ def trade_detail(orders: DataFrame, product: DataFrame) -> DataFrame:
         "order_id", "user_id", "product_id", "product_price", "buy_count", "buy_amount",
         "pay_status", "pay_time", "pay_amount", "terminal", F.to_date("create_time").alias("dt"),
     )
-    return lookup(rows, product, {"product_id": "product_id"}, ["category_id"])
+    return lookup(rows, product, {"product_id": "product_id"}, ["category_id"], hot=True)
 
 
 VISITS = ["visitor_count", "view_count", "avg_stay_time", "bounce_rate"]
