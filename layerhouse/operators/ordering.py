@@ -116,22 +116,22 @@ def in_sequence(
 
     ``block`` is a function of the first order column that rises with it (say the minute).  Rows
     are ordered within (key, block); counts and first values of the later blocks are carried over
-    from a small per-block table, so a long sequence never sits in one task.
+    from a small per-block table, so a long sequence never sits in one task.  Both sides start
+    from one shuffle of the rows, which Spark reuses when they need the same columns.
     """
-    rows = df.withColumn("__block", block)
     inner = Window.partitionBy(*keys, "__block").orderBy(*order)
-    local = (
-        rows.withColumn("__rn", F.row_number().over(inner))
-        .withColumn("__next", F.lead(value).over(inner))
-    )
-    blocks = rows.groupBy(*keys, "__block").agg(
-        F.count("*").alias("__n"), F.min_by(value, F.struct(*order)).alias("__head")
+    local = df.withColumn("__block", block).withColumns({
+        "__rn": F.row_number().over(inner), "__next": F.lead(value).over(inner),
+        "__n": F.count("*").over(Window.partitionBy(*keys, "__block")),
+    })
+    blocks = local.where(F.col("__rn") == 1).select(
+        *keys, "__block", F.col("__n").alias("__size"), F.col(value).alias("__head")
     )
     outer = Window.partitionBy(*keys).orderBy("__block")
-    before = F.sum("__n").over(outer.rowsBetween(Window.unboundedPreceding, -1))
-    blocks = blocks.withColumn("__before", F.coalesce(before, F.lit(0))).withColumn(
-        "__after", F.lead("__head").over(outer)
-    )
+    before = F.sum("__size").over(outer.rowsBetween(Window.unboundedPreceding, -1))
+    blocks = blocks.withColumns({
+        "__before": F.coalesce(before, F.lit(0)), "__after": F.lead("__head").over(outer)
+    }).drop("__size", "__head")
     return _meet(local, blocks, [*keys, "__block"]).select(
         *df.columns,
         (F.col("__before") + F.col("__rn")).alias(number),

@@ -73,24 +73,33 @@ def moving(
     daily: DataFrame,
     keys: Sequence[str],
     measures: Sequence[str],
-    days: int,
+    windows: Mapping[str, int],
     date: str = "dt",
     frame: str = "range",
 ) -> DataFrame:
-    """Replace each measure by its moving sum over ``days``.
+    """Moving sums per key for each day and each named window, as rows.
 
     ``range`` counts calendar days, so a missing day shortens the window; ``rows`` counts rows.
-    The input is one row per key and day, so a window partition holds at most one row per day.
+    The input is one row per key and day, so a window partition holds at most one row per day; all
+    windows share its one sort.  Gives ``time_type, start_date, end_date`` and the measures.
     """
     if frame == "range":
-        order = F.datediff(F.col(date), F.lit(dt.date(1970, 1, 1)))
-        window = Window.partitionBy(*keys).orderBy(order).rangeBetween(-(days - 1), 0)
+        order = Window.partitionBy(*keys).orderBy(F.datediff(F.col(date), F.lit(dt.date(1970, 1, 1))))
+        frames = {name: order.rangeBetween(-(days - 1), 0) for name, days in windows.items()}
     else:
-        window = Window.partitionBy(*keys).orderBy(date).rowsBetween(-(days - 1), 0)
-    summed = {m: F.sum(m).over(window) for m in measures}
-    return daily.select(*[
-        summed[c].alias(c) if c in summed else F.col(c) for c in daily.columns
+        order = Window.partitionBy(*keys).orderBy(date)
+        frames = {name: order.rowsBetween(-(days - 1), 0) for name, days in windows.items()}
+    wide = daily.select(*keys, date, *[
+        F.sum(m).over(frames[name]).alias(f"{name}__{m}") for name in windows for m in measures
     ])
+    rows = F.explode(F.array(*[
+        F.struct(
+            F.lit(name).alias("time_type"), F.date_sub(date, days - 1).alias("start_date"),
+            F.col(date).alias("end_date"), *[F.col(f"{name}__{m}").alias(m) for m in measures],
+        )
+        for name, days in windows.items()
+    ]))
+    return wide.select(*keys, rows.alias("r")).select(*keys, "r.*")
 
 
 def recent_by(first: Column, as_of: dt.date, span: int) -> Column:

@@ -111,14 +111,7 @@ def agent_daily(sends: DataFrame, verify: DataFrame) -> DataFrame:
 def _windows(daily: DataFrame, key: str, measures: list[str], as_of: dt.date, frame: str) -> DataFrame:
     """Day, 7-day and 30-day totals per key for each day of the last 30."""
     recent = daily.where(within(F.col("dt"), as_of, 31))
-    out = None
-    for name, days in WINDOWS.items():
-        rows = (recent if days == 1 else moving(recent, [key], measures, days, frame=frame)).select(
-            key, F.lit(name).alias("time_type"), F.date_sub("dt", days - 1).alias("start_date"),
-            F.col("dt").alias("end_date"), *measures,
-        )
-        out = rows if out is None else out.unionByName(rows)
-    return out
+    return moving(recent, [key], measures, WINDOWS, frame=frame)
 
 
 def tool_overview(
@@ -157,17 +150,19 @@ def window_customers(verify: DataFrame, as_of: dt.date) -> DataFrame:
     ).where(within(F.col("day"), as_of, 31)).distinct()
     following = F.lead("day").over(Window.partitionBy("customer_id").orderBy("day"))
     paid = paid.withColumn("next", F.coalesce(following, F.lit(OPEN_END)))
-    out = None
-    for name, days in WINDOWS.items():
-        last = F.least(
-            F.date_add("day", days - 1), F.date_sub("next", 1), F.lit(as_of)
+    ends = F.explode(F.array(*[
+        F.struct(
+            F.lit(name).alias("time_type"),
+            F.least(F.date_add("day", days - 1), F.date_sub("next", 1), F.lit(as_of)).alias("last"),
         )
-        ends = paid.select("day", last.alias("last")).groupBy("day", "last").agg(F.count("*").alias("n"))
-        rows = ends.select(F.explode(F.sequence("day", "last")).alias("end_date"), "n").groupBy(
-            "end_date"
-        ).agg(F.sum("n").alias("pay_customer_num")).withColumn("time_type", F.lit(name))
-        out = rows if out is None else out.unionByName(rows)
-    return out
+        for name, days in WINDOWS.items()
+    ]))
+    counted = paid.select("day", ends.alias("e")).groupBy("e.time_type", "day", "e.last").agg(
+        F.count("*").alias("n")
+    )
+    return counted.select("time_type", "n", F.explode(F.sequence("day", "last")).alias("end_date")).groupBy(
+        "time_type", "end_date"
+    ).agg(F.sum("n").alias("pay_customer_num"))
 
 
 def agent_windows(daily: DataFrame, as_of: dt.date, frame: str = "range") -> DataFrame:

@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from layerhouse.functions.parsing import fields_of, parse_json
 
 KEY_SETTING = "spark.layerhouse.columnKey"
+REDACTION = "spark.sql.redaction.string.regex"
 
 # The alarm flags of a position report.
 ALARMS = [
@@ -41,27 +42,30 @@ def column_key(spark: SparkSession) -> bytes:
     return bytes.fromhex(text)
 
 
-def _key(key: bytes) -> Column:
+def _key(spark: SparkSession, key: bytes) -> Column:
+    """The key as a literal, kept out of printed plans by Spark's redaction."""
     if len(key) != 32:
         raise ValueError("the key must have 32 bytes")
+    if not spark.conf.get(REDACTION, None):
+        spark.conf.set(REDACTION, "(?i)(0x)?[0-9a-f]{64}")
     return F.unhex(F.lit(key.hex()))
 
 
 def encrypt(df: DataFrame, column: str, key: bytes, into: str | None = None) -> DataFrame:
     """Replace a text column by its hex-coded encrypted payload; the IV is random per row."""
-    sealed = F.aes_encrypt(F.col(column).cast("binary"), _key(key), F.lit("GCM"))
+    sealed = F.aes_encrypt(F.col(column).cast("binary"), _key(df.sparkSession, key), F.lit("GCM"))
     return df.withColumn(into or column, F.hex(sealed))
 
 
 def decrypt(df: DataFrame, column: str, key: bytes, into: str | None = None) -> DataFrame:
     """Text of an encrypted column; null where the payload is damaged or the key is another."""
-    opened = F.try_aes_decrypt(F.unhex(column), _key(key), F.lit("GCM"))
+    opened = F.try_aes_decrypt(F.unhex(column), _key(df.sparkSession, key), F.lit("GCM"))
     return df.withColumn(into or column, opened.cast("string"))
 
 
 def split_rejects(df: DataFrame, column: str, key: bytes) -> tuple[DataFrame, DataFrame]:
     """Rows that authenticate, decrypted, and the others as they came."""
-    opened = F.try_aes_decrypt(F.unhex(column), _key(key), F.lit("GCM")).cast("string")
+    opened = F.try_aes_decrypt(F.unhex(column), _key(df.sparkSession, key), F.lit("GCM")).cast("string")
     rows = fields_of(df, F.struct(opened.alias("__text")), *df.columns)
     bad = F.col(column).isNotNull() & F.col("__text").isNull()
     good = rows.where(~bad).withColumn(column, F.col("__text")).drop("__text")

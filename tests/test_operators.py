@@ -103,8 +103,12 @@ def test_rolled_reads_only_the_longest_span(daily):
 
 def test_moving_range_and_rows_differ_on_missing_days(spark, rows):
     df = spark.createDataFrame([("a", days(9), 1), ("a", days(8), 2), ("a", days(0), 4)], "k string, dt date, x int")
-    assert [r[2] for r in rows(spans.moving(df, ["k"], ["x"], 7))] == [1, 3, 4]
-    assert [r[2] for r in rows(spans.moving(df, ["k"], ["x"], 7, frame="rows"))] == [1, 3, 7]
+    windows = {"day": 1, "week": 7}
+    assert rows(spans.moving(df, ["k"], ["x"], windows), "time_type", "end_date", "start_date", "x") == [
+        ("day", days(9), days(9), 1), ("day", days(8), days(8), 2), ("day", days(0), days(0), 4),
+        ("week", days(9), days(15), 1), ("week", days(8), days(14), 3), ("week", days(0), days(6), 4)]
+    by_rows = spans.moving(df, ["k"], ["x"], windows, frame="rows").where("time_type = 'week'")
+    assert [r[1] for r in rows(by_rows, "end_date", "x")] == [1, 3, 7]
 
 
 # ---------------------------------------------------------------- ordering
@@ -158,6 +162,20 @@ def test_topk_prunes_before_the_shuffle(skewed):
     assert "WindowGroupLimit" in plan
 
 
+def test_joins_with_an_aggregate_shuffle_afresh(spark):
+    """Run-time skew handling needs a shuffle of its own on both sides of the join."""
+    fact = spark.range(1000).selectExpr("id % 7 AS k", "id AS x")
+    dim = fact.groupBy("k").agg(F.max("x").alias("m"))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        def shuffles(df):
+            return df._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning")
+        assert shuffles(joins.lookup(fact, dim, {"k": "k"}, ["m"])) == 2
+        assert shuffles(joins.lookup(fact, dim, {"k": "k"}, ["m"], hot=True)) == 3
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
 def test_first_per(spark, rows):
     df = spark.createDataFrame([("s", 2, 1, "b"), ("s", 1, 9, "z"), ("s", 1, 3, "a"), ("t", 5, 5, None)],
                                "s string, ts int, item int, page string")

@@ -1,4 +1,5 @@
 import json
+import os
 import random
 import secrets
 
@@ -36,7 +37,6 @@ FINAL = [(1, "a3", 3), (2, "b-again", 9), (4, "c", 2)]
 def test_replay_in_any_file_order_gives_the_same_table(spark, folder, rows, seed):
     log = LOG[:]
     random.Random(seed).shuffle(log)
-    import os
     os.makedirs(f"{folder}/log")
     for i, entry in enumerate(log):
         with open(f"{folder}/log/{i:03}.json", "w") as out:
@@ -50,7 +50,6 @@ def test_replay_in_any_file_order_gives_the_same_table(spark, folder, rows, seed
 
 
 def test_a_restart_continues_and_a_retried_batch_changes_nothing(spark, folder, rows):
-    import os
     os.makedirs(f"{folder}/log")
 
     def land(name, entries):
@@ -83,6 +82,13 @@ def test_round_trip_and_layout(texts, rows):
     assert rows(security.decrypt(sealed, "c", key), "id", "c") == rows(texts)
 
 
+def test_the_key_is_not_in_printed_plans(texts, capsys):
+    key = secrets.token_bytes(32)
+    security.decrypt(security.encrypt(texts, "t", key), "t", key).explain(True)
+    printed = capsys.readouterr().out.lower()
+    assert "redacted" in printed and key.hex() not in printed
+
+
 def test_iv_is_random(texts):
     key = secrets.token_bytes(32)
     twice = [security.encrypt(texts, "t", key).where("id = 1").first().t for _ in range(2)]
