@@ -12,6 +12,7 @@ from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, Observation, SparkSession, functions as F, types as T
 
+from layerhouse.functions.times import business_date
 from layerhouse.session import durable
 
 # ---------------------------------------------------------------- reading
@@ -20,11 +21,15 @@ from layerhouse.session import durable
 def read_partition(
     spark: SparkSession, table: str, day: dt.date | str, column: str = "dt", live_only: bool = False
 ) -> DataFrame:
-    """One partition of a table; ``live_only`` also drops soft-deleted rows."""
-    df = spark.table(table)
-    kind = df.schema[column].dataType
-    wanted = F.lit(day) if isinstance(kind, T.DateType) else F.lit(str(day))
-    df = df.where(F.col(column) == wanted)
+    """One partition of a table; ``live_only`` also drops soft-deleted rows.
+
+    A text partition column may hold either date format; both are asked for, and still prune.
+    """
+    df, day = spark.table(table), business_date(day)
+    if isinstance(df.schema[column].dataType, T.DateType):
+        df = df.where(F.col(column) == F.lit(day))
+    else:
+        df = df.where(F.col(column).isin(day.strftime("%Y-%m-%d"), day.strftime("%Y%m%d")))
     return live(df) if live_only else df
 
 

@@ -64,9 +64,10 @@ def test_reading_partitions(spark, db, rows):
     data = frame(spark, [(1, "0", "20250630"), (2, "1", "20250630"), (3, "0", "20250629")], "id int, is_deleted string, dt string")
     tables.save_table(data, table, partition="dt")
     assert rows(tables.read_partition(spark, table, "20250630"), "id") == [(1,), (2,)]
+    assert rows(tables.read_partition(spark, table, D2), "id") == [(1,), (2,)]
     assert rows(tables.read_partition(spark, table, "20250630", live_only=True), "id") == [(1,)]
     plan = tables.read_partition(spark, table, "20250630")._jdf.queryExecution().executedPlan().toString()
-    assert "PartitionFilters: [isnotnull(dt" in plan
+    assert "PartitionFilters: [dt" in plan and "20250630" in plan.split("PartitionFilters")[1]
 
 
 def test_read_or_empty_and_required_tables(spark, db):
