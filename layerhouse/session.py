@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 from uuid import uuid4
 
@@ -35,16 +36,28 @@ def build(app: str = "layerhouse", master: str | None = None, **conf: str) -> Sp
     return configure(builder.getOrCreate())
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder for durable intermediates: the cluster's ``spark.checkpoint.dir``.
+def ensure_shared_dir(spark: SparkSession) -> SparkSession:
+    """For entry points on one machine: name a folder where the session names none.
 
-    Only where the session names none (tests, a laptop) a private folder is made.
+    On a cluster every process must see the folder, so there it has to be configured.
     """
     context = spark.sparkContext
+    if not spark.conf.get("spark.checkpoint.dir", None) and not context._jsc.sc().getCheckpointDir().isDefined():
+        if not re.match(r"local(\[|$)", context.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        context.setCheckpointDir(tempfile.mkdtemp(prefix="layerhouse-"))
+    return spark
+
+
+def shared_dir(spark: SparkSession) -> str:
+    """The folder for durable intermediates: the cluster's ``spark.checkpoint.dir``; never a guess."""
+    context = spark.sparkContext
     configured = spark.conf.get("spark.checkpoint.dir", None)
     current = context._jsc.sc().getCheckpointDir()
     if not current.isDefined():
-        context.setCheckpointDir(configured or tempfile.mkdtemp(prefix="layerhouse-"))
+        if not configured:
+            raise ValueError("no folder for intermediate results: set spark.checkpoint.dir")
+        context.setCheckpointDir(configured)
         current = context._jsc.sc().getCheckpointDir()
     return configured or current.get()
 
@@ -55,8 +68,23 @@ def durable(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def scratch(spark: SparkSession, kind: str) -> str:
+    """A new path below the shared folder, removed when the application ends or by ``release``."""
+    path = f"{shared_dir(spark)}/{kind}-{uuid4().hex}"
+    jvm = spark.sparkContext._jvm
+    where = jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(where)
+    return path
+
+
+def release(spark: SparkSession, path: str) -> None:
+    """Remove what ``scratch`` named, once nothing reads it any more."""
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
+
+
 def written(df: DataFrame) -> DataFrame:
     """As ``durable``, but as columnar files: later passes read only the columns they use."""
-    path = f"{shared_dir(df.sparkSession)}/written-{uuid4().hex}"
+    path = scratch(df.sparkSession, "written")
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
