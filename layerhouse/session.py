@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import os
 import re
 import tempfile
+import zipfile
+from pathlib import Path
 from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession
@@ -36,11 +39,26 @@ def build(app: str = "layerhouse", master: str | None = None, **conf: str) -> Sp
     return configure(builder.getOrCreate())
 
 
-def ensure_shared_dir(spark: SparkSession) -> SparkSession:
-    """For entry points on one machine: name a folder where the session names none.
+def ship(spark: SparkSession) -> None:
+    """Send this package to the Python workers, which need not have it installed; once per context."""
+    context = spark.sparkContext
+    if getattr(context, "_layerhouse_shipped", False):
+        return
+    package = Path(__file__).resolve().parent
+    archive = os.path.join(os.path.realpath(tempfile.mkdtemp(prefix="layerhouse-code-")), "layerhouse.zip")
+    with zipfile.ZipFile(archive, "w") as out:
+        for file in sorted(package.rglob("*.py")):
+            out.write(file, file.relative_to(package.parent))
+    context.addPyFile(archive)
+    context._layerhouse_shipped = True
+
+
+def prepare(spark: SparkSession) -> SparkSession:
+    """For entry points: send the code along, and on one machine name a folder where none is named.
 
     On a cluster every process must see the folder, so there it has to be configured.
     """
+    ship(spark)
     context = spark.sparkContext
     if not spark.conf.get("spark.checkpoint.dir", None) and not context._jsc.sc().getCheckpointDir().isDefined():
         if not re.match(r"local(\[|$)", context.master):

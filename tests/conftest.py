@@ -18,7 +18,7 @@ def spark():
         "spark.sql.warehouse.dir": f"{home}/warehouse", "spark.checkpoint.dir": f"{home}/checkpoint",
     })
     spark.sparkContext.setLogLevel("ERROR")
-    yield spark
+    yield session.prepare(spark)
     spark.stop()
 
 
