@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 #: Characters that part words, as one string (fixed values): space, tab to carriage return.
@@ -37,7 +38,7 @@ def slices(batches: Iterator[pa.RecordBatch], column: str = "text",
     """Runs of rows with their texts, at most ``most`` bytes of text each (or one row)."""
     for batch in batches:
         place = batch.schema.get_field_index(column)
-        lengths = pa.compute.fill_null(pa.compute.binary_length(batch.column(place)), 0).to_pylist()
+        lengths = pc.fill_null(pc.binary_length(batch.column(place)), 0).to_pylist()
         start = held = 0
         for row, size in enumerate(lengths):
             if row > start and held + size > most:

@@ -2,9 +2,14 @@
 
 from __future__ import annotations
 
+import public_tokenizers
+from pyspark.sql import functions as F
+
 from layerhouse.llm import oracle
 from layerhouse.llm.inputs import table
 from layerhouse.llm.exact_dedup import exact_dedup
+from layerhouse.llm.packing import pack
+from layerhouse.llm.pieces import encode
 from layerhouse.llm.quality_rules import quality_rules
 from layerhouse.llm.sharding import rendezvous
 
@@ -13,9 +18,24 @@ def _documents(operator):
     return lambda spark, sf_dir: operator(table(spark, sf_dir, "documents"))
 
 
+def _encoded(df):
+    """Digests of the ids and of the text they decode to."""
+    return encode(df, public_tokenizers.path("piece_bpe_32k.model")).select(
+        "doc_id", F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.array_join(F.col("ids").cast("array<string>"), " "), 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
+def _packed(df):
+    return pack(df, public_tokenizers.path("word_bpe_49k.json"))
+
+
 QUERIES = {
+    "op1_sentencepiece": _documents(_encoded),
     "op5_exact_dedup": _documents(exact_dedup),
     "op6_quality_rules": _documents(lambda df: quality_rules(df).drop("failed")),
+    "op7_packing": _documents(_packed),
     "op10_sharding": _documents(rendezvous),
 }
 
