@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from layerhouse.llm import oracle
 from layerhouse.llm.inputs import table
 from layerhouse.llm.exact_dedup import exact_dedup
+from layerhouse.llm.near_dedup import near_dedup
 from layerhouse.llm.packing import pack
 from layerhouse.llm.pieces import encode
 from layerhouse.llm.quality_rules import quality_rules
@@ -33,6 +34,7 @@ def _packed(df):
 
 QUERIES = {
     "op1_sentencepiece": _documents(_encoded),
+    "op2_minhash": _documents(near_dedup),
     "op5_exact_dedup": _documents(exact_dedup),
     "op6_quality_rules": _documents(lambda df: quality_rules(df).drop("failed")),
     "op7_packing": _documents(_packed),
@@ -40,6 +42,7 @@ QUERIES = {
 }
 
 ORACLE = {
+    "op2_minhash": _documents(near_dedup),
     "op5_exact_dedup": oracle.EXACT_DEDUP,
     "op6_quality_rules": oracle.quality_rules(),
 }
