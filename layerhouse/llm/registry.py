@@ -6,8 +6,9 @@ import public_tokenizers
 from pyspark.sql import functions as F
 
 from layerhouse.llm import oracle
-from layerhouse.llm.inputs import table
+from layerhouse.llm.inputs import remainder, table
 from layerhouse.llm.exact_dedup import exact_dedup
+from layerhouse.llm.language_id import identify, learn_profiles, learnable
 from layerhouse.llm.near_dedup import near_dedup
 from layerhouse.llm.packing import pack
 from layerhouse.llm.pieces import encode
@@ -28,6 +29,12 @@ def _encoded(df):
     )
 
 
+def _languages(df):
+    profiles = learn_profiles(df.where(learnable("doc_id", 4, 2)))
+    return identify(df, profiles).select(
+        "doc_id", F.coalesce(remainder("doc_id", 4) == 2, F.lit(False)).alias("held_out"), "lang_pred", "score")
+
+
 def _packed(df):
     return pack(df, public_tokenizers.path("word_bpe_49k.json"))
 
@@ -35,6 +42,7 @@ def _packed(df):
 QUERIES = {
     "op1_sentencepiece": _documents(_encoded),
     "op2_minhash": _documents(near_dedup),
+    "op3_language_id": _documents(_languages),
     "op5_exact_dedup": _documents(exact_dedup),
     "op6_quality_rules": _documents(lambda df: quality_rules(df).drop("failed")),
     "op7_packing": _documents(_packed),
@@ -43,6 +51,7 @@ QUERIES = {
 
 ORACLE = {
     "op2_minhash": _documents(near_dedup),
+    "op3_language_id": _documents(_languages),
     "op5_exact_dedup": oracle.EXACT_DEDUP,
     "op6_quality_rules": oracle.quality_rules(),
 }
