@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from layerhouse.llm import oracle
+from layerhouse.llm import oracle, pu_quality, toxicity
 from layerhouse.llm.inputs import remainder, table
 from layerhouse.llm.exact_dedup import exact_dedup
 from layerhouse.llm.language_id import identify, learn_profiles, learnable
@@ -39,6 +39,18 @@ def _packed(df):
     return pack(df, public_tokenizers.path("word_bpe_49k.json"))
 
 
+def _labelled(operator, parts, held):
+    """Learn on one split, score every document."""
+    def run(spark, sf_dir):
+        documents, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+        open_rows = learnable("doc_id", parts, held)
+        model = operator.learn(documents.where(open_rows), labels.where(open_rows))
+        held_out = F.coalesce(remainder("doc_id", parts) == held, F.lit(False)).alias("held_out")
+        return operator.score(documents, model).select("doc_id", held_out, "score", "predicted")
+
+    return run
+
+
 QUERIES = {
     "op1_sentencepiece": _documents(_encoded),
     "op2_minhash": _documents(near_dedup),
@@ -46,6 +58,8 @@ QUERIES = {
     "op5_exact_dedup": _documents(exact_dedup),
     "op6_quality_rules": _documents(lambda df: quality_rules(df).drop("failed")),
     "op7_packing": _documents(_packed),
+    "op8_toxicity": _labelled(toxicity, 5, 0),
+    "op9_quality_pu": _labelled(pu_quality, 3, 1),
     "op10_sharding": _documents(rendezvous),
 }
 
