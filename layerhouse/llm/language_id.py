@@ -13,6 +13,7 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, functions as F, types as T, Window
 
 from layerhouse.llm.inputs import remainder, slices
@@ -120,35 +121,61 @@ def identify(df: DataFrame, profiles: dict[str, np.ndarray], id_col: str = "doc_
     equally near languages the first by name wins.  Repeated rows repeat their result, an empty table
     gives an empty one, other columns are not read.
     """
-    names = sorted(profiles)
-    tables = []
-    for name in names:
-        order = np.argsort(profiles[name])
-        tables.append((profiles[name][order], order.astype("f8")))
     df = df.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     schema = T.StructType([df.schema["doc_id"], T.StructField("lang_pred", T.StringType()),
                            T.StructField("score", T.DoubleType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        nearest = Nearest(profiles, places)
         for part, batch in slices(batches):
-            row, gram, rank = ranked(*gram_counts(batch), places)
-            total = np.bincount(row, minlength=len(batch))
-            far = np.ones((len(names) + 1, len(batch)))
-            for k, (grams, place) in enumerate(tables):
-                at = np.minimum(np.searchsorted(grams, gram), len(grams) - 1)
-                off = np.where(grams[at] == gram, np.abs(place[at] - rank), places)
-                far[k] = np.bincount(row, weights=off, minlength=len(batch)) / (places * np.maximum(total, 1))
-            best = far[:-1].argmin(axis=0) if names else np.zeros(len(batch), int)
-            two = np.sort(far, axis=0)[:2]  # the last row stands for a language with none of the n-grams
-            known = (total > 0) & bool(names)
-            score = np.where(known, two[-1] / np.maximum(two[0] + two[-1], 1e-12), 0.0)
-            lang = [names[b] if k else UNKNOWN for b, k in zip(best, known, strict=True)]
+            lang, score = nearest(batch)
             yield pa.RecordBatch.from_arrays([part.column(0), pa.array(lang, pa.string()), pa.array(score)],
                                              names=schema.names)
 
     return df.mapInArrow(run, schema)
 
 
+def drop_unknown(df: DataFrame, profiles: dict[str, np.ndarray], lang_col: str = "lang", text_col: str = "text",
+                 places: int = PLACES) -> DataFrame:
+    """The rows of ``df`` whose language is known, with all their columns; a null ``lang_col`` is filled."""
+    place, schema = df.columns.index(lang_col), df.schema
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        nearest = Nearest(profiles, places)
+        for part, batch in slices(batches, text_col):
+            lang, _ = nearest(batch)
+            filled = pc.coalesce(part.column(place), pa.array(lang, part.column(place).type))
+            yield part.set_column(place, part.schema.field(place), filled).filter(
+                pa.array([x != UNKNOWN for x in lang], pa.bool_()))
+
+    return df.mapInArrow(run, schema)
+
+
+class Nearest:
+    """Language and score of texts."""
+
+    def __init__(self, profiles: dict[str, np.ndarray], places: int):
+        self.names, self.places, self.tables = sorted(profiles), places, []
+        for name in self.names:
+            order = np.argsort(profiles[name])
+            self.tables.append((profiles[name][order], order.astype("f8")))
+
+    def __call__(self, batch: list[str | None]) -> tuple[list[str], np.ndarray]:
+        names, places = self.names, self.places
+        row, gram, rank = ranked(*gram_counts(batch), places)
+        total = np.bincount(row, minlength=len(batch))
+        far = np.ones((len(names) + 1, len(batch)))
+        for k, (grams, place) in enumerate(self.tables):
+            at = np.minimum(np.searchsorted(grams, gram), len(grams) - 1)
+            off = np.where(grams[at] == gram, np.abs(place[at] - rank), places)
+            far[k] = np.bincount(row, weights=off, minlength=len(batch)) / (places * np.maximum(total, 1))
+        known = (total > 0) & bool(names)
+        best = far[:-1].argmin(axis=0) if names else np.zeros(len(batch), int)
+        two = np.sort(far, axis=0)[:2]  # the last row stands for a language with none of the n-grams
+        score = np.where(known, two[-1] / np.maximum(two[0] + two[-1], 1e-12), 0.0)
+        return [names[b] if k else UNKNOWN for b, k in zip(best, known, strict=True)], score
+
+
 def learnable(id_col: str, parts: int, held: int) -> Column:
     """Rows to learn from: not of the held-out split; a null identifier is never learned from."""
     return F.coalesce(remainder(id_col, parts) != held, F.lit(False))

@@ -302,3 +302,9 @@ def near_dedup(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     group = F.when(F.col("doc_id").isNotNull(), F.coalesce("component_id", "doc_id"))
     return found.select("doc_id", "n_shingles", group.alias("component_id"),
                         F.col("doc_id").eqNullSafe(group).alias("kept"))
+
+
+def drop_near_copies(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The rows of ``df`` that stay, one identifier of each group, with all their columns."""
+    stay = near_dedup(df, id_col, text_col).where("kept").select(F.col("doc_id").alias("__id")).distinct()
+    return df.join(stay, df[id_col].eqNullSafe(stay["__id"]), "left_semi")

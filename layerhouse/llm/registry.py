@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from layerhouse.llm import oracle, pu_quality, toxicity
+from layerhouse.llm import oracle, pii, pu_quality, toxicity
 from layerhouse.llm.inputs import remainder, table
 from layerhouse.llm.exact_dedup import exact_dedup
 from layerhouse.llm.language_id import identify, learn_profiles, learnable
@@ -35,6 +35,19 @@ def _languages(df):
         "doc_id", F.coalesce(remainder("doc_id", 4) == 2, F.lit(False)).alias("held_out"), "lang_pred", "score")
 
 
+def _personal(df):
+    """Counts and digest of the base spans, and all spans as text."""
+    def joined(spans):
+        return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
+
+    def count(kind):
+        return F.size(F.filter("base", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
+    counts = [count(kind) for kind in pii.KINDS]
+    return pii.find(df, pii.learn(df)).select(
+        "doc_id", *counts, F.sha2(joined("base"), 256).alias("base_sha256"), joined("spans").alias("spans"))
+
+
 def _packed(df):
     return pack(df, public_tokenizers.path("word_bpe_49k.json"))
 
@@ -55,6 +68,7 @@ QUERIES = {
     "op1_sentencepiece": _documents(_encoded),
     "op2_minhash": _documents(near_dedup),
     "op3_language_id": _documents(_languages),
+    "op4_pii": _documents(_personal),
     "op5_exact_dedup": _documents(exact_dedup),
     "op6_quality_rules": _documents(lambda df: quality_rules(df).drop("failed")),
     "op7_packing": _documents(_packed),
@@ -66,6 +80,7 @@ QUERIES = {
 ORACLE = {
     "op2_minhash": _documents(near_dedup),
     "op3_language_id": _documents(_languages),
+    "op4_pii": _documents(_personal),
     "op5_exact_dedup": oracle.EXACT_DEDUP,
     "op6_quality_rules": oracle.quality_rules(),
 }
