@@ -10,7 +10,6 @@ import datetime as dt
 from collections.abc import Callable
 from dataclasses import dataclass
 from functools import cached_property
-from uuid import uuid4
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
@@ -19,7 +18,7 @@ from layerhouse.plans import (
     tms_dim, tms_dwd, tms_dws,
 )
 from layerhouse.plans.tms_ads import SPANS
-from layerhouse.session import shared_dir, written
+from layerhouse.session import scratch, written
 from layerhouse.sources.warehouse import Warehouse
 from layerhouse.streaming import cdc
 
@@ -109,13 +108,17 @@ class Layers(Warehouse):
     def tms_milestone(self, step: tms_dwd.Milestone) -> DataFrame:
         return tms_dwd.milestone(self.order_cargo, self.tms_order_info, self.tms_dic, step)
 
+    @cached_property
+    def open_orders(self) -> DataFrame | None:
+        """The stored open partition of the order process, where a load binds it."""
+        return None
+
     def tms_from_open(self, step: tms_dwd.Milestone) -> DataFrame:
-        """Daily load at the run day: rows placed before it are open, the rest are new."""
-        placed = self.tms_order
-        return tms_dwd.milestone_from_open(
-            placed.where(F.col("dt") < F.lit(self.order_day)), placed.where(F.col("dt") >= F.lit(self.order_day)),
-            self.tms_order_info, self.tms_dic, step,
-        )
+        """Daily load: the stored open waybills and those the order fact has for the day.
+
+        Without a stored partition every waybill of the fact is still to be looked at.
+        """
+        return tms_dwd.milestone_from_open(self.open_orders, self.tms_order, self.tms_order_info, self.tms_dic, step)
 
     @cached_property
     def trips(self) -> DataFrame:
@@ -523,12 +526,14 @@ _add("dt7_dws_activity_effect", "activity_id:s activity_name:s status:s discount
 _add("dt8_dws_agent_performance", "service_id:s dt:s total_send_count:l total_send_amount:l total_verify_count:l total_verify_amount:d conversion_rate:d",
      lambda w: w.agent_1d)
 _TOOL = "time_type:s start_date:s end_date:s total_send_count:l total_send_amount:l total_pay_count:l total_pay_amount:d pay_customer_num:l avg_pay_per_customer:d"
-_add("dt9_ads_tool_overview", _TOOL, lambda w: discount.tool_overview(w.activity_1d, w.verified, w.event_day))
-_add("dt9_ads_tool_overview_rows", _TOOL,
-     lambda w: discount.tool_overview(w.activity_1d, w.verified, w.event_day, "rows"))
+_FRAMES = {"": ("range", discount.ENDS), "_rows": ("rows", discount.ENDS), "_last7": ("range", 7), "_rows_last7": ("rows", 7)}
+for _suffix, _how in _FRAMES.items():  # the last 7 ends show that windows reach back before the first end
+    _add(f"dt9_ads_tool_overview{_suffix}", _TOOL,
+         lambda w, how=_how: discount.tool_overview(w.activity_1d, w.verified, w.event_day, *how))
 _AGENT = "service_id:s time_type:s start_date:s end_date:s send_count:l send_amount:l pay_count:l pay_amount:d conversion_rate:d"
-_add("dt10_ads_agent_detail", _AGENT, lambda w: discount.agent_windows(w.agent_1d, w.event_day))
-_add("dt10_ads_agent_detail_rows", _AGENT, lambda w: discount.agent_windows(w.agent_1d, w.event_day, "rows"))
+for _suffix, _how in _FRAMES.items():
+    _add(f"dt10_ads_agent_detail{_suffix}", _AGENT,
+         lambda w, how=_how: discount.agent_windows(w.agent_1d, w.event_day, *how))
 
 _add("mm1_ods_visit_log", "log_id:s user_id:s product_id:s visit_time:s terminal:s stay_time:i is_click:i",
      lambda w: w.visit_log)
@@ -572,11 +577,10 @@ _add("rk7_ads_price_warning", "goods_id:s goods_name:s warn_reason:s warn_date:s
 
 
 def _current_profiles(w: Layers) -> DataFrame:
-    root = f"{shared_dir(w.spark)}/cdc-{uuid4().hex}"
+    root, row = scratch(w.spark, "cdc"), "id bigint, state string, balance decimal(16,2)"
     w.change_log.write.text(f"{root}/log")
-    changes = cdc.read_changes(w.spark, f"{root}/log", "id bigint, state string, balance decimal(16,2)")
-    cdc.run(changes, "id", f"{root}/state", f"{root}/progress")
-    return cdc.current(w.spark, f"{root}/state")
+    cdc.run(cdc.read_changes(w.spark, f"{root}/log", row), "id", f"{root}/state", f"{root}/progress")
+    return cdc.current(w.spark, f"{root}/state", row)
 
 
 def _sealed(w: Layers) -> DataFrame:
@@ -593,3 +597,29 @@ _add("c1_cdc_current_state", "id:l state:s balance:d", _current_profiles)
 _add("c2_column_round_trip", "event_id:l payload:s", _opened)
 _add("c3_telemetry", "event_id:l vehicle_no:s report_time:s lon:d lat:d altitude:i direction:i acc:i door:i alarms:s",
      lambda w: security.telemetry(_opened(w)))
+
+# ---------------------------------------------------------------- snapshot dates
+
+#: Tables that hold a state and not events: their rows carry the day of the snapshot, so that each
+#: load writes its own partition.  Validity intervals are stored by the day they end.
+SNAPSHOTS = {
+    **dict.fromkeys((
+        "e1_dim_activity", "e2_dim_coupon", "e4_dim_promotion_pos", "e5_dim_promotion_refer", "e6_dim_province",
+        "e7_dim_sku", "e12_dwd_cart_full", "e31_dws_user_login_td"), "event_day"),
+    **dict.fromkeys((
+        "e20_dws_province_order_nd", "e28_dws_user_sku_order_nd", "l24_dws_org_cargo_order_nd", "l26_dws_org_receive_nd",
+        "l28_dws_dispatch_nd", "l32_dws_org_deliver_nd", "l34_dws_org_sort_nd", "l36_dws_shift_trips_nd"), "order_day"),
+    **dict.fromkeys((
+        "e25_dws_user_order_td", "l1_dim_complex", "l2_dim_organ", "l3_dim_region", "l4_dim_express_courier", "l5_dim_shift",
+        "l6_dim_truck_driver", "l7_dim_truck", "l29_dws_dispatch_td", "l30_dws_bound_finish_td"), "last_day"),
+    **dict.fromkeys(("e8_dim_user_zip", "l8_dim_user_zip", "l9_dim_user_address_zip"), "end_date"),
+}
+
+
+def _dated(build: Callable[[Layers], DataFrame], day: str) -> Callable[[Layers], DataFrame]:
+    return lambda w: build(w).withColumn("dt", F.col(day) if day == "end_date" else F.lit(getattr(w, day)))
+
+
+for _name, _day in SNAPSHOTS.items():
+    _query = QUERIES[_name]
+    QUERIES[_name] = Query(f"{_query.contract} dt:s", _dated(_query.build, _day))

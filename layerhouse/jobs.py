@@ -3,12 +3,14 @@
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Mapping
+from collections.abc import Callable, Iterable, Mapping
+from uuid import uuid4
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from layerhouse.catalog import QUERIES, Layers
-from layerhouse.functions.times import business_date
+from layerhouse.catalog import QUERIES, Layers, Query
+from layerhouse.functions.times import OPEN_END, business_date
+from layerhouse.session import written
 from layerhouse.sources import tables
 
 
@@ -36,16 +38,93 @@ class Stored(Layers):
             self.__dict__[attribute] = df
 
 
-def load(name: str, layers: Layers, table: str, fmt: str = "parquet") -> int:
+#: Keys of tables whose rows arrive after their day: a load merges them into the day's partition.
+LATE = {
+    "e14_dwd_pay_detail": ["id"],
+    "l10_dwd_order_detail": ["id"], "l11_dwd_pay_suc": ["id"], "l12_dwd_order_cancel": ["id"],
+    "l13_dwd_receive": ["id"], "l14_dwd_dispatch": ["id"], "l15_dwd_bound_finish": ["id"],
+    "l16_dwd_deliver_suc": ["id"], "l17_dwd_sign": ["id"], "l19_dwd_trans_finish": ["id"],
+    "l20_dwd_inbound": ["id"], "l21_dwd_sort": ["id"], "l22_dwd_outbound": ["id"],
+}
+
+#: Keys of accumulating tables: a row stays in the open partition until it moves to its end date's.
+ACCUMULATING = {"e15_dwd_trade_flow": ["order_id"], "l18_dwd_order_process": ["id"]}
+
+#: Keys of report histories besides ``dt``.
+HISTORY = {
+    "l37_ads_trans_order_stats": ["recent_days"], "l38_ads_trans_stats": ["recent_days"], "l39_ads_trans_order_stats_td": [],
+    "l40_ads_order_stats": ["recent_days"], "l41_ads_order_cargo_stats": ["recent_days", "cargo_type"],
+    "l42_ads_city_stats": ["recent_days", "city_id"], "l43_ads_org_stats": ["recent_days", "org_id"],
+    "l44_ads_shift_stats": ["recent_days", "shift_id"], "l45_ads_line_stats": ["recent_days", "line_id"],
+    "l46_ads_driver_stats": ["recent_days", "driver_emp_id"], "l47_ads_truck_stats": ["recent_days", "truck_model_type"],
+    "l48_ads_express_stats": ["recent_days"], "l49_ads_express_province_stats": ["recent_days", "province_id"],
+    "l50_ads_express_city_stats": ["recent_days", "city_id"], "l51_ads_express_org_stats": ["recent_days", "org_id"],
+}
+
+
+def load(name: str, layers: Layers, table: str, fmt: str = "parquet", days: Iterable[dt.date | str] = ()) -> int:
     """Write a query's result to ``table``; returns the rows written.
 
-    A result with a ``dt`` column replaces the partitions it has rows for (so re-runs are
-    idempotent, and a late milestone lands in its own day); any other replaces the table.
+    Rows that arrive late are merged into their day by key, rows of accumulating tables move from the
+    open partition to their end date, report histories replace rows of the same keys.  Other results
+    replace the partitions they have rows for, and empty those of ``days`` that they have none for; a
+    result without ``dt`` replaces the table.  A repeated load changes nothing.
     """
-    df: DataFrame = QUERIES[name].frame(layers)
+    return store(name, QUERIES[name].frame(layers), table, fmt, days)
+
+
+def store(name: str, df: DataFrame, table: str, fmt: str = "parquet", days: Iterable[dt.date | str] = ()) -> int:
+    """``load`` of rows that are already there."""
     spark = df.sparkSession
     if "dt" not in df.columns:
         return tables.save_table(df, table, fmt=fmt)
     df = df.select(*[c for c in df.columns if c != "dt"], "dt")
     tables.create_table(spark, table, df.schema, fmt=fmt)
-    return tables.overwrite_partitions(df, table)
+    if name in LATE:
+        return tables.merge_rows(df, table, LATE[name])
+    if name in ACCUMULATING:
+        return tables.merge_rows(df, table, ACCUMULATING[name], also=[OPEN_END])
+    if name in HISTORY:
+        return tables.merge_history(df, table, ["dt", *HISTORY[name]])
+    return tables.replace_days(df, table, days)
+
+
+def two_loads(name: str, layers: Layers, early: Callable[[DataFrame], DataFrame], late: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """Load a table twice, the second load also repeated, and read it back whole.
+
+    ``early`` and ``late`` give the rows that are known at each load.
+    """
+    spark, table = layers.spark, f"load_{uuid4().hex}"
+    whole = written(QUERIES[name].frame(layers))
+    try:
+        for rows in (early, late, late):
+            store(name, rows(whole), table)
+        return written(spark.table(table))
+    finally:
+        spark.sql(f"DROP TABLE IF EXISTS {table}")
+
+
+def _half(parity: int) -> Callable[[DataFrame], DataFrame]:
+    return lambda df: df.where(F.pmod(F.xxhash64("id"), F.lit(2)) == parity)
+
+
+def _still_open(*unknown: str) -> Callable[[DataFrame], DataFrame]:
+    """Every row before anything was finished: in the open partition, the end unknown."""
+    def rows(df: DataFrame) -> DataFrame:
+        end = {c: F.lit(OPEN_END).cast(df.schema[c].dataType) for c in ("dt", "end_date") if c in df.columns}
+        return df.withColumns({**{c: F.lit(None).cast(df.schema[c].dataType) for c in unknown}, **end})
+
+    return rows
+
+
+def _closed(df: DataFrame) -> DataFrame:
+    return df.where(F.col("dt") != F.lit(OPEN_END).cast(df.schema["dt"].dataType))
+
+
+def _register(name: str, of: str, early: Callable, late: Callable) -> None:
+    QUERIES[name] = Query(QUERIES[of].contract, lambda w: two_loads(of, w, early, late))
+
+
+_register("l16_late_rows_load", "l16_dwd_deliver_suc", _half(0), _half(1))
+_register("l18_two_day_load", "l18_dwd_order_process", _still_open(), _closed)
+_register("e15_two_day_load", "e15_dwd_trade_flow", _still_open("finish_date", "finish_time"), _closed)

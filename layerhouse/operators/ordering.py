@@ -46,7 +46,8 @@ def number_rows(
         Window.unboundedPreceding, -1
     )
     runs = runs.withColumn("__before", F.coalesce(F.sum("__n").over(earlier), F.lit(0))).drop("__n")
-    joined = _meet(placed, runs, ["__task", *keys])
+    # without keys there is one offset per task, which travels to the rows instead of the rows to it
+    joined = _meet(placed, runs, ["__task", *keys]) if keys else placed.join(F.broadcast(runs), "__task")
     number = F.col("__before") + F.col("__at") - F.col("__first") + 1
     return joined.select(*df.columns, number.alias(into))
 

@@ -17,6 +17,9 @@ FIXED_DISCOUNT = "固定优惠"
 CUSTOM_DISCOUNT = "自定义优惠"
 WINDOWS = {"day": 1, "7days": 7, "30days": 30}
 
+#: Days of window ends that the reports show.
+ENDS = 31
+
 
 def sends_with_expiry(sends: DataFrame) -> DataFrame:
     """Expiry from the send time and the validity in hours."""
@@ -108,21 +111,27 @@ def agent_daily(sends: DataFrame, verify: DataFrame) -> DataFrame:
     )
 
 
-def _windows(daily: DataFrame, key: str, measures: list[str], as_of: dt.date, frame: str) -> DataFrame:
-    """Day, 7-day and 30-day totals per key for each day of the last 30."""
-    recent = daily.where(within(F.col("dt"), as_of, 31))
-    return moving(recent, [key], measures, WINDOWS, frame=frame)
+def _windows(daily: DataFrame, key: str, measures: list[str], as_of: dt.date, frame: str, ends: int) -> DataFrame:
+    """Day, 7-day and 30-day totals per key for the window ends of the last ``ends`` days.
+
+    The windows are computed on all days they reach back to: of calendar days that is the longest
+    window more, of days with data it is the whole history.
+    """
+    read = (within(F.col("dt"), as_of, ends + max(WINDOWS.values()) - 1) if frame == "range"
+            else F.col("dt") <= F.lit(as_of))
+    rows = moving(daily.where(read), [key], measures, WINDOWS, frame=frame)
+    return rows.where(within(F.col("end_date"), as_of, ends))
 
 
 def tool_overview(
-    daily: DataFrame, verify: DataFrame, as_of: dt.date, frame: str = "range"
+    daily: DataFrame, verify: DataFrame, as_of: dt.date, frame: str = "range", ends: int = ENDS
 ) -> DataFrame:
     """Totals of all activities per window end, with the distinct paying customers of the window.
 
     ``rows`` frames count days with data, ``range`` frames count calendar days.
     """
     measures = ["daily_send_count", "daily_send_amount", "daily_verify_count", "daily_verify_amount"]
-    totals = _windows(daily, "activity_id", measures, as_of, frame).groupBy(
+    totals = _windows(daily, "activity_id", measures, as_of, frame, ends).groupBy(
         "time_type", "start_date", "end_date"
     ).agg(
         F.sum("daily_send_count").alias("total_send_count"),
@@ -131,7 +140,7 @@ def tool_overview(
         F.sum("daily_verify_amount").alias("total_pay_amount"),
     )
     rows = lookup(
-        totals, window_customers(verify, as_of),
+        totals, window_customers(verify, as_of, ends),
         {"time_type": "time_type", "end_date": "end_date"}, ["pay_customer_num"],
     ).withColumn("pay_customer_num", F.coalesce("pay_customer_num", F.lit(0)))
     return rows.withColumn(
@@ -139,36 +148,36 @@ def tool_overview(
     )
 
 
-def window_customers(verify: DataFrame, as_of: dt.date) -> DataFrame:
-    """Distinct paying customers of every day, 7-day and 30-day window.
+def window_customers(verify: DataFrame, as_of: dt.date, ends: int = ENDS) -> DataFrame:
+    """Distinct paying customers of every day, 7-day and 30-day window that ends in the last ``ends`` days.
 
     Each (customer, day) counts for the window ends it reaches that no later day of the same
     customer already covers, so the count is a sum and no customer is repeated per window.
     """
     paid = verify.where(F.col("customer_id").isNotNull()).select(
         "customer_id", F.to_date("verify_time").alias("day")
-    ).where(within(F.col("day"), as_of, 31)).distinct()
+    ).where(within(F.col("day"), as_of, ends + max(WINDOWS.values()) - 1)).distinct()
     following = F.lead("day").over(Window.partitionBy("customer_id").orderBy("day"))
     paid = paid.withColumn("next", F.coalesce(following, F.lit(OPEN_END)))
-    ends = F.explode(F.array(*[
+    reached = F.explode(F.array(*[
         F.struct(
             F.lit(name).alias("time_type"),
             F.least(F.date_add("day", days - 1), F.date_sub("next", 1), F.lit(as_of)).alias("last"),
         )
         for name, days in WINDOWS.items()
     ]))
-    counted = paid.select("day", ends.alias("e")).groupBy("e.time_type", "day", "e.last").agg(
+    counted = paid.select("day", reached.alias("e")).groupBy("e.time_type", "day", "e.last").agg(
         F.count("*").alias("n")
     )
     return counted.select("time_type", "n", F.explode(F.sequence("day", "last")).alias("end_date")).groupBy(
         "time_type", "end_date"
-    ).agg(F.sum("n").alias("pay_customer_num"))
+    ).agg(F.sum("n").alias("pay_customer_num")).where(within(F.col("end_date"), as_of, ends))
 
 
-def agent_windows(daily: DataFrame, as_of: dt.date, frame: str = "range") -> DataFrame:
+def agent_windows(daily: DataFrame, as_of: dt.date, frame: str = "range", ends: int = ENDS) -> DataFrame:
     """Day, 7-day and 30-day totals and conversion per agent."""
     measures = ["total_send_count", "total_send_amount", "total_verify_count", "total_verify_amount"]
-    rows = _windows(daily, "service_id", measures, as_of, frame)
+    rows = _windows(daily, "service_id", measures, as_of, frame, ends)
     return rows.select(
         "service_id", "time_type", "start_date", "end_date",
         F.col("total_send_count").alias("send_count"), F.col("total_send_amount").alias("send_amount"),

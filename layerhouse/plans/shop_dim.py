@@ -158,8 +158,9 @@ def close_out(current: DataFrame, snapshot: DataFrame, as_of: dt.date, key: str
     """Fold a new snapshot into a validity-interval dimension.
 
     Unchanged rows stay open; a changed row closes the day before ``as_of`` and reopens with the
-    new values; new keys open; keys gone from the snapshot stay open.  One aggregation by key: an
-    open row and its new version meet in the same group, which holds at most two rows.
+    new values; new keys open; keys gone from the snapshot stay open.  A row that opened on ``as_of``
+    itself is replaced by the corrected one: there was no day on which it held.  One aggregation by
+    key: an open row and its new version meet in the same group, which holds at most two rows.
     """
     values = [c for c in current.columns if c not in (key, "start_date", "end_date")]
     closed = current.where(F.col("end_date") != F.lit(OPEN_END))
@@ -182,7 +183,9 @@ def close_out(current: DataFrame, snapshot: DataFrame, as_of: dt.date, key: str
             F.col(f"{source}.v").alias("v"), F.col(f"{source}.start_date").alias("start_date"),
             F.lit(end).alias("end_date"),
         )
-    kept = F.when(changed, F.array(
+    kept = F.when(changed & (F.col("old.start_date") >= F.lit(as_of)), F.array(
+        version("now", OPEN_END)
+    )).when(changed, F.array(
         version("old", as_of - dt.timedelta(days=1)), version("now", OPEN_END)
     )).when(F.col("old").isNull(), F.array(version("now", OPEN_END))).otherwise(
         F.array(version("old", OPEN_END))

@@ -95,17 +95,21 @@ def milestone(
 
 
 def milestone_from_open(
-    open_rows: DataFrame, new_rows: DataFrame, orders: DataFrame, dic: DataFrame, step: Milestone
+    open_rows: DataFrame | None, new_rows: DataFrame, orders: DataFrame, dic: DataFrame, step: Milestone
 ) -> DataFrame:
     """Daily load of a milestone: waybills still open, plus those placed today, that reached it.
 
     Both inputs carry the columns of ``order_detail``; status, payment and time come from the
-    changed orders.
+    changed orders.  A waybill that is in both is taken from the open ones.
     """
-    carried = [c for c in open_rows.columns if c not in (
+    carried = [c for c in new_rows.columns if c not in (
         "status", "status_name", "dt", "payment_type", "payment_type_name", "start_date", "end_date"
     )]
-    pending = open_rows.select(*carried).unionByName(new_rows.select(*carried))
+    pending = new_rows.select(*carried)
+    if open_rows is not None:
+        known = open_rows.select(F.col("id").alias("open_id"))
+        pending = open_rows.select(*carried).unionByName(
+            pending.join(known, F.col("id") == F.col("open_id"), "left_anti"))
     changed = live(orders).where(step.holds(F.col("status"))).select(
         F.col("id").alias("changed_id"), "status", "payment_type",
         from_iso(F.col("update_time")).alias(step.time),

@@ -13,7 +13,7 @@ from contextlib import contextmanager
 from pyspark.sql import DataFrame, Observation, SparkSession, functions as F, types as T
 
 from layerhouse.functions.times import business_date
-from layerhouse.session import durable
+from layerhouse.session import written
 
 # ---------------------------------------------------------------- reading
 
@@ -200,22 +200,44 @@ def write_text_table(df: DataFrame, path: str) -> int:
     return _counted(df, lambda out: out.write.mode("overwrite").csv(path, sep="\t"))
 
 
-def merge_history(df: DataFrame, table: str, keys: Sequence[str]) -> int:
-    """Add report rows to a history table so that a re-run replaces rather than repeats them.
-
-    Only the partitions of the new rows are read back.  Rows with the same keys are replaced.
+def replace_days(df: DataFrame, table: str, days: Iterable[dt.date | str] = (), column: str = "dt") -> int:
+    """Replace the partitions ``df`` has rows for and empty those of ``days`` it has none for."""
+    spark = df.sparkSession
+    written_rows = overwrite_partitions(df.hint("rebalance", F.col(column)), table)
+    if days:
+        wanted = {str(business_date(d)) for d in days}
+        filled = {str(r[0]) for r in spark.table(table).where(F.col(column).cast("string").isin(*wanted)).select(
+            column).distinct().collect()}
+        for day in sorted(wanted - filled):
+            spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION (`{column}` = '{day}')")
+    return written_rows
+
+
+def merge_rows(df: DataFrame, table: str, keys: Sequence[str], also: Iterable[dt.date | str] = (), column: str = "dt") -> int:
+    """Merge rows into the partitions they belong to; returns the rows written.
+
+    Stored rows of the touched partitions stay unless their key comes again; ``also`` names further
+    partitions a key may be stored in (the open one of an accumulating table), from which it moves.
+    Only touched partitions are read and written, in one overwrite, after the result is materialised;
+    a repeated merge changes nothing.  Null keys are equal.
     """
     spark = df.sparkSession
-    target = spark.table(table).schema
-    fresh = durable(align_to(df, target))
-    days = fresh.select("dt").distinct()
-    replaced = fresh.select(*keys).distinct()
-    history = spark.table(table).join(days, "dt", "left_semi")
-    same = [history[k].eqNullSafe(replaced[k]) for k in keys]
-    kept = history.join(replaced, same, "left_anti")
-    # the partition being overwritten is also read, so the result is materialised first
-    merged = durable(align_to(kept, target).unionByName(fresh))
-    return overwrite_partitions(merged, table)
+    also = [business_date(d) for d in also]
+    fresh = written(align_to(df, spark.table(table).schema))
+    touched = fresh.select(column).distinct()
+    if also:
+        touched = touched.union(spark.createDataFrame([(d,) for d in also], "d date").select(
+            F.col("d").cast(fresh.schema[column].dataType))).distinct()
+    stored = spark.table(table).join(touched, column, "left_semi")
+    again = fresh.select(*[F.col(k).alias(f"__{k}") for k in keys]).distinct()
+    kept = stored.join(again, [F.col(k).eqNullSafe(F.col(f"__{k}")) for k in keys], "left_anti")
+    merged = written(kept.select(*fresh.columns).unionByName(fresh))
+    return replace_days(merged, table, also, column)
+
+
+def merge_history(df: DataFrame, table: str, keys: Sequence[str]) -> int:
+    """Add report rows to a history table so that a re-run replaces rather than repeats them."""
+    return merge_rows(df, table, keys)
 
 
 def _counted(df: DataFrame, write) -> int:

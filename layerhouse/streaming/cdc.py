@@ -2,13 +2,17 @@
 
 State is kept as change files, one folder per micro-batch, plus a base that compaction folds them
 into.  A batch costs its own changes rather than a rewrite of the table, and a retried batch
-replaces its own folder, so results do not depend on retries or on the order of files.
+replaces its own folder, so results do not depend on retries or on the order of files.  A base
+counts once it is complete; then the folders it holds are removed.  One that is left over, or comes
+again with a retried batch, changes nothing: the last change per key is the same.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
+from layerhouse.session import release
+
 LATEST = ["ts_ms", "seq"]
 
 
@@ -62,17 +66,43 @@ def run(
     query.awaitTermination()
 
 
-def current(spark: SparkSession, state: str, base: str | None = None) -> DataFrame:
-    """Rows of the table now: last change per key over base and change files, deletes dropped."""
-    changes = spark.read.parquet(f"{state}/changes").drop("batch")
-    if base:
-        changes = changes.unionByName(spark.read.parquet(base))
-    return latest(changes).where(~F.col("deleted")).select("row.*")
+def _folders(spark: SparkSession, parent: str, name: str, done: bool = False) -> dict[int, str]:
+    """Folders ``name=<number>`` below ``parent``; with ``done`` those of finished writes only."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    files = path(parent).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not files.exists(path(parent)):
+        return {}
+    names = [str(status.getPath().getName()) for status in files.listStatus(path(parent))]
+    found = {int(n.partition("=")[2]): f"{parent}/{n}" for n in names if n.startswith(f"{name}=")}
+    return {k: f for k, f in found.items() if not done or files.exists(path(f"{f}/_SUCCESS"))}
+
+
+def _stored(spark: SparkSession, state: str) -> tuple[list[str], int]:
+    """The newest complete base and the batch folders; the base's version (0: none)."""
+    bases = _folders(spark, f"{state}/base", "version", done=True)
+    version = max(bases, default=0)
+    batches = _folders(spark, f"{state}/changes", "batch")
+    return ([bases[version]] if version else []) + [batches[n] for n in sorted(batches)], version
+
+
+def current(spark: SparkSession, state: str, row: str) -> DataFrame:
+    """Rows of the table now: last change per key over base and change files, deletes dropped.
+
+    ``row`` is the row's schema, which an empty state has as well.
+    """
+    paths, _ = _stored(spark, state)
+    if not paths:
+        return spark.createDataFrame([], T.StructType.fromDDL(row))
+    return latest(spark.read.parquet(*paths)).where(~F.col("deleted")).select("row.*")
+
 
+def compact(spark: SparkSession, state: str) -> None:
+    """Fold base and change files into a new base; deletes stay, so late changes still lose.
 
-def compact(spark: SparkSession, state: str, into: str, base: str | None = None) -> None:
-    """Fold base and change files into a new base; deletes stay, so late changes still lose."""
-    changes = spark.read.parquet(f"{state}/changes").drop("batch")
-    if base:
-        changes = changes.unionByName(spark.read.parquet(base))
-    latest(changes).write.mode("overwrite").parquet(into)
+    What was folded is removed once the new base is complete; not to be run beside ``run``.
+    """
+    paths, version = _stored(spark, state)
+    if paths:
+        latest(spark.read.parquet(*paths)).write.mode("overwrite").parquet(f"{state}/base/version={version + 1}")
+        for folder in paths:
+            release(spark, folder)

@@ -8,15 +8,25 @@ from __future__ import annotations
 
 import re
 
+from layerhouse.catalog import SNAPSHOTS
+from layerhouse.sources.warehouse import EVENT_DAY, LAST_DAY, ORDER_DAY
 from oracle.bodies import BODIES
 from oracle.raw import RAW
 
+SNAPSHOT_DAYS = {
+    "event_day": f"DATE '{EVENT_DAY}'", "order_day": f"DATE '{ORDER_DAY}'", "last_day": f"DATE '{LAST_DAY}'", "end_date": "end_date",
+}
+
 _CASTS = {
     "i": "CAST({c} AS INTEGER)", "l": "CAST({c} AS BIGINT)", "d": "CAST({c} AS DOUBLE)",
     "s": "CAST({c} AS VARCHAR)", "b": "CAST({c} AS BOOLEAN)",
 }
 
 
+#: Snapshots: the partition a load writes, as SQL.
+_DAYS = {name: SNAPSHOT_DAYS[day] for name, day in SNAPSHOTS.items()}
+
+
 def _needed(text: str, found: set[str]) -> set[str]:
     for word in set(re.findall(r"\b[a-z0-9_]+\b", text)) & RAW.keys() - found:
         found.add(word)
@@ -28,6 +38,9 @@ def assemble(name: str, columns: list[tuple[str, str]]) -> str:
     body = BODIES[name].strip()
     views = [v for v in RAW if v in _needed(body, set())]
     ctes = ",\n".join(f"{v} AS ({RAW[v].strip()})" for v in views)
-    casts = ", ".join(f"{_CASTS[kind].format(c=column)} AS {column}" for column, kind in columns)
+    values = {column: column for column, _ in columns}
+    if day := _DAYS.get(name):
+        values["dt"] = day
+    casts = ", ".join(f"{_CASTS[kind].format(c=values[column])} AS {column}" for column, kind in columns)
     head = f"WITH {ctes},\n" if ctes else "WITH "
     return f"{head}answer AS ({body})\nSELECT {casts} FROM answer"

@@ -365,32 +365,28 @@ add("dt7_dws_activity_effect", "SELECT * FROM activity_days")
 add("dt8_dws_agent_performance", f"""
 SELECT service_id, dt, send_count AS total_send_count, send_amount AS total_send_amount, pay_count AS total_verify_count, pay_amount AS total_verify_amount,
  {half_up('pay_count', 'send_count', 4)} AS conversion_rate FROM agent_days""")
-RECENT = f"dt BETWEEN {EVENT_DAY} - 30 AND {EVENT_DAY}"
-
-
-def frames(source: str, key: str, measures: list[str], how: str = "range") -> str:
+def frames(source: str, key: str, measures: list[str], how: str = "range", ends: int = 31) -> str:
     parts = []
     for name, n in (("day", 1), ("7days", 7), ("30days", 30)):
         frame = (f"RANGE BETWEEN INTERVAL {n - 1} DAY PRECEDING AND CURRENT ROW" if how == "range"
                  else f"ROWS BETWEEN {n - 1} PRECEDING AND CURRENT ROW")
         sums = ", ".join(f"sum({m}) OVER w AS {m}" for m in measures)
-        parts.append(f"""SELECT {key}, '{name}' AS time_type, dt - {n - 1} AS start_date, dt AS end_date, {n} AS days, {sums} FROM {source} WHERE {RECENT}
- WINDOW w AS (PARTITION BY {key} ORDER BY dt {frame})""")
+        parts.append(f"""SELECT * FROM (SELECT {key}, '{name}' AS time_type, dt - {n - 1} AS start_date, dt AS end_date, {n} AS days, {sums} FROM {source}
+ WINDOW w AS (PARTITION BY {key} ORDER BY dt {frame})) WHERE end_date BETWEEN {EVENT_DAY} - {ends - 1} AND {EVENT_DAY}""")
     return " UNION ALL ".join(parts)
 
 
-for name, how in (("dt9_ads_tool_overview", "range"), ("dt9_ads_tool_overview_rows", "rows")):
-    add(name, f"""
-WITH f AS ({frames('activity_days', 'activity_id', ['daily_send_count', 'daily_send_amount', 'daily_verify_count', 'daily_verify_amount'], how)}),
+for suffix, how, ends in (("", "range", 31), ("_rows", "rows", 31), ("_last7", "range", 7), ("_rows_last7", "rows", 7)):
+    add(f"dt9_ads_tool_overview{suffix}", f"""
+WITH f AS ({frames('activity_days', 'activity_id', ['daily_send_count', 'daily_send_amount', 'daily_verify_count', 'daily_verify_amount'], how, ends)}),
  t AS (SELECT time_type, start_date, end_date, days, sum(daily_send_count) AS total_send_count, sum(daily_send_amount) AS total_send_amount,
   sum(daily_verify_count) AS total_pay_count, sum(daily_verify_amount) AS total_pay_amount FROM f GROUP BY ALL),
  c AS (SELECT t.time_type, t.end_date, count(DISTINCT v.customer_id) AS n FROM t LEFT JOIN verified v
-  ON v.dt BETWEEN t.end_date - (t.days - 1) AND t.end_date AND v.{RECENT} GROUP BY ALL)
+  ON v.dt BETWEEN t.end_date - (t.days - 1) AND t.end_date GROUP BY ALL)
 SELECT t.*, c.n AS pay_customer_num, {half_up('total_pay_amount * 100', 'c.n * 100', 2)} AS avg_pay_per_customer
 FROM t JOIN c ON t.time_type = c.time_type AND t.end_date = c.end_date""")
-for name, how in (("dt10_ads_agent_detail", "range"), ("dt10_ads_agent_detail_rows", "rows")):
-    add(name, f"""SELECT *, {half_up('pay_count', 'send_count', 4)} AS conversion_rate
-FROM ({frames('agent_days', 'service_id', ['send_count', 'send_amount', 'pay_count', 'pay_amount'], how)})""")
+    add(f"dt10_ads_agent_detail{suffix}", f"""SELECT *, {half_up('pay_count', 'send_count', 4)} AS conversion_rate
+FROM ({frames('agent_days', 'service_id', ['send_count', 'send_amount', 'pay_count', 'pay_amount'], how, ends)})""")
 add("mm1_ods_visit_log", "SELECT *, visit_id AS log_id FROM visits")
 add("mm2_ods_product_order", "SELECT *, dt AS order_date FROM trades")
 add("mm3_dwd_visit", "SELECT * FROM visits")
@@ -433,3 +429,8 @@ add("c3_telemetry", f"""
 SELECT event_id, 'V' || user_id AS vehicle_no, {stamp('ts')} AS report_time, 114 + k / 100 AS lon, 22 + k / 100 AS lat, k * 2 AS altitude, k * 3 AS direction,
  CASE WHEN event_type = 'click' THEN 1 ELSE 0 END AS acc, CASE WHEN event_type = 'view' THEN 1 ELSE 0 END AS door,
  CASE WHEN k < 29 THEN [{', '.join(f"'{a}'" for a in ALARMS)}][k + 1] ELSE '' END AS alarms FROM ev""")
+
+# what loads leave behind is the whole table
+for name, of in (("l16_late_rows_load", "l16_dwd_deliver_suc"), ("l18_two_day_load", "l18_dwd_order_process"),
+                 ("e15_two_day_load", "e15_dwd_trade_flow")):
+    add(name, BODIES[of])

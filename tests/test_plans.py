@@ -161,17 +161,36 @@ def test_late_trips_compare_with_start_plus_shift(spark):
 
 def test_window_customers_equal_brute_force(spark):
     rng = random.Random(6)
-    data = [(rng.choice([None, *"abcdef"]), days(rng.randrange(0, 36))) for _ in range(80)]
+    data = [(rng.choice([None, *"abcdef"]), days(rng.randrange(0, 75))) for _ in range(120)]
     verify = spark.createDataFrame([(c, at(5, d)) for c, d in data], "customer_id string, verify_time timestamp")
     got = {(r.time_type, r.end_date): r.pay_customer_num for r in discount.window_customers(verify, D).collect()}
     for name, span in discount.WINDOWS.items():
         for n in range(31):
             end = days(n)
-            low = max(end - dt.timedelta(days=span - 1), days(30))
+            low = end - dt.timedelta(days=span - 1)
             want = len({c for c, d in data if c and low <= d <= end})
             assert got.get((name, end), 0) == want
 
 
+def test_windows_reach_back_before_the_first_end(spark):
+    daily = spark.createDataFrame([("s", days(n), 1, Decimal(1), 1, Decimal(1)) for n in range(70)],
+                                  "service_id string, dt date, total_send_count long, total_send_amount decimal(9,2), total_verify_count long, total_verify_amount decimal(9,2)")
+    for frame in ("range", "rows"):
+        for ends in (1, 7, 31):
+            got = discount.agent_windows(daily, D, frame, ends).collect()
+            assert len(got) == 3 * ends
+            assert all(r.send_count == discount.WINDOWS[r.time_type] == (r.end_date - r.start_date).days + 1 for r in got)
+
+
+def test_a_corrected_snapshot_of_the_same_day_replaces_its_rows(spark, rows):
+    schema = "id long, name string, start_date date, end_date date"
+    current = spark.createDataFrame([(1, "a", days(9), dt.date(9999, 12, 31)), (2, "x", D, dt.date(9999, 12, 31))], schema)
+    snapshot = spark.createDataFrame([(1, "a"), (2, "y"), (3, "z")], "id long, name string")
+    after = shop_dim.close_out(current, snapshot, D)
+    assert rows(after, "id", "name", "start_date") == [(1, "a", days(9)), (2, "y", D), (3, "z", D)]
+    assert after.where("start_date > end_date").count() == 0
+
+
 def test_activity_daily_keeps_silent_activities(spark, rows):
     activity = spark.createDataFrame([("a", "A", "on", "t"), ("b", "B", "on", "t")], "activity_id string, activity_name string, status string, discount_type string")
     sends = spark.createDataFrame([("s1", "a", 5, at(1))], "send_id string, activity_id string, send_discount_amount int, send_time timestamp")

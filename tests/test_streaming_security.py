@@ -44,9 +44,24 @@ def test_replay_in_any_file_order_gives_the_same_table(spark, folder, rows, seed
     changes = cdc.read_changes(spark, f"{folder}/log", ROW, files_per_batch=3)
     cdc.run(changes, "id", f"{folder}/state", f"{folder}/progress")
     assert len(os.listdir(f"{folder}/state/changes")) >= 3
-    assert rows(cdc.current(spark, f"{folder}/state")) == FINAL
-    cdc.compact(spark, f"{folder}/state", f"{folder}/base")
-    assert rows(cdc.current(spark, f"{folder}/state", f"{folder}/base")) == FINAL
+    assert rows(cdc.current(spark, f"{folder}/state", ROW)) == FINAL
+    cdc.compact(spark, f"{folder}/state")
+    assert os.listdir(f"{folder}/state/changes") == []
+    assert rows(cdc.current(spark, f"{folder}/state", ROW)) == FINAL
+    with open(f"{folder}/log/900.json", "w") as out:
+        out.write(json.dumps(change("u", image(4, "c", 2), image(4, "d", 5), 20, 9)))
+    cdc.run(changes, "id", f"{folder}/state", f"{folder}/progress")
+    assert rows(cdc.current(spark, f"{folder}/state", ROW)) == [*FINAL[:2], (4, "d", 5)]
+    cdc.compact(spark, f"{folder}/state")
+    cdc.compact(spark, f"{folder}/state")
+    assert len(os.listdir(f"{folder}/state/base")) == 1
+    assert rows(cdc.current(spark, f"{folder}/state", ROW)) == [*FINAL[:2], (4, "d", 5)]
+
+
+def test_a_state_without_batches_is_empty(spark, folder):
+    assert cdc.current(spark, f"{folder}/state", ROW).collect() == []
+    cdc.compact(spark, f"{folder}/state")
+    assert cdc.current(spark, f"{folder}/state", ROW).columns == ["id", "name", "n"]
 
 
 def test_a_restart_continues_and_a_retried_batch_changes_nothing(spark, folder, rows):
@@ -61,12 +76,12 @@ def test_a_restart_continues_and_a_retried_batch_changes_nothing(spark, folder,
 
     land("a", LOG[:4])
     go(f"{folder}/progress")
-    assert rows(cdc.current(spark, f"{folder}/state")) == [(1, "a2", 2)]
+    assert rows(cdc.current(spark, f"{folder}/state", ROW)) == [(1, "a2", 2)]
     land("b", LOG[4:])
     go(f"{folder}/progress")
-    assert rows(cdc.current(spark, f"{folder}/state")) == FINAL
+    assert rows(cdc.current(spark, f"{folder}/state", ROW)) == FINAL
     go(f"{folder}/progress-lost")  # everything again, as batch 0
-    assert rows(cdc.current(spark, f"{folder}/state")) == FINAL
+    assert rows(cdc.current(spark, f"{folder}/state", ROW)) == FINAL
 
 
 @pytest.fixture
@@ -89,6 +104,18 @@ def test_the_key_is_not_in_printed_plans(texts, capsys):
     assert "redacted" in printed and key.hex() not in printed
 
 
+def test_a_pattern_of_the_session_does_not_show_the_key(spark, texts, capsys):
+    before = spark.conf.get(security.REDACTION, None)
+    spark.conf.set(security.REDACTION, "(?i)password")
+    try:
+        key = secrets.token_bytes(32)
+        security.encrypt(texts.withColumn("p", F.lit("PASSWORD")), "t", key).explain(True)
+        printed = capsys.readouterr().out.lower()
+        assert key.hex() not in printed and "password" not in printed
+    finally:
+        spark.conf.set(security.REDACTION, before) if before else spark.conf.unset(security.REDACTION)
+
+
 def test_iv_is_random(texts):
     key = secrets.token_bytes(32)
     twice = [security.encrypt(texts, "t", key).where("id = 1").first().t for _ in range(2)]
