@@ -58,6 +58,10 @@ class Layers(Warehouse):
     def page_view(self) -> DataFrame:
         return shop_dwd.page_view(self.z_log)
 
+    def page_view_in(self, days: int) -> DataFrame:
+        """Page views from the log lines of the days up to the run day alone."""
+        return shop_dwd.page_view(shop_dwd.recent_log(self.z_log, self.event_day, days))
+
     @cached_property
     def login(self) -> DataFrame:
         return shop_dwd.user_login(self.z_log)
@@ -373,7 +377,7 @@ _add("e37_ads_order_by_brand", f"dt:s recent_days:i {_BRAND} order_count:l order
 _add("e38_ads_order_to_pay_interval", "dt:s order_to_pay_interval_avg:l",
      lambda w: shop_ads.order_to_pay_interval(w.trade_flow, w.last_day))
 _add("e39_ads_page_path", "dt:s source:s target:s path_count:l",
-     lambda w: shop_ads.page_path(w.page_view, w.event_day))
+     lambda w: shop_ads.page_path(w.page_view_in(1), w.event_day))
 _add("e40_ads_repeat_purchase_by_brand", f"dt:s recent_days:i {_BRAND} order_repeat_rate:d",
      lambda w: shop_ads.repeat_purchase_by_brand(w.user_sku_1d, w.order_day))
 _add("e41_ads_cart_top3_by_category", f"dt:s {_CATEGORY} sku_id:l sku_name:s cart_num:l rk:i",
@@ -381,16 +385,16 @@ _add("e41_ads_cart_top3_by_category", f"dt:s {_CATEGORY} sku_id:l sku_name:s car
 _add("e42_ads_favor_top3_by_brand", f"dt:s {_BRAND} sku_id:l sku_name:s favor_add_count_1d:l rk:i",
      lambda w: shop_ads.favor_top3_by_brand(w.favor_1d, w.event_day))
 _add("e43_ads_traffic_by_channel", "dt:s recent_days:i channel:s uv_count:l avg_duration_sec:l avg_page_count:l sv_count:l bounce_rate:d",
-     lambda w: shop_ads.traffic_by_channel(shop_dws.session_page_1d(w.page_view), w.event_day))
+     lambda w: shop_ads.traffic_by_channel(shop_dws.session_page_1d(w.page_view_in(30)), w.event_day))
 _add("e44_ads_user_action", "dt:s home_count:l good_detail_count:l cart_count:l order_count:l payment_count:l",
      lambda w: shop_ads.user_action(
-         shop_dws.visitor_page_1d(w.page_view), w.cart_1d, w.purchase_1d,
+         shop_dws.visitor_page_1d(w.page_view_in(1)), w.cart_1d, w.purchase_1d,
          shop_dws.user_cart_1d(w.events.where(F.col("event_type") == "purchase").select(
              "user_id", F.to_date("ts").alias("dt"), F.lit(1).alias("sku_num"))),
          w.event_day))
 _add("e45_ads_user_change", "dt:s user_churn_count:l user_back_count:l",
      lambda w: shop_ads.user_change(
-         w.login_td(w.event_day), w.login_td(w.event_day - dt.timedelta(days=1)), w.event_day))
+         w.user_info, w.login, w.event_day))
 _add("e46_ads_user_retention", "dt:s create_date:s retention_day:i retention_count:l new_user_count:l retention_rate:d",
      lambda w: shop_ads.user_retention(w.login_td(w.event_day), w.event_day))
 _add("e47_ads_user_stats", "dt:s recent_days:i new_user_count:l active_user_count:l",

@@ -176,16 +176,23 @@ def user_action(
     return side_by_side(pages, *steps).withColumn("dt", F.lit(as_of))
 
 
-def user_change(today: DataFrame, yesterday: DataFrame, as_of: dt.date) -> DataFrame:
-    """Churned: last login exactly 7 days ago.  Returned: back today after 8 days or more."""
-    churn = today.where(
-        F.col("login_date_last") == F.lit(as_of - dt.timedelta(days=7))
-    ).agg(F.count("*").alias("user_churn_count"))
-    active = today.where(F.col("login_date_last") == F.lit(as_of)).select("user_id")
-    back = active.join(
-        yesterday.select("user_id", F.col("login_date_last").alias("previous")), "user_id"
-    ).where(F.datediff(F.lit(as_of), "previous") >= 8).agg(F.count("*").alias("user_back_count"))
-    return side_by_side(churn, back).withColumn("dt", F.lit(as_of))
+def user_change(users: DataFrame, logins: DataFrame, as_of: dt.date) -> DataFrame:
+    """Churned: last login exactly 7 days ago.  Returned: back today after 8 days or more.
+
+    One aggregation of the logins gives a user's last day up to ``as_of`` and up to the day before;
+    registering counts as a login.
+    """
+    before = as_of - dt.timedelta(days=1)
+    seen = logins.where(F.col("dt") <= F.lit(as_of)).groupBy(F.col("user_id").cast("bigint").alias("seen_id")).agg(
+        F.max("dt").alias("last"), F.max(F.when(F.col("dt") <= F.lit(before), F.col("dt"))).alias("previous"))
+    known = users.select("id", F.to_date("create_time").alias("first")).where(F.col("first") <= F.lit(as_of))
+    rows = lookup(known, seen, {"id": "seen_id"}, ["last", "previous"])
+    last, previous = F.coalesce("last", "first"), F.coalesce("previous", "first")
+    back = (last == F.lit(as_of)) & (F.col("first") <= F.lit(before)) & (F.datediff(F.lit(as_of), previous) >= 8)
+    return rows.agg(
+        F.count(F.when(last == F.lit(as_of - dt.timedelta(days=7)), 1)).alias("user_churn_count"),
+        F.count(F.when(back, 1)).alias("user_back_count"),
+    ).withColumn("dt", F.lit(as_of))
 
 
 def user_retention(login_td: DataFrame, as_of: dt.date) -> DataFrame:

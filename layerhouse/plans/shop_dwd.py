@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import DataFrame, functions as F
 
 from layerhouse.functions.parsing import parse_json
@@ -122,6 +124,12 @@ def parsed_log(log: DataFrame) -> DataFrame:
     return parse_json(log, "log", LOG)
 
 
+def recent_log(log: DataFrame, as_of: dt.date, days: int) -> DataFrame:
+    """Log lines stored in the span, a day more on either side for the zone: a bound before the parse."""
+    first, last = as_of - dt.timedelta(days=days), as_of + dt.timedelta(days=2)
+    return log.where((F.col("log_time") >= F.lit(first).cast("timestamp")) & (F.col("log_time") < F.lit(last).cast("timestamp")))
+
+
 def _visitor(*names: str) -> list:
     # warehouse column -> key of the log's common part
     source = {

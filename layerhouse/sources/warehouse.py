@@ -343,7 +343,7 @@ class Warehouse:
 
     @cached_property
     def z_log(self) -> DataFrame:
-        """Raw event log: one JSON text per event; error events carry no page."""
+        """Raw event log: one JSON text per event, beside the time it is stored under; error events carry no page."""
         k, user = F.col("k"), F.col("user_id")
         common = F.struct(
             (user % 25).cast("string").alias("ar"), numbered_text("brand", user % 3).alias("ba"),
@@ -366,7 +366,7 @@ class Warehouse:
             (F.col("value") * 100).cast("bigint").alias("during_time"),
         ))
         line = F.struct(common.alias("common"), page.alias("page"), F.unix_millis("ts").alias("ts"))
-        return self.events.select(F.to_json(line).alias("log"))
+        return self.events.select(F.to_json(line).alias("log"), F.col("ts").alias("log_time"))
 
     @cached_property
     def user_info(self) -> DataFrame:

@@ -81,7 +81,7 @@ def test_login_to_date_counts_registering(spark, rows):
     logins = spark.createDataFrame([("1", days(8)), ("1", days(0)), ("1", days(-1))], "user_id string, dt date")
     today = shop_dws.user_login_td(users, logins, D)
     assert rows(today) == [(1, D, days(9), 2), (2, days(3), days(3), 1)]
-    change = shop_ads.user_change(today, shop_dws.user_login_td(users, logins, days(1)), D).first()
+    change = shop_ads.user_change(users, logins, D).first()
     assert (change.user_churn_count, change.user_back_count) == (0, 1)
 
 
