@@ -19,6 +19,7 @@ from layerhouse.plans import (
 )
 from layerhouse.plans.tms_ads import SPANS
 from layerhouse.session import scratch, written
+from layerhouse.sources import files
 from layerhouse.sources.warehouse import Warehouse
 from layerhouse.streaming import cdc
 
@@ -602,6 +603,42 @@ _add("c2_column_round_trip", "event_id:l payload:s", _opened)
 _add("c3_telemetry", "event_id:l vehicle_no:s report_time:s lon:d lat:d altitude:i direction:i acc:i door:i alarms:s",
      lambda w: security.telemetry(_opened(w)))
 
+# ---------------------------------------------------------------- landing files
+
+
+def _landed(kind: str, raw: str) -> Callable[[Layers], DataFrame]:
+    """The raw rows written as landing files and loaded by their declared layout."""
+    def build(w: Layers) -> DataFrame:
+        path = scratch(w.spark, "landing")
+        files.land(getattr(w, raw), path, kind)
+        return files.load_landing(w.spark, path, kind)
+
+    return build
+
+
+for _name, _kind, _raw in (
+    ("pd1_ods_product_behaviour", "product_behaviour", "product_behaviour"),
+    ("dt2_ods_discount_verify", "discount_verify", "discount_verify"),
+    ("mm1_ods_visit_log", "product_visit", "visit_log"),
+    ("mm2_ods_product_order", "product_order", "product_order"),
+    ("rk1_ods_price_strength", "price_strength", "price_strength"),
+):
+    QUERIES[_name] = Query(QUERIES[_name].contract, _landed(_kind, _raw))
+_add("dt1_ods_discount_activity", "activity_id:s activity_name:s activity_level:s discount_type:s max_discount_amount:i start_time:s end_time:s status:s create_time:s update_time:s is_valid:i",
+     _landed("discount_activity", "discount_activity"))
+_add("dt1_ods_product_relation", "rel_id:s activity_id:s product_id:s sku_id:s fixed_discount:i max_buy_count:i add_time:s is_delete:i",
+     _landed("discount_product", "discount_product"))
+_add("mm1_ods_favourite_cart", "record_id:s user_id:s product_id:s op_type:s op_time:s add_cart_count:i terminal:s",
+     _landed("product_add", "product_add"))
+_add("mm2_ods_product", "product_id:s product_name:s category_id:s category_name:s product_price:d update_date:s",
+     _landed("product", "product"))
+_add("rk1_ods_goods_base", "goods_id:s goods_name:s category_id:s category_name:s shop_id:s is_price_strength:i",
+     _landed("goods_base", "goods_base"))
+_add("rk1_ods_goods_sales", "goods_id:s sku_id:s pay_amount:d sales_num:i pay_buyer_num:i pay_date:s",
+     _landed("goods_sales", "goods_sales"))
+_add("rk1_ods_goods_traffic", "goods_id:s traffic_source:s visitor_num:i visit_date:s",
+     _landed("goods_traffic", "goods_traffic"))
+
 # ---------------------------------------------------------------- snapshot dates
 
 #: Tables that hold a state and not events: their rows carry the day of the snapshot, so that each

@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 # Raw layouts of the landing files.
 PRODUCT_BEHAVIOUR = (
@@ -91,19 +92,47 @@ def dated(df: DataFrame, stamp: str, into: str = "dt") -> DataFrame:
     return df.withColumn(into, F.to_date(stamp))
 
 
-def load_discount_verify(spark: SparkSession, path: str) -> DataFrame:
-    return clean(
-        read_json(spark, path, DISCOUNT_VERIFY),
-        decimals={"pay_amount": "decimal(10,2)"},
-        stamps={"verify_time": "yyyy-MM-dd'T'HH:mm:ss"},
-        required=["verify_id", "send_id"],
-    )
-
-
-def load_product_orders(spark: SparkSession, path: str) -> DataFrame:
-    return clean(
-        read_json(spark, path, PRODUCT_ORDER),
-        decimals={c: "decimal(10,2)" for c in ("product_price", "buy_amount", "pay_amount")},
-        stamps={c: "yyyy-MM-dd HH:mm:ss" for c in ("pay_time", "create_time")},
-        required=["order_id", "order_date"],
-    )
+@dataclass(frozen=True)
+class Landing:
+    """How a kind of landing file is read: its layout, its format, and the clean-up of its text fields."""
+
+    schema: str
+    fmt: str = "json"
+    decimals: Mapping[str, str] = field(default_factory=dict)
+    stamps: Mapping[str, str] = field(default_factory=dict)
+    required: Sequence[str] = ()
+
+
+LANDINGS = {
+    "product_behaviour": Landing(PRODUCT_BEHAVIOUR, "csv", required=["product_id"]),
+    "discount_activity": Landing(DISCOUNT_ACTIVITY, required=["activity_id"]),
+    "discount_product": Landing(DISCOUNT_PRODUCT, required=["rel_id"]),
+    "discount_send": Landing(DISCOUNT_SEND, required=["send_id"]),
+    "discount_verify": Landing(
+        DISCOUNT_VERIFY, decimals={"pay_amount": "decimal(10,2)"}, stamps={"verify_time": "yyyy-MM-dd'T'HH:mm:ss"},
+        required=["verify_id", "send_id"]),
+    "product_visit": Landing(PRODUCT_VISIT, required=["log_id"]),
+    "product_add": Landing(PRODUCT_ADD, required=["record_id"]),
+    "product": Landing(PRODUCT, required=["product_id"]),
+    "product_order": Landing(
+        PRODUCT_ORDER, decimals={c: "decimal(10,2)" for c in ("product_price", "buy_amount", "pay_amount")},
+        stamps={c: "yyyy-MM-dd HH:mm:ss" for c in ("pay_time", "create_time")}, required=["order_id", "order_date"]),
+    "goods_base": Landing(GOODS_BASE, required=["goods_id"]),
+    "goods_sales": Landing(GOODS_SALES, required=["goods_id"]),
+    "goods_traffic": Landing(GOODS_TRAFFIC, required=["goods_id"]),
+    "price_strength": Landing(PRICE_STRENGTH, required=["goods_id"]),
+}
+
+
+def load_landing(spark: SparkSession, path: str | Sequence[str], kind: str) -> DataFrame:
+    """Landing files of a kind, read by their declared layout and cleaned."""
+    land = LANDINGS[kind]
+    df = (read_csv if land.fmt == "csv" else read_json)(spark, path, land.schema)
+    return clean(df, land.decimals, land.stamps, land.required)
+
+
+def land(df: DataFrame, path: str, kind: str) -> None:
+    """Write rows as landing files of a kind; columns the rows lack are left empty."""
+    layout = T.StructType.fromDDL(LANDINGS[kind].schema)
+    rows = df.select(*[(F.col(f.name) if f.name in df.columns else F.lit(None).cast(f.dataType)).alias(f.name) for f in layout])
+    rows.write.csv(path, header=False) if LANDINGS[kind].fmt == "csv" else rows.write.json(path)

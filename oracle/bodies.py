@@ -434,3 +434,22 @@ SELECT event_id, 'V' || user_id AS vehicle_no, {stamp('ts')} AS report_time, 114
 for name, of in (("l16_late_rows_load", "l16_dwd_deliver_suc"), ("l18_two_day_load", "l18_dwd_order_process"),
                  ("e15_two_day_load", "e15_dwd_trade_flow")):
     add(name, BODIES[of])
+
+# landing files: every raw row comes back
+add("dt1_ods_discount_activity", """
+SELECT DISTINCT 'act_' || p_size AS activity_id, 'Activity ' || p_size AS activity_name, CASE WHEN p_size < 20 THEN 'product' ELSE 'shop' END AS activity_level,
+ CASE WHEN p_size <= 25 THEN '固定优惠' ELSE '自定义优惠' END AS discount_type, p_size * 2 AS max_discount_amount, '2024-01-01 00:00:00' AS start_time,
+ '2024-12-31 00:00:00' AS end_time, 'on' AS status, '2023-12-01 00:00:00' AS create_time, '2023-12-02 00:00:00' AS update_time,
+ CASE WHEN p_size <= 45 THEN 1 ELSE 0 END AS is_valid FROM part""")
+add("dt1_ods_product_relation", """
+SELECT 'rel_' || p_partkey AS rel_id, 'act_' || p_size AS activity_id, p_partkey AS product_id, 'sku_' || p_partkey AS sku_id, p_size + 5 AS fixed_discount,
+ p_size * 3 AS max_buy_count, '2024-01-01 08:00:00' AS add_time, CASE WHEN p_type = 'PROMO' THEN 1 ELSE 0 END AS is_delete FROM part""")
+add("mm1_ods_favourite_cart", "SELECT * FROM adds")
+add("mm2_ods_product", """SELECT p_partkey AS product_id, p_name AS product_name, p_type AS category_id, lower(p_type) AS category_name,
+ CAST(p_retailprice AS DECIMAL(10,2)) AS product_price, '2024-01-01' AS update_date FROM part""")
+add("rk1_ods_goods_base", """SELECT p_partkey AS goods_id, p_name AS goods_name, p_size AS category_id, p_type AS category_name, p_brand AS shop_id,
+ CASE WHEN p_size > 25 THEN 1 ELSE 0 END AS is_price_strength FROM part""")
+add("rk1_ods_goods_sales", """SELECT l_partkey AS goods_id, 'sku_' || l_partkey AS sku_id, l_extendedprice AS pay_amount, CAST(l_quantity AS INTEGER) AS sales_num,
+ l_linenumber AS pay_buyer_num, strftime(l_shipdate, '%Y-%m-%d') AS pay_date FROM lineitem""")
+add("rk1_ods_goods_traffic", """SELECT l_partkey AS goods_id, l_returnflag AS traffic_source, CAST(l_quantity * l_linenumber + 10 AS INTEGER) AS visitor_num,
+ strftime(l_shipdate, '%Y-%m-%d') AS visit_date FROM lineitem""")

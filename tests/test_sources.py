@@ -110,7 +110,7 @@ def test_json_with_schema_and_clean_up(spark, folder):
     ]
     with open(f"{folder}/v.json", "w") as out:
         out.write("\n".join(map(json.dumps, lines)))
-    got = {r.verify_id: r for r in files.load_discount_verify(spark, f"{folder}/v.json").collect()}
+    got = {r.verify_id: r for r in files.load_landing(spark, f"{folder}/v.json", "discount_verify").collect()}
     assert set(got) == {"v1", "v2"}
     assert got["v1"].pay_amount == Decimal("124.12") and got["v1"].verify_time == dt.datetime(2025, 7, 30, 10, 0, 1)
     assert got["v2"].pay_amount is None and got["v2"].verify_time is None
@@ -120,7 +120,7 @@ def test_product_orders_keep_unpaid_rows(spark, folder):
     with open(f"{folder}/o.json", "w") as out:
         out.write(json.dumps({"order_id": "1", "order_date": "2025-06-30", "pay_time": None, "pay_amount": None,
                               "buy_amount": "3.50", "create_time": "2025-06-30 01:02:03"}))
-    row = files.dated(files.load_product_orders(spark, f"{folder}/o.json"), "create_time").first()
+    row = files.dated(files.load_landing(spark, f"{folder}/o.json", "product_order"), "create_time").first()
     assert row.pay_amount is None and row.buy_amount == Decimal("3.50") and row.dt == D2
 
 
