@@ -202,15 +202,14 @@ def write_text_table(df: DataFrame, path: str) -> int:
 
 def replace_days(df: DataFrame, table: str, days: Iterable[dt.date | str] = (), column: str = "dt") -> int:
     """Replace the partitions ``df`` has rows for and empty those of ``days`` it has none for."""
-    spark = df.sparkSession
-    written_rows = overwrite_partitions(df.hint("rebalance", F.col(column)), table)
-    if days:
-        wanted = {str(business_date(d)) for d in days}
-        filled = {str(r[0]) for r in spark.table(table).where(F.col(column).cast("string").isin(*wanted)).select(
-            column).distinct().collect()}
-        for day in sorted(wanted - filled):
-            spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION (`{column}` = '{day}')")
-    return written_rows
+    spark, wanted = df.sparkSession, {str(business_date(d)) for d in days}
+    if wanted:
+        df = written(df)  # read for its days as well
+        wanted -= {str(r[0]) for r in df.where(F.col(column).cast("string").isin(*wanted)).select(column).distinct().collect()}
+    rows = overwrite_partitions(df.hint("rebalance", F.col(column)), table)
+    for day in sorted(wanted):
+        spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION (`{column}` = '{day}')")
+    return rows
 
 
 def merge_rows(df: DataFrame, table: str, keys: Sequence[str], also: Iterable[dt.date | str] = (), column: str = "dt") -> int:
@@ -231,8 +230,9 @@ def merge_rows(df: DataFrame, table: str, keys: Sequence[str], also: Iterable[dt
     stored = spark.table(table).join(touched, column, "left_semi")
     again = fresh.select(*[F.col(k).alias(f"__{k}") for k in keys]).distinct()
     kept = stored.join(again, [F.col(k).eqNullSafe(F.col(f"__{k}")) for k in keys], "left_anti")
-    merged = written(kept.select(*fresh.columns).unionByName(fresh))
-    return replace_days(merged, table, also, column)
+    merged = kept.select(*fresh.columns).unionByName(fresh)
+    # the partitions that are overwritten are also read, so the result is materialised first
+    return replace_days(merged if also else written(merged), table, also, column)
 
 
 def merge_history(df: DataFrame, table: str, keys: Sequence[str]) -> int:

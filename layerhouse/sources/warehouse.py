@@ -14,7 +14,6 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from layerhouse.plans.discount import CUSTOM_DISCOUNT, FIXED_DISCOUNT
 from layerhouse.plans.macro import ADD_TO_CART, FAVOURITE, PAID
 from layerhouse.plans.security import ALARMS
-from layerhouse.session import configure
 
 # Run dates of the reports over each group of facts.
 ORDER_DAY = dt.date(1996, 6, 30)
@@ -49,7 +48,9 @@ class Warehouse:
         self, spark: SparkSession, folder: str, order_day: dt.date = ORDER_DAY,
         event_day: dt.date = EVENT_DAY, last_day: dt.date = LAST_DAY,
     ):
-        self.spark = configure(spark)
+        if spark.conf.get("spark.sql.session.timeZone") != "UTC":
+            raise ValueError("business days are days in UTC: build the session with layerhouse.session")
+        self.spark = spark
         self.folder = folder
         self.order_day, self.event_day, self.last_day = order_day, event_day, last_day
 

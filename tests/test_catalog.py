@@ -63,3 +63,48 @@ def test_results_load_into_tables_and_stored_layers_feed_reports(spark, rows):
             assert rows(QUERIES[name].frame(stored)) == rows(QUERIES[name].frame(direct))
     finally:
         spark.sql("DROP DATABASE t_jobs CASCADE")
+
+
+def scans(df):
+    return [line for line in df._jdf.queryExecution().executedPlan().toString().splitlines() if "FileScan parquet" in line]
+
+
+@pytest.mark.parametrize(("name", "table", "column"), [
+    ("e39_ads_page_path", "events", "ts"), ("e43_ads_traffic_by_channel", "events", "ts"),
+    ("e36_ads_order_by_category", "lineitem", "l_shipdate"),
+])
+def test_the_day_range_reaches_the_scan(spark, name, table, column):
+    spark.conf.set("spark.sql.maxMetadataStringLength", "2000")
+    try:
+        found = [s for s in scans(entry.queries()[name](spark, FOLDER)) if f"{table}.parquet" in s and f"GreaterThanOrEqual({column}," in s]
+    finally:
+        spark.conf.unset("spark.sql.maxMetadataStringLength")
+    assert found
+
+
+def test_milestones_read_the_cargo_lines_once(spark):
+    plan = scans(QUERIES["l11_dwd_pay_suc"].run(spark, FOLDER))
+    assert sum("lineitem.parquet" in s for s in plan) == 1 and sum("orders.parquet" in s for s in plan) <= 2
+
+
+def test_another_zone_is_refused(spark):
+    spark.conf.set("spark.sql.session.timeZone", "Asia/Tokyo")
+    try:
+        with pytest.raises(ValueError, match="UTC"):
+            Layers(spark, FOLDER)
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+
+
+def test_a_snapshot_of_the_next_day_leaves_the_first(spark):
+    tables.create_database(spark, "t_days")
+    try:
+        for day in (dt.date(1996, 6, 29), dt.date(1996, 6, 30)):
+            load("l24_dws_org_cargo_order_nd", Layers(spark, FOLDER, order_day=day), "t_days.nd")
+        assert {str(r.dt) for r in spark.table("t_days.nd").select("dt").distinct().collect()} == {"1996-06-29", "1996-06-30"}
+        # a day without rows is emptied on request
+        empty = spark.table("t_days.nd").limit(0)
+        tables.replace_days(empty, "t_days.nd", ["1996-06-29"])
+        assert {str(r.dt) for r in spark.table("t_days.nd").select("dt").distinct().collect()} == {"1996-06-30"}
+    finally:
+        spark.sql("DROP DATABASE t_days CASCADE")
