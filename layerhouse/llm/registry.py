@@ -22,9 +22,8 @@ def _documents(operator):
 
 def _encoded(df):
     """Digests of the ids and of the text they decode to."""
-    return encode(df, public_tokenizers.path("piece_bpe_32k.model")).select(
-        "doc_id", F.size("ids").cast("long").alias("n_tokens"),
-        F.sha2(F.array_join(F.col("ids").cast("array<string>"), " "), 256).alias("ids_sha256"),
+    return encode(df, public_tokenizers.path("piece_bpe_32k.model"), as_text=True).select(
+        "doc_id", F.col("n_ids").alias("n_tokens"), F.sha2("ids", 256).alias("ids_sha256"),
         F.sha2("decoded", 256).alias("decoded_sha256"),
     )
 
