@@ -154,8 +154,9 @@ class Scorer:
         words, symbol = WORD.findall(text.lower()), self.symbol
         if len(symbol) > 500_000:
             symbol.clear()
-        for word in set(words) - symbol.keys():
-            symbol[word] = OTHER if word in STOPS else self.classify(word)
+        for word in set(words):
+            if word not in symbol:
+                symbol[word] = OTHER if word in STOPS else self.classify(word)
         symbols = [symbol[w] for w in words]
         if INSULT not in symbols and THREAT not in symbols:
             return found
