@@ -8,11 +8,14 @@ many rounds as bins.  Long texts fill all bins in a few rounds, and equal coordi
 similarity as sharply as independent MinHashes do.
 
 Texts that agree in all rows of a band share a bucket.  Two texts of similarity 0.75 share no bucket
-with a probability of ``(1 - 0.75 ** ROWS) ** BANDS``, 2e-7.  Only groups are wanted, so not all
-pairs of a bucket are compared: in each round some members (centres) of every bucket that still holds
-texts of different groups are compared with its other members, on their full sets, and what is linked
-becomes one group.  A bucket of copies is closed after the first round; one that stays open doubles
-and redoubles its centres until every pair of different groups has been compared.  Nothing is capped.
+with a probability of ``(1 - 0.75 ** ROWS) ** BANDS``, 3e-7.  Only groups are wanted, so copies need
+not be compared with each other: first every text is compared, on the full sets, with the one it meets
+most often among the smallest identifiers of its buckets, and what is linked becomes one group.  That
+closes a bucket of copies.  In a bucket that still holds several groups, every member outside the
+largest group meets all members of other groups: by their sketches, whose estimate has to reach
+``LIKELY`` (a similarity of 0.75 falls short with a probability of 1e-8), and then on the full sets,
+until the groups are connected.  Large buckets are dealt in blocks, and pairs never leave their task.
+Nothing is capped.
 """
 
 from __future__ import annotations
@@ -23,7 +26,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
-from pyspark.sql import DataFrame, functions as F, types as T, Window
+from pyspark.sql import DataFrame, functions as F, types as T
 
 from layerhouse.llm.inputs import slices, texts
 from layerhouse.session import release, scratch, written
@@ -37,6 +40,12 @@ SIMILAR = 75
 #: Members that one copy of a centre's set is sent for, and pairs whose sets meet in one call.
 PER_COPY, PER_CALL = 200, 1000
 
+#: Share of equal coordinates from which two sketches are taken to the full sets.
+LIKELY = 0.6
+
+#: Members of a bucket in one block, and rows whose sketches meet in one call.
+BLOCK, PER_SIEVE = 1024, 8_000
+
 #: Odd constants that mix 64-bit values (fixed values: golden ratio and two of SplitMix64).
 GOLDEN, MIX_A, MIX_B = 0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB
 
@@ -111,10 +120,14 @@ def band_keys(sketches: np.ndarray, rows: int = ROWS) -> np.ndarray:
 
 
 def sketched(df: DataFrame) -> DataFrame:
-    """``doc_id, n_shingles, print_a, print_b`` (equal for equal sets) and ``bands``."""
+    """``doc_id, n_shingles, print_a, print_b`` (equal for equal sets), ``bands`` and ``signature``.
+
+    The signature has one byte of every coordinate; other coordinates share it one time in 256.
+    """
     schema = T.StructType([
         df.schema["doc_id"], T.StructField("n_shingles", T.LongType()), T.StructField("print_a", T.LongType()),
         T.StructField("print_b", T.LongType()), T.StructField("bands", T.ArrayType(T.LongType())),
+        T.StructField("signature", T.BinaryType()),
     ])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -124,14 +137,19 @@ def sketched(df: DataFrame) -> DataFrame:
             starts = (np.cumsum(counts) - counts)[some]
             sums = [np.zeros(len(counts), "u8"), np.zeros(len(counts), "u8")]
             bands, lengths = np.zeros(0, "u8"), np.zeros(len(counts), "i8")
+            signatures: list[bytes | None] = [None] * len(counts)
             if some.any():
                 for k, total in enumerate(sums):
                     total[some] = np.add.reduceat(mix(values, -2 - k), starts)
-                bands = band_keys(sketch(values, counts[some])).ravel()
+                sketches = sketch(values, counts[some])
+                bands = band_keys(sketches).ravel()
                 lengths[some] = BANDS
+                for row, own in zip(np.flatnonzero(some), mix(sketches, 1).astype("u1"), strict=True):
+                    signatures[row] = own.tobytes()
             yield pa.RecordBatch.from_arrays([
                 part.column(0), pa.array(counts.astype("i8")), *(pa.array(s.view("i8")) for s in sums),
                 pa.ListArray.from_arrays(np.concatenate([[0], np.cumsum(lengths)]).astype("i4"), bands.view("i8")),
+                pa.array(signatures, pa.binary()),
             ], names=schema.names)
 
     return df.mapInArrow(run, schema)
@@ -153,6 +171,14 @@ def with_sets(df: DataFrame) -> DataFrame:
     return df.mapInArrow(run, schema)
 
 
+def similar(a: pa.Scalar, b: pa.Scalar) -> bool:
+    """Whether two full sets reach the similarity."""
+    small, large = sorted((np.frombuffer(x.as_buffer(), "u8") for x in (a, b)), key=len)
+    at = np.searchsorted(large, small)
+    both = int((large[np.minimum(at, len(large) - 1)] == small).sum())
+    return 100 * both >= SIMILAR * (len(small) + len(large) - both)
+
+
 def confirmed(pairs: DataFrame, sets: DataFrame, used: list[str]) -> DataFrame:
     """The rows of ``pairs`` (``centre, member``) whose full sets are similar.
 
@@ -172,13 +198,10 @@ def confirmed(pairs: DataFrame, sets: DataFrame, used: list[str]) -> DataFrame:
 
     def compare(left: pa.Table, right: pa.Table) -> pa.Table:
         own = dict(zip(left.column("centre").to_pylist(), left.column("items"), strict=True))
-        similar = []
+        linked = []
         for centre, items in zip(right.column("centre").to_pylist(), right.column("items"), strict=True):
-            small, large = sorted((np.frombuffer(x.as_buffer(), "u8") for x in (own[centre], items)), key=len)
-            at = np.searchsorted(large, small)
-            both = int((large[np.minimum(at, len(large) - 1)] == small).sum())
-            similar.append(100 * both >= SIMILAR * (len(small) + len(large) - both))
-        return right.select(["centre", "member"]).filter(pa.array(similar, pa.bool_()))
+            linked.append(similar(own[centre], items))
+        return right.select(["centre", "member"]).filter(pa.array(linked, pa.bool_()))
 
     return centres.groupBy("call").cogroup(members.groupBy("call")).applyInArrow(
         compare, pairs.select("centre", "member").schema)
@@ -216,69 +239,120 @@ def join_groups(spark, labels: DataFrame, links: DataFrame, used: list[str]) ->
             "rep", F.coalesce("low", "label").alias("label")), used, "labels")
 
 
-def linked_groups(bands: DataFrame, documents: DataFrame) -> DataFrame:
+def links_left(opened: DataFrame, items: DataFrame, calls: int) -> DataFrame:
+    """Links (``centre, member``) that connect different groups of a bucket.
+
+    ``opened`` has ``bucket, rep, label, n_shingles, signature``, ``odd`` (not of the bucket's largest
+    group; one of a pair always is) and ``members``, the bucket's size; ``items`` has the sets.  A bucket
+    of several blocks meets block by block: odd rows go to every block, and all rows to every block of
+    odd rows.  Pairs stay inside their task: the sets of their members are sent there.
+    """
+    rep = opened.schema["rep"].dataType
+    blocks = F.ceil(F.col("members") / BLOCK).cast("int")
+    own = F.pmod(F.xxhash64("rep"), blocks).cast("int")
+    small = opened.where(blocks == 1).select(
+        "*", F.lit(True).alias("all"), F.pmod("bucket", F.lit(calls)).alias("call"))
+    large = opened.where(blocks > 1).withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1)))
+    as_odd = large.where("odd").withColumn("all", F.lit(False)).withColumn("call", F.xxhash64("bucket", "own", "other"))
+    as_any = large.withColumn("odd", F.lit(False)).withColumn("all", F.lit(True)).withColumn(
+        "call", F.xxhash64("bucket", "other", "own"))
+    columns = ["call", "bucket", "rep", "label", "n_shingles", "signature", "odd", "all"]
+    rows = small.select(columns).unionByName(as_odd.select(columns)).unionByName(as_any.select(columns))
+
+    # sets go only to the calls that have likely pairs, and only those of the pairs' members
+    needed = rows.groupBy("call").applyInArrow(
+        _members_of_likely_pairs, T.StructType([T.StructField("call", T.LongType()), T.StructField("doc_id", rep)]))
+    sent = needed.join(items, "doc_id").select(F.col("call").alias("sent_to"), "doc_id", "items")
+    schema = T.StructType([T.StructField("centre", rep), T.StructField("member", rep)])
+    return sent.groupBy("sent_to").cogroup(rows.groupBy("call")).applyInArrow(_links, schema)
+
+
+def _likely(table: pa.Table) -> Iterator[tuple[int, np.ndarray]]:
+    """Each odd row with the rows of its bucket, of other groups, whose signatures are similar: likeliest first."""
+    bucket, label, size = (table.column(c).to_numpy() for c in ("bucket", "label", "n_shingles"))
+    odd, every = (table.column(c).to_numpy(zero_copy_only=False) for c in ("odd", "all"))
+    signature = np.frombuffer(b"".join(table.column("signature").to_pylist()), "u1").reshape(-1, BINS)
+    order = np.argsort(bucket, kind="stable")
+    for group in np.split(order, np.flatnonzero(np.diff(bucket[order])) + 1):
+        them = group[every[group]]
+        for one in group[odd[group]]:
+            most, least = np.maximum(size[them], size[one]), np.minimum(size[them], size[one])
+            others = them[(label[them] != label[one]) & (least * 100 >= most * SIMILAR)]
+            equal = (signature[others] == signature[one]).sum(axis=1)
+            likely = equal >= LIKELY * BINS
+            if likely.any():
+                yield one, others[likely][np.argsort(-equal[likely], kind="stable")]
+
+
+def _members_of_likely_pairs(table: pa.Table) -> pa.Table:
+    found: set[int] = set()
+    for one, others in _likely(table):
+        found.add(int(one))
+        found.update(others.tolist())
+    reps = table.column("rep").combine_chunks().take(pa.array(sorted(found), pa.int64())).unique()
+    return pa.table([pa.repeat(table.column("call")[0], len(reps)) if len(reps) else pa.array([], pa.int64()), reps],
+                    names=["call", "doc_id"])
+
+
+def _links(sets: pa.Table, table: pa.Table) -> pa.Table:
+    """Links between the groups of a call, no more than connect them."""
+    items = dict(zip(sets.column("doc_id").to_pylist(), sets.column("items"), strict=True)) if sets.num_rows else {}
+    rep, label = table.column("rep").to_pylist(), table.column("label").to_pylist()
+    root: dict[object, object] = {}
+
+    def top(x: object) -> object:
+        while (up := root.get(x, x)) != x:
+            root[x] = root.get(up, up)
+            x = up
+        return x
+
+    links = []
+    for one, others in _likely(table) if items else ():
+        for other in others:
+            a, b = top(label[one]), top(label[other])
+            if a != b and similar(items[rep[one]], items[rep[other]]):
+                root[a] = b
+                links.append((min(rep[one], rep[other]), max(rep[one], rep[other])))
+    kind = table.column("rep").type
+    return pa.table([pa.array([x for x, _ in links], kind), pa.array([x for _, x in links], kind)], names=["centre", "member"])
+
+
+def linked_groups(bands: DataFrame, sketches: DataFrame, documents: DataFrame) -> DataFrame:
     """``rep, label`` for the representatives in ``bands`` (``rep, bucket``) that share a bucket.
 
-    What joins a hot bucket or centre is written first: Spark can then split the hot side.
+    ``sketches`` has ``rep, n_shingles, signature``.  What joins a hot bucket or centre is written first:
+    Spark can then split the hot side.
     """
     spark = bands.sparkSession
     used: list[str] = []
-    shared = _settled(spark, bands.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1").select("bucket"),
+    shared = _settled(spark, bands.groupBy("bucket").agg(F.count("*").alias("n"), F.min("rep").alias("centre")).where("n > 1"),
                       used, "shared")
-    buckets = _settled(spark, bands.join(shared, "bucket"), used, "buckets")
+    buckets = _settled(spark, bands.join(shared, "bucket").select("bucket", "rep", "centre"), used, "buckets")
     involved = _settled(spark, buckets.select("rep").distinct(), used, "involved")
     sets = _settled(spark, with_sets(documents.join(
         involved, documents["doc_id"] == involved["rep"], "left_semi")), used, "sets")
-    labels = involved.select("rep", F.col("rep").alias("label"))
-    sized = sets.select(F.col("doc_id").alias("rep"), F.col("n_shingles").alias("n"))
-    centres, tried = 0, None
-    while True:
-        # buckets that hold more than one group; only their members go on
-        tagged = buckets.join(labels, "rep").join(sized, "rep")
-        split = _settled(spark, tagged.groupBy("bucket").agg(
-            F.min("label").alias("a"), F.max("label").alias("b"), F.count("*").alias("members")).where("a <> b"), used, "split")
-        tagged = _settled(spark, tagged.join(split.select("bucket"), "bucket"), used, "open")
-        if tagged.isEmpty():
-            break
-        centre = F.col("rep").alias("centre"), F.col("label").alias("c_label"), F.col("n").alias("c_n")
-        if not centres:
-            # first round: each member with the smallest text of its buckets, the one it meets most often
-            first = tagged.groupBy("bucket").agg(F.min(F.struct("rep", "label", "n")).alias("c")).select(
-                "bucket", F.col("c.rep").alias("centre"), F.col("c.label").alias("c_label"), F.col("c.n").alias("c_n"))
-        else:
-            ranked = tagged.select("bucket", *centre, F.xxhash64("bucket", "rep").alias("order"))
-            first = _smallest(ranked, centres)
-        met = tagged.join(_settled(spark, first, used, "centres"), "bucket").where(
-            (F.col("label") != F.col("c_label")) & (F.greatest("n", "c_n") * SIMILAR <= F.least("n", "c_n") * 100))
-        pairs = met.groupBy("centre", F.col("rep").alias("member")).agg(F.count("*").alias("times"))
-        if not centres:
-            pairs = pairs.groupBy("member").agg(F.min(F.struct((-F.col("times")).alias("t"), "centre")).alias("c")).select(
-                F.col("c.centre").alias("centre"), "member")
-        else:
-            pairs = pairs.select(F.least("centre", "member").alias("centre"), F.greatest("centre", "member").alias("member")).distinct()
-            if tried is not None:
-                pairs = pairs.join(tried, ["centre", "member"], "left_anti")
-        pairs = _settled(spark, pairs.select("centre", "member"), used, "pairs")
-        links = _settled(spark, confirmed(pairs, sets.select("doc_id", "items"), used), used, "links")
-        labels = join_groups(spark, labels, links, used)
-        most = split.agg(F.max("members")).first()[0]
-        if centres >= most:  # every member of every open bucket was a centre
-            break
-        tried = pairs if tried is None else tried.unionByName(pairs)
-        tried = tried.select(F.least("centre", "member").alias("centre"), F.greatest("centre", "member").alias("member"))
-        centres = 4 * centres or 1
-    out = written(labels)
+    items = sets.select("doc_id", "items")
+    # every text with the centre that it meets most often
+    met = buckets.where("centre <> rep").groupBy("rep", "centre").agg(F.count("*").alias("times"))
+    best = met.groupBy("rep").agg(F.min(F.struct((-F.col("times")).alias("t"), "centre")).alias("c"))
+    pairs = _settled(spark, best.select("c.centre", F.col("rep").alias("member")), used, "pairs")
+    links = _settled(spark, confirmed(pairs, items, used), used, "links")
+    labels = join_groups(spark, involved.select("rep", F.col("rep").alias("label")), links, used)
+    # what is left: buckets that hold several groups
+    counts = buckets.join(labels, "rep").groupBy("bucket", "label").agg(F.count("*").alias("n"))
+    several = _settled(spark, counts.groupBy("bucket").agg(
+        F.max(F.struct("n", "label")).alias("main"), F.sum("n").alias("members"), F.count("*").alias("groups")).where(
+        "groups > 1").select("bucket", F.col("main.label").alias("main"), "members"), used, "several")
+    opened = _settled(spark, buckets.select("bucket", "rep").join(several, "bucket").join(labels, "rep").join(sketches, "rep").select(
+        "bucket", "rep", "label", "n_shingles", "signature", (F.col("label") != F.col("main")).alias("odd"), "members"),
+        used, "opened")
+    links = _settled(spark, links_left(opened, items, opened.count() // PER_SIEVE + 1), used, "links")
+    out = written(join_groups(spark, labels, links, used))
     for path in used:
         release(spark, path)
     return out
 
 
-def _smallest(ranked: DataFrame, centres: int) -> DataFrame:
-    """The ``centres`` rows of every bucket that come first; Spark cuts each task's rows before they meet."""
-    place = F.row_number().over(Window.partitionBy("bucket").orderBy("order", "centre"))
-    return ranked.withColumn("place", place).where(F.col("place") <= centres).drop("place", "order")
-
-
 def near_dedup(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``doc_id, n_shingles, component_id, kept`` for every row of ``df``.
 
@@ -296,7 +370,8 @@ def near_dedup(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     keyed = F.transform("bands", lambda key, band: F.xxhash64(band, key))
     bands = facts.join(reps.select("rep"), facts["doc_id"] == F.col("rep"), "left_semi").select(
         F.explode(keyed).alias("bucket"), F.col("doc_id").alias("rep"))
-    labels = linked_groups(bands, documents)
+    sketches = facts.select(F.col("doc_id").alias("rep"), "n_shingles", "signature").join(reps.select("rep"), "rep", "left_semi")
+    labels = linked_groups(bands, sketches, documents)
     grouped = reps.join(labels, "rep", "left").select(*prints, F.coalesce("label", "rep").alias("component_id"))
     found = facts.select("doc_id", *prints).join(grouped, prints, "left")
     group = F.when(F.col("doc_id").isNotNull(), F.coalesce("component_id", "doc_id"))
