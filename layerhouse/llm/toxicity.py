@@ -11,8 +11,12 @@ fitted on the same texts from the grammar's own weights as prior.
 
 from __future__ import annotations
 
+import heapq
 import re
+from collections import Counter
 from collections.abc import Iterator
+from functools import lru_cache
+from math import exp, lgamma, log
 from typing import NamedTuple
 
 import numpy as np
@@ -25,8 +29,11 @@ from layerhouse.llm.pu_quality import chosen
 #: Most labelled rows of either label that the lexicon and the weights are learned from.
 TOXIC_ROWS, OTHER_ROWS = 8_000, 12_000
 
-#: Most patterns that are looked at, and most that the lexicon takes.
-CANDIDATES, PATTERNS = 4_000, 400
+#: Most patterns that are looked at.
+CANDIDATES = 4_000
+
+#: A pattern merely accompanies another one that is in this share of its toxic texts.
+BESIDE = 0.9
 
 #: Beginnings of words may have so many letters; whole words are kept apart by a stop.
 SHORTEST, LONGEST = 4, 7
@@ -194,13 +201,58 @@ def patterns_of(text: str | None) -> set[str]:
     return out
 
 
+def chance(t: int, n: int, share: float) -> float:
+    """Probability that of ``t + n`` texts at least ``t`` are toxic, if ``share`` of all texts are."""
+    if share >= 1:
+        return 1.0
+    if share <= 0:
+        return 0.0
+    both = t + n
+    return min(1.0, sum(exp(lgamma(both + 1) - lgamma(k + 1) - lgamma(both - k + 1) + k * log(share) + (both - k) * log(1 - share))
+                        for k in range(t, both + 1)))
+
+
+def chosen_patterns(docs: dict[str, set[int]], proven: set[str]) -> set[str]:
+    """The patterns to take, of those (with their toxic texts) that are telling.
+
+    A proven one is taken unless it merely accompanies one already taken; the others are taken by a
+    greedy cover of the texts that no taken pattern explains, each for at least two of them.
+    """
+    # of equal patterns the longest one: a beginning must earn its generality by more texts
+    rank = lambda p, d: (-len(d), -len(p), p)
+    taken: set[str] = set()
+    holders: dict[int, list[str]] = {}
+    for p in sorted(proven, key=lambda p: rank(p, docs[p])):
+        beside = Counter(q for d in docs[p] for q in holders.get(d, ()))
+        if beside and max(beside.values()) >= BESIDE * len(docs[p]):
+            continue
+        taken.add(p)
+        for d in docs[p]:
+            holders.setdefault(d, []).append(p)
+    covered = set(holders)
+    heap = [(rank(p, left), p) for p in docs if p not in proven and len(left := docs[p] - covered) >= 2]
+    heapq.heapify(heap)
+    while heap:
+        old, p = heapq.heappop(heap)
+        left = docs[p] - covered
+        if len(left) < 2:
+            continue
+        if (now := rank(p, left)) != old:
+            heapq.heappush(heap, (now, p))
+            continue
+        taken.add(p)
+        covered |= left
+    return taken
+
+
 def learn_lexicon(sample: DataFrame) -> Lexicon:
-    """Greedy cover of the toxic texts by patterns that other texts (almost) never have.
+    """The patterns that toxic texts have and other texts (almost) never have.
 
     ``sample`` (``doc_id, toxic, text``) is bounded.  Spark counts every pattern; the most telling
-    ``CANDIDATES`` and the toxic texts they occur in come to the driver.  The pattern that explains most
-    texts not yet explained is taken first, so words that merely stand beside an insult in copies of one
-    text are not taken for insults themselves.
+    ``CANDIDATES`` come to the driver with the toxic texts they occur in.  A
+    pattern is proven if fewer than one of all patterns would be as telling by chance.  Proven patterns
+    are taken by their own evidence, except those that only stand beside another one (as words do in
+    copies of one text); the rest are taken where they explain texts that nothing else explains.
     """
     schema = T.StructType([T.StructField("pattern", T.StringType()), T.StructField("doc", T.LongType()),
                            T.StructField("toxic", T.IntegerType())])
@@ -215,26 +267,22 @@ def learn_lexicon(sample: DataFrame) -> Lexicon:
                 pa.array([t for ps, _, t in rows for _ in ps], pa.int32()),
             ], names=schema.names)
 
+    texts_of = {r["toxic"]: r["count"] for r in sample.groupBy("toxic").count().collect()}
+    toxic, other = texts_of.get(1, 0), texts_of.get(0, 0)
+    if not toxic:
+        return Lexicon(frozenset())
     spreads = sample.select(F.xxhash64("doc_id").alias("doc"), F.col("toxic").cast("int"), "text").mapInArrow(spread, schema)
-    counted = spreads.groupBy("pattern").agg(F.sum("toxic").alias("t"), F.sum(1 - F.col("toxic")).alias("n"))
+    counted = spreads.groupBy("pattern").agg(F.sum("toxic").alias("t"), F.sum(1 - F.col("toxic")).alias("n")).persist()
+    met = counted.count()
     telling = counted.where("t >= 2 AND n <= 0.02 * t").orderBy(F.desc("t"), "pattern").limit(CANDIDATES)
-    names = [r["pattern"] for r in telling.collect()]
-    if not names:
-        return Lexicon(frozenset())
-    hits = spreads.where("toxic = 1").join(F.broadcast(sample.sparkSession.createDataFrame([(n,) for n in names], "pattern string")), "pattern")
+    odds = lru_cache(maxsize=None)(lambda t, n: chance(t, n, toxic / (toxic + other)))
+    proven = {r["pattern"] for r in telling.collect() if met * odds(r["t"], r["n"]) < 1}
+    hits = spreads.where("toxic = 1").join(telling.select("pattern"), "pattern")
     docs: dict[str, set[int]] = {}
-    for r in hits.select("pattern", "doc").collect():
+    for r in hits.select("pattern", "doc").toLocalIterator():
         docs.setdefault(r["pattern"], set()).add(r["doc"])
-    taken: set[str] = set()
-    while docs and len(taken) < PATTERNS:
-        # of equal patterns the longest one: a beginning must earn its generality by more texts
-        best = max(docs, key=lambda p: (len(docs[p]), len(p), p))
-        if len(docs[best]) < 2:
-            break
-        covered = docs.pop(best)
-        taken.add(best)
-        docs = {p: left for p, d in docs.items() if (left := d - covered)}
-    return Lexicon(frozenset(taken))
+    counted.unpersist()
+    return Lexicon(frozenset(chosen_patterns(docs, proven)))
 
 
 def fit(found: np.ndarray, toxic: np.ndarray, steps: int = 300) -> tuple[np.ndarray, float]:
