@@ -29,8 +29,8 @@ from layerhouse.llm.pu_quality import chosen
 #: Most labelled rows of either label that the lexicon and the weights are learned from.
 TOXIC_ROWS, OTHER_ROWS = 8_000, 12_000
 
-#: Most patterns that are looked at.
-CANDIDATES = 4_000
+#: A pattern is telling if its rate in other texts is at most this share of its rate in toxic ones.
+STRAY = 0.02
 
 #: A pattern merely accompanies another one that is in this share of its toxic texts.
 BESIDE = 0.9
@@ -248,8 +248,8 @@ def chosen_patterns(docs: dict[str, set[int]], proven: set[str]) -> set[str]:
 def learn_lexicon(sample: DataFrame) -> Lexicon:
     """The patterns that toxic texts have and other texts (almost) never have.
 
-    ``sample`` (``doc_id, toxic, text``) is bounded.  Spark counts every pattern; the most telling
-    ``CANDIDATES`` come to the driver with the toxic texts they occur in.  A
+    ``sample`` (``doc_id, toxic, text``) is bounded.  Spark counts every pattern; all that are telling by
+    their rates come to the driver with the toxic texts they occur in, so the sample bounds them.  A
     pattern is proven if fewer than one of all patterns would be as telling by chance.  Proven patterns
     are taken by their own evidence, except those that only stand beside another one (as words do in
     copies of one text); the rest are taken where they explain texts that nothing else explains.
@@ -274,7 +274,8 @@ def learn_lexicon(sample: DataFrame) -> Lexicon:
     spreads = sample.select(F.xxhash64("doc_id").alias("doc"), F.col("toxic").cast("int"), "text").mapInArrow(spread, schema)
     counted = spreads.groupBy("pattern").agg(F.sum("toxic").alias("t"), F.sum(1 - F.col("toxic")).alias("n")).persist()
     met = counted.count()
-    telling = counted.where("t >= 2 AND n <= 0.02 * t").orderBy(F.desc("t"), "pattern").limit(CANDIDATES)
+    # rates, not counts: the two samples are not drawn alike
+    telling = counted.where((F.col("t") >= 2) & (F.col("n") * toxic <= F.lit(STRAY) * F.col("t") * other))
     odds = lru_cache(maxsize=None)(lambda t, n: chance(t, n, toxic / (toxic + other)))
     proven = {r["pattern"] for r in telling.collect() if met * odds(r["t"], r["n"]) < 1}
     hits = spreads.where("toxic = 1").join(telling.select("pattern"), "pattern")
