@@ -26,7 +26,7 @@ ORACLE_SQL = None
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without a known language go; a missing language is filled."""
+    """Documents without a letter go; a missing language is filled if any language was learned."""
     prepare(spark)
     return drop_unknown(docs, learn_profiles(docs.where(learnable("doc_id", 4, 2))))
 

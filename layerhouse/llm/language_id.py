@@ -137,16 +137,24 @@ def identify(df: DataFrame, profiles: dict[str, np.ndarray], id_col: str = "doc_
 
 def drop_unknown(df: DataFrame, profiles: dict[str, np.ndarray], lang_col: str = "lang", text_col: str = "text",
                  places: int = PLACES) -> DataFrame:
-    """The rows of ``df`` whose language is known, with all their columns; a null ``lang_col`` is filled."""
+    """The rows of ``df`` whose text has a letter, with all their columns; a null ``lang_col`` is filled.
+
+    A text without a letter has no language, whatever was learned.  Without any profile all texts with a
+    letter stay, and a null ``lang_col`` stays null.
+    """
     place, schema = df.columns.index(lang_col), df.schema
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         nearest = Nearest(profiles, places)
         for part, batch in slices(batches, text_col):
-            lang, _ = nearest(batch)
-            filled = pc.coalesce(part.column(place), pa.array(lang, part.column(place).type))
-            yield part.set_column(place, part.schema.field(place), filled).filter(
-                pa.array([x != UNKNOWN for x in lang], pa.bool_()))
+            if profiles:
+                lang, _ = nearest(batch)
+                stays = [x != UNKNOWN for x in lang]
+                filled = pc.coalesce(part.column(place), pa.array(lang, part.column(place).type))
+                part = part.set_column(place, part.schema.field(place), filled)
+            else:
+                stays = [any(map(str.isalpha, t or "")) for t in batch]
+            yield part.filter(pa.array(stays, pa.bool_()))
 
     return df.mapInArrow(run, schema)
 
