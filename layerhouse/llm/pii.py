@@ -1,16 +1,22 @@
 """Personal data: base patterns, and a character-level BiLSTM-CRF that adds what is written otherwise.
 
 The tagger is trained on windows of the corpus whose base spans are the labels, some of them rewritten
-as people write to avoid patterns (a plus left out, ``(at)`` for the sign, dots between digit groups).
-A span holds a digit or a sign for "at", so only the text around these is tagged: all of it, in
-overlapping windows.  The windows' marginals are averaged, weighted to their middle, and one Viterbi
-pass over the whole stretch decides, so spans across window borders come out once.
+as people write to avoid patterns (a plus left out, ``(AT)`` or a word for the sign, ``[.]`` or a word
+for dots, dots between digit groups).  Digits of other scripts and wide forms count as the ASCII ones.
+
+Overlapping windows lie on one grid over the whole text.  The windows' marginals are averaged, weighted
+to their middle, and one Viterbi pass decides, so spans across window borders come out once.  No span
+is valid without a digit or a sign for "at" (``valid``), so the windows are run from the blocks that hold
+one outwards, as far as the tagger sees anything: until a whole block is outside at each of its places.
+What lies beyond cannot hold a span, so the result is that of all windows.
 """
 
 from __future__ import annotations
 
 import re
+import unicodedata
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -42,7 +48,18 @@ CARD = re.compile(r"[0-9](?:[ -]?[0-9])+")
 PHONE = re.compile(r"\+[0-9][ ().0-9-]+[0-9]")
 LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
 
-SIGN = re.compile(r"[0-9@]|[(\[]at[)\]]")
+# Words for the sign and for a dot (fixed values): English, German, Spanish, French.
+AT_WORDS, DOT_WORDS = "at|ät|arroba|arobase", "dot|punkt|punto|point"
+
+#: What every valid span holds, however it is written; texts are folded before.
+SIGN = re.compile(rf"[0-9@]|(?<![^\W_])(?:{AT_WORDS})(?![^\W_])", re.IGNORECASE)
+AT = re.compile(rf"\s*[\[({{<]\s*(?:@|{AT_WORDS})\s*[\])}}>]\s*", re.IGNORECASE)
+BARE_AT = re.compile(rf"(?:\s+|_)(?:{AT_WORDS})(?:\s+|_)", re.IGNORECASE)
+DOT = re.compile(rf"\s*[\[({{<]\s*(?:\.|{DOT_WORDS})\s*[\])}}>]\s*|\s+(?:{DOT_WORDS})\s+", re.IGNORECASE)
+EMAIL = re.compile(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
+SPELLED = re.compile(rf"(?<![^\W_])(?:({AT_WORDS})|{DOT_WORDS})(?![^\W_])", re.IGNORECASE)
+BEYOND = re.compile("[\u0250-\U0010ffff]")
+SIGN_CLASS, DOT_CLASS = tagger.classes("@.")
 DIGIT = re.compile(r"[0-9]")
 
 Span = tuple[int, int, str]  # start, end, kind
@@ -64,13 +81,38 @@ def _parts_ok(text: str) -> bool:
     return all(len(p := part.lstrip("0")) <= 3 and int(p or 0) <= 255 for part in text.split("."))
 
 
+@lru_cache(maxsize=1)
+def _folds() -> dict[int, str]:
+    """Decimal digits of all scripts, and wide and small forms, with their ASCII character."""
+    table = {c: str(d) for c in range(0x250, 0x110000) if (d := unicodedata.decimal(chr(c), None)) is not None}
+    for c in (*range(0xFE50, 0xFE6C), *range(0xFF01, 0xFF5F)):
+        if len(plain := unicodedata.normalize("NFKC", chr(c))) == 1 and plain.isascii():
+            table[c] = plain
+    return table
+
+
+def folded(text: str) -> str:
+    """The text in ASCII signs and digits, character by character: places stay."""
+    return text.translate(_folds()) if not text.isascii() and BEYOND.search(text) else text
+
+
+def coded(text: str) -> np.ndarray:
+    """The classes of a folded text; a word for the sign or for a dot has that character's class throughout."""
+    codes = tagger.classes(text)
+    for m in SPELLED.finditer(text):
+        codes[m.start():m.end()] = SIGN_CLASS if m[1] else DOT_CLASS
+    return codes
+
+
 def valid(kind: str, text: str) -> bool:
-    """What a span of a kind must satisfy, however it is written."""
+    """What a folded span of a kind must satisfy, judged by its plain form however it is written."""
     if kind == "email":
-        return len(re.split(r"@|[(\[]at[)\]]", text)) == 2
-    digits = _digits(text)
+        text = DOT.sub(".", AT.sub("@", text))
+        return text.count("@") == 1 or bool("@" not in text and EMAIL.fullmatch(BARE_AT.sub("@", text)))
     if kind == "ip":
+        text = DOT.sub(".", text)
         return bool(re.fullmatch(r"[0-9]+(?:\.[0-9]+){3}", text)) and _parts_ok(text)
+    digits = _digits(text)
     if kind == "card":
         return 14 <= len(digits) <= 19 and luhn(digits)
     return 10 <= len(digits) <= 15
@@ -131,9 +173,14 @@ def stretches(text: str) -> list[tuple[int, int]]:
 
 
 def rewritten(text: str, kind: str, way: int) -> str:
-    """A span as it is written to avoid patterns; ``way`` 0 and odd ways of ip leave it alone."""
+    """A span as it is written to avoid patterns; ``way`` 0 leaves it alone."""
     if kind == "email" and way:
-        return text.replace("@", ("(at)", "[at]", " (at) ")[way % 3], 1)
+        sign, dot = ((" at ", "."), ("(at)", "."), ("[at]", "."), (" (at) ", "."), (" at ", " dot "), (" (AT) ", "."), ("[AT]", "[.]"),
+                     (" AT ", " DOT "))[way % 8]
+        local, domain = text.split("@", 1)
+        return local + sign + domain.replace(".", dot)
+    if kind == "ip" and way:
+        return text.replace(".", ("[.]", "(.)", " dot ", "[dot]")[way % 4])
     if kind == "phone" and way:
         return (text.lstrip("+"), text.replace("+", "00", 1), re.sub(r"[ ()-]+", ".", text.lstrip("+")))[way % 3]
     if kind == "card" and way:
@@ -150,14 +197,14 @@ def lesson(text: str, spans: list[Span], start: int, salt: int) -> tuple[np.ndar
             continue
         chars.append(text[at:s])
         tags += [0] * (s - at)
-        way = (salt >> (3 * (n % 16))) % 8
-        own = rewritten(text[s:e], kind, max(0, way - 4))
+        way = (salt >> (4 * (n % 16))) % 16
+        own = rewritten(text[s:e], kind, max(0, way - 8))
         chars.append(own)
         place = 1 + 2 * KINDS.index(kind)
         tags += [place] + [place + 1] * (len(own) - 1)
         at = e
     rest = text[at:start + 2 * WIDTH]
-    codes = tagger.classes("".join(chars) + rest)[:WIDTH]
+    codes = coded("".join(chars) + rest)[:WIDTH]
     tags = (tags + [0] * len(rest))[:WIDTH]
     pad = WIDTH - len(codes)
     return np.pad(codes, (0, pad)), np.pad(np.array(tags, "i4"), (0, pad))
@@ -175,7 +222,7 @@ def learn(df: DataFrame, text_col: str = "text", windows: int = WINDOWS) -> tagg
         for _, batch in slices(batches):
             rows = []
             for text in batch:
-                if text and SIGN.search(text):
+                if text and SIGN.search(text := folded(text)):
                     spans = base_spans(text)
                     for start, end in stretches(text):
                         own = [s for s in spans if start <= s[0] < end]
@@ -213,32 +260,64 @@ ALLOWED = _allowed()
 MIDDLE = 1 + np.minimum(np.arange(WIDTH), np.arange(WIDTH)[::-1])[:, None].astype("f8")
 
 
-def tagged_spans(net: tagger.Tagger, batch: list[str]) -> list[list[Span]]:
-    """Spans of each text by overlapping windows, reconciled over each whole stretch."""
-    places = [(n, start, end) for n, text in enumerate(batch) for start, end in stretches(text)]
-    codes = {n: tagger.classes(batch[n]) for n in {n for n, _, _ in places}}
-    cuts = [(k, at) for k, (_, start, end) in enumerate(places) for at in range(start, max(start + 1, end - STRIDE), STRIDE)]
-    unary = [np.zeros((end - start, TAGS)) for _, start, end in places]
-    weight = [np.zeros((end - start, 1)) for _, start, end in places]
-    for first in range(0, len(cuts), 512):
-        group = cuts[first:first + 512]
-        chars = np.zeros((WIDTH, len(group)), "u1")
-        for column, (k, at) in enumerate(group):
-            n, _, end = places[k]
-            own = codes[n][at:min(at + WIDTH, end)]
-            chars[:len(own), column] = own
-        sure = tagger.log_marginals(net, chars)
-        for column, (k, at) in enumerate(group):
-            _, start, end = places[k]
-            size = min(WIDTH, end - at)
-            unary[k][at - start:at - start + size] += (sure[:size, column] * MIDDLE[:size])
-            weight[k][at - start:at - start + size] += MIDDLE[:size]
+def _cover(block: int, blocks: int) -> range:
+    """The windows of the grid that see a block of a text; a window begins with the block of its number."""
+    last = max(0, blocks - WIDTH // STRIDE)
+    return range(min(last, max(0, block - WIDTH // STRIDE + 1)), min(last, block) + 1)
+
+
+def tagged_spans(net: tagger.Tagger, batch: list[str], everywhere: bool = False) -> list[list[Span]]:
+    """Spans of each text by overlapping windows, reconciled over each stretch of blocks.
+
+    ``everywhere`` runs every window, which gives the same spans.
+    """
+    texts = [folded(t) for t in batch]
+    number = [-(-len(t) // STRIDE) for t in texts]
+    codes: dict[int, np.ndarray] = {}
+    logs: dict[tuple[int, int], np.ndarray] = {}
+    seen: set[tuple[int, int]] = set()
+    wanted: set[tuple[int, int]] = set()
+    fresh: set[tuple[int, int]] = set()
+    for n, text in enumerate(texts):
+        for place in range(number[n]) if everywhere else {p // STRIDE for m in SIGN.finditer(text) for p in (m.start(), m.end() - 1)}:
+            fresh.update((n, b) for b in range(max(0, place - 1), min(number[n], place + 2)))
+    while fresh:
+        wanted |= fresh
+        cuts = sorted({(n, w) for n, b in fresh for w in _cover(b, number[n])} - seen)
+        seen.update(cuts)
+        for first in range(0, len(cuts), 512):
+            group = cuts[first:first + 512]
+            chars = np.zeros((WIDTH, len(group)), "u1")
+            for column, (n, w) in enumerate(group):
+                if n not in codes:
+                    codes[n] = coded(texts[n])
+                own = codes[n][w * STRIDE:w * STRIDE + WIDTH]
+                chars[:len(own), column] = own
+            sure = tagger.log_marginals(net, chars) * MIDDLE[:, :, None]
+            for column, (n, w) in enumerate(group):
+                for k in range(WIDTH // STRIDE):
+                    part = sure[k * STRIDE:(k + 1) * STRIDE, column]
+                    if (n, w + k) in logs:
+                        logs[n, w + k] += part
+                    elif w + k < number[n]:
+                        logs[n, w + k] = part.copy()
+        near = set()
+        for n, b in fresh:
+            share = sum(MIDDLE[(b - w) * STRIDE:(b - w + 1) * STRIDE] for w in _cover(b, number[n]))
+            own = logs[n, b][:len(texts[n]) - b * STRIDE]
+            own /= share[:len(own)]
+            if (own[:, 0] <= np.log(0.5)).any():
+                near.update((n, c) for c in (b - 1, b + 1) if 0 <= c < number[n])
+        fresh = near - wanted
     out: list[list[Span]] = [[] for _ in batch]
-    for (n, start, _), logs, share in zip(places, unary, weight, strict=True):
-        logs = logs / share
-        if (logs[:, 0] > np.log(0.5)).all():
+    order = sorted(wanted)
+    starts = [k for k, (n, b) in enumerate(order) if not k or order[k - 1] != (n, b - 1)]
+    for k, until in zip(starts, [*starts[1:], len(order)], strict=True):
+        n, start = order[k][0], order[k][1] * STRIDE
+        own = np.concatenate([logs[key] for key in order[k:until]])[:len(texts[n]) - start]
+        if (own[:, 0] > np.log(0.5)).all():
             continue
-        path = tagger.best_path(logs, ALLOWED)
+        path = tagger.best_path(own, ALLOWED)
         at = 0
         while at < len(path):
             if path[at] % 2 == 0:
@@ -248,9 +327,9 @@ def tagged_spans(net: tagger.Tagger, batch: list[str]) -> list[list[Span]]:
             while end < len(path) and path[end] == path[at] + 1:
                 end += 1
             kind = KINDS[path[at] // 2]
-            sure = np.exp(logs[np.arange(at, end), path[at:end]]).mean()
-            first, last = trimmed(kind, batch[n], start + at, start + end)
-            if sure >= SURE and first < last and valid(kind, batch[n][first:last]):
+            sure = np.exp(own[np.arange(at, end), path[at:end]]).mean()
+            first, last = trimmed(kind, texts[n], start + at, start + end)
+            if sure >= SURE and first < last and valid(kind, texts[n][first:last]):
                 out[n].append((first, last, kind))
             at = end
     return out
