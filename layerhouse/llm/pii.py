@@ -35,7 +35,7 @@ TAGS = 1 + 2 * len(KINDS)
 #: Characters of a window, and from one window to the next.
 WIDTH, STRIDE = 64, 32
 
-#: Most windows the tagger is trained on, chosen by a hash of their text.
+#: Most windows the tagger is trained on: different ones, chosen by a hash of their text.
 WINDOWS = 3_000
 
 #: Mean probability from which a tagged span is added.
@@ -213,31 +213,38 @@ def lesson(text: str, spans: list[Span], start: int, salt: int) -> tuple[np.ndar
 def learn(df: DataFrame, text_col: str = "text", windows: int = WINDOWS) -> tagger.Tagger | None:
     """Train on at most ``windows`` windows around digits and signs; None where there are none.
 
-    Null texts are left out.  Only the chosen windows come to the driver.
+    Null texts are left out.  Equal windows count once, however many copies there are.  Each task hands on
+    no more than ``windows`` different ones, and only the chosen ones come to the driver.
     """
     schema = T.StructType([T.StructField("order", T.LongType()), T.StructField("chars", T.BinaryType()),
                            T.StructField("tags", T.BinaryType())])
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kept: dict[tuple[int, bytes], bytes] = {}
+        last = 1 << 63  # beyond it a window cannot be among the first ones
         for _, batch in slices(batches):
-            rows = []
             for text in batch:
                 if text and SIGN.search(text := folded(text)):
                     spans = base_spans(text)
                     for start, end in stretches(text):
                         own = [s for s in spans if start <= s[0] < end]
                         for at in range(start, max(start + 1, end - STRIDE), STRIDE):
-                            if any(s < at < e for s, e, _ in own):
-                                continue  # a window does not begin inside a span
                             salt = xxhash.xxh3_64_intdigest(text[at:at + WIDTH])
+                            if salt >> 1 > last or any(s < at < e for s, e, _ in own):
+                                continue  # a window does not begin inside a span
                             chars, tags = lesson(text, own, at, salt)
-                            rows.append((salt >> 1, chars.tobytes(), tags.astype("u1").tobytes()))
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([r[k] for r in rows], t) for k, t in enumerate((pa.int64(), pa.binary(), pa.binary()))],
-                names=schema.names)
+                            key, value = (salt >> 1, chars.tobytes()), tags.astype("u1").tobytes()
+                            kept[key] = min(value, kept.get(key, value))
+                if len(kept) > 2 * windows:
+                    kept = dict(sorted(kept.items())[:windows])
+                    last = max(kept)[0]
+        rows = [(order, chars, tags) for (order, chars), tags in sorted(kept.items())[:windows]]
+        yield pa.RecordBatch.from_arrays(
+            [pa.array([r[k] for r in rows], t) for k, t in enumerate((pa.int64(), pa.binary(), pa.binary()))],
+            names=schema.names)
 
     told = df.select(F.col(text_col).cast("string").alias("text")).where("text IS NOT NULL").mapInArrow(cut, schema)
-    rows = told.orderBy("order", "chars").limit(windows).collect()
+    rows = told.groupBy("order", "chars").agg(F.min("tags").alias("tags")).orderBy("order", "chars").limit(windows).collect()
     if not rows:
         return None
     chars = np.stack([np.frombuffer(r["chars"], "u1") for r in rows])
