@@ -38,6 +38,7 @@ class Words:
     """Ids of white-space separated words by the library; a worker remembers the frequent ones.
 
     The vocabulary drops white space before its merges, so a text's ids are those of its words in order.
+    A special token's text inside a word is that token, as the library reads it by default.
     """
 
     def __init__(self, path: str):
@@ -45,7 +46,6 @@ class Words:
         from tokenizers import Tokenizer
 
         self.library = Tokenizer.from_file(path)
-        self.library.encode_special_tokens = True
         one = self._ids([MARK])[0]
         self.mark = one[0] if len(one) == 1 and self._ids([f"a {MARK}\n{MARK} b"])[0].tolist().count(one[0]) == 2 else None
         whole = self._ids(["One, two.\tThree's\n 4 5"])[0]
