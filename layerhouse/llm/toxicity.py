@@ -1,10 +1,12 @@
 """Toxicity by a weighted finite-state grammar over clauses.
 
 A clause is a run of words between stops.  Its words become symbols (insult, threat, target, negation,
-report, reporter, other), and three transducers rewrite the symbols in turn: reported speech marks what
-follows a verb of saying, negation marks an insult or threat shortly after a negating word, and the
-target machine marks one that stands near the person it is aimed at.  They are composed into one
-machine, a clause is one walk through it, and the matches that come out are weighted together.  Insults
+report, other) by look-up: insults in the learned lexicon, the others in word lists.  Three transducers
+rewrite the symbols in turn: reported speech marks what follows a verb of saying, negation marks an
+insult or threat shortly after a negating word, and the target machine marks one that stands shortly
+after the person it is aimed at.  They are composed into one machine and a clause is one walk through
+it; a second walk of the target machine, from the clause's end, marks what stands shortly before the
+person.  The matches that come out are weighted together.  Insults
 are learned from labelled texts as words or beginnings of words; the weights of the kinds of match are
 fitted on the same texts from the grammar's own weights as prior.
 """
@@ -123,13 +125,26 @@ def compose(first: Transducer, second: Transducer) -> Transducer:
     return Transducer(start, step, first.symbols)
 
 
+PLAIN = (OTHER, INSULT, THREAT, TARGET, NEGATION, REPORT)
+
+
+def target() -> Transducer:
+    """Marks the hits, however marked, shortly after a target; walked in both directions."""
+    hits = [f"{m} {h}".strip() for m in MARKS for h in HITS]
+    return scope(TARGET, "at", NEAR, (*(s for s in PLAIN if s not in HITS), *hits, *(f"at {h}" for h in hits)))
+
+
 def grammar() -> Transducer:
-    plain = (OTHER, INSULT, THREAT, TARGET, NEGATION, REPORT)
-    reported = scope(REPORT, "reported", None, plain)
-    negated = scope(NEGATION, "negated", NEAR, (*plain, *(f"reported {h}" for h in HITS)))
+    reported = scope(REPORT, "reported", None, PLAIN)
+    negated = scope(NEGATION, "negated", NEAR, (*PLAIN, *(f"reported {h}" for h in HITS)))
     # marks come in one order: "reported negated insult"
     renamed = {key: (state, re.sub(r"^negated reported", "reported negated", out)) for key, (state, out) in negated.step.items()}
-    return compose(reported, negated._replace(step=renamed))
+    return compose(compose(reported, negated._replace(step=renamed)), target())
+
+
+#: What the walks write on a hit, with the place of its kind: a target before, after, or on both sides.
+PLACES = {f"{at}{kind}": KINDS.index(kind + (" at" if at else ""))
+          for kind in KINDS if not kind.endswith(" at") for at in ("", "at ", "at at ")}
 
 
 class Lexicon(NamedTuple):
@@ -145,7 +160,7 @@ class Scorer:
     """Walks texts through the grammar; words met are remembered with their symbol."""
 
     def __init__(self, lexicon: Lexicon):
-        self.lexicon, self.machine = lexicon, grammar()
+        self.lexicon, self.machine, self.back = lexicon, grammar(), target()
         self.symbol: dict[str, str] = {}
 
     def classify(self, word: str) -> str:
@@ -174,10 +189,11 @@ class Scorer:
                 state, out = step[state, own]
                 clause.append(out)
                 continue
-            for i, out in enumerate(clause):
-                if out.split()[-1] in HITS:
-                    near = clause[max(0, i - NEAR):i + NEAR + 1]
-                    found[KINDS.index(out + (" at" if TARGET in near else ""))] += 1
+            state = self.back.start
+            for out in reversed(clause):
+                state, out = self.back.step[state, out]
+                if out in PLACES:
+                    found[PLACES[out]] += 1
             clause, state = [], self.machine.start
         return found
 
