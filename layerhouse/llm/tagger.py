@@ -121,10 +121,16 @@ def _lattice(scores: np.ndarray, moves: np.ndarray) -> tuple[np.ndarray, np.ndar
     """Forward and backward log sums of a CRF (time, rows, tags) and the log partition."""
     ahead, behind = np.empty_like(scores), np.zeros_like(scores)
     ahead[0] = scores[0]
+    onward = np.exp(moves)
+
+    def step(logs: np.ndarray, matrix: np.ndarray) -> np.ndarray:
+        top = logs.max(axis=1, keepdims=True)
+        return top + np.log(np.exp(logs - top) @ matrix)
+
     for t in range(1, len(scores)):
-        ahead[t] = scores[t] + _logsum(ahead[t - 1][:, :, None] + moves, 1)
+        ahead[t] = scores[t] + step(ahead[t - 1], onward)
     for t in range(len(scores) - 2, -1, -1):
-        behind[t] = _logsum(moves + (scores[t + 1] + behind[t + 1])[:, None, :], 2)
+        behind[t] = step(scores[t + 1] + behind[t + 1], onward.T)
     return ahead, behind, _logsum(ahead[-1], 1)
 
 
