@@ -317,6 +317,8 @@ def tagged_spans(net: tagger.Tagger, batch: list[str], everywhere: bool = False)
                 near.update((n, c) for c in (b - 1, b + 1) if 0 <= c < number[n])
         fresh = near - wanted
     out: list[list[Span]] = [[] for _ in batch]
+    if not wanted:
+        return out  # no text holds a digit or a sign
     order = sorted(wanted)
     starts = [k for k, (n, b) in enumerate(order) if not k or order[k - 1] != (n, b - 1)]
     for k, until in zip(starts, [*starts[1:], len(order)], strict=True):
@@ -389,7 +391,11 @@ def mask(text: str, spans: list[Span]) -> str:
 
 
 def redact(df: DataFrame, net: tagger.Tagger | None, text_col: str = "text") -> DataFrame:
-    """All rows and columns of ``df``, with personal data in ``text_col`` masked; a null text stays null."""
+    """All rows and columns of ``df``, with personal data in ``text_col`` masked.
+
+    A null text stays null and an empty one empty; repeated rows repeat their result, an empty table gives an
+    empty one, and other columns are passed on whatever their names.
+    """
     place = df.columns.index(text_col)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
