@@ -34,8 +34,8 @@ def remainder(id_col: str, parts: int) -> Column:
 
 
 def slices(batches: Iterator[pa.RecordBatch], column: str = "text",
-           most: int = SLICE_CHARS) -> Iterator[tuple[pa.RecordBatch, list[str | None]]]:
-    """Runs of rows with their texts, at most ``most`` bytes of text each (or one row)."""
+           most: int = SLICE_CHARS, read: bool = True) -> Iterator[tuple[pa.RecordBatch, list[str | None]]]:
+    """Runs of rows with their texts (unless not ``read``), at most ``most`` bytes of text each (or one row)."""
     for batch in batches:
         place = batch.schema.get_field_index(column)
         lengths = pc.fill_null(pc.binary_length(batch.column(place)), 0).to_pylist()
@@ -43,12 +43,12 @@ def slices(batches: Iterator[pa.RecordBatch], column: str = "text",
         for row, size in enumerate(lengths):
             if row > start and held + size > most:
                 part = batch.slice(start, row - start)
-                yield part, part.column(place).to_pylist()
+                yield part, part.column(place).to_pylist() if read else []
                 start, held = row, 0
             held += size
         if batch.num_rows > start:
             part = batch.slice(start)
-            yield part, part.column(place).to_pylist()
+            yield part, part.column(place).to_pylist() if read else []
 
 
 def record(schema: pa.Schema, **columns) -> pa.RecordBatch:
