@@ -12,7 +12,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from layerhouse.llm.inputs import BLANKS, without_blanks
+from layerhouse.llm.inputs import BLANKS
 
 #: Frequent function words (fixed values): English, French, German, Spanish.
 STOP_WORDS = (
@@ -22,6 +22,9 @@ STOP_WORDS = (
     "el los las y en que un una por con para del se no su lo como es al"
 ).split()
 
+#: Low bits of a window's number that hold its place.
+PLACE_BITS = 20
+
 #: Characters that count as symbols (fixed values).
 SYMBOLS = "#*$%&|<>"
 
@@ -63,66 +66,85 @@ def let(value: Column, body: Callable[[Column], Column]) -> Column:
     return F.transform(F.array(value), body)[0]
 
 
-def split_words(text: Column) -> Column:
-    """Runs of characters other than ``BLANKS``."""
-    return F.array_remove(F.split(F.translate(text, BLANKS, " " * len(BLANKS)), " "), "")
+def spaced(text: Column) -> Column:
+    """The text with a space for each of ``BLANKS``."""
+    return F.translate(text, BLANKS, " " * len(BLANKS))
+
+
+def split_words(spaced_text: Column) -> Column:
+    """Runs of characters other than spaces."""
+    return F.array_remove(F.split(spaced_text, " "), "")
 
 
 def _removed(text: Column, characters: str) -> Column:
     return F.length(text) - F.length(F.translate(text, characters, ""))
 
 
+def _covered(places: Column) -> Column:
+    """Words that three-word windows at these places cover together."""
+    start = F.struct(F.lit(0).alias("sum"), F.lit(-3).alias("last"))
+    return F.aggregate(F.sort_array(places), start, lambda a, p: F.struct(
+        (a["sum"] + F.least(F.lit(3), p - a["last"])).alias("sum"), p.alias("last")))["sum"]
+
+
 def _repeat_words(words: Column) -> Column:
     """Words inside a three-word window that occurs twice or more.
 
-    Windows are sorted with their position, so equal windows are neighbours; a repeated window at
-    position p adds the words from p that the repeated window before it does not cover.
+    A window is one number, its hash above and its place in the low bits, so sorting makes equal windows
+    neighbours.  Only windows with an equal neighbour are looked at by their words; a text in which two different
+    windows share a hash, or with more words than the low bits count, is sorted by the words as well.
     """
-    n = F.size(words)
-    windows = F.transform(
-        F.slice(words, 1, F.greatest(n - 2, F.lit(0))),
-        lambda w, i: F.struct(F.concat_ws(" ", w, F.get(words, i + 1), F.get(words, i + 2)).alias("w"), i.alias("i")),
-    )
+    def window(first: Column, body: Callable[[Column, Column, Column], Column]) -> Column:
+        return body(F.get(words, first), F.get(words, first + 1), F.get(words, first + 2))
+
+    def place(x: Column) -> Column:
+        return x.bitwiseAND(F.lit((1 << PLACE_BITS) - 1)).cast("int")
 
-    def repeated(ordered: Column) -> Column:
-        return F.array_sort(F.transform(
-            F.filter(ordered, lambda x, j: (F.get(ordered, j - 1)["w"] == x["w"]) | (F.get(ordered, j + 1)["w"] == x["w"])),
-            lambda x: x["i"],
-        ))
+    def of(starts: Column, number: Callable[[Column, Column], Column]) -> Column:
+        return F.sort_array(F.transform(starts, lambda w, i: number(w, i)))
 
-    def covered(places: Column) -> Column:
-        start = F.struct(F.lit(0).alias("sum"), F.lit(-3).alias("last"))
-        return F.aggregate(places, start, lambda a, p: F.struct(
-            (a["sum"] + F.least(F.lit(3), p - a["last"])).alias("sum"), p.alias("last")))["sum"]
+    def repeated(ordered: Column, same: Callable[[Column, Column], Column]) -> Column:
+        return F.filter(ordered, lambda x, j: same(F.get(ordered, j - 1), x) | same(F.get(ordered, j + 1), x))
 
-    return let(let(F.array_sort(windows), lambda ordered: repeated(_present(ordered))), covered)
+    def alike(x: Column, y: Column) -> Column:
+        return F.shiftright(x, PLACE_BITS) == F.shiftright(y, PLACE_BITS)
 
+    def mixed(again: Column) -> Column:
+        """Neighbours of one hash with other words."""
+        return F.size(F.filter(again, lambda x, j: alike(x, F.get(again, j + 1)) & (
+            window(place(x), F.struct) != window(place(F.get(again, j + 1)), F.struct))))
 
-def _present(ordered: Column) -> Column:
-    return F.coalesce(ordered, F.array().cast("array<struct<w:string,i:int>>"))
+    starts = F.slice(words, 1, F.greatest(F.size(words) - 2, F.lit(0)))
+    hashed = of(starts, lambda w, i: F.xxhash64(w, F.get(words, i + 1), F.get(words, i + 2)).bitwiseAND(
+        F.lit(-(1 << PLACE_BITS))).bitwiseOR(i.cast("long")))
+    spelled = let(of(starts, lambda w, i: F.struct(w.alias("a"), F.get(words, i + 1).alias("b"), F.get(words, i + 2).alias("c"), i.alias("i"))),
+                  lambda ordered: repeated(ordered, lambda x, y: (x["a"] == y["a"]) & (x["b"] == y["b"]) & (x["c"] == y["c"])))
+    slow = _covered(F.transform(spelled, lambda x: x["i"]))
+    fast = let(let(hashed, lambda ordered: repeated(ordered, alike)), lambda again: F.when(
+        mixed(again) == 0, _covered(F.transform(again, place))).otherwise(slow))
+    return F.when(F.size(words) < (1 << PLACE_BITS), fast).otherwise(slow)
 
 
 def measures(text: Column) -> Column:
     """All measures of a text as one struct of longs; a null text has no words and no lines."""
     def of(t: Column) -> Column:
-        letters = F.regexp_replace(t, r"\P{L}+", "")
-        return let(split_words(t), lambda words: let(
-            F.filter(F.split(t, "\n"), lambda line: F.length(without_blanks(line)) > 0), lambda lines: F.struct(*[
+        return let(spaced(t), lambda flat: let(split_words(flat), lambda words: let(F.regexp_replace(t, r"\P{L}+", ""), lambda letters: let(
+            F.filter(F.split(t, "\n"), lambda line: F.ltrim(line, F.lit(BLANKS)) != ""), lambda lines: F.struct(*[
                 value.cast("long").alias(name) for name, value in {
                     "n_words": F.size(words),
-                    "word_chars": F.length(without_blanks(t)),
+                    "word_chars": F.length(F.replace(flat, F.lit(" "), F.lit(""))),
                     "n_symbols": _removed(t, SYMBOLS),
                     "n_dup_lines": F.size(lines) - F.size(F.array_distinct(lines)),
                     "n_repeat_words": _repeat_words(words),
                     "n_lines": F.size(lines),
-                    "n_exclamations": _removed(t, "!"),
+                    "n_exclamations": F.length(t) - F.length(F.replace(t, F.lit("!"), F.lit(""))),
                     "n_letters": F.length(letters),
                     "n_upper": F.length(F.regexp_replace(letters, r"\P{Lu}+", "")),
                     "n_stop_words": F.size(F.filter(words, lambda w: F.lower(w).isin(STOP_WORDS))),
                     "n_equal_neighbours": F.size(F.filter(words, lambda w, i: (i > 0) & (w == F.get(words, i - 1)))),
                     "n_ellipsis_lines": F.size(F.filter(lines, lambda x: F.rtrim(x).endswith("...") | F.rtrim(x).endswith("…"))),
                     "n_bullet_lines": F.size(F.filter(lines, lambda x: F.ltrim(x).rlike(r"^[-*•]\s"))),
-                }.items()])))
+                }.items()])))))
 
     return of(F.coalesce(text, F.lit("")))
 
