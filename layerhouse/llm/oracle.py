@@ -62,3 +62,40 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
        NOT base_failed AND {" AND ".join(_passes(rule) for rule in RULES)} AS kept
 FROM judged
 """
+
+
+RANKED_SEARCH = r"""
+WITH found AS (
+  SELECT doc_id, unnest(regexp_extract_all(
+    translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+  FROM documents WHERE text IS NOT NULL),
+counted AS (SELECT doc_id, term, count(*) AS tf FROM found GROUP BY doc_id, term),
+sized AS (SELECT doc_id, CAST(sum(tf) AS BIGINT) AS terms FROM counted GROUP BY doc_id),
+whole AS (SELECT count(*) AS docs, CAST(sum(terms) AS BIGINT) AS total FROM sized),
+asked AS (
+  SELECT DISTINCT item_id, unnest(regexp_extract_all(
+    translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+  FROM benchmark WHERE text IS NOT NULL),
+weighed AS (
+  SELECT term, CAST(floor(1000 * ln(CAST(2 * docs + 2 AS DOUBLE) / (2 * count(*) + 1))) AS BIGINT) AS w
+  FROM counted, whole WHERE term IN (SELECT term FROM asked) GROUP BY term, docs),
+scored AS (
+  SELECT item_id, doc_id, CAST(sum(w * ((1000000000 * tf) // (1000 * tf + 20 * (50 + (50 * terms * docs) // total)))) AS BIGINT) AS score
+  FROM asked JOIN weighed USING (term) JOIN counted USING (term) JOIN sized USING (doc_id), whole
+  GROUP BY item_id, doc_id),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS place FROM scored WHERE score > 0)
+SELECT item_id, CAST(place AS INTEGER) AS rank, doc_id, score FROM ranked WHERE place <= 50
+"""
+
+NEAREST = """
+WITH given AS (
+  SELECT vec_id, CAST(embedding AS DOUBLE[]) AS v FROM embeddings WHERE embedding IS NOT NULL),
+whole AS (
+  SELECT vec_id, v, sqrt(list_sum(list_transform(v, lambda c: c * c))) AS length FROM given
+  WHERE len(list_filter(v, lambda c: c IS NULL OR NOT isfinite(c))) = 0 AND len(list_filter(v, lambda c: c <> 0)) > 0),
+pairs AS (
+  SELECT q.vec_id AS query_id, c.vec_id, list_dot_product(q.v, c.v) / (q.length * c.length) AS score
+  FROM whole q JOIN whole c ON q.vec_id <> c.vec_id WHERE q.vec_id % 50 = 0),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS place FROM pairs)
+SELECT query_id, CAST(place AS INTEGER) AS rank, vec_id, score FROM ranked WHERE place <= 5
+"""

@@ -6,14 +6,17 @@ import public_tokenizers
 from pyspark.sql import functions as F
 
 from layerhouse.llm import oracle, pii, pu_quality, toxicity
+from layerhouse.llm.bitsliced import ranked_search
 from layerhouse.llm.inputs import remainder, table
 from layerhouse.llm.exact_dedup import exact_dedup
 from layerhouse.llm.language_id import identify, learn_profiles, learnable
 from layerhouse.llm.near_dedup import near_dedup
+from layerhouse.llm.nearest import nearest
 from layerhouse.llm.packing import pack
 from layerhouse.llm.pieces import encode
 from layerhouse.llm.quality_rules import quality_rules
 from layerhouse.llm.sharding import rendezvous
+from layerhouse.llm.whitening import whiten
 
 
 def _documents(operator):
@@ -74,10 +77,15 @@ QUERIES = {
     "op8_toxicity": _labelled(toxicity, 5, 0),
     "op9_quality_pu": _labelled(pu_quality, 3, 1),
     "op10_sharding": _documents(rendezvous),
+    "op11_bitsliced_search": lambda spark, sf_dir: ranked_search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")),
+    "op12_nearest": lambda spark, sf_dir: nearest(table(spark, sf_dir, "embeddings")),
+    "op13_whitening": lambda spark, sf_dir: whiten(table(spark, sf_dir, "embeddings")),
 }
 
 #: SQL only; an operator that SQL cannot express has no entry and is held against brute force in the tests.
 ORACLE = {
     "op5_exact_dedup": oracle.EXACT_DEDUP,
     "op6_quality_rules": oracle.quality_rules(),
+    "op11_bitsliced_search": oracle.RANKED_SEARCH,
+    "op12_nearest": oracle.NEAREST,
 }
