@@ -48,10 +48,15 @@ def units(vectors: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 def cosines(one: np.ndarray, other: np.ndarray) -> np.ndarray:
-    """Row by row, in doubles; a row's value does not depend on where it stands."""
-    most_a, most_b = np.abs(one).max(axis=1, keepdims=True), np.abs(other).max(axis=1, keepdims=True)
-    a, b = one / most_a, other / most_b
-    return (a * b).sum(axis=1) / np.sqrt((a * a).sum(axis=1) * (b * b).sum(axis=1))
+    """Row by row, in doubles, summed in the order of the dimensions; scaled by powers of two, which round nothing."""
+    dot, a_square, b_square = np.zeros((3, len(one)))
+    a_power, b_power = (np.frexp(np.abs(x).max(axis=1))[1] for x in (one, other))
+    for d in range(one.shape[1]):
+        a, b = np.ldexp(one[:, d], -a_power), np.ldexp(other[:, d], -b_power)
+        dot += a * b
+        a_square += a * a
+        b_square += b * b
+    return dot / (np.sqrt(a_square) * np.sqrt(b_square))
 
 
 def _first_copies(vectors: np.ndarray, ids: list, most: int) -> np.ndarray:
