@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame, functions as F, types as T, Window
 
 from layerhouse.llm.inputs import slices, texts
 from layerhouse.llm.near_dedup import mix
-from layerhouse.session import written
+from layerhouse.session import scratch
 
 #: Bytes that make up terms, as their lower case, and a space for all others (fixed: ASCII letters and digits, all beyond ASCII).
 LOWER = bytes(b + 32 if 65 <= b <= 90 else b if b >= 128 or 48 <= b <= 57 or 97 <= b <= 122 else 32 for b in range(256))
@@ -34,7 +34,7 @@ LOWER = bytes(b + 32 if 65 <= b <= 90 else b if b >= 128 or 48 <= b <= 57 or 97
 LEVELS, HASHES, BITS = (1, 2, 3, 5, 9), 3, 8
 
 #: Bytes of text that become blocks together, and bytes of one text that are counted at a time.
-BLOCK_BYTES, PIECE_BYTES = 4_000_000, 1_000_000
+BLOCK_BYTES, PIECE_BYTES = 1_000_000, 1_000_000
 
 #: Query terms, with repeats over the items, that one pass over the index looks for.
 PASS_TERMS = 100_000
@@ -42,14 +42,17 @@ PASS_TERMS = 100_000
 #: (term, document, item) triples that are added up at a time.
 TRIPLES = 4_000_000
 
+#: Numbers of a block are packed as little-endian integers, its words joined by a space.
 INDEX = T.StructType([
-    T.StructField("width", T.LongType()), T.StructField("ids", T.ArrayType(T.LongType())), T.StructField("lengths", T.ArrayType(T.LongType())),
+    T.StructField("width", T.LongType()), T.StructField("ids", T.ArrayType(T.LongType())), T.StructField("lengths", T.BinaryType()),
     T.StructField("documents", T.LongType()), T.StructField("terms", T.LongType()), T.StructField("slices", T.BinaryType()),
-    T.StructField("words", T.ArrayType(T.StringType())), T.StructField("holding", T.ArrayType(T.IntegerType())),
-    T.StructField("counts", T.ArrayType(T.IntegerType())), T.StructField("word", T.ArrayType(T.IntegerType())),
-    T.StructField("times", T.ArrayType(T.IntegerType())),
+    T.StructField("words", T.StringType()), T.StructField("holding", T.BinaryType()), T.StructField("counts", T.BinaryType()),
+    T.StructField("word", T.BinaryType()), T.StructField("times", T.BinaryType()),
 ])
 
+#: Bytes of a row group of the stored index, which is what a reader holds at once.
+GROUP_BYTES = 16_000_000
+
 
 def lowered(batch: pa.Array) -> pa.Array:
     """The texts with term characters in lower case and spaces between; null is empty."""
@@ -116,10 +119,10 @@ def block(ids: list, words: pa.Array, row: np.ndarray, word: np.ndarray, times:
             bits[at[:, h], row[holds]] = True
     lengths = np.bincount(row, weights=times, minlength=size).astype("i8")
     return {
-        "width": [width], "ids": [ids], "lengths": [lengths.tolist()], "documents": [int((lengths > 0).sum())],
-        "terms": [int(lengths.sum())], "slices": [np.packbits(bits, axis=1).tobytes()], "words": [words.to_pylist()],
-        "holding": [np.bincount(word, minlength=len(words)).tolist()], "counts": [np.bincount(row, minlength=size).tolist()],
-        "word": [word.tolist()], "times": [times.tolist()],
+        "width": [width], "ids": [ids], "lengths": [lengths.astype("<i8").tobytes()], "documents": [int((lengths > 0).sum())],
+        "terms": [int(lengths.sum())], "slices": [np.packbits(bits, axis=1).tobytes()], "words": [" ".join(words.to_pylist())],
+        **{name: [x.astype("<i4").tobytes()] for name, x in (
+            ("holding", np.bincount(word, minlength=len(words))), ("counts", np.bincount(row, minlength=size)), ("word", word), ("times", times))},
     }
 
 
@@ -152,6 +155,17 @@ def index(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Data
     return texts(df, id_col, text_col).withColumn("doc_id", F.col("doc_id").cast("long")).mapInArrow(run, INDEX)
 
 
+def words_of(joined: pa.Scalar) -> pa.Array:
+    return pc.ascii_split_whitespace(pa.array([joined.as_py()], pa.string())).values
+
+
+def unpacked(row: dict[str, pa.Scalar]) -> dict:
+    """A row of the index as numbers and arrays."""
+    kinds = {"lengths": "<i8", "counts": "<i4", "word": "<i4", "times": "<i4"}
+    return {"width": row["width"].as_py(), "ids": row["ids"].as_py(), "slices": row["slices"].as_py(), "words": words_of(row["words"]),
+            **{name: np.frombuffer(row[name].as_py(), kind) for name, kind in kinds.items()}}
+
+
 class Items:
     """Query items: their different terms, and for each term the items that ask for it."""
 
@@ -173,9 +187,8 @@ class Items:
             total = np.zeros(len(terms), "i8")
             for batch in batches:
                 for k in range(batch.num_rows):
-                    at = pc.index_in(terms, value_set=batch.column(0)[k].values).to_numpy(zero_copy_only=False)
-                    met = at == at  # a term the block lacks has no place
-                    total[met] += batch.column(1)[k].values.to_numpy()[at[met].astype("i8")]
+                    at = pc.fill_null(pc.index_in(terms, value_set=words_of(batch.column(0)[k])), -1).to_numpy()
+                    total[at >= 0] += np.frombuffer(batch.column(1)[k].as_py(), "<i4")[at[at >= 0]]
             some = np.flatnonzero(total)
             yield pa.RecordBatch.from_arrays([pa.array(some), pa.array(total[some])], names=["term", "n"])
 
@@ -207,7 +220,7 @@ class Ranking:
 
     def meet(self, row: dict) -> None:
         """Bound all documents of a block, and score those that the bounds leave."""
-        lengths, width = np.array(row["lengths"], "i8"), row["width"]
+        lengths, width = row["lengths"], row["width"]
         size = len(lengths)
         table = np.frombuffer(row["slices"], "u1").reshape(width, -1)
         damp = 50 + (50 * lengths * self.documents) // self.terms
@@ -231,12 +244,11 @@ class Ranking:
             self._rescore(row, item, doc, damp)
 
     def _rescore(self, row: dict, item: np.ndarray, doc: np.ndarray, damp: np.ndarray) -> None:
-        counts = np.array(row["counts"], "i8")
+        counts = row["counts"]
         wanted = np.zeros(len(counts), bool)
         wanted[doc] = True
         holder = np.repeat(np.arange(len(counts)), counts)
-        own = pc.index_in(row["words"], value_set=self.items.terms).to_numpy(zero_copy_only=False)
-        own = np.where(own == own, own, -1).astype("i8") if own.dtype.kind == "f" else own.astype("i8")
+        own = pc.fill_null(pc.index_in(row["words"], value_set=self.items.terms), -1).to_numpy().astype("i8")
         term = own[row["word"]]
         used = wanted[holder] & (term >= 0)
         term, holder, times = term[used], holder[used], row["times"][used].astype("i8")
@@ -292,11 +304,7 @@ def search(table: DataFrame, items: DataFrame, k: int = 50, id_col: str = "item_
             ranking = Ranking(items, weights, documents, terms, k)
             for batch in batches:
                 for n in range(batch.num_rows):
-                    ranking.meet({
-                        "width": batch.column("width")[n].as_py(), "ids": batch.column("ids")[n].as_py(),
-                        "lengths": batch.column("lengths")[n].values.to_numpy(), "slices": batch.column("slices")[n].as_py(),
-                        "words": batch.column("words")[n].values, "counts": batch.column("counts")[n].values.to_numpy(),
-                        "word": batch.column("word")[n].values.to_numpy(), "times": batch.column("times")[n].values.to_numpy()})
+                    ranking.meet(unpacked({name: batch.column(name)[n] for name in batch.schema.names}))
             salt = TaskContext.get().partitionId() % 64
             rows = [(first + n, names[n], salt, doc, -score) for n, best in enumerate(ranking.best) for score, _, doc in best]
             for start in range(0, len(rows), 100_000):
@@ -326,6 +334,13 @@ def search(table: DataFrame, items: DataFrame, k: int = 50, id_col: str = "item_
     return found.select("item_id", "rank", "doc_id", "score")
 
 
+def stored(table: DataFrame) -> DataFrame:
+    """An index in the shared folder, in row groups that are small enough to be read by any task."""
+    path = scratch(table.sparkSession, "index")
+    table.write.option("parquet.block.size", GROUP_BYTES).parquet(path)
+    return table.sparkSession.read.schema(INDEX).parquet(path)
+
+
 def ranked_search(df: DataFrame, items: DataFrame, k: int = 50) -> DataFrame:
     """Index the documents, durably, and search the items in it."""
-    return search(written(index(df)), items, k)
+    return search(stored(index(df)), items, k)

@@ -52,7 +52,7 @@ def test_edges(spark, edge, monkeypatch, pass_terms):
     items = [(1, "The CAT and the dog"), (1, "The CAT and the dog"), (2, None), (3, " ,. "), (4, "été 日本語 wort"), (None, "one two"), (5, "nowhere")]
     docs = [(r["doc_id"], r["text"]) for r in edge.collect()]
     asked = spark.createDataFrame([(i, t, "x") for i, t in items], "item_id long, text string, score string")
-    table = bitsliced.written(bitsliced.index(edge))
+    table = bitsliced.stored(bitsliced.index(edge))
     for k in (2, 50):
         assert found(bitsliced.search(table, asked, k, pass_terms=pass_terms)) == brute(docs, items, k)
     assert bitsliced.ranked_search(edge.limit(0), asked).collect() == []
@@ -73,8 +73,7 @@ def test_bounds_hold_and_shut_out(monkeypatch):
     words, row, word, times = bitsliced.counted(bitsliced.lowered(pa.array(texts)))
     width = 2048
     entry = bitsliced.block(list(range(400)), words, row, word, times, width)
-    entry = {k: v[0] for k, v in entry.items()}
-    entry |= {"words": pa.array(entry["words"]), "counts": np.array(entry["counts"]), "word": np.array(entry["word"]), "times": np.array(entry["times"])}
+    entry = bitsliced.unpacked({k: pa.scalar(v[0]) for k, v in entry.items()})
     items = bitsliced.Items([set(texts[n].split()) for n in range(0, 400, 40)])
     ranking = bitsliced.Ranking(items, np.full(len(items.terms), 700), 400, int(times.sum()), 3)
     bounds, scores = [], []
