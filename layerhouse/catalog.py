@@ -626,6 +626,7 @@ for _name, _kind, _raw in (
     QUERIES[_name] = Query(QUERIES[_name].contract, _landed(_kind, _raw))
 _add("dt1_ods_discount_activity", "activity_id:s activity_name:s activity_level:s discount_type:s max_discount_amount:i start_time:s end_time:s status:s create_time:s update_time:s is_valid:i",
      _landed("discount_activity", "discount_activity"))
+QUERIES["dt1_ods_discount_send"] = Query(_SEND, lambda w: discount.sends_with_expiry(_landed("discount_send", "discount_send")(w)))
 _add("dt1_ods_product_relation", "rel_id:s activity_id:s product_id:s sku_id:s fixed_discount:i max_buy_count:i add_time:s is_delete:i",
      _landed("discount_product", "discount_product"))
 _add("mm1_ods_favourite_cart", "record_id:s user_id:s product_id:s op_type:s op_time:s add_cart_count:i terminal:s",

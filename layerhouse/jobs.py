@@ -10,8 +10,10 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from layerhouse.catalog import QUERIES, Layers, Query
 from layerhouse.functions.times import OPEN_END, business_date
+from layerhouse.plans.shop_dim import close_out
 from layerhouse.session import written
 from layerhouse.sources import tables
+from layerhouse.sources.keyed import Keyed
 
 
 class Stored(Layers):
@@ -19,12 +21,13 @@ class Stored(Layers):
 
     ``bound`` maps an attribute (a raw table such as ``order_detail`` or a stored layer such as
     ``order_1d``) to a table name.  Raw tables are read for the run date's partition; names in
-    ``history`` are read whole, for reports over several days.
+    ``history`` are read whole, for reports over several days; names in ``opened`` are read for the
+    rows that are still open (waybills of the order process that have not closed).
     """
 
     def __init__(
         self, spark: SparkSession, bound: Mapping[str, str], day: str | dt.date,
-        history: tuple[str, ...] = (), partition: str = "dt",
+        history: tuple[str, ...] = (), partition: str = "dt", opened: tuple[str, ...] = (),
     ):
         day = business_date(day)
         super().__init__(spark, "", order_day=day, event_day=day, last_day=day)
@@ -32,7 +35,7 @@ class Stored(Layers):
         for attribute, table in bound.items():
             df = (
                 spark.table(table) if attribute in history
-                else tables.read_partition(spark, table, day, partition)
+                else tables.read_partition(spark, table, OPEN_END if attribute in opened else day, partition)
             )
             # a value in the instance dictionary takes the place of the view of that name
             self.__dict__[attribute] = df
@@ -50,58 +53,135 @@ LATE = {
 #: Keys of accumulating tables: a row stays in the open partition until it moves to its end date's.
 ACCUMULATING = {"e15_dwd_trade_flow": ["order_id"], "l18_dwd_order_process": ["id"]}
 
-#: Keys of report histories besides ``dt``.
-HISTORY = {
-    "l37_ads_trans_order_stats": ["recent_days"], "l38_ads_trans_stats": ["recent_days"], "l39_ads_trans_order_stats_td": [],
-    "l40_ads_order_stats": ["recent_days"], "l41_ads_order_cargo_stats": ["recent_days", "cargo_type"],
-    "l42_ads_city_stats": ["recent_days", "city_id"], "l43_ads_org_stats": ["recent_days", "org_id"],
-    "l44_ads_shift_stats": ["recent_days", "shift_id"], "l45_ads_line_stats": ["recent_days", "line_id"],
-    "l46_ads_driver_stats": ["recent_days", "driver_emp_id"], "l47_ads_truck_stats": ["recent_days", "truck_model_type"],
-    "l48_ads_express_stats": ["recent_days"], "l49_ads_express_province_stats": ["recent_days", "province_id"],
-    "l50_ads_express_city_stats": ["recent_days", "city_id"], "l51_ads_express_org_stats": ["recent_days", "org_id"],
-}
+#: Keys of validity intervals, besides the day they start.
+INTERVALS = {"e8_dim_user_zip": "id", "l8_dim_user_zip": "id", "l9_dim_user_address_zip": "id"}
 
 
-def load(name: str, layers: Layers, table: str, fmt: str = "parquet", days: Iterable[dt.date | str] = ()) -> int:
+def load(
+    name: str, layers: Layers, table: str, fmt: str = "parquet", days: Iterable[dt.date | str] | None = None, stamp: str | None = None,
+) -> int:
     """Write a query's result to ``table``; returns the rows written.
 
-    Rows that arrive late are merged into their day by key, rows of accumulating tables move from the
-    open partition to their end date, report histories replace rows of the same keys.  Other results
-    replace the partitions they have rows for, and empty those of ``days`` that they have none for; a
-    result without ``dt`` replaces the table.  A repeated load changes nothing.
+    Rows that arrive late or whose end is not known yet are found by key, wherever they are stored, and move
+    to their day.  Other results replace the partitions they have rows for and empty those of ``days`` that
+    they have none for; over stored tables that is the run day, unless told otherwise.  A result without
+    ``dt`` replaces the table.  ``stamp`` names a column for the time of the load.  A repeated load changes nothing else.
     """
-    return store(name, QUERIES[name].frame(layers), table, fmt, days)
+    if days is None:
+        days = [layers.order_day] if isinstance(layers, Stored) else []
+    return store(name, QUERIES[name].frame(layers), table, fmt, days, stamp)
+
+
+def _created(df: DataFrame, table: str, fmt: str) -> None:
+    """Create a table, or give it the columns the contract has gained; they are null in older rows."""
+    spark = df.sparkSession
+    tables.create_table(spark, table, df.schema, fmt=fmt)
+    tables.evolve_table(spark, table, {f.name: f.dataType.simpleString() for f in df.schema if f.name != "dt"})
 
 
-def store(name: str, df: DataFrame, table: str, fmt: str = "parquet", days: Iterable[dt.date | str] = ()) -> int:
+def store(
+    name: str, df: DataFrame, table: str, fmt: str = "parquet", days: Iterable[dt.date | str] = (), stamp: str | None = None,
+) -> int:
     """``load`` of rows that are already there."""
     spark = df.sparkSession
+    if stamp:
+        df = df.withColumn(stamp, F.current_timestamp())
     if "dt" not in df.columns:
         return tables.save_table(df, table, fmt=fmt)
     df = df.select(*[c for c in df.columns if c != "dt"], "dt")
-    tables.create_table(spark, table, df.schema, fmt=fmt)
-    if name in LATE:
-        return tables.merge_rows(df, table, LATE[name])
-    if name in ACCUMULATING:
-        return tables.merge_rows(df, table, ACCUMULATING[name], also=[OPEN_END])
-    if name in HISTORY:
-        return tables.merge_history(df, table, ["dt", *HISTORY[name]])
+    _created(df, table, fmt)
+    if name in LATE or name in ACCUMULATING:
+        return Keyed(spark, table, LATE.get(name) or ACCUMULATING[name]).merge(df)
     return tables.replace_days(df, table, days)
 
 
-def two_loads(name: str, layers: Layers, early: Callable[[DataFrame], DataFrame], late: Callable[[DataFrame], DataFrame]) -> DataFrame:
-    """Load a table twice, the second load also repeated, and read it back whole.
+def load_intervals(name: str, snapshot: DataFrame, table: str, as_of: dt.date | str, fmt: str = "parquet") -> int:
+    """Fold the day's snapshot of a dimension into its validity intervals; returns the rows written."""
+    rows = snapshot.select(*[c for c in snapshot.columns if c not in ("start_date", "end_date", "dt")]).withColumns(
+        {c: F.lit(OPEN_END) for c in ("start_date", "end_date", "dt")})
+    _created(rows, table, fmt)
+    return Keyed(snapshot.sparkSession, table, [INTERVALS[name], "start_date"]).fold(rows, business_date(as_of), close_out, INTERVALS[name])
 
-    ``early`` and ``late`` give the rows that are known at each load.
-    """
-    spark, table = layers.spark, f"load_{uuid4().hex}"
-    whole = written(QUERIES[name].frame(layers))
+
+def _scratch_table() -> str:
+    return f"load_{uuid4().hex}"
+
+
+def loads(name: str, layers: Layers, *versions: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """Load a table once with each version of its rows and read it back whole."""
+    table, whole = _scratch_table(), written(QUERIES[name].frame(layers))
+    kept = Keyed(layers.spark, table, ["id"])
     try:
-        for rows in (early, late, late):
+        for rows in versions:
             store(name, rows(whole), table)
+        return written(kept.read())
+    finally:
+        kept.drop()
+
+
+def from_open_rows(name: str, layers: Layers) -> DataFrame:
+    """Two daily loads of a milestone over stored tables alone.
+
+    On the first day half of the waybills are placed and none has come further, so the load writes nothing.  On
+    the second day the others are placed and all have their statuses: the waybills of the first day are
+    known from the open partition of the order process only.
+    """
+    spark, day = layers.spark, layers.order_day
+    process, fact, changed, target = (_scratch_table() for _ in range(4))
+    early = F.pmod(F.xxhash64("order_id"), F.lit(2)) == 0
+    try:
+        placed = _still_open()(QUERIES["l18_dwd_order_process"].frame(layers).where(early))
+        store("l18_dwd_order_process", placed.withColumn("status", F.lit("60010")), process)
+        store("l10_dwd_order_detail", QUERIES["l10_dwd_order_detail"].frame(layers).where(~early), fact)
+        orders, eve = layers.tms_order_info, day - dt.timedelta(days=1)
+        tables.save_table(orders.withColumn("status", F.lit("60010")).withColumn("dt", F.lit(eve)).unionByName(
+            orders.withColumn("dt", F.lit(day))), changed, partition="dt")
+        bound = {"open_orders": process, "tms_order": fact, "tms_order_info": changed}
+        for today in (eve, day):
+            load(name, Stored(spark, bound, today, history=("tms_order",), opened=("open_orders",)), target)
+        return written(spark.table(target))
+    finally:
+        spark.sql(f"DROP TABLE IF EXISTS {changed}")
+        for table in (process, fact, target):
+            Keyed(spark, table, ["id"]).drop()
+
+
+#: Days between the snapshots of ``three_snapshots``.
+STEP = dt.timedelta(days=1)
+
+
+def three_snapshots(name: str, layers: Layers, changing: str) -> DataFrame:
+    """Three snapshots of a dimension folded into its intervals, the last twice, and all intervals read back.
+
+    Every seventh row appears on the second day, every third one changes on that day and every sixth again on the
+    third.
+    """
+    spark, table = layers.spark, _scratch_table()
+    whole, first = written(QUERIES[name].frame(layers)), layers.event_day
+    number = F.col(INTERVALS[name])
+
+    def seen(turn: int) -> DataFrame:
+        marks = F.when((number % 6 == 0) & F.lit(turn > 1), "++").when((number % 3 == 0) & F.lit(turn > 0), "+").otherwise("")
+        rows = whole.withColumn(changing, F.concat(F.coalesce(changing, F.lit("")), marks))
+        return rows if turn else rows.where(number % 7 != 0)
+
+    try:
+        for turn in (0, 1, 2, 2):
+            load_intervals(name, seen(turn), table, first + turn * STEP)
         return written(spark.table(table))
     finally:
-        spark.sql(f"DROP TABLE IF EXISTS {table}")
+        Keyed(spark, table, []).drop()
+
+
+def rerun(name: str, layers: Layers, more: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """Load a report, first with rows that its second run no longer has, and read it back whole."""
+    table, whole = _scratch_table(), written(QUERIES[name].frame(layers))
+    try:
+        for rows in (more(whole), whole, whole):
+            store(name, rows, table)
+        return written(layers.spark.table(table))
+    finally:
+        layers.spark.sql(f"DROP TABLE IF EXISTS {table}")
 
 
 def _half(parity: int) -> Callable[[DataFrame], DataFrame]:
@@ -121,10 +201,32 @@ def _closed(df: DataFrame) -> DataFrame:
     return df.where(F.col("dt") != F.lit(OPEN_END).cast(df.schema["dt"].dataType))
 
 
-def _register(name: str, of: str, early: Callable, late: Callable) -> None:
-    QUERIES[name] = Query(QUERIES[of].contract, lambda w: two_loads(of, w, early, late))
+def _elsewhere(df: DataFrame) -> DataFrame:
+    """Closed rows under another end, one to three days too early."""
+    off = -(F.pmod(F.xxhash64("dt"), F.lit(3)) + 1).cast("int")
+    return _closed(df).withColumns({c: F.date_add(c, off) for c in ("dt", "end_date") if c in df.columns})
+
+
+def _misdated(df: DataFrame) -> DataFrame:
+    """Half of the rows, each under one of the three days before its own."""
+    return _half(0)(df).withColumn("dt", F.date_sub("dt", (F.pmod(F.xxhash64("id"), F.lit(3)) + 1).cast("int")))
+
+
+def _register(name: str, of: str, *versions: Callable) -> None:
+    QUERIES[name] = Query(QUERIES[of].contract, lambda w: loads(of, w, *versions))
 
 
-_register("l16_late_rows_load", "l16_dwd_deliver_suc", _half(0), _half(1))
+_unfinished = ("finish_date", "finish_time")
+_register("l16_late_rows_load", "l16_dwd_deliver_suc", _half(0), _half(1), _half(1))  # the second load twice
+_register("l16_corrected_day_load", "l16_dwd_deliver_suc", _misdated, lambda df: df)
 _register("l18_two_day_load", "l18_dwd_order_process", _still_open(), _closed)
-_register("e15_two_day_load", "e15_dwd_trade_flow", _still_open("finish_date", "finish_time"), _closed)
+_register("l18_three_day_load", "l18_dwd_order_process", _still_open(), _elsewhere, _closed)
+_register("e15_two_day_load", "e15_dwd_trade_flow", _still_open(*_unfinished), _closed)
+_register("e15_three_day_load", "e15_dwd_trade_flow", _still_open(*_unfinished), _elsewhere, _closed)
+for _of in ("l11_dwd_pay_suc", "l13_dwd_receive"):
+    QUERIES[f"{_of.split('_')[0]}_two_day_load"] = Query(QUERIES[_of].contract, lambda w, of=_of: from_open_rows(of, w))
+for _of, _changing in (("e8_dim_user_zip", "user_level"), ("l8_dim_user_zip", "user_level"), ("l9_dim_user_address_zip", "address")):
+    QUERIES[f"{_of.split('_')[0]}_three_snapshots_load"] = Query(
+        QUERIES[_of].contract, lambda w, of=_of, changing=_changing: three_snapshots(of, w, changing))
+QUERIES["l42_rerun_load"] = Query(QUERIES["l42_ads_city_stats"].contract, lambda w: rerun(
+    "l42_ads_city_stats", w, lambda df: df.unionByName(df.withColumn("city_id", F.col("city_id") + 100_000))))

@@ -223,11 +223,9 @@ def merge_rows(df: DataFrame, table: str, keys: Sequence[str], also: Iterable[dt
     spark = df.sparkSession
     also = [business_date(d) for d in also]
     fresh = written(align_to(df, spark.table(table).schema))
-    touched = fresh.select(column).distinct()
-    if also:
-        touched = touched.union(spark.createDataFrame([(d,) for d in also], "d date").select(
-            F.col("d").cast(fresh.schema[column].dataType))).distinct()
-    stored = spark.table(table).join(touched, column, "left_semi")
+    # one row per day reaches the driver, and the days reach the scan as literals
+    touched = {str(r[0]) for r in fresh.where(F.col(column).isNotNull()).select(column).distinct().collect()} | {str(d) for d in also}
+    stored = spark.table(table).where(F.col(column).isin(*touched) if touched else F.lit(False))
     again = fresh.select(*[F.col(k).alias(f"__{k}") for k in keys]).distinct()
     kept = stored.join(again, [F.col(k).eqNullSafe(F.col(f"__{k}")) for k in keys], "left_anti")
     merged = kept.select(*fresh.columns).unionByName(fresh)

@@ -24,7 +24,8 @@ _CASTS = {
 
 
 #: Snapshots: the partition a load writes, as SQL.
-_DAYS = {name: SNAPSHOT_DAYS[day] for name, day in SNAPSHOTS.items()}
+_DAYS = {name: SNAPSHOT_DAYS[day] for name, day in SNAPSHOTS.items()} | {
+    f"{name}_three_snapshots_load": "end_date" for name in ("e8", "l8", "l9")}
 
 
 def _needed(text: str, found: set[str]) -> set[str]:

@@ -431,10 +431,26 @@ SELECT event_id, 'V' || user_id AS vehicle_no, {stamp('ts')} AS report_time, 114
  CASE WHEN k < 29 THEN [{', '.join(f"'{a}'" for a in ALARMS)}][k + 1] ELSE '' END AS alarms FROM ev""")
 
 # what loads leave behind is the whole table
-for name, of in (("l16_late_rows_load", "l16_dwd_deliver_suc"), ("l18_two_day_load", "l18_dwd_order_process"),
-                 ("e15_two_day_load", "e15_dwd_trade_flow")):
+for name, of in {
+    "l16_late_rows_load": "l16_dwd_deliver_suc", "l16_corrected_day_load": "l16_dwd_deliver_suc",
+    "l18_two_day_load": "l18_dwd_order_process", "l18_three_day_load": "l18_dwd_order_process",
+    "e15_two_day_load": "e15_dwd_trade_flow", "e15_three_day_load": "e15_dwd_trade_flow",
+    "l11_two_day_load": "l11_dwd_pay_suc", "l13_two_day_load": "l13_dwd_receive", "l42_rerun_load": "l42_ads_city_stats",
+}.items():
     add(name, BODIES[of])
 
+# three daily snapshots: new rows on the second, changes on the second and third
+for name, of, changing in (("e8_three_snapshots_load", "e8_dim_user_zip", "user_level"), ("l8_three_snapshots_load", "l8_dim_user_zip", "user_level"),
+                           ("l9_three_snapshots_load", "l9_dim_user_address_zip", "address")):
+    add(name, f"""
+SELECT s.* REPLACE (coalesce(CAST(s.{changing} AS VARCHAR), '') || v.mark AS {changing}, strftime({EVENT_DAY} + greatest(v.since, a.seen), '%Y-%m-%d') AS start_date,
+ CASE WHEN v.until IS NULL THEN '9999-12-31' ELSE strftime({EVENT_DAY} + v.until, '%Y-%m-%d') END AS end_date)
+FROM ({BODIES[of]}) s
+JOIN (SELECT 0 AS seen, false AS late UNION ALL SELECT 1, true) a ON (s.id % 7 = 0) = a.late
+JOIN (VALUES (1, 0, NULL, ''), (3, 0, 0, ''), (3, 1, NULL, '+'), (6, 0, 0, ''), (6, 1, 1, '+'), (6, 2, NULL, '++')) AS v(kind, since, until, mark)
+ ON v.kind = CASE WHEN s.id % 6 = 0 THEN 6 WHEN s.id % 3 = 0 THEN 3 ELSE 1 END
+WHERE v.until IS NULL OR v.until >= a.seen""")
+
 # landing files: every raw row comes back
 add("dt1_ods_discount_activity", """
 SELECT DISTINCT 'act_' || p_size AS activity_id, 'Activity ' || p_size AS activity_name, CASE WHEN p_size < 20 THEN 'product' ELSE 'shop' END AS activity_level,
