@@ -49,7 +49,7 @@ class Layers(Warehouse):
 
     @cached_property
     def pay_line(self) -> DataFrame:
-        return shop_dwd.pay_line(self.order_detail, self.payment_info)
+        return shop_dwd.pay_line(self.order_amounts, self.payment_info)
 
     @cached_property
     def trade_flow(self) -> DataFrame:
@@ -102,6 +102,10 @@ class Layers(Warehouse):
             "user_id", F.to_date("ts").alias("dt")
         ).agg(F.count("*").alias("order_count_1d"))
 
+    def order_run_day(self, daily: DataFrame) -> DataFrame:
+        """The run day of the orders under the date of the events' run day, for reports over both."""
+        return daily.where(F.col("dt") == F.lit(self.order_day)).withColumn("dt", F.lit(self.event_day))
+
     def login_td(self, as_of) -> DataFrame:
         return shop_dws.user_login_td(self.user_info, self.login, as_of)
 
@@ -329,7 +333,7 @@ _add("e13_dwd_order_detail", f"id:s order_id:l user_id:l sku_id:l province_id:i
          w.order_detail, w.order_info, w.order_detail_activity, w.order_detail_coupon))
 _add("e14_dwd_pay_detail", f"id:s order_id:l user_id:l sku_id:l province_id:i activity_id:l activity_rule_id:l coupon_id:i payment_type:s payment_type_name:s dt:s callback_time:s sku_num:l {_SPLIT} split_payment_amount:d",
      lambda w: shop_dwd.pay_detail(
-         w.order_detail, w.payment_info, w.order_info, w.order_detail_activity,
+         w.order_amounts, w.payment_info, w.order_info, w.order_detail_activity,
          w.order_detail_coupon, w.base_dic))
 _add("e15_dwd_trade_flow", "order_id:l user_id:l province_id:i order_date:s order_time:s payment_date:s payment_time:s finish_date:s finish_time:s order_original_amount:d order_activity_amount:d order_coupon_amount:d order_total_amount:d payment_amount:d dt:s",
      lambda w: w.trade_flow)
@@ -389,10 +393,8 @@ _add("e43_ads_traffic_by_channel", "dt:s recent_days:i channel:s uv_count:l avg_
      lambda w: shop_ads.traffic_by_channel(shop_dws.session_page_1d(w.page_view_in(30)), w.event_day))
 _add("e44_ads_user_action", "dt:s home_count:l good_detail_count:l cart_count:l order_count:l payment_count:l",
      lambda w: shop_ads.user_action(
-         shop_dws.visitor_page_1d(w.page_view_in(1)), w.cart_1d, w.purchase_1d,
-         shop_dws.user_cart_1d(w.events.where(F.col("event_type") == "purchase").select(
-             "user_id", F.to_date("ts").alias("dt"), F.lit(1).alias("sku_num"))),
-         w.event_day))
+         shop_dws.visitor_page_1d(w.page_view_in(1)), w.cart_1d, w.order_run_day(w.order_1d),
+         w.order_run_day(w.payment_1d), w.event_day))
 _add("e45_ads_user_change", "dt:s user_churn_count:l user_back_count:l",
      lambda w: shop_ads.user_change(
          w.user_info, w.login, w.event_day))

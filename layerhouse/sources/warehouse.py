@@ -250,8 +250,8 @@ class Warehouse:
         )
 
     @cached_property
-    def order_detail(self) -> DataFrame:
-        """Shop order lines; the reduction columns are null where nothing was taken off."""
+    def order_amounts(self) -> DataFrame:
+        """Shop order lines without their day; the reduction columns are null where nothing was taken off."""
         original = (money("l_extendedprice") * F.col("l_quantity").cast("decimal(4,0)"))
         activity = F.when(F.col("l_discount") > 0, original * money("l_discount", "decimal(4,2)"))
         coupon = F.when(F.col("l_tax") > 0, original * money("l_tax", "decimal(4,2)"))
@@ -260,7 +260,6 @@ class Warehouse:
         return self.raw("lineitem").select(
             F.concat_ws("-", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey").alias("id"),
             F.col("l_orderkey").alias("order_id"), F.col("l_partkey").alias("sku_id"),
-            F.col("l_shipdate").cast("timestamp").alias("create_time"),
             F.col("l_quantity").cast("bigint").alias("sku_num"),
             money("l_extendedprice").alias("order_price"),
             kept.cast("decimal(18,4)").alias("split_total_amount"),
@@ -268,6 +267,14 @@ class Warehouse:
             coupon.cast("decimal(18,4)").alias("split_coupon_amount"),
         )
 
+    @cached_property
+    def order_detail(self) -> DataFrame:
+        """Shop order lines, made when their order was."""
+        placed = self.raw("orders").select(
+            F.col("o_orderkey").alias("order_id"), F.col("o_orderdate").cast("timestamp").alias("create_time")
+        )
+        return self.order_amounts.join(placed, "order_id", "left")
+
     @cached_property
     def order_detail_activity(self) -> DataFrame:
         cut = (F.col("l_discount") * 100).cast("decimal(4,0)").cast("int")

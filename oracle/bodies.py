@@ -112,7 +112,7 @@ FROM ev WHERE event_type = 'click' GROUP BY user_id, dt""")
 add("e24_dws_user_order_1d", f"""SELECT user_id, dt, count(DISTINCT order_id) AS order_count_1d, sum(sku_num) AS order_num_1d, {SUMS}
 FROM order_line GROUP BY user_id, dt""")
 add("e25_dws_user_order_td", """
-SELECT user_id, min(dt) AS order_date_first, max(dt) AS order_date_last, count(DISTINCT (order_id, dt)) AS order_count_td, sum(sku_num) AS order_num_td,
+SELECT user_id, min(dt) AS order_date_first, max(dt) AS order_date_last, count(DISTINCT order_id) AS order_count_td, sum(sku_num) AS order_num_td,
  sum(original) AS original_amount_td, sum(activity) AS activity_reduce_amount_td, sum(coupon) AS coupon_reduce_amount_td, sum(total) AS total_amount_td
 FROM order_line GROUP BY user_id""")
 add("e26_dws_user_payment_1d", """SELECT user_id, count(DISTINCT order_id) AS payment_count_1d, sum(sku_num) AS payment_num_1d,
@@ -183,8 +183,8 @@ add("e44_ads_user_action", f"""
 SELECT {EVENT_DAY} AS dt, (SELECT count(*) FROM ({VISITOR}) WHERE dt = {EVENT_DAY} AND page_id = 'home') AS home_count,
  (SELECT count(*) FROM ({VISITOR}) WHERE dt = {EVENT_DAY} AND page_id = 'good_detail') AS good_detail_count,
  (SELECT count(DISTINCT user_id) FROM ev WHERE dt = {EVENT_DAY} AND event_type = 'click') AS cart_count,
- (SELECT count(DISTINCT user_id) FROM ev WHERE dt = {EVENT_DAY} AND event_type = 'purchase') AS order_count,
- (SELECT count(DISTINCT user_id) FROM ev WHERE dt = {EVENT_DAY} AND event_type = 'purchase') AS payment_count""")
+ (SELECT count(DISTINCT user_id) FROM order_line WHERE dt = {DAY}) AS order_count,
+ (SELECT count(DISTINCT user_id) FROM pay_line WHERE paid_day = {DAY}) AS payment_count""")
 add("e45_ads_user_change", f"""
 SELECT {EVENT_DAY} AS dt, (SELECT count(*) FROM login_td_today WHERE login_date_last = {EVENT_DAY} - 7) AS user_churn_count,
  (SELECT count(*) FROM login_td_today t JOIN login_td_before b ON t.user_id = b.user_id

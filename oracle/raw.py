@@ -49,14 +49,14 @@ RAW["coupon"] = f"""SELECT id, 'coupon ' || id AS coupon_name, CASE WHEN id <= 2
 RAW["shop_orders"] = """SELECT o_orderkey AS id, o_custkey AS user_id, c_nationkey AS province_id, o_orderdate AS create_time,
  CAST(o_totalprice AS DECIMAL(16,2)) AS total_amount, o_orderstatus AS status
  FROM orders LEFT JOIN customer ON o_custkey = c_custkey"""
-RAW["lines"] = f"""SELECT {LID} AS id, l_orderkey AS order_id, l_partkey AS sku_id, l_shipdate AS create_time,
- CAST(l_shipdate AS DATE) AS dt, CAST(l_quantity AS BIGINT) AS sku_num,
+RAW["lines"] = f"""SELECT {LID} AS id, l_orderkey AS order_id, l_partkey AS sku_id, o_orderdate AS create_time,
+ CAST(o_orderdate AS DATE) AS dt, CAST(l_quantity AS BIGINT) AS sku_num,
  CAST(l_extendedprice AS DECIMAL(16,2)) * CAST(l_quantity AS DECIMAL(4,0)) AS original,
  CAST(l_extendedprice AS DECIMAL(12,2)) * CAST(l_quantity AS DECIMAL(4,0)) * CAST(l_discount AS DECIMAL(4,2)) AS activity,
  CAST(l_extendedprice AS DECIMAL(12,2)) * CAST(l_quantity AS DECIMAL(4,0)) * CAST(l_tax AS DECIMAL(4,2)) AS coupon,
  CASE WHEN l_discount > 0 THEN {CUT} END AS activity_id,
  CASE WHEN l_discount > 0 THEN {CUT} * 10 + l_linenumber END AS activity_rule_id,
- CASE WHEN l_tax > 0 THEN {TAX} END AS coupon_id FROM lineitem"""
+ CASE WHEN l_tax > 0 THEN {TAX} END AS coupon_id FROM lineitem LEFT JOIN orders ON l_orderkey = o_orderkey"""
 RAW["promoted"] = """SELECT l.id, a.activity_id, a.activity_rule_id, c.coupon_id FROM
  (SELECT id FROM lines) l LEFT JOIN (SELECT id, activity_id, activity_rule_id FROM lines WHERE activity_id IS NOT NULL) a USING (id)
  LEFT JOIN (SELECT id, coupon_id FROM lines WHERE coupon_id IS NOT NULL) c USING (id)"""

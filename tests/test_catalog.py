@@ -71,7 +71,7 @@ def scans(df):
 
 @pytest.mark.parametrize(("name", "table", "column"), [
     ("e39_ads_page_path", "events", "ts"), ("e43_ads_traffic_by_channel", "events", "ts"),
-    ("e36_ads_order_by_category", "lineitem", "l_shipdate"),
+    ("e36_ads_order_by_category", "orders", "o_orderdate"),
 ])
 def test_the_day_range_reaches_the_scan(spark, name, table, column):
     spark.conf.set("spark.sql.maxMetadataStringLength", "2000")
