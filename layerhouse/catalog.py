@@ -95,6 +95,14 @@ class Layers(Warehouse):
     def user_sku_1d(self) -> DataFrame:
         return shop_dws.user_sku_order_1d(self.order_line, self.sku)
 
+    @cached_property
+    def category_buyers(self) -> DataFrame:
+        return shop_dws.buyers_1d(self.user_sku_1d, shop_ads.CATEGORY)
+
+    @cached_property
+    def brand_buyers(self) -> DataFrame:
+        return shop_dws.buyers_1d(self.user_sku_1d, shop_ads.BRAND)
+
     @cached_property
     def purchase_1d(self) -> DataFrame:
         """User-days with a purchase event: the active-day fact of the streak reports."""
@@ -137,6 +145,11 @@ class Layers(Warehouse):
     def line_info_shifts(self) -> DataFrame:
         return tms_dim.shift_full(self.line_shift, self.line_info, self.tms_dic)
 
+    @cached_property
+    def organ_paths(self) -> DataFrame:
+        """The place dimension, written once per run and read by every fact."""
+        return tms_dws.organ_paths(self.base_organ, self.region_info)
+
     @cached_property
     def trucks(self) -> DataFrame:
         return tms_dim.truck_models(self.truck_info, self.truck_model, self.tms_dic)
@@ -151,7 +164,7 @@ class Layers(Warehouse):
     @cached_property
     def receive_1d(self) -> DataFrame:
         return tms_dws.org_receive_1d(
-            self.tms_milestone(tms_dwd.RECEIVED), self.base_organ, self.region_info
+            self.tms_milestone(tms_dwd.RECEIVED), self.organ_paths
         )
 
     def receive_nd(self, spans=tms_dws.ROLLING) -> DataFrame:
@@ -175,7 +188,7 @@ class Layers(Warehouse):
     @cached_property
     def deliver_1d(self) -> DataFrame:
         return tms_dws.org_deliver_1d(
-            self.tms_milestone(tms_dwd.DELIVERED), self.base_organ, self.region_info
+            self.tms_milestone(tms_dwd.DELIVERED), self.organ_paths
         )
 
     def deliver_nd(self, spans=tms_dws.ROLLING) -> DataFrame:
@@ -184,7 +197,7 @@ class Layers(Warehouse):
     @cached_property
     def sort_1d(self) -> DataFrame:
         scans = tms_dwd.bound(self.org_bound, "sort", "sorter_emp_id")
-        return tms_dws.org_sort_1d(scans, self.base_organ, self.region_info)
+        return tms_dws.org_sort_1d(scans, self.organ_paths)
 
     def sort_nd(self, spans=tms_dws.ROLLING) -> DataFrame:
         return tms_dws.org_sort_nd(self.sort_1d, self.order_day, spans)
@@ -195,8 +208,7 @@ class Layers(Warehouse):
 
     def shift_nd(self, spans=tms_dws.ROLLING) -> DataFrame:
         return tms_dws.shift_trips_nd(
-            self.trips, self.base_organ, self.region_info, self.line_info_shifts, self.trucks,
-            self.order_day, spans,
+            self.trips, self.organ_paths, self.line_info_shifts, self.trucks, self.order_day, spans,
         )
 
     # product marts

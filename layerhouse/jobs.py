@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from layerhouse.catalog import QUERIES, Layers, Query
 from layerhouse.functions.times import OPEN_END, business_date
+from layerhouse.plans import shop_ads
 from layerhouse.plans.shop_dim import close_out
 from layerhouse.session import written
 from layerhouse.sources import tables
@@ -186,6 +187,18 @@ def rerun(name: str, layers: Layers, more: Callable[[DataFrame], DataFrame]) ->
         layers.spark.sql(f"DROP TABLE IF EXISTS {table}")
 
 
+def from_states(state: str, keys: list[str], layers: Layers) -> DataFrame:
+    """A buyer report over stored daily states: all days are loaded, the run day a second time, then only states are read."""
+    table, whole = _scratch_table(), written(getattr(layers, state))
+    try:
+        for rows in (whole, whole.where(F.col("dt") == F.lit(layers.order_day))):
+            store(state, rows, table)
+        stored = Stored(layers.spark, {state: table}, layers.order_day, history=(state,))
+        return written(shop_ads.order_stats_from_state(getattr(stored, state), keys, layers.order_day))
+    finally:
+        layers.spark.sql(f"DROP TABLE IF EXISTS {table}")
+
+
 def _half(parity: int) -> Callable[[DataFrame], DataFrame]:
     return lambda df: df.where(F.pmod(F.xxhash64("id"), F.lit(2)) == parity)
 
@@ -232,3 +245,6 @@ for _of, _changing in (("e8_dim_user_zip", "user_level"), ("l8_dim_user_zip", "u
         QUERIES[_of].contract, lambda w, of=_of, changing=_changing: three_snapshots(of, w, changing))
 QUERIES["l42_rerun_load"] = Query(QUERIES["l42_ads_city_stats"].contract, lambda w: rerun(
     "l42_ads_city_stats", w, lambda df: df.unionByName(df.withColumn("city_id", F.col("city_id") + 100_000))))
+for _of, _state, _keys in (("e36_ads_order_by_category", "category_buyers", shop_ads.CATEGORY), ("e37_ads_order_by_brand", "brand_buyers", shop_ads.BRAND)):
+    QUERIES[f"{_of.split('_')[0]}_from_daily_states"] = Query(
+        QUERIES[_of].contract, lambda w, state=_state, keys=_keys: from_states(state, keys, w))

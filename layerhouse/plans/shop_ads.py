@@ -10,6 +10,7 @@ from layerhouse.functions.ratios import mean_of, safe_ratio
 from layerhouse.functions.times import within
 from layerhouse.operators import cohorts
 from layerhouse.operators.joins import lookup, side_by_side
+from layerhouse.operators.members import rolled_members
 from layerhouse.operators.ordering import in_sequence, topk_with_ties
 from layerhouse.operators.spans import recent_by, rolled, unpivot_spans
 from layerhouse.plans.shop_dws import BRAND, CATEGORY, PROVINCE
@@ -77,6 +78,10 @@ def _orders_and_buyers(sku_daily: DataFrame, keys: list[str], as_of: dt.date) ->
             F.count(F.when(F.col(f"n_{span}d") > 0, 1)).alias(f"order_user_count_{span}d"),
         )
     ])
+    return _buyer_rows(wide, keys, as_of)
+
+
+def _buyer_rows(wide: DataFrame, keys: list[str], as_of: dt.date) -> DataFrame:
     rows = unpivot_spans(wide, keys, ["order_count", "order_user_count"], SPANS)
     return rows.where((F.col("recent_days") > 1) | (F.col("order_count") > 0)).withColumn(
         "dt", F.lit(as_of)
@@ -91,6 +96,13 @@ def order_stats_by_brand(sku_daily: DataFrame, as_of: dt.date) -> DataFrame:
     return _orders_and_buyers(sku_daily, BRAND, as_of)
 
 
+def order_stats_from_state(buyers: DataFrame, keys: list[str], as_of: dt.date) -> DataFrame:
+    """The category or brand report from the stored daily states alone (``shop_dws.buyers_1d``)."""
+    wide = rolled_members(buyers, keys, ["order_count"], as_of, SPANS)
+    named = {f"members_{span}d": f"order_user_count_{span}d" for span in SPANS}
+    return _buyer_rows(wide.withColumnsRenamed(named), keys, as_of)
+
+
 def order_to_pay_interval(flow: DataFrame, as_of: dt.date) -> DataFrame:
     """Mean seconds from order to payment over the paid orders of the flow."""
     gap = F.unix_timestamp("payment_time") - F.unix_timestamp("order_time")

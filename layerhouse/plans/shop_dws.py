@@ -7,6 +7,7 @@ import datetime as dt
 from pyspark.sql import DataFrame, functions as F
 
 from layerhouse.operators.joins import lookup
+from layerhouse.operators.members import daily_members
 from layerhouse.operators.spans import rolled
 
 PROVINCE = ["province_name", "area_code", "iso_code", "iso_3166_2"]
@@ -92,6 +93,11 @@ def user_sku_order_1d(lines: DataFrame, sku: DataFrame) -> DataFrame:
     return lookup(daily, sku, {"sku_id": "id"}, ["sku_name", *CATEGORY, *BRAND])
 
 
+def buyers_1d(sku_daily: DataFrame, keys: list[str]) -> DataFrame:
+    """Daily state of the buyer reports: who bought, as bitmaps, and how many order lines."""
+    return daily_members(sku_daily, keys, "user_id", {"order_count": "order_count_1d"})
+
+
 def user_sku_order_nd(daily: DataFrame, as_of: dt.date, spans=(7, 30)) -> DataFrame:
     stems = {name: f"{name}_1d" for name in ["order_count", "order_num", *AMOUNTS]}
     keys = ["user_id", "sku_id", "sku_name", *CATEGORY, *BRAND]

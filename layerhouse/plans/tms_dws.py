@@ -6,8 +6,10 @@ import datetime as dt
 
 from pyspark.sql import DataFrame, functions as F
 
-from layerhouse.operators.joins import lookup, walk_up
+from layerhouse.operators.hierarchy import ancestor, closure
+from layerhouse.operators.joins import lookup
 from layerhouse.operators.spans import span_totals
+from layerhouse.session import written
 
 ROLLING = (7, 30)
 CITY = ["city_id", "city_name"]
@@ -26,30 +28,33 @@ def _once_per_order(detail: DataFrame, keys: list[str]) -> DataFrame:
     )
 
 
-def places(organs: DataFrame, regions: DataFrame) -> DataFrame:
+def organ_paths(organs: DataFrame, regions: DataFrame) -> DataFrame:
+    """Organisations with their region and the regions above it, nearest first: stored as a dimension.
+
+    The regions are closed and joined here, once, so that a fact needs a single look-up.
+    """
+    rows = organs.select("id", "org_name", "org_level", "region_id")
+    return written(lookup(rows, closure(regions), {"region_id": "id"}, ["path"]))
+
+
+def places(paths: DataFrame) -> DataFrame:
     """Organisations with the city and province they belong to.
 
-    A level-1 organisation sits in its city, any other in a district below one.  The dimensions are
-    joined to each other here, so that a fact needs a single look-up.
+    A level-1 organisation sits in its city, any other in a district below one.
     """
-    rows = walk_up(
-        organs.select("id", "org_name", "org_level", "region_id"), regions, "region_id", ["own", "up", "top"]
-    )
     first = F.col("org_level") == 1
-    return rows.select("id", "org_name", "org_level", "region_id", *[
-        F.when(first, F.col(f"{near}_{part}")).otherwise(F.col(f"{far}_{part}")).alias(f"{place}_{part}")
-        for place, near, far in (("city", "own", "up"), ("province", "up", "top"))
-        for part in ("id", "name")
+    return paths.select("id", "org_name", "org_level", "region_id", *[
+        F.when(first, ancestor(steps, part)).otherwise(ancestor(steps + 1, part)).alias(f"{place}_{part}")
+        for steps, place in enumerate(("city", "province")) for part in ("id", "name")
     ])
 
 
-def district_places(organs: DataFrame, regions: DataFrame) -> DataFrame:
+def district_places(paths: DataFrame) -> DataFrame:
     """District -> its organisation, city and province, walking up from the district."""
-    rows = walk_up(
-        organs.select(F.col("id").alias("org_id"), "org_name", "region_id"), regions, "region_id",
-        ["district", "city", "province"],
-    )
-    return rows.select("region_id", *ORG, *CITY, *PROVINCE)
+    return paths.select("region_id", F.col("id").alias("org_id"), "org_name", *[
+        ancestor(steps, part).alias(f"{place}_{part}")
+        for steps, place in enumerate(("city", "province"), 1) for part in ("id", "name")
+    ])
 
 
 def org_cargo_order_1d(detail: DataFrame, organs: DataFrame, regions: DataFrame) -> DataFrame:
@@ -68,10 +73,10 @@ def org_cargo_order_nd(daily: DataFrame, as_of: dt.date, spans=ROLLING) -> DataF
     return span_totals(daily, [*ORG, *CITY, "cargo_type", "cargo_type_name"], ORDERS, as_of, spans)
 
 
-def org_receive_1d(detail: DataFrame, organs: DataFrame, regions: DataFrame) -> DataFrame:
+def org_receive_1d(detail: DataFrame, paths: DataFrame) -> DataFrame:
     by_district = _once_per_order(detail, ["sender_district_id", "dt"])
     rows = lookup(
-        by_district, district_places(organs, regions), {"sender_district_id": "region_id"},
+        by_district, district_places(paths), {"sender_district_id": "region_id"},
         [*ORG, *CITY, *PROVINCE],
     )
     return rows.groupBy(*ORG, *CITY, *PROVINCE, "dt").agg(*[F.sum(m).alias(m) for m in ORDERS])
@@ -97,11 +102,11 @@ def bound_finish_td(detail: DataFrame, as_of: dt.date) -> DataFrame:
     return _once_per_order(detail.where(F.col("dt") <= F.lit(as_of)), [])
 
 
-def org_deliver_1d(detail: DataFrame, organs: DataFrame, regions: DataFrame) -> DataFrame:
+def org_deliver_1d(detail: DataFrame, paths: DataFrame) -> DataFrame:
     orders = detail.select("order_id", "receiver_district_id", "dt").dropDuplicates()
     counted = orders.groupBy("receiver_district_id", "dt").agg(F.count("order_id").alias("order_count"))
     rows = lookup(
-        counted, district_places(organs, regions), {"receiver_district_id": "region_id"},
+        counted, district_places(paths), {"receiver_district_id": "region_id"},
         [*ORG, *CITY, *PROVINCE],
     )
     return rows.groupBy(*ORG, *CITY, *PROVINCE, "dt").agg(F.sum("order_count").alias("order_count"))
@@ -111,10 +116,10 @@ def org_deliver_nd(daily: DataFrame, as_of: dt.date, spans=ROLLING) -> DataFrame
     return span_totals(daily, [*ORG, *CITY, *PROVINCE], {"order_count": "order_count"}, as_of, spans)
 
 
-def org_sort_1d(sorts: DataFrame, organs: DataFrame, regions: DataFrame) -> DataFrame:
+def org_sort_1d(sorts: DataFrame, paths: DataFrame) -> DataFrame:
     counted = sorts.groupBy("org_id", "dt").agg(F.count("*").alias("sort_count"))
     return lookup(
-        counted, places(organs, regions), {"org_id": "id"}, ["org_name", *CITY, *PROVINCE]
+        counted, places(paths), {"org_id": "id"}, ["org_name", *CITY, *PROVINCE]
     )
 
 
@@ -137,7 +142,7 @@ SHIFT_MEASURES = [*TRIPS, "trans_finish_order_count", "trans_finish_delay_count"
 
 
 def shift_trips_nd(
-    trips: DataFrame, organs: DataFrame, regions: DataFrame, shifts: DataFrame, trucks: DataFrame,
+    trips: DataFrame, paths: DataFrame, shifts: DataFrame, trucks: DataFrame,
     as_of: dt.date, spans=ROLLING,
 ) -> DataFrame:
     """Trips per shift, line, crew, truck and span, with orders carried and late arrivals."""
@@ -155,6 +160,6 @@ def shift_trips_nd(
          "trans_finish_delay_count": "late"},
         as_of, spans,
     )
-    rows = lookup(rows, places(organs, regions), {"org_id": "id"}, CITY)
+    rows = lookup(rows, places(paths), {"org_id": "id"}, CITY)
     rows = lookup(rows, shifts, {"shift_id": "id"}, ["line_name"])
     return lookup(rows, trucks, {"truck_id": "id"}, TRUCK)

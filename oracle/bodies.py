@@ -436,6 +436,7 @@ for name, of in {
     "l18_two_day_load": "l18_dwd_order_process", "l18_three_day_load": "l18_dwd_order_process",
     "e15_two_day_load": "e15_dwd_trade_flow", "e15_three_day_load": "e15_dwd_trade_flow",
     "l11_two_day_load": "l11_dwd_pay_suc", "l13_two_day_load": "l13_dwd_receive", "l42_rerun_load": "l42_ads_city_stats",
+    "e36_from_daily_states": "e36_ads_order_by_category", "e37_from_daily_states": "e37_ads_order_by_brand",
 }.items():
     add(name, BODIES[of])
 
