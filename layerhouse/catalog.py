@@ -141,6 +141,10 @@ class Layers(Warehouse):
     def trips(self) -> DataFrame:
         return tms_dwd.trans_finish(self.transport_task, self.line_info_shifts)
 
+    @cached_property
+    def finished_trips(self) -> DataFrame:
+        return tms_dwd.finished(self.transport_task)
+
     @cached_property
     def line_info_shifts(self) -> DataFrame:
         return tms_dim.shift_full(self.line_shift, self.line_info, self.tms_dic)
@@ -211,6 +215,9 @@ class Layers(Warehouse):
             self.trips, self.organ_paths, self.line_info_shifts, self.trucks, self.order_day, spans,
         )
 
+    def place_trips_nd(self, spans=tms_dws.ROLLING) -> DataFrame:
+        return tms_dws.place_trips_nd(self.finished_trips, self.organ_paths, self.order_day, spans)
+
     # product marts
     @cached_property
     def rates(self) -> DataFrame:
@@ -496,9 +503,9 @@ _add("l40_ads_order_stats", f"{_STAMP} {_ORD}", lambda w: tms_ads.order_stats(w.
 _add("l41_ads_order_cargo_stats", f"{_STAMP} {_CT} {_ORD}",
      lambda w: tms_ads.order_cargo_stats(w.cargo_nd(SPANS), w.order_day))
 _add("l42_ads_city_stats", f"{_STAMP} {_CITY} {_ORD} {_TRIP} {_MEAN}",
-     lambda w: tms_ads.city_stats(w.cargo_nd(SPANS), w.shift_nd(SPANS), w.order_day))
+     lambda w: tms_ads.city_stats(w.cargo_nd(SPANS), w.place_trips_nd(SPANS), w.order_day))
 _add("l43_ads_org_stats", f"{_STAMP} {_ORG} {_ORD} {_TRIP} {_MEAN}",
-     lambda w: tms_ads.org_stats(w.cargo_nd(SPANS), w.shift_nd(SPANS), w.order_day))
+     lambda w: tms_ads.org_stats(w.cargo_nd(SPANS), w.place_trips_nd(SPANS), w.order_day))
 _add("l44_ads_shift_stats", f"{_STAMP} shift_id:l {_TRIP} trans_finish_order_count:l",
      lambda w: tms_ads.shift_stats(w.shift_nd(), w.order_day))
 _add("l45_ads_line_stats", f"{_STAMP} line_id:l line_name:s {_TRIP} trans_finish_order_count:l",

@@ -40,8 +40,9 @@ class Stored(Layers):
             )
             # a value in the instance dictionary takes the place of the view of that name
             self.__dict__[attribute] = df
-        if "order_detail" in bound:  # a stored line has its day already
-            self.__dict__.setdefault("order_amounts", self.__dict__["order_detail"])
+        for narrow, whole in (("order_amounts", "order_detail"), ("finished_trips", "trips")):
+            if whole in bound:  # the stored table has all that the narrower view has
+                self.__dict__.setdefault(narrow, self.__dict__[whole])
 
 
 #: Keys of tables whose rows arrive after their day: a load merges them into the day's partition.

@@ -130,10 +130,10 @@ def order_process(cargo: DataFrame, orders: DataFrame, dic: DataFrame) -> DataFr
     }).drop("update_time")
 
 
-def trans_finish(tasks: DataFrame, shifts: DataFrame) -> DataFrame:
-    """Finished trips with duration and the estimated end: start plus the shift's minutes."""
+def finished(tasks: DataFrame) -> DataFrame:
+    """Finished trips with their duration."""
     start, end = F.col("actual_start_time").try_cast("bigint"), F.col("actual_end_time").try_cast("bigint")
-    rows = live(tasks).where(F.col("actual_end_time").isNotNull()).select(
+    return live(tasks).where(F.col("actual_end_time").isNotNull()).select(
         "id", "shift_id", "line_id", "start_org_id", "start_org_name", "end_org_id", "end_org_name",
         "order_num", "driver1_emp_id", mask_name(F.col("driver1_name")).alias("driver1_name"),
         "driver2_emp_id", mask_name(F.col("driver2_name")).alias("driver2_name"),
@@ -141,12 +141,16 @@ def trans_finish(tasks: DataFrame, shifts: DataFrame) -> DataFrame:
         F.timestamp_millis(start).alias("actual_start_time"),
         F.timestamp_millis(end).alias("actual_end_time"), "actual_distance",
         ((end - start) / 1000).cast("bigint").alias("finish_dur_sec"),
-    )
-    rows = lookup(rows, shifts, {"shift_id": "id"}, ["estimated_time"])
+    ).withColumn("dt", F.to_date("actual_end_time"))
+
+
+def trans_finish(tasks: DataFrame, shifts: DataFrame) -> DataFrame:
+    """Finished trips with the estimated end: start plus the shift's minutes."""
+    rows = lookup(finished(tasks), shifts, {"shift_id": "id"}, ["estimated_time"])
     late_by = F.make_dt_interval(mins=F.col("estimated_time"))
     return rows.withColumn("estimate_end_time", F.col("actual_start_time") + late_by).drop(
         "estimated_time"
-    ).withColumn("dt", F.to_date("actual_end_time"))
+    )
 
 
 def bound(scans: DataFrame, step: str, employee: str) -> DataFrame:

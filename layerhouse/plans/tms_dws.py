@@ -138,6 +138,16 @@ def org_truck_trips_1d(trips: DataFrame, trucks: DataFrame) -> DataFrame:
     return rows.groupBy(*ORG, *TRUCK, "dt").agg(*[F.sum(m).alias(m) for m in TRIPS])
 
 
+def place_trips_nd(trips: DataFrame, paths: DataFrame, as_of: dt.date, spans=ROLLING) -> DataFrame:
+    """Trips per organisation, its city and span: what place reports need of ``shift_trips_nd``, with one look-up."""
+    measured = trips.select(
+        F.col("start_org_id").alias("org_id"), F.col("start_org_name").alias("org_name"), "dt", F.lit(1).alias("one"),
+        "actual_distance", "finish_dur_sec",
+    )
+    rows = span_totals(measured, ORG, dict(zip(TRIPS, ["one", "actual_distance", "finish_dur_sec"], strict=True)), as_of, spans)
+    return lookup(rows, places(paths), {"org_id": "id"}, CITY)
+
+
 SHIFT_MEASURES = [*TRIPS, "trans_finish_order_count", "trans_finish_delay_count"]
 
 

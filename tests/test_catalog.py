@@ -87,6 +87,13 @@ def test_milestones_read_the_cargo_lines_once(spark):
     assert sum("lineitem.parquet" in s for s in plan) == 1 and sum("orders.parquet" in s for s in plan) <= 2
 
 
+@pytest.mark.parametrize(("name", "most"), [("l43_ads_org_stats", 12), ("l50_ads_express_city_stats", 18)])
+def test_places_cost_few_exchanges(spark, name, most):
+    """There were 30 and 29 when each fact walked up the regions by itself, and trips met dimensions no place needs."""
+    plan = QUERIES[name].run(spark, FOLDER)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange ") <= most
+
+
 def test_another_zone_is_refused(spark):
     spark.conf.set("spark.sql.session.timeZone", "Asia/Tokyo")
     try:
