@@ -19,6 +19,17 @@ def _meet(left: DataFrame, right: DataFrame, names: Sequence[str]) -> DataFrame:
     return left.join(right, condition).drop(*renamed.values())
 
 
+def _in_order(df: DataFrame, layout: Sequence[Column], tasks: int | None) -> DataFrame:
+    """Rows range-partitioned and sorted by ``layout``, written out with their task and their place in it.
+
+    Without ``tasks`` their number follows the data (AQE merges small neighbours).
+    """
+    ranged = df.repartitionByRange(tasks, *layout) if tasks else df.repartitionByRange(*layout)
+    return written(ranged.sortWithinPartitions(*layout).select(
+        "*", F.spark_partition_id().alias("__task"), F.monotonically_increasing_id().alias("__at")
+    ))
+
+
 def number_rows(
     df: DataFrame,
     order: Sequence[Column],
@@ -30,14 +41,9 @@ def number_rows(
 
     Rows are range-partitioned by key and order, so a hot key spreads over many tasks, and written
     out with their task and their place in it.  A row's number is its place plus the rows of its
-    key in earlier tasks.  ``order`` should end in a unique column.  Without ``tasks`` their number
-    follows the data (AQE merges small neighbours).
+    key in earlier tasks.  ``order`` should end in a unique column.
     """
-    layout = [*[F.col(k) for k in keys], *order]
-    ranged = df.repartitionByRange(tasks, *layout) if tasks else df.repartitionByRange(*layout)
-    placed = written(ranged.sortWithinPartitions(*layout).select(
-        "*", F.spark_partition_id().alias("__task"), F.monotonically_increasing_id().alias("__at")
-    ))
+    placed = _in_order(df, [*[F.col(k) for k in keys], *order], tasks)
     runs = placed.groupBy("__task", *keys).agg(
         F.min("__at").alias("__first"), F.count("*").alias("__n")
     )
@@ -109,33 +115,50 @@ def in_sequence(
     keys: Sequence[str],
     order: Sequence[str],
     value: str,
-    block: Column,
     number: str = "rn",
     following: str = "next",
+    tasks: int | None = None,
 ) -> DataFrame:
-    """``row_number()`` and ``lead(value)`` per key over blocks of time.
+    """``row_number()`` and ``lead(value)`` per key, as a scan over segments of the ordered rows.
 
-    ``block`` is a function of the first order column that rises with it (say the minute).  Rows
-    are ordered within (key, block); counts and first values of the later blocks are carried over
-    from a small per-block table, so a long sequence never sits in one task.  Both sides start
-    from one shuffle of the rows, which Spark reuses when they need the same columns.
+    Rows are range-partitioned by key and order, so a hot key spreads over many tasks even where its
+    rows share a moment.  Numbers and next values are found inside a task; only the key a task ends
+    with can go on in the next one, so one row per task carries counts and first values across.
+    ``order`` should end in a unique column.  Null keys are one key.
     """
-    inner = Window.partitionBy(*keys, "__block").orderBy(*order)
-    local = df.withColumn("__block", block).withColumns({
+    placed = _in_order(df, [F.col(c) for c in [*keys, *order]], tasks)
+    key = F.struct(*keys)
+    inner = Window.partitionBy("__task", *keys).orderBy("__at")
+    local = placed.withColumns({
         "__rn": F.row_number().over(inner), "__next": F.lead(value).over(inner),
-        "__n": F.count("*").over(Window.partitionBy(*keys, "__block")),
+        "__ends": F.lead("__at").over(inner).isNull(),
     })
-    blocks = local.where(F.col("__rn") == 1).select(
-        *keys, "__block", F.col("__n").alias("__size"), F.col(value).alias("__head")
-    )
-    outer = Window.partitionBy(*keys).orderBy("__block")
-    before = F.sum("__size").over(outer.rowsBetween(Window.unboundedPreceding, -1))
-    blocks = blocks.withColumns({
-        "__before": F.coalesce(before, F.lit(0)), "__after": F.lead("__head").over(outer)
-    }).drop("__size", "__head")
-    return _meet(local, blocks, [*keys, "__block"]).select(
+    return local.join(F.broadcast(_carried(placed, key, value)), "__task").select(
         *df.columns,
-        (F.col("__before") + F.col("__rn")).alias(number),
-        F.when(F.col("__rn") < F.col("__n"), F.col("__next"))
-        .otherwise(F.col("__after")).alias(following),
+        (F.col("__rn") + F.when(key.eqNullSafe(F.col("__head")), F.col("__before")).otherwise(0)).alias(number),
+        F.when(~F.col("__ends"), F.col("__next"))
+        .when(key.eqNullSafe(F.col("__tail")), F.col("__after")).alias(following),
+    )
+
+
+def _carried(placed: DataFrame, key: Column, value: str) -> DataFrame:
+    """Per task its first and last key, the rows of the first in earlier tasks, and the value after the last."""
+    ends = placed.groupBy("__task").agg(
+        F.min_by(F.struct(key.alias("key"), F.col(value).alias("value")), "__at").alias("first"),
+        F.max_by(key, "__at").alias("__tail"),
+    )
+    tails = placed.join(F.broadcast(ends.select("__task", "__tail")), "__task").where(
+        key.eqNullSafe(F.col("__tail"))
+    ).groupBy("__task").agg(F.count("*").alias("n"))
+    # One row per task, so these windows are bounded by the number of tasks.
+    line = Window.partitionBy(F.lit(0)).orderBy("__task")
+    so_far = F.sum("n").over(Window.partitionBy("__tail").orderBy("__task"))
+    runs = ends.join(tails, "__task").withColumn("so_far", so_far).withColumns({
+        "earlier": F.lag(F.struct("__tail", "so_far")).over(line), "later": F.lead("first").over(line),
+    })
+    before = F.when(F.col("earlier.__tail").eqNullSafe(F.col("first.key")), F.col("earlier.so_far"))
+    return runs.select(
+        "__task", F.col("first.key").alias("__head"), "__tail",
+        F.coalesce(before, F.lit(0)).alias("__before"),
+        F.when(F.col("later.key").eqNullSafe(F.col("__tail")), F.col("later.value")).alias("__after"),
     )

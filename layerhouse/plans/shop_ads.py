@@ -112,15 +112,16 @@ def order_to_pay_interval(flow: DataFrame, as_of: dt.date) -> DataFrame:
     ).withColumn("dt", F.lit(as_of))
 
 
-def page_path(views: DataFrame, as_of: dt.date) -> DataFrame:
-    """Steps of every session: how often page A at step n leads to page B at step n+1."""
-    visits = _on(views, as_of).select(
+def visits_on(views: DataFrame, as_of: dt.date) -> DataFrame:
+    """Page views of a day with what orders them in their session."""
+    return _on(views, as_of).select(
         "session_id", "view_time", F.col("page_item").cast("bigint").alias("item"), "page_id"
     )
-    steps = in_sequence(
-        visits, ["session_id"], ["view_time", "item"], "page_id",
-        block=F.date_trunc("minute", "view_time"),
-    )
+
+
+def page_path(views: DataFrame, as_of: dt.date) -> DataFrame:
+    """Steps of every session: how often page A at step n leads to page B at step n+1."""
+    steps = in_sequence(visits_on(views, as_of), ["session_id"], ["view_time", "item"], "page_id")
     source = F.concat(F.lit("step-"), F.col("rn"), F.lit(":"), F.col("page_id"))
     target = F.concat(F.lit("step-"), F.col("rn") + 1, F.lit(":"), F.col("next"))
     return steps.select(

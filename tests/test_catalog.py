@@ -8,6 +8,7 @@ import pytest
 import __spark_entry__ as entry
 from layerhouse.catalog import QUERIES, Layers
 from layerhouse.jobs import Stored, load
+from layerhouse.plans import shop_ads
 from layerhouse.sources import tables
 
 FOLDER = "/root/testdata/sf0.001"
@@ -70,7 +71,7 @@ def scans(df):
 
 
 @pytest.mark.parametrize(("name", "table", "column"), [
-    ("e39_ads_page_path", "events", "ts"), ("e43_ads_traffic_by_channel", "events", "ts"),
+    ("e43_ads_traffic_by_channel", "events", "ts"),
     ("e36_ads_order_by_category", "orders", "o_orderdate"),
 ])
 def test_the_day_range_reaches_the_scan(spark, name, table, column):
@@ -82,6 +83,16 @@ def test_the_day_range_reaches_the_scan(spark, name, table, column):
     assert found
 
 
+def test_the_day_range_of_page_paths_reaches_the_scan(spark):
+    spark.conf.set("spark.sql.maxMetadataStringLength", "2000")
+    try:
+        raw = Layers(spark, FOLDER)
+        found = scans(shop_ads.visits_on(raw.page_view_in(1), raw.event_day))
+    finally:
+        spark.conf.unset("spark.sql.maxMetadataStringLength")
+    assert any("events.parquet" in s and "GreaterThanOrEqual(ts," in s for s in found)
+
+
 def test_milestones_read_the_cargo_lines_once(spark):
     plan = scans(QUERIES["l11_dwd_pay_suc"].run(spark, FOLDER))
     assert sum("lineitem.parquet" in s for s in plan) == 1 and sum("orders.parquet" in s for s in plan) <= 2

@@ -189,8 +189,36 @@ def test_in_sequence_equals_lead_and_row_number(spark, rows):
     df = spark.createDataFrame(data, "s string, ts int, id int, page string")
     window = Window.partitionBy("s").orderBy("ts", "id")
     want = df.withColumn("rn", F.row_number().over(window).cast("bigint")).withColumn("next", F.lead("page").over(window))
-    got = ordering.in_sequence(df, ["s"], ["ts", "id"], "page", block=F.floor(F.col("ts") / 37))
-    assert rows(got) == rows(want)
+    for tasks in (None, 1, 8):
+        assert rows(ordering.in_sequence(df, ["s"], ["ts", "id"], "page", tasks=tasks)) == rows(want)
+
+
+@pytest.mark.parametrize("data", [
+    [], [("a", 1, 1, None)], [(None, 1, i, "p") for i in range(5)] + [("a", 1, 9, None)],
+    [(k, 1, i, None if i % 3 else k) for k in "abc" for i in range(4)],
+])
+def test_in_sequence_with_nulls_and_tasks_that_hold_part_of_a_key(spark, rows, data):
+    df = spark.createDataFrame(data, "s string, ts int, id int, page string")
+    window = Window.partitionBy("s").orderBy("ts", "id")
+    want = df.withColumn("rn", F.row_number().over(window).cast("bigint")).withColumn("next", F.lead("page").over(window))
+    for tasks in (1, 3, 12):
+        assert rows(ordering.in_sequence(df, ["s"], ["ts", "id"], "page", tasks=tasks)) == rows(want)
+
+
+def test_a_hot_session_in_one_minute_spreads_over_all_tasks(spark):
+    """A third of all events are one session's, within one minute: no task, and no group of a window, holds much more than its share."""
+    df = spark.range(90_000).select(
+        F.when(F.col("id") % 3 == 0, "hot").otherwise(F.concat(F.lit("s"), F.col("id") % 997)).alias("s"),
+        F.when(F.col("id") % 3 == 0, F.lit(60)).otherwise(F.col("id")).alias("ts"), "id",
+        (F.col("id") % 7).cast("string").alias("page"))
+    placed = ordering._in_order(df, [F.col(c) for c in ("s", "ts", "id")], 9)
+    sizes = [r["count"] for r in placed.groupBy("__task").count().collect()]
+    groups = placed.groupBy("__task", "s").count().agg(F.max("count")).first()[0]
+    assert len(sizes) == 9 and max(sizes) < 2 * 10_000 and groups < 2 * 10_000
+    got = ordering.in_sequence(df, ["s"], ["ts", "id"], "page", tasks=9).where("s = 'hot'")
+    seen = got.agg(F.count("*"), F.min("rn"), F.max("rn"), F.countDistinct("rn"), F.count(F.when(F.col("next").isNull(), 1))).first()
+    assert tuple(seen) == (30_000, 1, 30_000, 30_000, 1)
+    assert got.where(F.col("next") != ((F.col("id") + 3) % 7).cast("string")).count() == 0
 
 
 # ---------------------------------------------------------------- cohorts
