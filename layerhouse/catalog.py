@@ -609,6 +609,20 @@ def _current_profiles(w: Layers) -> DataFrame:
     return cdc.current(w.spark, f"{root}/state", row)
 
 
+def _handed_over(w: Layers) -> DataFrame:
+    """A snapshot of the table as it was when the last day began, then the whole log, folded once."""
+    root, row = scratch(w.spark, "cdc"), "id bigint, state string, balance decimal(16,2)"
+    position = int(dt.datetime.combine(w.event_day, dt.time(), dt.UTC).timestamp() * 1000)
+    last = F.max_by(F.struct(F.col("event_type").alias("state"), F.col("value").cast("decimal(16,2)").alias("balance")),
+                    F.struct(F.unix_millis("ts"), "event_id"))
+    before = w.events.where(F.unix_millis("ts") < position).groupBy(F.col("user_id").alias("id")).agg(last.alias("c"))
+    cdc.start(before.select("id", "c.*").where(F.col("state") != "error"), "id", f"{root}/state", position, -1)
+    w.change_log.write.text(f"{root}/log")
+    cdc.run(cdc.read_changes(w.spark, f"{root}/log", row), "id", f"{root}/state", f"{root}/progress")
+    cdc.compact(w.spark, f"{root}/state")
+    return cdc.current(w.spark, f"{root}/state", row)
+
+
 def _sealed(w: Layers) -> DataFrame:
     """The encrypted table, stored: each row is sealed once, under one random IV."""
     return written(security.encrypt(w.telemetry, "payload", security.column_key(w.spark)))
@@ -620,6 +634,7 @@ def _opened(w: Layers) -> DataFrame:
 
 
 _add("c1_cdc_current_state", "id:l state:s balance:d", _current_profiles)
+_add("c1_cdc_snapshot_handover", "id:l state:s balance:d", _handed_over)
 _add("c2_column_round_trip", "event_id:l payload:s", _opened)
 _add("c3_telemetry", "event_id:l vehicle_no:s report_time:s lon:d lat:d altitude:i direction:i acc:i door:i alarms:s",
      lambda w: security.telemetry(_opened(w)))

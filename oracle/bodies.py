@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from layerhouse.functions import masking
+from layerhouse.plans.shop_dim import AMOUNT_OFF, DISCOUNT, NTH_ITEM
 from oracle.raw import CUT, MEAN_PRICE, half_up, stamp
 
 DAY = "DATE '1996-06-30'"
@@ -34,9 +36,9 @@ SELECT cut * 10 + ln AS activity_rule_id, cut AS activity_id, CASE WHEN cut > 0
  CASE WHEN cut > 0 THEN 'cut ' || cut END AS activity_desc, CASE WHEN cut > 0 THEN '1995-01-01' END AS start_time,
  CASE WHEN cut > 0 THEN '2001-12-31' END AS end_time, CASE WHEN cut > 0 THEN '1994-12-01' END AS create_time,
  ln * 100 AS condition_amount, ln AS condition_num, cut * 5 AS benefit_amount, cut AS benefit_discount,
- CASE t WHEN '3101' THEN '满' || CAST(ln * 100 AS DECIMAL(16,2)) || '元减' || CAST(cut * 5 AS DECIMAL(16,2)) || '元'
-  WHEN '3102' THEN '满' || ln || '件打' || CAST(cut AS DECIMAL(16,2)) || ' 折'
-  WHEN '3103' THEN '打' || CAST(cut AS DECIMAL(16,2)) || '折' END AS benefit_rule, ln AS benefit_level
+ CASE t WHEN '3101' THEN '{AMOUNT_OFF[0]}' || CAST(ln * 100 AS DECIMAL(16,2)) || '{AMOUNT_OFF[1]}' || CAST(cut * 5 AS DECIMAL(16,2)) || '{AMOUNT_OFF[2]}'
+  WHEN '3102' THEN '{NTH_ITEM[0]}' || ln || '{NTH_ITEM[1]}' || CAST(cut AS DECIMAL(16,2)) || '{NTH_ITEM[2]}'
+  WHEN '3103' THEN '{DISCOUNT[0]}' || CAST(cut AS DECIMAL(16,2)) || '{DISCOUNT[1]}' END AS benefit_rule, ln AS benefit_level
 FROM (SELECT *, CASE WHEN ln <= 2 THEN '3101' WHEN ln <= 4 THEN '3102' WHEN ln <= 6 THEN '3103' ELSE '3199' END AS t
  FROM (SELECT DISTINCT {CUT} AS cut, l_linenumber AS ln FROM lineitem))""")
 add("e2_dim_coupon", """
@@ -57,8 +59,7 @@ SELECT s.id, CAST(p_retailprice AS DECIMAL(16,2)) AS price, sku_name, p_type ||
  f.sale_attrs, '2020-01-01 00:00:00' AS create_time
 FROM sku s LEFT JOIN (SELECT l_partkey, string_agg('9:' || l_returnflag || ':flag:' || lower(l_returnflag), ',' ORDER BY l_returnflag) AS sale_attrs
  FROM (SELECT DISTINCT l_partkey, l_returnflag FROM lineitem) GROUP BY l_partkey) f ON s.id = f.l_partkey""")
-PHONE = "'^(13[0-9]|14[01456879]|15[0-35-9]|16[2567]|17[0-8]|18[0-9]|19[0-35-9])[0-9]{8}$'"
-EMAIL = r"'^[a-zA-Z0-9_-]+@[a-zA-Z0-9_-]+(\.[a-zA-Z0-9_-]+)+$'"
+PHONE, EMAIL = f"'{masking.PHONE}'", f"'{masking.EMAIL}'"
 add("e8_dim_user_zip", f"""
 SELECT id, name[1] || '*' AS name, CASE WHEN regexp_matches(phone_num, {PHONE}) THEN phone_num[1:3] || '*' END AS phone_num,
  CASE WHEN regexp_matches(email, {EMAIL}) THEN '*@' || string_split(email, '@')[2] END AS email, user_level, birthday, gender,
@@ -470,3 +471,14 @@ add("rk1_ods_goods_sales", """SELECT l_partkey AS goods_id, 'sku_' || l_partkey
  l_linenumber AS pay_buyer_num, strftime(l_shipdate, '%Y-%m-%d') AS pay_date FROM lineitem""")
 add("rk1_ods_goods_traffic", """SELECT l_partkey AS goods_id, l_returnflag AS traffic_source, CAST(l_quantity * l_linenumber + 10 AS INTEGER) AS visitor_num,
  strftime(l_shipdate, '%Y-%m-%d') AS visit_date FROM lineitem""")
+
+# table sources and sinks: what is stored is the buyers' daily totals by month
+MONTHLY = f"SELECT t.*, CAST(date_trunc('month', t.dt) AS DATE) AS month FROM ({BODIES['e24_dws_user_order_1d']}) t"
+for name in ("s5_read_or_empty_history", "k1_append_by_name", "k2_parquet_at_a_path", "k3_orc_table", "k10_k12_database_and_required_tables", "k11_checked_load"):
+    add(name, MONTHLY)
+add("s1_partition_scan", f"SELECT * FROM ({MONTHLY}) m WHERE month = date_trunc('month', {DAY})")
+add("k9_gained_column", f"SELECT m.* REPLACE (CASE WHEN user_id % 2 = 1 THEN order_total_amount_1d END AS order_total_amount_1d) FROM ({MONTHLY}) m")
+add("k13_aligned_and_filled", f"SELECT m.* REPLACE (0 AS order_total_amount_1d) FROM ({MONTHLY}) m")
+
+# a snapshot that hands over to the log leaves what the log alone leaves
+add("c1_cdc_snapshot_handover", BODIES["c1_cdc_current_state"])

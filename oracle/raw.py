@@ -1,5 +1,7 @@
 """Raw warehouse tables as SQL over the test tables, in dependency order."""
 
+from layerhouse.plans.shop_dim import AMOUNT_OFF, CASH, NTH_ITEM
+
 RAW: dict[str, str] = {}
 
 LID = "l_orderkey || '-' || l_linenumber || '-' || l_partkey || '-' || l_suppkey"
@@ -41,9 +43,9 @@ RAW["coupon"] = f"""SELECT id, 'coupon ' || id AS coupon_name, CASE WHEN id <= 2
  CASE WHEN id <= 2 THEN 'amount off' WHEN id <= 5 THEN 'nth item' ELSE 'cash' END AS coupon_type_name,
  CAST(id * 100 AS DECIMAL(16,2)) AS condition_amount, id AS condition_num, id AS activity_id,
  CAST(id * 2 AS DECIMAL(16,2)) AS benefit_amount, CAST(id AS DECIMAL(16,2)) AS benefit_discount,
- CASE WHEN id <= 2 THEN '满' || CAST(id * 100 AS DECIMAL(16,2)) || '元减' || CAST(id * 2 AS DECIMAL(16,2)) || '元'
-      WHEN id <= 5 THEN '满' || id || '件打' || CAST(id AS DECIMAL(16,2)) || ' 折'
-      ELSE '减' || CAST(id * 2 AS DECIMAL(16,2)) || '元' END AS benefit_rule,
+ CASE WHEN id <= 2 THEN '{AMOUNT_OFF[0]}' || CAST(id * 100 AS DECIMAL(16,2)) || '{AMOUNT_OFF[1]}' || CAST(id * 2 AS DECIMAL(16,2)) || '{AMOUNT_OFF[2]}'
+      WHEN id <= 5 THEN '{NTH_ITEM[0]}' || id || '{NTH_ITEM[1]}' || CAST(id AS DECIMAL(16,2)) || '{NTH_ITEM[2]}'
+      ELSE '{CASH[0]}' || CAST(id * 2 AS DECIMAL(16,2)) || '{CASH[1]}' END AS benefit_rule,
  CASE WHEN id <= 4 THEN '3301' ELSE '3302' END AS range_type, CASE WHEN id <= 4 THEN 'category' ELSE 'brand' END AS range_type_name
  FROM (SELECT DISTINCT {TAX} AS id FROM lineitem)"""
 RAW["shop_orders"] = """SELECT o_orderkey AS id, o_custkey AS user_id, c_nationkey AS province_id, o_orderdate AS create_time,

@@ -7,6 +7,7 @@ import pytest
 
 import __spark_entry__ as entry
 from layerhouse.catalog import QUERIES, Layers
+from layerhouse import storage  # noqa: F401  registers its queries
 from layerhouse.jobs import Stored, load
 from layerhouse.plans import shop_ads
 from layerhouse.sources import tables

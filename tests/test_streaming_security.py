@@ -2,6 +2,7 @@ import json
 import os
 import random
 import secrets
+import shutil
 
 import pytest
 from pyspark.sql import functions as F
@@ -54,10 +55,92 @@ def test_replay_in_any_file_order_gives_the_same_table(spark, folder, rows, seed
     assert rows(cdc.current(spark, f"{folder}/state", ROW)) == [*FINAL[:2], (4, "d", 5)]
     cdc.compact(spark, f"{folder}/state")
     cdc.compact(spark, f"{folder}/state")
-    assert len(os.listdir(f"{folder}/state/base")) == 1
+    assert cdc._bases(spark, f"{folder}/state")[1] == []  # one version of each bucket
     assert rows(cdc.current(spark, f"{folder}/state", ROW)) == [*FINAL[:2], (4, "d", 5)]
 
 
+def land(folder, name, entries):
+    os.makedirs(f"{folder}/log", exist_ok=True)
+    with open(f"{folder}/log/{name}.json", "w") as out:
+        out.write("\n".join(map(json.dumps, entries)))
+
+
+def follow(spark, folder):
+    cdc.run(cdc.read_changes(spark, f"{folder}/log", ROW), "id", f"{folder}/state", f"{folder}/progress")
+
+
+def test_a_compaction_after_a_change_of_one_key_reads_and_rewrites_its_bucket_alone(spark, folder, rows):
+    state = f"{folder}/state"
+    land(folder, "a", [change("c", None, image(i, "x", 0), 1, i) for i in range(400)])
+    follow(spark, folder)
+    assert len(cdc.compact(spark, state)) == cdc.BUCKETS
+    before = {b: os.stat(f).st_ino for b, f in cdc._bases(spark, state)[0].items()}
+    land(folder, "b", [change("u", image(7, "x", 0), image(7, "y", 1), 2, 900)])
+    follow(spark, folder)
+    read = cdc.compact(spark, state)
+    assert len(read) == 2 and len({f.rsplit("/", 1)[1] for f in read}) == 1
+    held, replaced, version = cdc._bases(spark, state)
+    assert version == 2 and replaced == [] and sum(before[b] != os.stat(f).st_ino for b, f in held.items()) == 1
+    want = sorted([(i, "x", 0) for i in range(400) if i != 7] + [(7, "y", 1)], key=str)
+    assert sorted(rows(cdc.current(spark, state, ROW)), key=str) == want
+    assert cdc.compact(spark, state) == []  # nothing to fold
+
+
+def test_a_compaction_that_was_cut_off_changes_nothing(spark, folder, rows):
+    state = f"{folder}/state"
+    land(folder, "a", LOG[:5])
+    follow(spark, folder)
+    cdc.compact(spark, state)
+    land(folder, "b", LOG[5:])
+    follow(spark, folder)
+    shutil.copytree(state, f"{folder}/kept")
+    cdc.compact(spark, state)
+    # the new version is complete, what it replaces is still there
+    shutil.copytree(f"{folder}/kept", state, dirs_exist_ok=True)
+    assert rows(cdc.current(spark, state, ROW)) == FINAL
+    cdc.compact(spark, state)
+    assert rows(cdc.current(spark, state, ROW)) == FINAL and cdc._bases(spark, state)[1] == []
+    # the new version is not complete
+    shutil.copytree(f"{folder}/kept", f"{folder}/other")
+    os.makedirs(f"{folder}/other/base/version=9/bucket=0")
+    assert rows(cdc.current(spark, f"{folder}/other", ROW)) == FINAL
+
+
+def test_another_number_of_buckets_gives_the_same_table(spark, folder, rows):
+    state = f"{folder}/state"
+    land(folder, "a", LOG[:4])
+    cdc.run(cdc.read_changes(spark, f"{folder}/log", ROW), "id", state, f"{folder}/progress", buckets=3)
+    cdc.compact(spark, state, buckets=3)
+    land(folder, "b", LOG[4:])
+    follow(spark, folder)
+    assert rows(cdc.current(spark, state, ROW)) == FINAL
+    cdc.compact(spark, state)
+    assert rows(cdc.current(spark, state, ROW)) == FINAL
+
+
+@pytest.mark.parametrize("position", range(len(LOG) + 1))
+def test_a_snapshot_hands_over_to_the_log_at_its_position(spark, folder, rows, position):
+    """The log holds everything from the start, the snapshot what was true after some of it."""
+    log = [{**c, "ts_ms": n, "seq": n} for n, c in enumerate(LOG, 1)]
+    table = {}
+    for entry in log[:position]:
+        if entry["before"]:
+            table.pop(entry["before"]["id"], None)
+        if entry["after"]:
+            table[entry["after"]["id"]] = tuple(entry["after"].values())
+    snapshot = spark.createDataFrame(list(table.values()), ROW)
+    state = f"{folder}/state"
+    cdc.start(snapshot, "id", state, position, position)
+    assert rows(cdc.current(spark, state, ROW)) == sorted(table.values())
+    land(folder, "a", log)
+    follow(spark, folder)
+    folded = cdc._batches(spark, state)[0]
+    assert bool(folded) == (position < len(log))
+    assert rows(cdc.current(spark, state, ROW)) == FINAL
+    cdc.compact(spark, state)
+    assert rows(cdc.current(spark, state, ROW)) == FINAL
+
+
 def test_a_state_without_batches_is_empty(spark, folder):
     assert cdc.current(spark, f"{folder}/state", ROW).collect() == []
     cdc.compact(spark, f"{folder}/state")
