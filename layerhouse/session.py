@@ -20,6 +20,9 @@ RUNTIME = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     # Split a skewed join side even when that costs one more shuffle downstream.
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    # Tasks after a shuffle read 16 MB at most, however large the input: many partitions, of which small ones are joined.
+    "spark.sql.adaptive.coalescePartitions.initialPartitionNum": "1600",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "16m",
 }
 
 
