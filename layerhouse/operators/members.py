@@ -27,9 +27,12 @@ def daily_members(
     ``member`` is an integer.  A null member is in no bitmap, but its measures count.
     """
     number = F.col(member).cast("bigint")
-    return rows.groupBy(*keys, date, F.bitmap_bucket_number(number).alias("block")).agg(
-        F.bitmap_construct_agg(F.bitmap_bit_position(number)).alias("members"),
-        *[F.sum(source).alias(name) for name, source in measures.items()],
+    once = rows.groupBy(*keys, date, number.alias("__member")).agg(*[F.sum(source).alias(name) for name, source in measures.items()])
+    # one narrow row per member is shuffled to its block; a bitmap is made where all its members are
+    blocks = once.withColumn("block", F.bitmap_bucket_number("__member")).repartition(*keys, date, "block")
+    return blocks.groupBy(*keys, date, "block").agg(
+        F.bitmap_construct_agg(F.bitmap_bit_position("__member")).alias("members"),
+        *[F.sum(name).cast(once.schema[name].dataType).alias(name) for name in measures],
     )
 
 

@@ -124,3 +124,10 @@ def test_places_of_both_levels(spark, rows):
     named[0] = "org_id"
     assert rows(tms_dws.district_places(paths), *named) == [
         (7, 1, "P", None, None), (8, 10, "C", 1, "P"), (9, None, None, None, None)]
+
+
+def test_no_bitmap_is_shuffled_while_states_are_built(spark):
+    _, df = _visits(spark, 100)
+    state = members.daily_members(df, ["k"], "who", {"n": "n"})
+    plan = state._jdf.queryExecution().executedPlan().toString()
+    assert 0 < plan.rindex("bitmap_construct_agg") < plan.index("Exchange")
