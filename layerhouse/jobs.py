@@ -6,13 +6,13 @@ import datetime as dt
 from collections.abc import Callable, Iterable, Mapping
 from uuid import uuid4
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from layerhouse.catalog import QUERIES, Layers, Query
 from layerhouse.functions.times import OPEN_END, business_date
 from layerhouse.plans import shop_ads
 from layerhouse.plans.shop_dim import close_out
-from layerhouse.session import written
+from layerhouse.session import scratch, written
 from layerhouse.sources import tables
 from layerhouse.sources.keyed import Keyed
 
@@ -85,8 +85,9 @@ def _created(df: DataFrame, table: str, fmt: str) -> None:
 
 def store(
     name: str, df: DataFrame, table: str, fmt: str = "parquet", days: Iterable[dt.date | str] = (), stamp: str | None = None,
+    durable: bool = False,
 ) -> int:
-    """``load`` of rows that are already there."""
+    """``load`` of rows that are already there; ``durable`` where they read stored files."""
     spark = df.sparkSession
     if stamp:
         df = df.withColumn(stamp, F.current_timestamp())
@@ -95,7 +96,7 @@ def store(
     df = df.select(*[c for c in df.columns if c != "dt"], "dt")
     _created(df, table, fmt)
     if name in LATE or name in ACCUMULATING:
-        return Keyed(spark, table, LATE.get(name) or ACCUMULATING[name]).merge(df)
+        return Keyed(spark, table, LATE.get(name) or ACCUMULATING[name]).merge(df, durable)
     return tables.replace_days(df, table, days)
 
 
@@ -111,14 +112,27 @@ def _scratch_table() -> str:
     return f"load_{uuid4().hex}"
 
 
+def _external(spark: SparkSession, table: str, like: DataFrame) -> Keyed:
+    """A table in the folder of intermediate results: its files stay until the application ends."""
+    columns = [f for f in like.schema if f.name != "dt"]
+    tables.create_table(spark, table, T.StructType([*columns, like.schema["dt"]]), location=scratch(spark, "table"))
+    return Keyed(spark, table, [])
+
+
+def _files_of(table: Keyed) -> DataFrame:
+    """All rows of an external table, from its files: they are there when the table is dropped."""
+    schema, path = table.read().schema, table.location()
+    return table.spark.read.schema(schema).parquet(path)
+
+
 def loads(name: str, layers: Layers, *versions: Callable[[DataFrame], DataFrame]) -> DataFrame:
     """Load a table once with each version of its rows and read it back whole."""
-    table, whole = _scratch_table(), written(QUERIES[name].frame(layers))
-    kept = Keyed(layers.spark, table, ["id"])
+    spark, table, whole = layers.spark, _scratch_table(), written(QUERIES[name].frame(layers))
+    kept = _external(spark, table, whole)
     try:
         for rows in versions:
-            store(name, rows(whole), table)
-        return written(kept.read())
+            store(name, rows(whole), table, durable=True)
+        return _files_of(kept)
     finally:
         kept.drop()
 
@@ -132,18 +146,19 @@ def from_open_rows(name: str, layers: Layers) -> DataFrame:
     """
     spark, day = layers.spark, layers.order_day
     process, fact, changed, target = (_scratch_table() for _ in range(4))
+    kept = _external(spark, target, QUERIES[name].frame(layers))
     early = F.pmod(F.xxhash64("order_id"), F.lit(2)) == 0
     try:
         placed = _still_open()(QUERIES["l18_dwd_order_process"].frame(layers).where(early))
-        store("l18_dwd_order_process", placed.withColumn("status", F.lit("60010")), process)
-        store("l10_dwd_order_detail", QUERIES["l10_dwd_order_detail"].frame(layers).where(~early), fact)
+        store("l18_dwd_order_process", written(placed.withColumn("status", F.lit("60010"))), process, durable=True)
+        store("l10_dwd_order_detail", written(QUERIES["l10_dwd_order_detail"].frame(layers).where(~early)), fact, durable=True)
         orders, eve = layers.tms_order_info, day - dt.timedelta(days=1)
         tables.save_table(orders.withColumn("status", F.lit("60010")).withColumn("dt", F.lit(eve)).unionByName(
             orders.withColumn("dt", F.lit(day))), changed, partition="dt")
         bound = {"open_orders": process, "tms_order": fact, "tms_order_info": changed}
         for today in (eve, day):
             load(name, Stored(spark, bound, today, history=("tms_order",), opened=("open_orders",)), target)
-        return written(spark.table(target))
+        return _files_of(kept)
     finally:
         spark.sql(f"DROP TABLE IF EXISTS {changed}")
         for table in (process, fact, target):

@@ -1,14 +1,15 @@
 """Tables whose rows are known by key while the day they are stored under may change.
 
 Beside such a table stands an index of its keys: per load the keys it wrote and their day, bucketed by a hash
-of the key, so the look-up of a load's keys shuffles only the load.  The index names the days a load has to
-read besides its own, and they reach the scan as literals: only those partitions are read, and a row that
-comes again leaves the day it was under.
-
-A load is committed in one step.  Everything it changes is staged first (the new content of all partitions it
-touches, and its keys) and counted; then one small manifest is put in place by a rename.  Before that the load
-has not happened; from then on it has, and ``recover`` (run by every load and every ``read``) carries out what
-is left, from the staged rows, as often as it takes.
+of the key, so the look-up of a load's keys shuffles only the load.  The index names the days where keys of a
+load are stored, and they reach the scan as literals: only those partitions are read, and a row that comes
+again leaves the day it was under.  There, files that hold no key of the load stay; files that hold nothing
+else go unread; only files that hold both are written anew without the rows that come again.
+
+A load is committed in one step.  Everything it changes is staged first, in the layout of the table, and
+counted; then one small manifest is put in place by a rename.  Before that the load has not happened; from then
+on it has, and ``recover`` (run by every load and every ``read``) carries out what is left, as often as it
+takes: the keys enter the index, the staged files move to their days, the files they replace are removed.
 """
 
 from __future__ import annotations
@@ -16,6 +17,8 @@ from __future__ import annotations
 import datetime as dt
 import json
 from collections.abc import Callable, Iterable, Sequence
+from concurrent.futures import ThreadPoolExecutor
+from functools import cached_property
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
 
@@ -29,6 +32,24 @@ LITERAL_DAYS = 10_000
 #: Buckets of a key index, and loads after which it is rewritten with one entry per key.
 BUCKETS, KEPT_LOADS = 32, 64
 
+#: Most days whose rows each task may write to files of its own; and files that are moved at a time.
+FEW_DAYS, MOVERS = 4, 16
+
+#: Rows of the files that are passed through together: their bits take some 50 MB in every task's executor.
+PASS_ROWS = 32_000_000
+
+#: The folder value of rows without a day.
+NO_DAY = "__HIVE_DEFAULT_PARTITION__"
+
+
+def _parts(many: int) -> list[str]:
+    """Folders of a staged load: the new rows and what is kept beside them."""
+    return ["rows", *(f"kept{n}" for n in range(1, many))]
+
+
+def _in_order(days: Iterable[dt.date | None]) -> list[dt.date | None]:
+    return sorted(days, key=lambda d: (d is None, d or dt.date.min))
+
 
 class Keyed:
     """A partitioned table with a key index and staged commits.  One load of a table runs at a time."""
@@ -39,12 +60,39 @@ class Keyed:
 
     # ------------------------------------------------------------ folders
 
-    def _location(self) -> str:
-        rows = self.spark.sql(f"DESCRIBE TABLE EXTENDED {self.table}").where("col_name = 'Location'").collect()
-        return rows[0]["data_type"]
+    def location(self) -> str:
+        return self._told["Location"]
+
+    @property
+    def _format(self) -> str:
+        return self._told["Provider"]
+
+    @cached_property
+    def _told(self) -> dict[str, str]:
+        """Folder and format of the table."""
+        rows = self.spark.sql(f"DESCRIBE TABLE EXTENDED {self.table}").where("col_name IN ('Location', 'Provider')").collect()
+        return {r["col_name"]: r["data_type"] for r in rows}
+
+    def _folder(self, day: dt.date | None) -> str:
+        return f"{self.column}={day or NO_DAY}"
+
+    def _listed(self, path) -> list[str]:
+        """Names in a folder; none where it is missing."""
+        files = self._files(path)
+        if not files.exists(path):
+            return []
+        return sorted(n for n in (s.getPath().getName() for s in files.listStatus(path)) if n[0] not in "._")
+
+    def _read(self, paths: Sequence[str], base: str = "") -> DataFrame:
+        """Files in the layout of the table."""
+        return self.spark.read.format(self._format).schema(self.spark.table(self.table).schema).option("basePath", base or self.location()).load(list(paths))
 
     def _path(self, name: str = ""):
-        return self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{self._location()}/_loads{name}")
+        return self._at(f"_loads{name}")
+
+    def _at(self, name: str):
+        """A path below the table."""
+        return self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{self.location()}/{name}")
 
     def _files(self, path):
         return path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
@@ -78,7 +126,9 @@ class Keyed:
 
     def _append(self, entries: DataFrame, load: int) -> None:
         """Write one load's entries; writing them again replaces them."""
-        rows = entries.repartition(self.buckets, "key_hash").withColumn("load", F.lit(load).cast("long"))
+        key_hash = F.xxhash64(*self.keys)  # not carried through the shuffle
+        rows = entries.select(*self.keys, "day").repartition(self.buckets, key_hash).select(
+            key_hash.alias("key_hash"), "*", F.lit(load).cast("long").alias("load"))
         tables.overwrite_partitions(rows, self.index)
 
     def _loads(self) -> list[int]:
@@ -86,16 +136,23 @@ class Keyed:
 
     def _same(self, one: DataFrame, other: DataFrame) -> Column:
         """Equal keys, nulls included.  Only the hash is a join key, as the index is bucketed by it alone."""
-        out = one["key_hash"] == other["key_hash"]
+        return (one["key_hash"] == other["key_hash"]) & self._agree(one, other)
+
+    def _agree(self, one: DataFrame, other: DataFrame) -> Column:
+        out = F.lit(True)
         for k in self.keys:
             out = out & ~F.coalesce(one[k] != other[k], one[k].isNull() != other[k].isNull())
         return out
 
+    def _last(self, entries: DataFrame) -> DataFrame:
+        """Keys with the days their last load put them under."""
+        days = entries.groupBy("key_hash", *self.keys, "load").agg(F.collect_set(F.struct("day")).alias("days"))
+        last = days.groupBy("key_hash", *self.keys).agg(F.max_by("days", "load").alias("days"))
+        return last.select("key_hash", *self.keys, F.inline("days"))
+
     def latest(self) -> DataFrame:
-        """The day each key is stored under: the entry of its last load."""
-        entries = self.spark.table(self.index)
-        return entries.groupBy("key_hash", *self.keys).agg(F.max(F.struct("load", "day")).alias("last")).select(
-            "key_hash", *self.keys, F.col("last.day").alias("day"))
+        """The days each key is stored under: the entries of its last load."""
+        return self._last(self.spark.table(self.index))
 
     def compact(self) -> None:
         """Keep one entry per key.  The new entries are complete before the old ones go, and an old entry loses to a new one."""
@@ -113,13 +170,17 @@ class Keyed:
 
     def days_of(self, fresh: DataFrame) -> list[dt.date | None]:
         """The days of some rows and the days their keys are stored under now."""
-        own = self._entry(fresh)
+        return _in_order({*self._days(fresh), *self._known(fresh)})
+
+    def _days(self, rows: DataFrame) -> list[dt.date | None]:
+        return _in_order(r[0] for r in rows.select(F.col(self.column).cast("date")).distinct().collect())  # one row per calendar day
+
+    def _known(self, fresh: DataFrame) -> list[dt.date | None]:
+        """The days the keys of some rows are stored under now."""
         entries = self.spark.table(self.index)
-        met = own.select("key_hash", *self.keys).distinct()
-        known = entries.join(met, self._same(entries, met), "left_semi").groupBy("key_hash", *self.keys).agg(
-            F.max(F.struct("load", "day")).alias("last")).select("last.day")
-        rows = own.select("day").unionByName(known).distinct().collect()  # one row per calendar day
-        return sorted((r["day"] for r in rows), key=lambda d: (d is None, d or dt.date.min))
+        met = self._entry(fresh).select("key_hash", *self.keys)
+        known = self._last(entries.join(met, self._same(entries, met), "left_semi"))
+        return _in_order(r["day"] for r in known.select("day").distinct().collect())
 
     def on(self, days: Sequence[dt.date | None]) -> DataFrame:
         """The stored rows of some days, read from their partitions alone."""
@@ -133,36 +194,97 @@ class Keyed:
 
     # ------------------------------------------------------------ loading
 
-    def merge(self, df: DataFrame) -> int:
+    def merge(self, df: DataFrame, durable: bool = False) -> int:
         """Store rows under their days, in place of the rows of the same keys wherever those are; returns the rows written.
 
-        Null keys are equal.  Without rows nothing is written.  A repeated merge changes nothing.
+        Null keys are equal.  Without rows nothing is written.  A repeated merge changes nothing.  ``durable`` says
+        that ``df`` reads stored files, so it is not written once more before it is read several times.
         """
         self.recover()
         self._ensure_index()
-        fresh = written(tables.align_to(df, self.spark.table(self.table).schema))
-        if not fresh.take(1):
+        fresh = tables.align_to(df, self.spark.table(self.table).schema)
+        fresh = fresh if durable else written(fresh)
+        days = self._days(fresh)
+        if not days:
             return 0
-        days = self.days_of(fresh)
-        again = self._entry(fresh).select("key_hash", *self.keys).distinct()
-        stored = self.on(days).withColumn("key_hash", F.xxhash64(*self.keys))
-        kept = stored.join(again, self._same(stored, again), "left_anti").drop("key_hash")
-        return self.commit(kept.unionByName(fresh), days, self._entry(fresh))
+        known = self._known(fresh) if self._loads() else []
+        kept, gone = self._beside(fresh, known) if known else ([], [])
+        return self._commit([(fresh, days), *kept], gone)
+
+    def _equal(self, one: DataFrame, other: DataFrame) -> Column:
+        """As ``_same``, for sides that do not carry the hash."""
+        out = F.xxhash64(*[one[k] for k in self.keys]) == F.xxhash64(*[other[k] for k in self.keys])
+        return out & self._agree(one, other)
 
-    def commit(self, rows: DataFrame, days: Iterable[dt.date | None], entries: DataFrame | None = None) -> int:
+    def _beside(self, fresh: DataFrame, known: Sequence[dt.date | None]) -> tuple[list[tuple[DataFrame, list]], list[str]]:
+        """What stays of the files that hold a key of the load, with its days, and the files it leaves.
+
+        The keys alone are shuffled; they name the places of the rows that come again, one bit a row.  Files without
+        such a row stay, files with nothing else are not read, and the rows of the others are passed through where
+        they lie, so many files at a time that their bits (``PASS_ROWS``) go to every task.
+        """
+        again = fresh.select(*[F.col(k).alias(f"__{k}") for k in self.keys]).withColumnsRenamed({f"__{k}": k for k in self.keys})
+        placed, file = self._format == "parquet", F.col("_metadata.file_name")
+        stored = self.on(known).select(
+            *self.keys, F.col(self.column).cast("date").alias("day"), F.xxhash64(file).alias("file"),
+            *[F.col("_metadata.row_index").alias("row")] * placed)
+        met = stored.join(again, self._equal(stored, again), "left_semi")
+        word = [F.shiftright("row", 6).alias("word")] if placed else []
+        bits = [F.bit_or(F.expr("shiftleft(1L, CAST(row & 63 AS INT))")).alias("bits")] if placed else []
+        marks = written(met.groupBy("day", "file", *word).agg(F.count(F.lit(1)).alias("n"), *bits))
+        # a row per file
+        lost = {(r["day"], r["file"]): r["n"] for r in marks.groupBy("day", "file").agg(F.sum("n").alias("n")).collect()}
+        held = self.on(known).groupBy(F.col(self.column).cast("date").alias("day"), file.alias("name")).count()
+        files = {(r["day"], r["file"]): r for r in held.withColumn("file", F.xxhash64("name")).collect()}
+        if len(files) < held.count():
+            raise RuntimeError(f"{self.table}: two files of a day have one hash")
+        path = {at: f"{self._folder(at[0])}/{r['name']}" for at, r in files.items()}
+        passes, size = [], 0
+        for at in sorted((at for at, n in lost.items() if n < files[at]["count"]), key=str):
+            if not passes or size + files[at]["count"] > PASS_ROWS:
+                passes, size = [*passes, []], 0
+            passes[-1].append(at)
+            size += files[at]["count"]
+        return [(self._kept([path[at] for at in some], marks, again, placed), sorted({d for d, _ in some}, key=str)) for some in passes], [path[at] for at in lost]
+
+    def _kept(self, names: Sequence[str], marks: DataFrame, again: DataFrame, placed: bool) -> DataFrame:
+        """The rows of some files but those that come again."""
+        rows = self._read([f"{self.location()}/{n}" for n in names])
+        if not placed:
+            return rows.join(again, self._equal(rows, again), "left_anti")
+        here = rows.select("*", F.xxhash64("_metadata.file_name").alias("__file"), F.col("_metadata.row_index").alias("__row"))
+        wanted = self.spark.createDataFrame([(n,) for n in names], "name string").select(
+            F.xxhash64(F.element_at(F.split("name", "/"), -1)).alias("file"), F.element_at(F.split("name", "/"), 1).alias("folder"))
+        folder = F.concat(F.lit(f"{self.column}="), F.coalesce(F.col("day").cast("string"), F.lit(NO_DAY)))
+        gone = marks.withColumn("folder", folder).join(F.broadcast(wanted), ["folder", "file"], "left_semi")
+        met = (here["__file"] == gone["file"]) & (F.shiftright("__row", 6) == gone["word"]) & here[self.column].cast("date").eqNullSafe(gone["day"]) & (
+            gone["bits"].bitwiseAND(F.expr("shiftleft(1L, CAST(__row & 63 AS INT))")) != 0)
+        return here.join(F.broadcast(gone), met, "left_anti").drop("__file", "__row")
+
+    def commit(self, rows: DataFrame, days: Iterable[dt.date | None]) -> int:
         """Make ``rows`` the whole content of ``days``: staged, counted, then published by one manifest."""
         self._ensure_index()
+        days = list(days)
+        return self._commit([(rows, days)], [f"{self._folder(d)}/{f}" for d in days for f in self._listed(self._at(self._folder(d)))])
+
+    def _commit(self, parts: Sequence[tuple[DataFrame, Sequence]], gone: Sequence[str]) -> int:
+        """Stage the new rows and those kept beside them in the layout of the table, and publish them in place of the files that go."""
         number = 1 + max([*self._loads(), *(int(n.split(".")[0]) for n in self._manifests())], default=0)
-        stage = self._path(f"/{number}").toString()
-        seen = Observation()
-        rows.observe(seen, F.count(F.lit(1)).alias("rows")).write.mode("overwrite").parquet(f"{stage}/rows")
-        (self._entry(rows) if entries is None else entries).write.mode("overwrite").parquet(f"{stage}/keys")
-        staged = self.spark.read.schema(rows.schema).parquet(f"{stage}/rows").count()
-        if staged != seen.get["rows"]:
-            raise OSError(f"{self.table}: {staged} of {seen.get['rows']} rows are staged; nothing is published")
-        self._publish(number, {"days": [d and d.isoformat() for d in days], "rows": staged})
+        stage, written_rows = self._path(f"/{number}"), 0
+        self._files(stage).delete(stage, True)
+        for name, (rows, days) in zip(_parts(len(parts)), parts, strict=True):
+            seen = Observation()
+            # a task writes a file for each day it meets: rows of many days are brought together first
+            laid = rows if len(days) <= FEW_DAYS else rows.hint("rebalance", F.col(self.column))
+            path = f"{stage.toString()}/{name}"
+            laid.observe(seen, F.count(F.lit(1)).alias("rows")).write.format(self._format).partitionBy(self.column).save(path)
+            staged = self._read([path], path).count()
+            if staged != seen.get["rows"]:
+                raise OSError(f"{self.table}: {staged} of {seen.get['rows']} rows are staged; nothing is published")
+            written_rows += staged
+        self._publish(number, {"gone": list(gone), "parts": len(parts), "rows": written_rows})
         self.recover()
-        return staged
+        return written_rows
 
     def _publish(self, number: int, told: dict) -> None:
         """The commit: the manifest appears whole, by a rename."""
@@ -187,17 +309,37 @@ class Keyed:
                 self.compact()
 
     def _apply(self, number: int, told: dict) -> None:
-        stage = self._path(f"/{number}").toString()
+        """Enter the keys while all rows are staged, then move the staged files to their days and remove those that go."""
         self._ensure_index()
-        rows = self.spark.read.schema(self.spark.table(self.table).schema).parquet(f"{stage}/rows")
-        if told["rows"]:
-            tables.overwrite_partitions(rows.hint("rebalance", F.col(self.column)), self.table)
-        full = {r[0] for r in rows.select(F.col(self.column).cast("date")).distinct().collect()}
-        empty = [d for d in told["days"] if (d and dt.date.fromisoformat(d)) not in full]
-        if empty:
-            specs = ", ".join(f"PARTITION (`{self.column}` = " + (f"'{d}'" if d else "null") + ")" for d in empty)
-            self.spark.sql(f"ALTER TABLE {self.table} DROP IF EXISTS {specs}")
-        self._append(self.spark.read.schema(self.spark.table(self.index).drop("load").schema).parquet(f"{stage}/keys"), number)
+        stage = self._path(f"/{number}/rows")
+        if number not in self._loads() and self._listed(stage):
+            self._append(self._entry(self._read([stage.toString()], stage.toString())), number)
+        top = self.location()
+        files, path = self._files(stage), self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+        staged = [path(f"{top}/_loads/{number}/{part}/{day}") for part in _parts(told["parts"]) for day in self._listed(self._path(f"/{number}/{part}")) if "=" in day]
+        there = {f for f in self._listed(path(top)) if "=" in f}
+        came = there | {day.getName() for day in staged}
+
+        def move(day) -> None:
+            for file in self._listed(day):
+                if not files.rename(path(day, file), path(f"{top}/{day.getName()}/{file}")):
+                    raise OSError(f"could not move {day.toString()}/{file}")
+
+        for day in came - there:
+            files.mkdirs(path(f"{top}/{day}"))
+        with ThreadPoolExecutor(MOVERS) as pool:
+            list(pool.map(move, staged))
+            list(pool.map(lambda g: files.delete(path(f"{top}/{g}"), False), told["gone"]))
+            left = sorted({g.split("/")[0] for g in told["gone"]} & came)
+            empty = [day for day, names in zip(left, pool.map(lambda d: self._listed(path(f"{top}/{d}")), left), strict=True) if not names]
+        known = {r[0] for r in self.spark.sql(f"SHOW PARTITIONS {self.table}").collect()}
+        for verb, days in (("ADD IF NOT EXISTS", sorted(came - known - {*empty})), ("DROP IF EXISTS", [d for d in empty if d in known or d.endswith(NO_DAY)])):
+            specs = [f"PARTITION (`{self.column}` = " + ("null" if d.endswith(NO_DAY) else f"'{d.partition('=')[2]}'") + ")" for d in days]
+            if specs:
+                self.spark.sql(f"ALTER TABLE {self.table} {verb} " + (" " if verb.startswith("ADD") else ", ").join(specs))
+        for day in empty:
+            files.delete(path(f"{top}/{day}"), True)
+        self.spark.catalog.refreshTable(self.table)
 
     # ------------------------------------------------------------ intervals
 

@@ -155,3 +155,44 @@ def test_loads_empty_their_run_day_and_carry_a_stamp(spark):
     finally:
         for name in (source, report):
             spark.sql(f"DROP TABLE IF EXISTS {name}")
+
+
+def _files(table):
+    return {f.split("/dt=")[1] for f in table.read().inputFiles()}
+
+
+def test_only_files_that_hold_keys_of_a_load_are_replaced(spark, make):
+    table = make([(1, "a", D[5]), (3, "c", D[6])])
+    table.merge(spark.createDataFrame([(2, "b", D[5])], ROW))  # no key comes again: the file of the day stays
+    first = _files(table)
+    assert len(first) == 3
+    table.merge(spark.createDataFrame([(2, "b2", D[5])], ROW))  # its own file goes whole, that of key 1 stays
+    assert len(_files(table) & first) == 2
+    assert stored(table) == sorted([(1, "a", D[5]), (2, "b2", D[5]), (3, "c", D[6])], key=str)
+
+
+@pytest.mark.parametrize("rows_at_once", [1, 10_000])
+def test_rows_stay_in_files_that_lose_others(spark, make, monkeypatch, rows_at_once):
+    monkeypatch.setattr("layerhouse.sources.keyed.PASS_ROWS", rows_at_once)
+    table = make([])
+    old = spark.range(2_000).select(F.when(F.col("id") > 4, F.col("id")).alias("id"), F.lit("x").alias("v"), F.when(F.col("id") % 3 > 0, F.date_add(F.lit(D[0]), (F.col("id") % 3).cast("int"))).alias("dt"))
+    table.merge(old)
+    for _ in range(2):
+        table.merge(old.where("id % 5 = 0 OR id IS NULL AND dt IS NULL").withColumn("v", F.lit("y")))
+        held = table.read()
+        assert held.count() == 1_995 + 2 and held.where("id IS NULL").count() == 2  # null keys are one key
+        assert held.where("id % 5 = 0 AND v = 'x' OR id % 5 <> 0 AND v = 'y'").count() == 0
+        assert held.exceptAll(old.withColumn("v", F.when(F.expr("id % 5 = 0 OR id IS NULL"), "y").otherwise("x"))).count() == 0
+
+
+def test_a_key_under_two_days_leaves_both(spark, make):
+    table = make([(1, "a", D[3]), (1, "b", D[7]), (2, "c", D[3])])
+    table.compact()
+    table.merge(spark.createDataFrame([(1, "d", D[9])], ROW))
+    assert stored(table) == [(1, "d", D[9]), (2, "c", D[3])]
+
+
+def test_a_load_of_one_day_is_not_shuffled(spark, make):
+    table = make([])
+    before = table.merge(spark.range(0, 4_000, 1, 4).select("id", F.lit("x").alias("v"), F.lit(D[1]).alias("dt")), durable=True)
+    assert before == 4_000 and len(_files(table)) == 4  # one file of each task
