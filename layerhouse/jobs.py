@@ -85,9 +85,9 @@ def _created(df: DataFrame, table: str, fmt: str) -> None:
 
 def store(
     name: str, df: DataFrame, table: str, fmt: str = "parquet", days: Iterable[dt.date | str] = (), stamp: str | None = None,
-    durable: bool = False,
+    durable: bool = False, spread: bool | None = None,
 ) -> int:
-    """``load`` of rows that are already there; ``durable`` where they read stored files."""
+    """``load`` of rows that are already there; ``durable`` where they read stored files, ``spread`` as ``Keyed.merge`` has it."""
     spark = df.sparkSession
     if stamp:
         df = df.withColumn(stamp, F.current_timestamp())
@@ -96,7 +96,7 @@ def store(
     df = df.select(*[c for c in df.columns if c != "dt"], "dt")
     _created(df, table, fmt)
     if name in LATE or name in ACCUMULATING:
-        return Keyed(spark, table, LATE.get(name) or ACCUMULATING[name]).merge(df, durable)
+        return Keyed(spark, table, LATE.get(name) or ACCUMULATING[name]).merge(df, durable, spread)
     return tables.replace_days(df, table, days)
 
 
@@ -150,8 +150,8 @@ def from_open_rows(name: str, layers: Layers) -> DataFrame:
     early = F.pmod(F.xxhash64("order_id"), F.lit(2)) == 0
     try:
         placed = _still_open()(QUERIES["l18_dwd_order_process"].frame(layers).where(early))
-        store("l18_dwd_order_process", written(placed.withColumn("status", F.lit("60010"))), process, durable=True)
-        store("l10_dwd_order_detail", written(QUERIES["l10_dwd_order_detail"].frame(layers).where(~early)), fact, durable=True)
+        store("l18_dwd_order_process", placed.withColumn("status", F.lit("60010")), process, spread=False)  # all in the open partition
+        store("l10_dwd_order_detail", QUERIES["l10_dwd_order_detail"].frame(layers).where(~early), fact, spread=True)
         orders, eve = layers.tms_order_info, day - dt.timedelta(days=1)
         tables.save_table(orders.withColumn("status", F.lit("60010")).withColumn("dt", F.lit(eve)).unionByName(
             orders.withColumn("dt", F.lit(day))), changed, partition="dt")

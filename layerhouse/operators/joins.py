@@ -2,9 +2,15 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F, types as T
+
+#: Bits of a key filter for each key, so that one in 16 other keys passes at most, and in all (32 MB); beyond it more pass.
+KEY_BITS, MOST_BITS = 16, 1 << 28
+
+#: Bits in a block of a key filter (4 KB).
+BLOCK_BITS = 1 << 15
 
 
 def lookup(
@@ -62,6 +68,37 @@ def with_all(one: DataFrame, many: DataFrame, on: Mapping[str, str]) -> DataFram
     return matched.unionByName(lonely, allowMissingColumns=True)
 
 
+def key_filter(keys: DataFrame, key: str) -> Callable[[DataFrame, str], DataFrame]:
+    """Drop rows that meet none of ``keys`` where they are read, ahead of a join that shuffles the rest.
+
+    Gives a function of rows and their key column that returns every row whose key is among ``keys`` and few others:
+    a bitmap of hashed keys, of bounded size, is sent to all tasks.  ``keys`` is read twice, so it is a stored frame.
+    """
+    kind, bits = keys.schema[key].dataType, BLOCK_BITS
+    wanted = min(KEY_BITS * keys.count(), MOST_BITS)
+    while bits < wanted:
+        bits *= 2
+
+    def place(column: str) -> Column:
+        return F.xxhash64(column).bitwiseAND(F.lit(bits - 1))
+
+    # one narrow row per key is shuffled to its block, however often the key is there
+    placed = keys.where(F.col(key).isNotNull()).select(place(key).alias("__place")).distinct()
+    blocks = placed.select(
+        F.floor(F.col("__place") / BLOCK_BITS).alias("__block"), (F.col("__place") % BLOCK_BITS).alias("__bit")
+    ).repartition("__block").groupBy("__block").agg(F.bitmap_construct_agg("__bit").alias("__bits"))
+
+    def near(rows: DataFrame, column: str) -> DataFrame:
+        if rows.schema[column].dataType != kind or kind not in (T.IntegerType(), T.LongType(), T.StringType()):
+            return rows  # equal keys may have different hashes
+        bit = place(column) % BLOCK_BITS
+        byte = F.conv(F.hex(F.substring("__bits", F.floor(bit / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
+        met = (F.floor(place(column) / BLOCK_BITS) == F.col("__block")) & (F.getbit(byte, (bit % 8).cast("int")) == 1)
+        return rows.join(F.broadcast(blocks), met, "left_semi")
+
+    return near
+
+
 def walk_up(
     df: DataFrame,
     regions: DataFrame,

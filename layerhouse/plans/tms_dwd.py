@@ -9,7 +9,8 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from layerhouse.functions.masking import mask_name
 from layerhouse.functions.times import OPEN_END, from_epoch_ms, from_iso
-from layerhouse.operators.joins import lookup
+from layerhouse.operators.joins import key_filter, lookup
+from layerhouse.session import written
 from layerhouse.sources.tables import live
 
 CARGO = ["cargo_type", "volume_length", "volume_width", "volume_height", "weight"]
@@ -100,20 +101,27 @@ def milestone_from_open(
     """Daily load of a milestone: waybills still open, plus those placed today, that reached it.
 
     Both inputs carry the columns of ``order_detail``; status, payment and time come from the
-    changed orders.  A waybill that is in both is taken from the open ones.
+    changed orders.  A waybill that is in both is taken from the open ones.  Rows of orders that did
+    not reach the step are dropped where they are read; only the others are shuffled.
     """
     carried = [c for c in new_rows.columns if c not in (
         "status", "status_name", "dt", "payment_type", "payment_type_name", "start_date", "end_date"
     )]
-    pending = new_rows.select(*carried)
-    if open_rows is not None:
-        known = open_rows.select(F.col("id").alias("open_id"))
-        pending = open_rows.select(*carried).unionByName(
-            pending.join(known, F.col("id") == F.col("open_id"), "left_anti"))
     changed = live(orders).where(step.holds(F.col("status"))).select(
         F.col("id").alias("changed_id"), "status", "payment_type",
         from_iso(F.col("update_time")).alias(step.time),
     )
+    pending = new_rows.select(*carried)
+    if open_rows is not None:
+        changed = written(changed)
+        near = key_filter(changed, "changed_id")
+        fresh = near(pending, "order_id")
+        # waybills in both, by identifiers alone; as a stored frame, so that a small one is broadcast
+        ids = written(fresh.select(F.col("id").alias("new_id")))
+        known = key_filter(ids, "new_id")(open_rows.select(F.col("id").alias("open_id")), "open_id")
+        twice = written(known.join(ids, F.col("open_id") == F.col("new_id"), "left_semi"))
+        pending = near(open_rows.select(*carried), "order_id").unionByName(
+            fresh.join(twice, F.col("id") == F.col("open_id"), "left_anti"))
     rows = pending.join(changed, F.col("order_id") == F.col("changed_id")).drop("changed_id")
     rows = _named(rows, dic, "status", "payment_type")
     return rows.drop("order_time").withColumn("dt", F.to_date(step.time))

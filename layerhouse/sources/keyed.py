@@ -194,22 +194,33 @@ class Keyed:
 
     # ------------------------------------------------------------ loading
 
-    def merge(self, df: DataFrame, durable: bool = False) -> int:
+    def merge(self, df: DataFrame, durable: bool = False, spread: bool | None = None) -> int:
         """Store rows under their days, in place of the rows of the same keys wherever those are; returns the rows written.
 
         Null keys are equal.  Without rows nothing is written.  A repeated merge changes nothing.  ``durable`` says
-        that ``df`` reads stored files, so it is not written once more before it is read several times.
+        that ``df`` reads stored files, so it is not written once more before it is read several times.  ``spread``
+        says whether the rows are of many days; where that is known, they are staged at once and read from there.
         """
         self.recover()
         self._ensure_index()
-        fresh = tables.align_to(df, self.spark.table(self.table).schema)
-        fresh = fresh if durable else written(fresh)
-        days = self._days(fresh)
-        if not days:
-            return 0
+        fresh, number = tables.align_to(df, self.spark.table(self.table).schema), self._begin()
+        if spread is None:
+            fresh = fresh if durable else written(fresh)
+            days = self._days(fresh)
+            if not days:
+                return 0
+            staged, rows = None, 0
+        else:
+            staged, rows = self._stage(number, "rows", fresh, spread)
+            if not rows:
+                self._begin()
+                return 0
+            fresh, days = staged, self._days(staged)
         known = self._known(fresh) if self._loads() else []
         kept, gone = self._beside(fresh, known) if known else ([], [])
-        return self._commit([(fresh, days), *kept], gone)
+        if staged is None:
+            _, rows = self._stage(number, "rows", fresh, len(days) > FEW_DAYS)
+        return self._commit(number, kept, gone, rows)
 
     def _equal(self, one: DataFrame, other: DataFrame) -> Column:
         """As ``_same``, for sides that do not carry the hash."""
@@ -264,27 +275,38 @@ class Keyed:
     def commit(self, rows: DataFrame, days: Iterable[dt.date | None]) -> int:
         """Make ``rows`` the whole content of ``days``: staged, counted, then published by one manifest."""
         self._ensure_index()
-        days = list(days)
-        return self._commit([(rows, days)], [f"{self._folder(d)}/{f}" for d in days for f in self._listed(self._at(self._folder(d)))])
+        days, number = list(days), self._begin()
+        _, many = self._stage(number, "rows", rows, len(days) > FEW_DAYS)
+        return self._commit(number, [], [f"{self._folder(d)}/{f}" for d in days for f in self._listed(self._at(self._folder(d)))], many)
 
-    def _commit(self, parts: Sequence[tuple[DataFrame, Sequence]], gone: Sequence[str]) -> int:
-        """Stage the new rows and those kept beside them in the layout of the table, and publish them in place of the files that go."""
+    def _begin(self) -> int:
+        """The number of the next load, with nothing staged."""
         number = 1 + max([*self._loads(), *(int(n.split(".")[0]) for n in self._manifests())], default=0)
-        stage, written_rows = self._path(f"/{number}"), 0
+        stage = self._path(f"/{number}")
         self._files(stage).delete(stage, True)
-        for name, (rows, days) in zip(_parts(len(parts)), parts, strict=True):
-            seen = Observation()
-            # a task writes a file for each day it meets: rows of many days are brought together first
-            laid = rows if len(days) <= FEW_DAYS else rows.hint("rebalance", F.col(self.column))
-            path = f"{stage.toString()}/{name}"
-            laid.observe(seen, F.count(F.lit(1)).alias("rows")).write.format(self._format).partitionBy(self.column).save(path)
-            staged = self._read([path], path).count()
-            if staged != seen.get["rows"]:
-                raise OSError(f"{self.table}: {staged} of {seen.get['rows']} rows are staged; nothing is published")
-            written_rows += staged
-        self._publish(number, {"gone": list(gone), "parts": len(parts), "rows": written_rows})
+        return number
+
+    def _stage(self, number: int, name: str, rows: DataFrame, spread: bool) -> tuple[DataFrame, int]:
+        """Write rows beside the table in its layout; returns them as they were read back, and their number."""
+        seen = Observation()
+        # a task writes a file for each day it meets: rows of many days are brought together first
+        laid = rows.hint("rebalance", F.col(self.column)) if spread else rows
+        path = f"{self._path(f'/{number}').toString()}/{name}"
+        laid.observe(seen, F.count(F.lit(1)).alias("rows")).write.format(self._format).partitionBy(self.column).save(path)
+        back = self._read([path], path)
+        staged = back.count()
+        if staged != seen.get["rows"]:
+            raise OSError(f"{self.table}: {staged} of {seen.get['rows']} rows are staged; nothing is published")
+        return back, staged
+
+    def _commit(self, number: int, kept: Sequence[tuple[DataFrame, Sequence]], gone: Sequence[str], rows: int) -> int:
+        """Stage what is kept beside the new rows, which are staged, and publish both in place of the files that go."""
+        names = _parts(1 + len(kept))
+        for name, (some, days) in zip(names[1:], kept, strict=True):
+            rows += self._stage(number, name, some, len(days) > FEW_DAYS)[1]
+        self._publish(number, {"gone": list(gone), "parts": len(names), "rows": rows})
         self.recover()
-        return written_rows
+        return rows
 
     def _publish(self, number: int, told: dict) -> None:
         """The commit: the manifest appears whole, by a rename."""

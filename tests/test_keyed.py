@@ -196,3 +196,17 @@ def test_a_load_of_one_day_is_not_shuffled(spark, make):
     table = make([])
     before = table.merge(spark.range(0, 4_000, 1, 4).select("id", F.lit("x").alias("v"), F.lit(D[1]).alias("dt")), durable=True)
     assert before == 4_000 and len(_files(table)) == 4  # one file of each task
+
+
+@pytest.mark.parametrize("spread", [False, True])
+def test_rows_of_a_known_spread_are_written_once(spark, make, monkeypatch, spread):
+    table, rows = make([]), [(n, "x", D[n % 3]) for n in range(60)] + [(None, "n", None)]
+    with monkeypatch.context() as m:  # no copy of the rows is written beside the staged ones
+        m.setattr("layerhouse.sources.keyed.written", None)
+        assert table.merge(spark.createDataFrame([], ROW), spread=spread) == 0
+        assert table._loads() == [] and not table._listed(table._path())
+        assert table.merge(spark.createDataFrame(rows, ROW).repartition(4), spread=spread) == 61
+    files = _files(table)
+    assert len(files) == 4 if spread else len(files) > 4
+    table.merge(spark.createDataFrame([(1, "y", D[9]), (None, "m", D[1])], ROW), spread=spread)
+    assert stored(table) == sorted([r for r in rows if r[0] not in (1, None)] + [(1, "y", D[9]), (None, "m", D[1])], key=str)

@@ -4,6 +4,7 @@ import random
 import pytest
 from pyspark.sql import Window, functions as F
 
+from layerhouse import session
 from layerhouse.operators import cohorts, joins, ordering, spans
 
 D = dt.date(2025, 6, 30)
@@ -253,3 +254,18 @@ def test_retention_and_new_in_spans(spark, rows):
     assert [(r.create_date, r.retention_day, r.retention_count, r.new_user_count, float(r.retention_rate)) for r in got] == [
         (days(3), 3, 1, 2, 50.0)]
     assert rows(cohorts.new_in_spans(df, D, (1, 7, 30), "login_date_first", "n")) == [(1, 1), (30, 4), (7, 3)]
+
+
+@pytest.mark.parametrize("most", [joins.BLOCK_BITS, joins.MOST_BITS])
+def test_a_key_filter_keeps_every_match_and_few_others(spark, monkeypatch, most):
+    monkeypatch.setattr(joins, "MOST_BITS", most)
+    number = spark.range(100_000).select("id", F.concat(F.lit("k"), "id").alias("text"))
+    some = number.where("id % 10 = 3")
+    keys = session.written(some.unionByName(some).unionByName(spark.createDataFrame([(None, None)], "id bigint, text string")))
+    for column in ("id", "text"):
+        near = joins.key_filter(keys, column)(number, column)
+        assert near.where("id % 10 = 3").count() == 10_000 and near.columns == number.columns
+        if most > joins.BLOCK_BITS:
+            assert near.count() < 10_000 + 90_000 / 12
+    assert joins.key_filter(keys, "id")(number.select(F.col("id").cast("int")), "id").count() == 100_000  # other types hash differently
+    assert joins.key_filter(session.written(some.where("id < 0")), "id")(number, "id").count() == 0

@@ -7,6 +7,7 @@ from decimal import Decimal
 import pytest
 from pyspark.sql import functions as F
 
+from layerhouse import session
 from layerhouse.functions.times import OPEN_END
 from layerhouse.plans import (
     diagnosis, discount, goods, macro, shop_ads, shop_dim, shop_dwd, shop_dws, tms_ads, tms_dwd, tms_dws,
@@ -126,6 +127,35 @@ def test_open_and_new_rows_meet_the_changed_orders(waybills, rows):
     assert rows(split, *columns) == rows(whole, *columns)
 
 
+def _shuffled(plan):
+    """Rows that went through the shuffles of a plan that has run."""
+    inner = {"AdaptiveSparkPlan": "executedPlan", "ShuffleQueryStage": "plan", "BroadcastQueryStage": "plan", "ResultQueryStage": "plan"}.get(plan.nodeName())
+    own = plan.metrics().apply("shuffleRecordsWritten").value() if plan.nodeName() == "Exchange" else 0
+    children = plan.children()
+    return own + sum(map(_shuffled, [getattr(plan, inner)()] if inner else [children.apply(i) for i in range(children.size())]))
+
+
+def test_a_load_shuffles_only_rows_of_orders_that_reached_the_step(spark, waybills, rows):
+    cargo, orders, dic = waybills
+    many = orders.crossJoin(spark.range(200).select((F.col("id") * 100).alias("more")))
+    orders = session.written(many.withColumn("id", F.col("id") + F.col("more")).drop("more"))
+    lines = cargo.crossJoin(spark.range(200).select((F.col("id") * 100).alias("more")))
+    cargo = lines.withColumns({"id": F.col("id") + 10 * F.col("more"), "order_id": F.col("order_id") + F.col("more")}).drop("more")
+    placed = session.written(tms_dwd.order_detail(cargo, orders, dic))
+    again = placed.where("id % 3 = 0").withColumn("order_id", F.col("order_id") + 1)  # placed a second time: the open one counts
+    today = placed.where("id % 2 = 1").unionByName(again.where("id % 2 = 0"))
+    columns = ["id", "order_id", "status", "status_name", "payment_time", "amount", "dt"]
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        split = tms_dwd.milestone_from_open(placed.where("id % 2 = 0"), today, orders, dic, tms_dwd.PAID).select(*columns)
+        found = split.collect()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert len(found) == 400 and {tuple(r) for r in found} == set(rows(tms_dwd.milestone(cargo, orders, dic, tms_dwd.PAID), *columns))
+    # 3,200 rows, of which 400 reached it; before over 7,000 were shuffled
+    assert 400 <= _shuffled(split._jdf.queryExecution().executedPlan()) < placed.count()
+
+
 def test_process_closes_finished_and_cancelled(waybills):
     closing = {r.status: r.dt for r in tms_dwd.order_process(*waybills).collect()}
     assert closing["60080"] == closing["60999"] == D and closing["60020"] == OPEN_END
