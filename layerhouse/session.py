@@ -23,6 +23,8 @@ RUNTIME = {
     # Tasks after a shuffle read 16 MB at most, however large the input: many partitions, of which small ones are joined.
     "spark.sql.adaptive.coalescePartitions.initialPartitionNum": "1600",
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "16m",
+    # A table of thousands of days is listed by some tasks with many folders each, not by a task per folder.
+    "spark.sql.sources.parallelPartitionDiscovery.parallelism": "64",
     # Rows that are written several times, as staged and stored ones are, take about a third less than with snappy.
     "spark.sql.parquet.compression.codec": "zstd",
 }

@@ -16,7 +16,7 @@ from __future__ import annotations
 
 import datetime as dt
 import json
-from collections.abc import Callable, Iterable, Sequence
+from collections.abc import Callable, Iterable, Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from functools import cached_property
 
@@ -219,8 +219,8 @@ class Keyed:
         known = self._known(fresh) if self._loads() else []
         kept, gone = self._beside(fresh, known) if known else ([], [])
         if staged is None:
-            _, rows = self._stage(number, "rows", fresh, len(days) > FEW_DAYS)
-        return self._commit(number, kept, gone, rows)
+            staged, rows = self._stage(number, "rows", fresh, len(days) > FEW_DAYS)
+        return self._commit(number, kept, gone, staged, rows)
 
     def _equal(self, one: DataFrame, other: DataFrame) -> Column:
         """As ``_same``, for sides that do not carry the hash."""
@@ -246,8 +246,9 @@ class Keyed:
         # a row per file
         lost = {(r["day"], r["file"]): r["n"] for r in marks.groupBy("day", "file").agg(F.sum("n").alias("n")).collect()}
         held = self.on(known).groupBy(F.col(self.column).cast("date").alias("day"), file.alias("name")).count()
-        files = {(r["day"], r["file"]): r for r in held.withColumn("file", F.xxhash64("name")).collect()}
-        if len(files) < held.count():
+        found = held.withColumn("file", F.xxhash64("name")).collect()
+        files = {(r["day"], r["file"]): r for r in found}
+        if len(files) < len(found):
             raise RuntimeError(f"{self.table}: two files of a day have one hash")
         path = {at: f"{self._folder(at[0])}/{r['name']}" for at, r in files.items()}
         passes, size = [], 0
@@ -276,8 +277,8 @@ class Keyed:
         """Make ``rows`` the whole content of ``days``: staged, counted, then published by one manifest."""
         self._ensure_index()
         days, number = list(days), self._begin()
-        _, many = self._stage(number, "rows", rows, len(days) > FEW_DAYS)
-        return self._commit(number, [], [f"{self._folder(d)}/{f}" for d in days for f in self._listed(self._at(self._folder(d)))], many)
+        staged, many = self._stage(number, "rows", rows, len(days) > FEW_DAYS)
+        return self._commit(number, [], [f"{self._folder(d)}/{f}" for d in days for f in self._listed(self._at(self._folder(d)))], staged, many)
 
     def _begin(self) -> int:
         """The number of the next load, with nothing staged."""
@@ -299,13 +300,13 @@ class Keyed:
             raise OSError(f"{self.table}: {staged} of {seen.get['rows']} rows are staged; nothing is published")
         return back, staged
 
-    def _commit(self, number: int, kept: Sequence[tuple[DataFrame, Sequence]], gone: Sequence[str], rows: int) -> int:
-        """Stage what is kept beside the new rows, which are staged, and publish both in place of the files that go."""
+    def _commit(self, number: int, kept: Sequence[tuple[DataFrame, Sequence]], gone: Sequence[str], staged: DataFrame, rows: int) -> int:
+        """Stage what is kept beside the new rows, which are ``staged``, and publish both in place of the files that go."""
         names = _parts(1 + len(kept))
         for name, (some, days) in zip(names[1:], kept, strict=True):
             rows += self._stage(number, name, some, len(days) > FEW_DAYS)[1]
         self._publish(number, {"gone": list(gone), "parts": len(names), "rows": rows})
-        self.recover()
+        self.recover({number: staged})
         return rows
 
     def _publish(self, number: int, told: dict) -> None:
@@ -318,41 +319,50 @@ class Keyed:
         if not files.rename(draft, final):
             raise OSError(f"could not publish {final.toString()}")
 
-    def recover(self) -> None:
-        """Carry out what is committed and not yet done; doing it again changes nothing."""
+    def recover(self, staged: Mapping[int, DataFrame] | None = None) -> None:
+        """Carry out what is committed and not yet done; doing it again changes nothing.
+
+        ``staged`` has the staged rows of loads that were read back just now, whose files need not be listed again.
+        """
         for name in self._manifests():
             number, manifest = int(name.split(".")[0]), self._path(f"/{name}")
             files = self._files(manifest)
             told = json.loads(self.spark.read.text(manifest.toString()).first()[0])
-            self._apply(number, told)
+            self._apply(number, told, (staged or {}).get(number))
             files.delete(manifest, False)
             files.delete(self._path(f"/{number}"), True)
             if len(self._loads()) > KEPT_LOADS:
                 self.compact()
 
-    def _apply(self, number: int, told: dict) -> None:
+    def _apply(self, number: int, told: dict, rows: DataFrame | None = None) -> None:
         """Enter the keys while all rows are staged, then move the staged files to their days and remove those that go."""
         self._ensure_index()
         stage = self._path(f"/{number}/rows")
         if number not in self._loads() and self._listed(stage):
-            self._append(self._entry(self._read([stage.toString()], stage.toString())), number)
+            self._append(self._entry(self._read([stage.toString()], stage.toString()) if rows is None else rows), number)
         top = self.location()
         files, path = self._files(stage), self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path
-        staged = [path(f"{top}/_loads/{number}/{part}/{day}") for part in _parts(told["parts"]) for day in self._listed(self._path(f"/{number}/{part}")) if "=" in day]
+        staged = [(f"{top}/_loads/{number}/{part}/{day}", day) for part in _parts(told["parts"]) for day in self._listed(self._path(f"/{number}/{part}")) if "=" in day]
         there = {f for f in self._listed(path(top)) if "=" in f}
-        came = there | {day.getName() for day in staged}
+        came = there | {day for _, day in staged}
+        # a day that is not there yet takes its first staged folder whole, the others take files
+        whole = {day: at for at, day in reversed(staged) if day not in there}
+
+        def rename(at: str, to: str) -> None:
+            if not files.rename(path(at), path(to)):
+                raise OSError(f"could not move {at}")
 
-        def move(day) -> None:
-            for file in self._listed(day):
-                if not files.rename(path(day, file), path(f"{top}/{day.getName()}/{file}")):
-                    raise OSError(f"could not move {day.toString()}/{file}")
+        def move(at: str, day: str) -> None:
+            for name in [s.getPath().getName() for s in files.listStatus(path(at))]:
+                if name[0] not in "._":
+                    rename(f"{at}/{name}", f"{top}/{day}/{name}")
 
-        for day in came - there:
-            files.mkdirs(path(f"{top}/{day}"))
         with ThreadPoolExecutor(MOVERS) as pool:
-            list(pool.map(move, staged))
+            list(pool.map(lambda day: rename(whole[day], f"{top}/{day}"), whole))
+            list(pool.map(lambda both: move(*both), [(at, day) for at, day in staged if whole.get(day) != at]))
             list(pool.map(lambda g: files.delete(path(f"{top}/{g}"), False), told["gone"]))
-            left = sorted({g.split("/")[0] for g in told["gone"]} & came)
+            # days of staged files hold those
+            left = sorted(({g.split("/")[0] for g in told["gone"]} & came) - {day for _, day in staged})
             empty = [day for day, names in zip(left, pool.map(lambda d: self._listed(path(f"{top}/{d}")), left), strict=True) if not names]
         known = {r[0] for r in self.spark.sql(f"SHOW PARTITIONS {self.table}").collect()}
         for verb, days in (("ADD IF NOT EXISTS", sorted(came - known - {*empty})), ("DROP IF EXISTS", [d for d in empty if d in known or d.endswith(NO_DAY)])):

@@ -210,3 +210,26 @@ def test_rows_of_a_known_spread_are_written_once(spark, make, monkeypatch, sprea
     assert len(files) == 4 if spread else len(files) > 4
     table.merge(spark.createDataFrame([(1, "y", D[9]), (None, "m", D[1])], ROW), spread=spread)
     assert stored(table) == sorted([r for r in rows if r[0] not in (1, None)] + [(1, "y", D[9]), (None, "m", D[1])], key=str)
+
+
+def test_staged_rows_are_listed_once_and_new_days_move_whole(spark, make, monkeypatch):
+    table, listed, read, append = make([(1, "a", D[5])]), [], Keyed._read, Keyed._append
+    monkeypatch.setattr(Keyed, "_read", lambda self, paths, base="": listed.append(paths) or read(self, paths, base))
+    table.merge(spark.createDataFrame([(2, "b", D[5]), (3, "c", D[6]), (None, "n", None)], ROW))
+    assert len(listed) == 1
+    rows = [(1, "a", D[5]), (2, "b", D[5]), (3, "c", D[6]), (None, "n", None)]
+    assert stored(table) == sorted(rows, key=str)
+
+    def late(self, entries, load):  # interrupted after one of the new days came
+        append(self, entries, load)
+        files, path = self._files(self._path()), self._at
+        files.rename(path(f"_loads/{load}/rows/dt={D[8]}"), path(f"dt={D[8]}"))
+        raise RuntimeError("lost")
+
+    with monkeypatch.context() as m:
+        m.setattr(Keyed, "_append", late)
+        with pytest.raises(RuntimeError):
+            table.merge(spark.createDataFrame([(3, "d", D[8]), (4, "e", D[9]), (5, "f", D[5])], ROW))
+    rows = [r for r in rows if r[0] != 3] + [(3, "d", D[8]), (4, "e", D[9]), (5, "f", D[5])]
+    assert stored(table) == sorted(rows, key=str)
+    assert {r[0] for r in spark.sql(f"SHOW PARTITIONS {table.table}").collect()} == {*(f"dt={D[n]}" for n in (5, 8, 9)), "dt=__HIVE_DEFAULT_PARTITION__"}
