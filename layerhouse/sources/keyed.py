@@ -20,7 +20,7 @@ from collections.abc import Callable, Iterable, Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from functools import cached_property
 
-from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window, functions as F
 
 from layerhouse.functions.times import OPEN_END
 from layerhouse.session import written
@@ -146,9 +146,10 @@ class Keyed:
 
     def _last(self, entries: DataFrame) -> DataFrame:
         """Keys with the days their last load put them under."""
-        days = entries.groupBy("key_hash", *self.keys, "load").agg(F.collect_set(F.struct("day")).alias("days"))
-        last = days.groupBy("key_hash", *self.keys).agg(F.max_by("days", "load").alias("days"))
-        return last.select("key_hash", *self.keys, F.inline("days"))
+        key = ["key_hash", *self.keys]
+        # ranked, not gathered in sets: a bucket is sorted once, and a key's entries may spill
+        newest = F.rank().over(Window.partitionBy(*key).orderBy(F.col("load").desc()))
+        return entries.select(*key, "load", "day").withColumn("__rank", newest).where("__rank = 1").select(*key, "day").distinct()
 
     def latest(self) -> DataFrame:
         """The days each key is stored under: the entries of its last load."""

@@ -192,6 +192,18 @@ def test_a_key_under_two_days_leaves_both(spark, make):
     assert stored(table) == [(1, "d", D[9]), (2, "c", D[3])]
 
 
+def test_the_days_of_a_key_are_ranked_not_gathered(spark, make):
+    table = make([(1, "a", D[3]), (2, "b", D[4]), (3, "x", D[5]), (None, "n", D[4])])
+    for rows in ([(1, "c", D[7]), (1, "d", D[8]), (1, "e", D[8]), (None, "m", None)], [(3, "y", D[6]), (4, "z", D[6])]):
+        table.merge(spark.createDataFrame(rows, ROW))
+    latest = table.latest()
+    found = sorted(((r["id"], r["day"]) for r in latest.collect()), key=str)  # a day that comes twice is one entry
+    assert found == sorted([(1, D[7]), (1, D[8]), (2, D[4]), (3, D[6]), (4, D[6]), (None, None)], key=str)
+    assert table._known(spark.createDataFrame([(1, "f", D[1]), (None, "o", D[1])], ROW)) == [D[7], D[8], None]
+    plan = latest._jdf.queryExecution().executedPlan().toString()
+    assert "ObjectHashAggregate" not in plan and "SortAggregate" not in plan and plan.count("Exchange") == 0
+
+
 def test_a_load_of_one_day_is_not_shuffled(spark, make):
     table = make([])
     before = table.merge(spark.range(0, 4_000, 1, 4).select("id", F.lit("x").alias("v"), F.lit(D[1]).alias("dt")), durable=True)
